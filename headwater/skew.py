@@ -4,29 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A key with at least this share of the rows is hot, so at most 1 / HOT_SHARE
-# keys can be hot: their list has a fixed bound at any scale.
-HOT_SHARE = 1 / 256
-SALTS = 256
+# Beside each hot key: into how many pieces its rows are split.
+PIECES = "_pieces"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows; never more than ``1 / share`` rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.where(F.col("_n") >= total * F.lit(share)).select(*keys)
+def even_share(spark: SparkSession) -> float:
+    """The share of the rows that one shuffle partition holds when all hold the same."""
+    return 1 / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def salt_of(spread: Sequence[str], salts: int = SALTS) -> Column:
-    """A repeatable salt, so that a task that runs twice sends each row the same way."""
-    return F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None) -> DataFrame:
+    """Keys with more than ``share`` of all rows, and the pieces that bring each below it.
 
+    The default share is that of one shuffle partition. There are never more than
+    ``1 / share`` such keys, nor more than ``2 / share`` pieces.
+    """
+    share = share or even_share(df.sparkSession)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    fair = counts.agg((F.sum("_n") * F.lit(share)).alias("_fair")).scalar()
+    hot = counts.where(F.col("_n") > fair)
+    return hot.select(*keys, F.ceil(F.col("_n") / fair).cast("int").alias(PIECES))
 
-def find_hot(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[Row]:
+
+def find_hot(df: DataFrame, keys: Sequence[str], share: float | None = None) -> list[Row]:
     """The hot keys themselves, on the driver: at most ``1 / share`` short rows.
 
     One aggregate over the key columns that combines before its shuffle. Knowing
@@ -41,40 +45,39 @@ def lookup_join(
     keys: Sequence[str],
     spread: Sequence[str],
     how: str = "left",
-    share: float = HOT_SHARE,
-    salts: int = SALTS,
+    share: float | None = None,
     hot: Sequence[Row] | None = None,
 ) -> DataFrame:
     """Join many ``facts`` rows to few ``dim`` rows per key.
 
-    Hot keys of ``facts`` are split over ``salts`` partitions by the ``spread``
-    columns, and only the ``dim`` rows of those keys are repeated. Rows with a
-    NULL key match nothing and are spread as well. All other keys join as usual.
-    Give ``hot`` (from :func:`find_hot`) when the same facts are joined repeatedly.
+    The rows of a hot key of ``facts`` are split into pieces by the ``spread``
+    columns, and only the ``dim`` rows of hot keys are repeated, once per piece.
+    Rows with a NULL key match nothing and are spread as well. All other keys
+    join as usual. Give ``hot`` (from :func:`find_hot`) when the same facts are
+    joined repeatedly.
     """
     keys = list(keys)
+    spark = facts.sparkSession
     if hot is None:
         hot = find_hot(facts, keys, share)
     if not hot:
         return facts.join(dim, keys, how)
-    marked = facts.sparkSession.createDataFrame(list(hot), facts.select(*keys).schema)
-    marked = F.broadcast(marked.withColumn("_hot", F.lit(True)))
+    schema = facts.select(*keys, F.lit(0).alias(PIECES)).schema
+    marked = F.broadcast(spark.createDataFrame(list(hot), schema))
     null_key = F.lit(False)
     for key in keys:
         null_key = null_key | F.col(key).isNull()
-    split = F.coalesce(F.col("_hot"), F.lit(False)) | null_key
+    most = max(row[PIECES] for row in hot)
+    pieces = F.coalesce(F.col(PIECES), F.when(null_key, F.lit(most)), F.lit(1))
+    # a hash of the row, so that a task that runs twice sends each row the same way
     left = (
         facts.join(marked, keys, "left")
-        .withColumn("_salt", F.when(split, salt_of(spread, salts)).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    right = (
-        dim.join(marked, keys, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_piece", F.pmod(F.xxhash64(*spread), pieces).cast("int"))
+        .drop(PIECES)
     )
-    return left.join(right, keys + ["_salt"], how).drop("_salt")
+    numbers = F.sequence(F.lit(0), F.coalesce(F.col(PIECES), F.lit(1)) - F.lit(1))
+    right = dim.join(marked, keys, "left").withColumn("_piece", F.explode(numbers)).drop(PIECES)
+    return left.join(right, keys + ["_piece"], how).drop("_piece")
 
 
 def number_rows(
