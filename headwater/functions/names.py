@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from headwater.functions.scalars import opt
+from headwater.functions.scalars import let, opt
 
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
 AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]+)"
@@ -26,6 +26,9 @@ BAD_URI = r"[\s<>\"{}|\\^`]|%([^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f]|[0-9A-Fa-f]?$
 SECOND_SLASHES = r"^[^/]*(?:/[^/]+)*//(?://)*(?:[^/]|/(?:[^/]|$))"
 JDBC_URL = r"^(?i:jdbc:(mysql|postgresql))://(?:[^@/]*@)?([^:/?,;]+)[^/]*/([^/?;]+)"
 
+# Name kinds of the known databases, and the AWS endpoint domain.
+MYSQL = "mysql"
+POSTGRES = "postgresql"
 AWS_DOMAIN = ".amazonaws.com"
 
 
@@ -85,15 +88,25 @@ def s3_custom(endpoint: Column, bucket: Column, key: Column) -> Column:
     return F.concat(base, F.coalesce(F.concat(F.lit("/keys/"), part(_blank_to_null(key))), F.lit("")))
 
 
-def _sql_rest(uri: Column) -> Column:
-    return F.regexp_extract(uri, r"^s3[an]://(.*)$", 1)
+def _is_s3_sql(uri: Column) -> Column:
+    return uri.startswith("s3a://") | uri.startswith("s3n://")
+
+
+def _rest(uri: Column) -> Column:
+    """What follows ``s3a://`` or ``s3n://``."""
+    return F.substr(uri, F.lit(7))
+
+
+def _bucket_key(rest: Column) -> tuple[Column, Column]:
+    bucket = F.substring_index(rest, "/", 1)
+    return _blank_to_null(bucket), F.substr(rest, F.length(bucket) + F.lit(2))
 
 
 def s3_sql_error(uri: Column) -> Column:
     """``BAD_S3_PATH`` for an s3a or s3n path that cannot be split into bucket and key."""
-    rest = _sql_rest(uri)
-    bad = (rest == "") | rest.startswith("/") | rest.rlike(SECOND_SLASHES)
-    return F.when(uri.rlike("^s3[an]://") & bad, F.lit("BAD_S3_PATH"))
+    rest = _rest(uri)
+    bad = (rest == "") | rest.startswith("/") | (rest.contains("//") & rest.rlike(SECOND_SLASHES))
+    return F.when(_is_s3_sql(uri) & bad, F.lit("BAD_S3_PATH"))
 
 
 def s3_name_sql(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
@@ -102,14 +115,12 @@ def s3_name_sql(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Colu
     No endpoint, or a malformed one, means AWS. Any other endpoint is custom and
     counts with its host only, so an endpoint without a host gives no name.
     """
-    endpoint = F.when(uri.startswith("s3a://"), s3a_endpoint).when(uri.startswith("s3n://"), s3n_endpoint)
-    trimmed = F.regexp_replace(_sql_rest(uri), "/+$", "")
-    bucket = _extract(trimmed, "^([^/]+)")
-    key = F.regexp_extract(trimmed, "^[^/]+/(.*)$", 1)
+    endpoint = F.when(uri.startswith("s3a://"), s3a_endpoint).otherwise(s3n_endpoint)
+    bucket, key = _bucket_key(F.rtrim(_rest(uri), F.lit("/")))
     name = F.when(endpoint.isNull() | is_bad_uri(endpoint), s3_aws(bucket, key)).otherwise(
         s3_custom(uri_host(endpoint), bucket, key)
     )
-    return F.when(uri.rlike("^s3[an]://") & s3_sql_error(uri).isNull(), name)
+    return F.when(_is_s3_sql(uri) & s3_sql_error(uri).isNull(), name)
 
 
 def s3_name_rdd(ns: Column, path: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
@@ -162,30 +173,40 @@ def uri_name(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
 # --- Databases, topics, warehouses, jobs -----------------------------------
 
 
-def jdbc_error(url: Column) -> Column:
-    """Why a JDBC URL gives no name, or NULL."""
-    return F.when(url.isNull(), F.lit("MISSING_OPTION")).when(~url.rlike(JDBC_URL), F.lit("UNSUPPORTED_DATABASE"))
+def jdbc_database(url: Column) -> Column:
+    """Database name behind a MySQL or PostgreSQL URL, NULL for others."""
+    kind = F.lower(F.regexp_extract(url, JDBC_URL, 1))
+    host, database = _extract(url, JDBC_URL, 2), _extract(url, JDBC_URL, 3)
+    named = [F.when(kind == k, _render(k, ("host", host), ("databases", database))) for k in (MYSQL, POSTGRES)]
+    return F.coalesce(*named)
 
 
-def jdbc_name(url: Column, table: Column, compat: bool = False) -> Column:
-    """Table name behind a MySQL or PostgreSQL URL; other databases give none.
+def jdbc_table(database: Column, table: Column, compat: bool = False) -> Column:
+    """Name of a table of a database (see :func:`jdbc_database`).
 
     The PostgreSQL schema is ``public``. Unless ``compat``, a ``schema.table``
     text overrides it.
     """
-    kind = F.lower(F.regexp_extract(url, JDBC_URL, 1))
-    host = _extract(url, JDBC_URL, 2)
-    database = _extract(url, JDBC_URL, 3)
-    schema: Column = F.lit("public")
-    pg_table = table
+    plain = F.concat(database, F.lit("/tables/"), part(table))
+    public = F.concat(database, F.lit("/schemas/public/tables/"), part(table))
     if not compat:
-        schema = F.coalesce(_extract(table, r"([^.]+)\.[^.]+$"), schema)
-        pg_table = F.regexp_extract(table, r"([^.]+)$", 1)
-    mysql = _render("mysql", ("host", host), ("databases", database), ("tables", table))
-    postgres = _render(
-        "postgresql", ("host", host), ("databases", database), ("schemas", schema), ("tables", pg_table)
-    )
-    return F.when(kind == "mysql", mysql).when(kind == "postgresql", postgres)
+        schema = F.substring_index(F.substring_index(table, ".", -2), ".", 1)
+        own = F.concat(
+            database, F.lit("/schemas/"), part(schema), F.lit("/tables/"), part(F.substring_index(table, ".", -1))
+        )
+        public = F.when(table.contains("."), own).otherwise(public)
+    return F.when(database.startswith(f"//{MYSQL}/"), plain).when(database.startswith(f"//{POSTGRES}/"), public)
+
+
+def jdbc_name(url: Column, table: Column, compat: bool = False) -> Column:
+    """Table name behind a MySQL or PostgreSQL URL; other databases give none."""
+    return let(jdbc_database(url), lambda database: jdbc_table(database, table, compat))
+
+
+def jdbc_error(url: Column, database: Column | None = None) -> Column:
+    """Why a JDBC URL gives no name, or NULL."""
+    known = database if database is not None else jdbc_database(url)
+    return F.when(url.isNull(), F.lit("MISSING_OPTION")).when(known.isNull(), F.lit("UNSUPPORTED_DATABASE"))
 
 
 def kafka_name(cluster: Column, topic: Column) -> Column:
@@ -197,16 +218,20 @@ def snowflake_account(sfurl: Column) -> Column:
     return F.substring_index(sfurl, ".", 1)
 
 
-def snowflake_name(options: Column, table: Column) -> Column:
+def snowflake_schema(options: Column) -> Column:
+    """Schema name from the ``sfurl``, ``sfdatabase`` and ``sfschema`` options."""
     return _render(
         "snowflake",
         ("account", snowflake_account(opt(options, "sfurl"))),
         ("databases", opt(options, "sfdatabase")),
         ("schemas", opt(options, "sfschema")),
-        ("tables", table),
     )
 
 
+def snowflake_name(options: Column, table: Column) -> Column:
+    return F.concat(snowflake_schema(options), F.lit("/tables/"), part(table))
+
+
 def spark_name(host: Column, job: Column | None = None, run: Column | None = None) -> Column:
     """Name of a host, of a job on it, or of a run of that job."""
     parts = [("host", host)]

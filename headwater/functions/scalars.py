@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,6 +24,11 @@ DOUBLE_SLASH_PATH = r"^[A-Za-z]+://[^?#]*//"
 UNKNOWN = "UNKNOWN"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ms_to_ts(ms: Column) -> Column:
     """Epoch milliseconds to an instant."""
     return F.timestamp_millis(ms)
@@ -70,13 +76,16 @@ def opt(options: Column, key: str, default: str | None = None) -> Column:
 
 def lower_keys(options: Column) -> Column:
     """The option map with lower-case keys; of equal keys the first one stays."""
-    keys = F.transform(F.map_keys(options), lambda k: F.lower(k))
+    lowered = F.transform(F.map_keys(options), lambda k: F.lower(k))
     values = F.map_values(options)
-    unique = F.array_distinct(keys)
-    return F.map_from_arrays(
-        unique,
-        F.transform(unique, lambda k: F.get(values, (F.array_position(keys, k) - 1).cast("int"))),
-    )
+
+    def first_wins(keys: Column) -> Column:
+        unique = F.array_distinct(keys)
+        firsts = F.transform(unique, lambda k: F.get(values, (F.array_position(keys, k) - 1).cast("int")))
+        plain = F.map_from_arrays(keys, values)
+        return F.when(F.size(unique) == F.size(keys), plain).otherwise(F.map_from_arrays(unique, firsts))
+
+    return let(lowered, first_wins)
 
 
 def csv_items(text: Column) -> Column:

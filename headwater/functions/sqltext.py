@@ -12,13 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from headwater.functions.scalars import let
+
 _WORD = r"[\p{L}\p{N}_$]+"
 _ATOM = rf"(?:\"[^\"]+\"|`[^`]+`|\[[^\]]+\]|{_WORD})"
 IDENTIFIER = rf"{_ATOM}(?:\s*\.\s*{_ATOM})*"
 # Comments and literals go; quoted names stay, with whatever they contain.
 NOISE = r"(\"[^\"]*\"|`[^`]*`)|'[^']*'|--[^\n]*|/\*[\s\S]*?\*/"
-FROM_IN_FUNCTION = r"(?i)\b(?:extract|trim|substring|overlay)\s*\([^()]*\)"
-DISTINCT_FROM = r"(?i)\bis\s+(?:not\s+)?distinct\s+from\b"
+# A FROM that names no table: inside a function, or of a comparison.
+OTHER_FROM = r"(?i)\b(?:extract|trim|substring|overlay)\s*\([^()]*\)|\bis\s+(?:not\s+)?distinct\s+from\b"
 # After FROM or JOIN: "a", "a x, b y, c"; a "(" behind a name marks a function.
 REFERENCES = rf"(?i)\b(?:from|join)\s+((?:{IDENTIFIER}(?:\s+(?:as\s+)?{_WORD})?\s*,\s*)*{IDENTIFIER}(?:\s*\()?)"
 FIRST_NAME = rf"^\s*({IDENTIFIER}(?:\s*\()?)"
@@ -26,8 +28,33 @@ CTE_NAME = rf"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)({_ATOM})\s*(?:\([^()]*\)\s
 PLAIN_TABLE = rf"^\s*{IDENTIFIER}\s*$"
 
 
+def _tight(name: Column) -> Column:
+    """``a . b`` as ``a.b``."""
+    return F.when(name.contains("."), F.regexp_replace(name, r"\s*\.\s*", ".")).otherwise(name)
+
+
 def _strip_quotes(name: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(name, r"\s*\.\s*", "."), "[\"`\\[\\]]", "")
+    return F.translate(_tight(name), "\"`[]", "")
+
+
+def _clean(sql: Column) -> Column:
+    """The text without comments, literals and the FROMs that name no table."""
+    noisy = sql.contains("'") | sql.contains("--") | sql.contains("/*")
+    quiet = F.when(noisy, F.regexp_replace(sql, NOISE, "$1 ")).otherwise(sql)
+    return F.regexp_replace(quiet, OTHER_FROM, " ")
+
+
+def _references(text: Column, compat: bool) -> Column:
+    items = F.split(F.array_join(F.regexp_extract_all(text, F.lit(REFERENCES), F.lit(1)), ","), ",")
+    names = F.transform(items, lambda item: F.regexp_extract(item, FIRST_NAME, 1))
+    tables = F.filter(names, lambda name: (name != "") & ~name.endswith("("))
+
+    def without(ctes: Column) -> Column:
+        return F.filter(tables, lambda name: ~F.array_contains(ctes, F.lower(name)))
+
+    ctes = F.transform(F.regexp_extract_all(text, F.lit(CTE_NAME), F.lit(1)), lambda name: F.lower(name))
+    found = F.when(text.rlike(r"(?i)^\s*with\b"), let(ctes, without)).otherwise(tables)
+    return F.array_distinct(F.transform(found, _tight if compat else _strip_quotes))
 
 
 def sql_tables(sql: Column, compat: bool = False) -> Column:
@@ -36,22 +63,14 @@ def sql_tables(sql: Column, compat: bool = False) -> Column:
     ``compat`` keeps quotes around names, and gives nothing for a text whose
     parentheses do not pair up, as a grammar would.
     """
-    clean = F.regexp_replace(sql, NOISE, "$1 ")
-    plain = F.regexp_replace(F.regexp_replace(clean, FROM_IN_FUNCTION, " "), DISTINCT_FROM, " ")
-    lists = F.regexp_extract_all(plain, F.lit(REFERENCES), F.lit(1))
-    items = F.flatten(F.transform(lists, lambda text: F.split(text, ",")))
-    names = F.transform(items, lambda item: F.regexp_extract(item, FIRST_NAME, 1))
-    tables = F.filter(names, lambda name: (name != "") & ~name.endswith("("))
-    ctes = F.when(
-        plain.rlike(r"(?i)^\s*with\b"),
-        F.transform(F.regexp_extract_all(plain, F.lit(CTE_NAME), F.lit(1)), lambda name: F.lower(name)),
-    ).otherwise(F.array().cast("array<string>"))
-    found = F.filter(tables, lambda name: ~F.array_contains(ctes, F.lower(name)))
-    if compat:
-        dotted = F.transform(found, lambda name: F.regexp_replace(name, r"\s*\.\s*", "."))
-        paired = F.length(F.regexp_replace(plain, "[^(]", "")) == F.length(F.regexp_replace(plain, "[^)]", ""))
-        return F.when(paired, F.array_distinct(dotted)).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.transform(found, _strip_quotes))
+
+    def tables(text: Column) -> Column:
+        if not compat:
+            return _references(text, compat)
+        opened, closed = (F.length(F.translate(text, mark, "")) for mark in "()")
+        return F.when(opened == closed, _references(text, compat)).otherwise(F.array().cast("array<string>"))
+
+    return let(_clean(sql), tables)
 
 
 def jdbc_tables(table_or_query: Column, compat: bool = False) -> Column:
@@ -65,7 +84,6 @@ def jdbc_tables(table_or_query: Column, compat: bool = False) -> Column:
         inner = F.regexp_extract(table_or_query, r"^[^()]*\(([^)]*)\)", 1)
         is_query = inner.rlike(r"(?i)^\s*(select|with)\b")
         return F.coalesce(F.when(is_query, sql_tables(inner, compat=True)), none)
-    inner = F.regexp_extract(table_or_query, r"^\s*\(([\s\S]*)\)[^()]*$", 1)
-    query = F.when(inner != "", inner).otherwise(table_or_query)
+    query = F.regexp_replace(table_or_query, r"^\s*\(([\s\S]*)\)[^()]*$", "$1")
     single = F.array(_strip_quotes(F.trim(table_or_query)))
     return F.coalesce(F.when(table_or_query.rlike(PLAIN_TABLE), single).otherwise(sql_tables(query)), none)

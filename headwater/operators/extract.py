@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.functions import names as N
-from headwater.functions.scalars import UNKNOWN, csv_items, lower_keys, opt
+from headwater.functions.scalars import UNKNOWN, csv_items, let, lower_keys, opt
 from headwater.functions.sqltext import jdbc_tables, sql_tables
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
 from headwater.skew import lookup_join
@@ -74,12 +74,12 @@ def _s3_item(uri: Column) -> Column:
     return _item(name, F.coalesce(N.s3_sql_error(uri), no_host))
 
 
-def _jdbc_item(url: Column, table: Column, compat: bool) -> Column:
-    return _item(N.jdbc_name(url, table, compat), N.jdbc_error(url))
+def _jdbc_item(url: Column, database: Column, table: Column, compat: bool) -> Column:
+    return _item(N.jdbc_table(database, table, compat), N.jdbc_error(url, database))
 
 
-def _snowflake_item(table: Column) -> Column:
-    name = N.snowflake_name(_options(), table)
+def _snowflake_item(schema: Column, table: Column) -> Column:
+    name = F.concat(schema, F.lit("/tables/"), N.part(table))
     return _item(name, F.when(name.isNull(), F.lit("MISSING_OPTION")))
 
 
@@ -96,7 +96,10 @@ def _jdbc_items(compat: bool) -> Column:
     url = opt(_options(), "url")
     query = F.concat(F.lit("("), opt(_options(), "query"), F.lit(") q"))
     source = F.coalesce(opt(_options(), "dbtable"), query)
-    items = F.transform(jdbc_tables(source, compat), lambda table: _jdbc_item(url, table, compat))
+    items = let(
+        N.jdbc_database(url),
+        lambda db: F.transform(jdbc_tables(source, compat), lambda table: _jdbc_item(url, db, table, compat)),
+    )
     return F.when(url.isNull() | source.isNull(), _error_item("MISSING_OPTION")).otherwise(items)
 
 
@@ -113,7 +116,13 @@ def _snowflake_items(compat: bool) -> Column:
     if not compat:
         table = opt(_options(), "dbtable")
         tables = F.coalesce(tables, F.when(table.isNotNull(), F.array(table)))
-    return F.when(tables.isNull(), _error_item("MISSING_OPTION")).otherwise(F.transform(tables, _snowflake_item))
+    schema = N.snowflake_schema(_options())
+
+    def items(found: Column) -> Column:
+        named = let(schema, lambda prefix: F.transform(found, lambda table: _snowflake_item(prefix, table)))
+        return F.when(found.isNull(), _error_item("MISSING_OPTION")).otherwise(named)
+
+    return let(tables, items)
 
 
 def default_rules(compat: bool = False) -> list[Rule]:
@@ -177,9 +186,9 @@ def _output_items() -> Column:
     path, url, table = (opt(_options(), key) for key in ("path", "url", "dbtable"))
     delta = F.array(_s3_item(path))
     kafka = F.array(_kafka_item(opt(_options(), "topic", UNKNOWN)))
-    snowflake = F.array(_snowflake_item(opt(_options(), "dbtable", UNKNOWN)))
+    snowflake = F.array(_snowflake_item(N.snowflake_schema(_options()), opt(_options(), "dbtable", UNKNOWN)))
     jdbc = F.when(url.isNull() | table.isNull(), _error_item("MISSING_OPTION")).otherwise(
-        F.array(_jdbc_item(url, table, False))
+        let(N.jdbc_database(url), lambda db: F.array(_jdbc_item(url, db, table, False)))
     )
     found = (
         F.when(provider.contains(DELTA_PROVIDER) & path.isNotNull(), delta)

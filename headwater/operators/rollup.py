@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from headwater import schemas as S
 from headwater.operators.routing import classify_jobs
-from headwater.skew import lookup_join, number_rows
+from headwater.session import cut_lineage
+from headwater.skew import find_hot, lookup_join, number_rows
 
 DEP = ["app_id", "dep_id"]
 
@@ -47,14 +48,19 @@ def distinct_deps(items: DataFrame) -> DataFrame:
     """Items of one edge set (the one with the lowest id) of each group of equal ones.
 
     Equal means the same input list and the same output list in one application.
+    The fingerprints, one short row per edge set, are stored in the shared folder;
+    they also tell which edge sets are large.
     """
-    kept = (
-        dep_fingerprints(items)
-        .groupBy("app_id", "n_inputs", "n_outputs", "bits_a", "bits_b")
-        .agg(F.min("dep_id").alias("dep_id"))
-        .select(*DEP)
+    prints = cut_lineage(dep_fingerprints(items).withColumn("size", F.col("n_inputs") + F.col("n_outputs")))
+    kept = prints.groupBy("app_id", "n_inputs", "n_outputs", "bits_a", "bits_b").agg(F.min("dep_id").alias("dep_id"))
+    return lookup_join(
+        items.where(F.col("name").isNotNull()),
+        kept.select(*DEP),
+        DEP,
+        ["node_id", "item"],
+        how="inner",
+        hot=find_hot(prints, DEP, weight="size"),
     )
-    return lookup_join(items.where(F.col("name").isNotNull()), kept, DEP, ["node_id", "item"], how="inner")
 
 
 def app_lineage(items: DataFrame, distinct: bool = False) -> DataFrame:

@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a few unsplittable files, dealt out to all cores before costly work.
+
+    A table with at least as many splits as cores stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def conf_map(customers: DataFrame) -> DataFrame:
     """``app_id, app_name, c_acctbal, conf`` per customer."""
     return customers.select(
@@ -136,7 +145,7 @@ def _plan(rows: DataFrame, **columns: str) -> DataFrame:
 def plan_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The root of the plan of each order: writes of four kinds, or a plain query."""
     return _plan(
-        table(spark, sf_dir, "orders"),
+        spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")),
         app_id="concat('app-', o_orderkey div 10)",
         execution_id="o_orderkey",
         node_id="0",
@@ -173,8 +182,11 @@ def plan_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nodes below the root: relations of five kinds, and filters."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("kind")
+    )
     return _plan(
-        table(spark, sf_dir, "lineitem").withColumn("kind", F.concat("l_returnflag", "l_linestatus")),
+        spread(lines),
         app_id="concat('app-', l_orderkey div 10)",
         execution_id="l_orderkey",
         node_id="8 * l_partkey + l_linenumber",

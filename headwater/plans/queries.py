@@ -19,7 +19,7 @@ from headwater.operators import conf as C
 from headwater.operators import entities as E
 from headwater.operators import etl, extract, rddgraph, rollup, routing
 from headwater.plans import facts, pipelines
-from headwater.session import work_path
+from headwater.session import cut_lineage, work_path
 from headwater.sinks import writers as K
 from headwater.skew import lookup_join
 from headwater.sources import eventlog, readers
@@ -49,7 +49,7 @@ def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lineage_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per application: datasets in and out, and the record of its run."""
-    items = rollup.distinct_deps(facts.order_items(spark, sf_dir, coarse=False))
+    items = rollup.distinct_deps(cut_lineage(facts.order_items(spark, sf_dir, coarse=False)))
     is_input = F.col("direction") == "input"
     counts = rollup.app_lineage(items).groupBy("app_id").agg(
         F.sum(F.when(is_input, F.col("n"))).alias("n_inputs"),
@@ -96,13 +96,13 @@ def merged_deps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def deps_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = rollup.distinct_deps(facts.order_items(spark, sf_dir, coarse=True))
+    items = rollup.distinct_deps(cut_lineage(facts.order_items(spark, sf_dir, coarse=True)))
     return items.select("app_id", "dep_id", "direction", "node_id", "name")
 
 
 @query
 def app_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollup.app_lineage(rollup.distinct_deps(facts.order_items(spark, sf_dir, coarse=True)))
+    return rollup.app_lineage(rollup.distinct_deps(cut_lineage(facts.order_items(spark, sf_dir, coarse=True))))
 
 
 @query

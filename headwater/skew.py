@@ -17,26 +17,32 @@ def even_share(spark: SparkSession) -> float:
     return 1 / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float | None = None) -> DataFrame:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float | None = None, weight: str | None = None
+) -> DataFrame:
     """Keys with more than ``share`` of all rows, and the pieces that bring each below it.
 
     The default share is that of one shuffle partition. There are never more than
-    ``1 / share`` such keys, nor more than ``2 / share`` pieces.
+    ``1 / share`` such keys, nor more than ``2 / share`` pieces. With ``weight``, a
+    row counts as that many.
     """
     share = share or even_share(df.sparkSession)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.groupBy(*keys).agg(rows.alias("_n"))
     fair = counts.agg((F.sum("_n") * F.lit(share)).alias("_fair")).scalar()
     hot = counts.where(F.col("_n") > fair)
     return hot.select(*keys, F.ceil(F.col("_n") / fair).cast("int").alias(PIECES))
 
 
-def find_hot(df: DataFrame, keys: Sequence[str], share: float | None = None) -> list[Row]:
+def find_hot(
+    df: DataFrame, keys: Sequence[str], share: float | None = None, weight: str | None = None
+) -> list[Row]:
     """The hot keys themselves, on the driver: at most ``1 / share`` short rows.
 
     One aggregate over the key columns that combines before its shuffle. Knowing
     the list up front keeps plans small, and leaves a plain join when it is empty.
     """
-    return hot_keys(df, keys, share).collect()
+    return hot_keys(df, keys, share, weight).collect()
 
 
 def lookup_join(
