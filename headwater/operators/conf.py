@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from headwater.functions.scalars import UNKNOWN, conf_flag, is_http_url
@@ -45,10 +46,15 @@ def with_conf(df: DataFrame, conf: DataFrame, key: str, default: str, name: str,
     return found.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
 
 
-def with_endpoints(df: DataFrame, conf: DataFrame, spread: list[str], keys: ConfKeys = KEYS) -> DataFrame:
-    """``df`` with the S3 endpoints of its application; NULL where none is set."""
+def with_endpoints(
+    df: DataFrame, conf: DataFrame, spread: list[str], keys: ConfKeys = KEYS, hot: Sequence[Row] | None = None
+) -> DataFrame:
+    """``df`` with the S3 endpoints of its application; NULL where none is set.
+
+    ``hot`` names the hot applications if they are already known.
+    """
     endpoints = conf_columns(conf, s3a_endpoint=keys.s3a_endpoint, s3n_endpoint=keys.s3n_endpoint)
-    return lookup_join(df, endpoints, ["app_id"], spread)
+    return lookup_join(df, endpoints, ["app_id"], spread, hot=hot)
 
 
 def route_apps(apps: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -> DataFrame:

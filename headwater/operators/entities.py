@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from headwater.functions.names import spark_name
 from headwater.functions.scalars import ms_to_ts, run_label
+from headwater.session import cut_lineage
 from headwater.skew import lookup_join
 
 # Entity types and the metadata schema reference.
@@ -34,11 +35,16 @@ def with_names(apps: DataFrame, routes: DataFrame) -> DataFrame:
     )
 
 
-def _parts(apps: DataFrame, lineage: DataFrame, metadata: DataFrame, part_rows: int) -> DataFrame:
+def _parts(lineage: DataFrame, metadata: DataFrame, part_rows: int) -> DataFrame:
     """Datasets and properties of each application, dealt out to parts by hash."""
-    content = lineage.select(
-        "app_id", F.col("direction").alias("kind"), F.col("name").alias("key"), F.col("n").cast("string").alias("value")
-    ).unionByName(metadata.select("app_id", F.lit("metadata").alias("kind"), "key", "value"))
+    content = cut_lineage(
+        lineage.select(
+            "app_id",
+            F.col("direction").alias("kind"),
+            F.col("name").alias("key"),
+            F.col("n").cast("string").alias("value"),
+        ).unionByName(metadata.select("app_id", F.lit("metadata").alias("kind"), "key", "value"))
+    )
     sizes = content.groupBy("app_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("parts"))
     dealt = lookup_join(content, sizes, ["app_id"], ["kind", "key"], how="inner").withColumn(
         "part", F.pmod(F.xxhash64("kind", "key"), F.col("parts")).cast("int")
@@ -59,7 +65,7 @@ def job_entities(
     ``lineage`` is ``app_lineage``, ``metadata`` is ``merge_metadata``; an
     application with neither still gets its part 0.
     """
-    parts = _parts(named_apps, lineage, metadata, part_rows)
+    parts = _parts(lineage, metadata, part_rows)
     columns = named_apps.select("app_id", "host", "source_name", "sink", "app_name", "job_name", "run_name")
     joined = columns.join(parts, "app_id", "left")
 

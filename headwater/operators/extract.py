@@ -154,10 +154,12 @@ def register_rule(
     return [*rules, Rule(name, predicate, items, priority)]
 
 
-def prepare_nodes(plan_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -> DataFrame:
+def prepare_nodes(
+    plan_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, hot: Sequence[Row] | None = None
+) -> DataFrame:
     """Plan nodes with lower-case option keys and the S3 endpoints of their application."""
     lowered = plan_nodes.withColumn("options", lower_keys(F.col("options")))
-    return with_endpoints(lowered, conf, ["execution_id", "node_id"], keys)
+    return with_endpoints(lowered, conf, ["execution_id", "node_id"], keys, hot)
 
 
 def _first_match(rules: Sequence[Rule]) -> Column:

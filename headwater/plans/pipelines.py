@@ -12,6 +12,7 @@ from headwater.operators import entities as E
 from headwater.operators import etl, extract, rddgraph, rollup, routing
 from headwater.operators.conf import KEYS, ConfKeys
 from headwater.session import cut_lineage
+from headwater.skew import find_hot
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,9 @@ class Lineage:
 def sql_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
     """Lineage items of the triggered SQL executions, errors included."""
     nodes = routing.with_plans(routing.sql_triggers(facts.events), facts.plan_nodes)
-    return extract.plan_items(extract.prepare_nodes(nodes, facts.conf_kv(), keys), compat=compat)
+    # the few keys that hold most nodes are counted on the bare fact table
+    hot = find_hot(facts.plan_nodes, ["app_id"])
+    return extract.plan_items(extract.prepare_nodes(nodes, facts.conf_kv(), keys, hot), compat=compat)
 
 
 def rdd_items(facts: Facts, keys: ConfKeys = KEYS) -> DataFrame:

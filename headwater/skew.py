@@ -102,17 +102,20 @@ def number_rows(
     """
     group, order = list(group), list(order)
     ranged = df.withColumn("_range", F.shiftright(F.col(order[0]), bits))
+    cell = [*group, "_range"]
     before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        ranged.groupBy(*group, "_range")
+        ranged.groupBy(*cell)
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+        .select(*[F.col(c).alias(f"_of_{c}") for c in cell], "_shift")
     )
-    inside = Window.partitionBy(*group, "_range").orderBy(*order)
+    # NULL is a group like any other
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cell]
+    inside = Window.partitionBy(*cell).orderBy(*order)
     return (
         ranged.withColumn("_row", F.row_number().over(inside))
-        .join(shifts, group + ["_range"])
+        .join(shifts, same)
         .withColumn(out, F.col("_shift") + F.col("_row") - F.lit(1))
-        .drop("_range", "_row", "_shift")
+        .drop("_row", "_shift", "_range", *[f"_of_{c}" for c in cell])
     )

@@ -72,23 +72,25 @@ def _text(value) -> str | None:
     return None if pd.isna(value) else value
 
 
-def _fold(run: dict, properties: dict, rows: pd.DataFrame) -> None:
-    """Fold one chunk of a bucket's rows into its state."""
-    ends = rows[rows["event"] == S.JOB_END]
-    if len(ends):
-        run["end_ms"] = max(run["end_ms"], int(ends["event_ms"].max()))
-    failures = ends[ends["failed"]]
-    if len(failures):
-        run["n_failed"] += len(failures)
-        last = failures.sort_values(["event_ms", "job_id"]).iloc[-1]
-        at = (int(last["event_ms"]), int(last["job_id"]))
-        if at >= (run["fail_ms"], run["fail_job"]):
-            run["fail_ms"], run["fail_job"] = at
-            run["fail_message"] = _text(last["error_message"])
-    pairs = rows[rows["key"].notna()].sort_values(["event_ms", "job_id"]).drop_duplicates("key", keep="last")
-    for key, value, ms, job in zip(pairs["key"], pairs["value"], pairs["event_ms"], pairs["job_id"]):
-        if key not in properties or (ms, job) >= tuple(properties[key][:2]):
-            properties[key] = [int(ms), int(job), _text(value)]
+def _fold(run: dict, properties: dict, rows: pd.DataFrame) -> bool:
+    """Fold one chunk of a bucket's rows into its state; true if the application ends in it.
+
+    Most chunks are a few rows, for which plain loops beat frame operations.
+    """
+    ends = False
+    columns = ("event", "event_ms", "job_id", "failed", "error_message", "key", "value")
+    for event, ms, job, failed, message, key, value in zip(*[rows[c].tolist() for c in columns]):
+        if event == S.JOB_END:
+            run["end_ms"] = max(run["end_ms"], ms)
+            if failed:
+                run["n_failed"] += 1
+                if (ms, job) >= (run["fail_ms"], run["fail_job"]):
+                    run["fail_ms"], run["fail_job"], run["fail_message"] = ms, job, _text(message)
+        elif event == S.APP_END:
+            ends = True
+        elif key not in properties or (ms, job) >= tuple(properties[key][:2]):
+            properties[key] = [ms, job, _text(value)]
+    return ends
 
 
 def _emit(app_id: str, bucket: int, run: dict, properties: dict) -> pd.DataFrame:
@@ -118,8 +120,7 @@ def flush_bucket(keep_ms: int):
         for rows in chunks:
             last_ms = max(last_ms, int(rows["event_ms"].max()))
             if not closed:
-                _fold(run, properties, rows)
-                ends_now = ends_now or bool((rows["event"] == S.APP_END).any())
+                ends_now = _fold(run, properties, rows) or ends_now
         if ends_now:
             yield _emit(key[0], int(key[1]), run, properties)
             closed, properties, run["fail_message"] = True, {}, None
