@@ -7,7 +7,9 @@ executor costs one round at most.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from headwater.functions.names import uri_name
@@ -62,8 +64,10 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(base).select(*NODE)
 
 
-def _items(paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys) -> DataFrame:
-    located = with_endpoints(paths, conf, ["job_id", "rdd_id"], keys)
+def _items(
+    paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys, hot: Sequence[Row]
+) -> DataFrame:
+    located = with_endpoints(paths, conf, ["job_id", "rdd_id", "item"], keys, hot)
     return (
         located.select(
             "app_id",
@@ -81,7 +85,7 @@ def _items(paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys) ->
 def rdd_inputs(closure: DataFrame, rdd_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -> DataFrame:
     """Names of the paths that the file scans in the closure read."""
     scans = rdd_nodes.where(F.col("input_paths").isNotNull()).join(closure, NODE)
-    return _items(explode_input_paths(scans), "input", conf, keys)
+    return _items(explode_input_paths(scans), "input", conf, keys, find_hot(rdd_nodes, ["app_id"]))
 
 
 def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -> DataFrame:
@@ -93,7 +97,9 @@ def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -
         F.lit(0).alias("item"),
         F.coalesce("old_api_path", "new_api_path").alias("path"),
     )
-    return _items(written.where(F.col("path").isNotNull()), "output", conf, keys)
+    return _items(
+        written.where(F.col("path").isNotNull()), "output", conf, keys, find_hot(rdd_output, ["app_id"])
+    )
 
 
 def own_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
