@@ -24,6 +24,7 @@ MAPPED = "MapPartitionsRDD"
 RESULT_STAGE = "result"
 
 NODE = ["app_id", "job_id", "rdd_id"]
+DEPENDENCY = ["app_id", "job_id", "dep_rdd_id"]
 
 
 def explode_input_paths(rdd_nodes: DataFrame) -> DataFrame:
@@ -102,7 +103,7 @@ def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -
     )
 
 
-def own_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
+def own_names(rdd_nodes: DataFrame, edges: DataFrame, hot: Sequence[Row] | None = None) -> DataFrame:
     """The name an RDD has by itself.
 
     The class name stands in for a missing name, for a name that is part of an
@@ -112,7 +113,7 @@ def own_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
         "app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"), F.col("rdd_name").alias("parent_name")
     )
     first_deps = edges.where(F.col("dep_pos") == 0).select(*NODE, "dep_rdd_id")
-    named = rdd_nodes.join(first_deps, NODE, "left").join(parents, ["app_id", "job_id", "dep_rdd_id"], "left")
+    named = lookup_join(rdd_nodes.join(first_deps, NODE, "left"), parents, DEPENDENCY, ["rdd_id"], hot=hot)
     name = F.col("rdd_name")
     from_path = (F.col("rdd_class") == OLD_API_SCAN) & F.exists("input_paths", lambda p: p.contains(name))
     from_parent = (F.col("rdd_class") == MAPPED) & (name == F.col("parent_name"))
@@ -129,8 +130,9 @@ def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     starts with the own name stands alone.
     """
     spark = rdd_nodes.sparkSession
-    own = cut_lineage(own_names(rdd_nodes, edges))
     pending = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos"))
+    hot = find_hot(pending, DEPENDENCY)  # dependencies that a large share of all RDDs have
+    own = cut_lineage(own_names(rdd_nodes, edges, hot))
     base = work_path(spark, "lineage-names")
     leaves = own.join(pending.select(*NODE).distinct(), NODE, "left_anti")
     leaves.select(*NODE, F.col("own_name").alias("name")).write.parquet(f"{base}/round=0")
@@ -142,7 +144,7 @@ def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
             "app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"), F.col("name").alias("dep_name")
         )
         ready = (
-            pending.join(dep_names, ["app_id", "job_id", "dep_rdd_id"], "left")
+            lookup_join(pending, dep_names, DEPENDENCY, ["rdd_id"], hot=hot)
             .groupBy(*NODE)
             .agg(
                 F.count_if(F.col("dep_name").isNull()).alias("missing"),

@@ -23,8 +23,8 @@ DEP = ["app_id", "dep_id"]
 def merge_deps(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Concatenate the lists of several edge sets: order kept, duplicates kept.
 
-    ``order`` places the items (its first column is a BIGINT); the result numbers
-    them from 0 per ``keys`` and direction.
+    ``order`` places the items; the result numbers them from 0 per ``keys`` and
+    direction.
     """
     return number_rows(items, [*keys, "direction"], order)
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from headwater.session import cut_lineage
+
 # Beside each hot key: into how many pieces its rows are split.
 PIECES = "_pieces"
 
@@ -87,35 +89,48 @@ def lookup_join(
 
 
 def number_rows(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    out: str = "pos",
-    bits: int = 12,
+    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "pos", share: float | None = None
 ) -> DataFrame:
     """Number the rows of each group from 0 in the given order.
 
-    The first order column must be a BIGINT. A group is cut into ranges of
-    ``2 ** bits`` values of it; rows are numbered inside a range, and ranges are
-    shifted by the row counts of the ranges before them. No task sorts a whole
-    group, only the short list of its ranges.
+    Without hot groups this is a window: no group is larger than a shuffle
+    partition should be. With hot groups see :func:`number_sorted`.
+    """
+    if find_hot(df, group, share):
+        return number_sorted(df, group, order, out)
+    inside = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(out, F.row_number().over(inside).cast("bigint") - F.lit(1))
+
+
+def number_sorted(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "pos") -> DataFrame:
+    """Number the rows of each group from 0, whatever the sizes of the groups.
+
+    The rows are sorted once by group and order over all tasks, so a large group
+    lies in many partitions, in order. A row's number is its place in its
+    partition, plus the group's rows in the partitions before, which a short
+    table of (group, partition) counts tells. No task sees a whole group.
+
+    The sorted rows are stored in the shared folder, so that a task that runs
+    again cannot see them in another order.
     """
     group, order = list(group), list(order)
-    ranged = df.withColumn("_range", F.shiftright(F.col(order[0]), bits))
-    cell = [*group, "_range"]
-    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()
+    sorted_rows = cut_lineage(
+        df.repartitionByRange(partitions, *group, *order).sortWithinPartitions(*group, *order).withColumn("_place", place)
+    ).withColumn("_partition", F.shiftrightunsigned("_place", 33))
+    cell = [*group, "_partition"]
+    before = Window.partitionBy(*group).orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        ranged.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        sorted_rows.groupBy(*cell)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
         .select(*[F.col(c).alias(f"_of_{c}") for c in cell], "_shift")
     )
     # NULL is a group like any other
     same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cell]
-    inside = Window.partitionBy(*cell).orderBy(*order)
     return (
-        ranged.withColumn("_row", F.row_number().over(inside))
-        .join(shifts, same)
-        .withColumn(out, F.col("_shift") + F.col("_row") - F.lit(1))
-        .drop("_row", "_shift", "_range", *[f"_of_{c}" for c in cell])
+        sorted_rows.join(shifts, same)
+        .withColumn(out, F.col("_place") + F.col("_shift"))
+        .drop("_place", "_partition", "_shift", *[f"_of_{c}" for c in cell])
     )

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from headwater.skew import PIECES, find_hot, lookup_join, number_rows
@@ -40,11 +41,12 @@ def test_hot_rows_are_spread(spark):
     assert parts > 1
 
 
-def test_number_rows_matches_a_sort(spark):
+@pytest.mark.parametrize("share", [0.01, 0.9])
+def test_number_rows_matches_a_sort(spark, share):
     generator = random.Random(3)
     data = [(generator.choice(["a", "b", None]), generator.randrange(100), f"n{i}") for i in range(2000)]
-    df = spark.createDataFrame(data, "g string, o bigint, n string")
-    numbered = number_rows(df, ["g"], ["o", "n"], bits=3).collect()
+    df = spark.createDataFrame(data, "g string, o bigint, n string").repartition(5)
+    numbered = number_rows(df, ["g"], ["o", "n"], share=share).collect()
     assert len(numbered) == len(data)
     for group in ("a", "b", None):
         expected = sorted((o, n) for g, o, n in data if g == group)
