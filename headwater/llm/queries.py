@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import rules
+from headwater.llm import mixing, rules
 from headwater.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,3 +26,45 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     return found.select("doc_id", *base, "kept", F.col("rule").alias("rejected_by"))
+
+
+@query
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op3_source_mix"] = r"""
+with docs as (
+    select row_number() over () as r, doc_id, source, md5(coalesce(cast(doc_id as varchar), '')) as h,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size
+    from documents),
+sources as (
+    select source, cast(sum(size) as bigint) as source_size, row_number() over (order by source nulls last) as rank
+    from docs group by source),
+weighed as (
+    select *, case (rank - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight, source_size * 3 as cap from sources),
+sums as (
+    select *, cap / weight as full_at, sum(source_size) over () as total, sum(weight) over () as weights,
+        sum(cap) over w - cap as caps, sum(weight) over w - weight as used
+    from weighed window w as (order by cap / weight, rank)),
+levels as (
+    select *, cast(total - caps as double) / cast(weights - used as double) as level,
+        row_number() over (order by full_at, rank) as nr from sums),
+final as (select arg_min(level, nr) as level from levels where level <= full_at),
+target as (select source, source_size, cast(total as bigint) as total, least(cast(cap as double), weight * (select level from final)) as target from levels),
+queue as (
+    select d.*, source_size, target, total,
+        cast(sum(size) over (partition by d.source order by h, doc_id, r rows unbounded preceding) as bigint) as upto
+    from docs d join target t on d.source is not distinct from t.source),
+copies as (
+    select *, cast(copy * source_size + upto as double) / target as finish
+    from queue, (select unnest([0, 1, 2]) as copy) where target > 0),
+sent as (
+    select r, size, total,
+        sum(size) over (order by finish, source nulls last, h, doc_id, copy, r rows unbounded preceding) as upto
+    from copies),
+taken as (select r, sum(size) as taken from sent where upto <= total group by r)
+select doc_id, cast(size as bigint) as size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken
+from queue left join taken using (r)
+"""
