@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import mixing, rules
+from headwater.llm import bpe, mixing, rules
 from headwater.llm.frames import table
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -68,3 +71,14 @@ taken as (select r, sum(size) as taken from sent where upto <= total group by r)
 select doc_id, cast(size as bigint) as size, source_size, target, cast(coalesce(taken, 0) as bigint) as taken
 from queue left join taken using (r)
 """
+
+
+@query
+def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), BYTE_BPE), BYTE_BPE)
+    return decoded.select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
