@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # So many rows reach a Python worker at once: with usual texts a few MB.
 BATCH_ROWS = 1000
@@ -35,11 +36,17 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(folds))
 
 
-def map_arrow(df: DataFrame, function: BatchMap, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, function: BatchMap, schema: StructType | str) -> DataFrame:
     bounded_batches(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 
+def beside(rows: DataFrame, added: str, *without: str) -> StructType:
+    """The schema of ``rows`` without some columns, and the columns ``added``."""
+    kept = [f for f in rows.schema.fields if f.name not in without]
+    return StructType([*kept, *StructType.fromDDL(added).fields])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
     """Documents with a label, about ``most`` of them at most, chosen by a hash of their id.
 

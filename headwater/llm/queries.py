@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import bpe, mixing, rules
-from headwater.llm.frames import table
+from headwater.llm import bpe, classifier, counts, language, mixing, rules
+from headwater.llm.frames import fold, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +83,22 @@ def op5_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 5) == 0
+    weights = classifier.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = classifier.score(docs, weights, held_out.alias("held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= classifier.THRESHOLD).cast("int"))
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2
+    return language.identify(docs, language.fit(docs, ~held_out), held_out.alias("held_out"))

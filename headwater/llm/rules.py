@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
-from headwater.llm.frames import labelled_sample, map_arrow, texts
+from headwater.llm.frames import beside, labelled_sample, map_arrow, texts
 
 SAMPLE_ROWS = 20_000  # labelled documents that the rules are learned from, at most (about)
 WINDOW = 5
@@ -115,8 +115,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def text_counts(rows: DataFrame) -> DataFrame:
     """The statistics of ``text``, beside the other columns of ``rows``."""
-    rest = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "text")
-    return map_arrow(rows, _count_batches, f"{rest}, {COUNT_SCHEMA}" if rest else COUNT_SCHEMA)
+    return map_arrow(rows, _count_batches, beside(rows, COUNT_SCHEMA, "text"))
 
 
 # The ratios that rules test, as (name, part, whole).
