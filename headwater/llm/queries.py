@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import bpe, classifier, counts, language, mixing, rules
+from headwater.llm import bpe, classifier, counts, fingerprint, language, mixing, rules
 from headwater.llm.frames import fold, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -32,6 +32,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *base, "kept", F.col("rule").alias("rejected_by"))
 
 
+@query
+def op1_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.versions(table(spark, sf_dir, "documents"))
+    edited = F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256")
+    near = ["fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_lost", "n_gained", "n_cells"]
+    return found.select("doc_id", "n_chars", edited, *near)
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
