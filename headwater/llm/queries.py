@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import bpe, classifier, counts, fingerprint, language, mixing, rules
+from headwater.llm import bpe, classifier, counts, fingerprint, language, mixing, rules, spans
 from headwater.llm.frames import fold, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -110,3 +110,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held_out = table(spark, sf_dir, "documents"), fold("doc_id", 4) == 2
     return language.identify(docs, language.fit(docs, ~held_out), held_out.alias("held_out"))
+
+
+@query
+def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_sentences", "n_removed", "text")
