@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import bpe, classifier, counts, fingerprint, language, mixing, rules, spans
+from headwater.llm import bpe, classifier, counts, fingerprint, language, mixing, rules, similar, spans
 from headwater.llm.frames import fold, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,11 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.similar(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
