@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import bpe, classifier, counts, fingerprint, language, mixing, rules, similar, spans
+from headwater.llm import bpe, classifier, counts, fingerprint, language, lm, mixing, rules, similar, spans
 from headwater.llm.frames import fold, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,11 @@ def op1_paragraph_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_chars", edited, *near)
 
 
+@query
+def op2_elias_fano_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 5) == 1)
+
+
 @query
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_documents(table(spark, sf_dir, "documents"))
