@@ -8,7 +8,7 @@ The list is emitted as one Spark ``CASE WHEN``, which any table of statistics ca
 NULL text counts as empty; an empty text has no words and fails the base rule.
 Repeated rows are judged alike. Without labelled documents of both kinds the list
 is empty and only the base rule decides. Columns other than ``doc_id`` and ``text``
-are ignored.
+are ignored, or kept where rows are returned whole.
 """
 
 from __future__ import annotations
@@ -104,18 +104,23 @@ def count_block(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = W.column_bytes(batch.column("text"))
-        rest = [i for i, name in enumerate(batch.schema.names) if name != "text"]
+        kept = batch.select(_carried(batch.schema.names))
         for first, last in W.blocks(offsets):
             lo = offsets[first]
             found = count_block(data[lo : offsets[last]], offsets[first : last + 1] - lo)
-            arrays = [batch.column(i).slice(first, last - first) for i in rest]
-            arrays += [pa.array(found[name], pa.int64()) for name in COUNTS]
-            yield pa.RecordBatch.from_arrays(arrays, [batch.schema.names[i] for i in rest] + COUNTS)
+            arrays = [*kept.slice(first, last - first).columns, *(pa.array(found[name], pa.int64()) for name in COUNTS)]
+            yield pa.RecordBatch.from_arrays(arrays, kept.schema.names + COUNTS)
+
+
+def _carried(names: Sequence[str]) -> list[str]:
+    """The columns that stand beside the statistics: the text only if a ``row`` needs it back."""
+    return [name for name in names if name != "text" or "row" in names]
 
 
 def text_counts(rows: DataFrame) -> DataFrame:
-    """The statistics of ``text``, beside the other columns of ``rows``."""
-    return map_arrow(rows, _count_batches, beside(rows, COUNT_SCHEMA, "text"))
+    """The statistics of ``text``, beside the other columns of ``rows``; ``text`` stays if there is a ``row``."""
+    gone = set(rows.columns) - set(_carried(rows.columns))
+    return map_arrow(rows, _count_batches, beside(rows, COUNT_SCHEMA, *gone))
 
 
 # The ratios that rules test, as (name, part, whole).
@@ -282,3 +287,11 @@ def judge(counted: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Statistics and verdict of every document."""
     return judge(text_counts(texts(docs)), fit(docs, labels))
+
+
+def kept_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are kept, with all their columns; a NULL text is never kept."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    counted = text_counts(docs.where(F.col("text").isNotNull()).select(F.struct(*rest).alias("row"), "text"))
+    kept = judge(counted, fit(docs, labels)).where("kept")
+    return kept.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
