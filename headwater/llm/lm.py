@@ -7,7 +7,7 @@ with c(h) tokens and n(h) kinds of successors,
     p(w | h) = max(c(h w) - D, 0) / c(h) + D n(h) / c(h) * p(w)
 
 with p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) as the base model has it. Frequent words
-are those with at least N / 2**17 tokens, so there are at most 2**17, and every task
+are the end and those with at least N / 2**17 tokens, at most 2**17, and every task
 knows their counts. For rarer words that did follow h, the second summand, which is
 small beside the first, is left out; the probabilities of a context sum up to
 slightly less than 1. Log probabilities of successors are kept in 16 bits.
@@ -18,7 +18,7 @@ training count and the batch's texts that it is in. A shard adds up the counts,
 builds its trie, answers the pairs of each batch from it, and returns sums for each
 text. A context that is frequent enough to fill a shard is split by its successors'
 hashes; since hashes spread them evenly, n(h) is then taken as the number of splits
-times the kinds in one. Pairs that were not seen ask the shard of a rare second word
+times the kinds in one, and as 1 at least. Pairs that were not seen ask the shard of a rare second word
 for its count.
 
 Words are told apart by 64-bit hashes, successors of one context by 40 bits. NULL and
@@ -297,8 +297,8 @@ class Shard:
         self.total = total
         with np.errstate(divide="ignore", invalid="ignore"):
             left = DISCOUNT * kinds * splits / total
-        # a frequent context's part may by chance have no successor that was seen
-        self.log_left = np.where(total > 0, np.log10(np.clip(left, 0.01 / np.maximum(total, 1), 1)), 0.0)
+        # one split of a context may by chance have no successor that was seen, but the context has one
+        self.log_left = np.where(total > 0, np.log10(np.clip(left, DISCOUNT / np.maximum(total, 1), 1)), 0.0)
         owner = np.cumsum(new) - 1
         owner, words, n = owner[seen], successors[seen], counts[seen]
         often = unigrams.find(words)
