@@ -232,7 +232,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_events(rows: DataFrame) -> DataFrame:
+def user_events(rows: DataFrame, *more: str) -> DataFrame:
     """The ``events`` table as listener events of one application per user.
 
     Errors are failed jobs, purchases are good ones, the rest are SQL job starts
@@ -255,9 +255,25 @@ def user_events(rows: DataFrame) -> DataFrame:
         F.when(kind == "error", F.lit(S.JOB_FAILED)).when(kind == "purchase", F.lit(S.JOB_SUCCEEDED)).alias("result"),
         F.when(kind == "error", F.concat(F.lit("k="), number)).alias("error_message"),
         F.lit(None).cast(S.STRING_MAP).alias("conf"),
+        *more,
     )
 
 
+def event_slices(rows: DataFrame) -> DataFrame:
+    """Listener events of the users with the slice, 0 to 3, in which each is delivered.
+
+    Ten days make a slice; odd users deliver one slice later, and the clocks of
+    every tenth user are 120 days behind.
+    """
+    late = F.expr("user_id % 2")
+    day = F.datediff("ts", F.lit("2024-01-01"))
+    number = (F.least(F.floor(day / 10), F.lit(2)) + late).cast("int")
+    behind = F.expr("if(user_id % 10 = 3, interval 120 days, interval 0 days)")
+    sliced = rows.withColumns({"slice": number, "ts": F.col("ts") - behind})
+    kept = [c for c in S.LISTENER_EVENT.fieldNames()]
+    return user_events(sliced, "slice").select(*kept, "slice")
+
+
 def rdd_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct line numbers of each order, with the numbers one to three steps before.
 

@@ -407,6 +407,34 @@ ORACLE["stream_flush_metadata"] = _with(USER_STARTS, USER_ENDS) + (
     "select app_id, key, value from meta semi join ended using (app_id)"
 )
 
+SLICED = """
+sliced as (
+  select 'user-' || user_id as app_id, event_id, event_type as kind, props->>'$.k' as k,
+    epoch_us(ts) // 1000 - case when user_id % 10 = 3 then 120 * 86400000::bigint else 0 end as ms,
+    least(date_diff('day', date '2024-01-01', cast(ts as date)) // 10, 2) + user_id % 2 as slice,
+    event_type = 'signup' and (props->>'$.k')::int >= 70 as is_end
+  from events),
+reported as (select app_id, min(slice) as slice from sliced where is_end group by app_id),
+upto as (select s.* from sliced s join reported r on s.app_id = r.app_id and s.slice <= r.slice)"""
+
+
+def _sliced_runs(rows: str) -> str:
+    return f"""
+select app_id, coalesce(max(ms) filter (kind in ('error', 'purchase')), 0) as end_ms,
+  count(*) filter (kind = 'error') as n_failed,
+  arg_max('k=' || k, (ms, event_id)) filter (kind = 'error') as status_reason,
+  case when count(*) filter (kind = 'error') > 0 then 'FAILED' else 'SUCCESS' end as status
+from {rows} group by app_id"""
+
+
+ORACLE["stream_rollup_slices"] = _with(SLICED) + _sliced_runs("sliced")
+ORACLE["stream_flush_slices"] = _with(SLICED) + _sliced_runs("upto")
+ORACLE["stream_flush_slices_metadata"] = _with(SLICED) + """
+select app_id, key, arg_max(value, (ms, event_id)) as value from (
+  select app_id, ms, event_id, kind as key, k as value from upto where kind not in ('error', 'purchase') and not is_end
+  union all select app_id, ms, event_id, 'spark.sql.execution.id', event_id::varchar
+  from upto where kind not in ('error', 'purchase') and not is_end)
+group by app_id, key"""
 ORACLE["merged_deps"] = """
 with t as (
   select 'app-' || o_custkey as app_id, l_orderkey, 8 * l_partkey + l_linenumber as node_id,

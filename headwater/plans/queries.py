@@ -793,10 +793,9 @@ def stream_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flushed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, checkpoint = work_path(spark, "flushed"), work_path(spark, "flush-checkpoint")
-    running = flush.store_flushed(flush.stream_flush(_event_stream(spark, sf_dir)), path, checkpoint)
-    running.awaitTermination()
-    return spark.read.parquet(path)
+    path = work_path(spark, "stream-flush")
+    flush.stream_flush(_event_stream(spark, sf_dir), path, f"{path}/checkpoint").awaitTermination()
+    return flush.read_flushed(spark, path)
 
 
 @query
@@ -807,3 +806,33 @@ def stream_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_flush_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flush.flushed_metadata(_flushed(spark, sf_dir))
+
+
+def _sliced(spark: SparkSession, sf_dir: str, run) -> str:
+    """Run a stream over the events once after each of four deliveries; returns its folder.
+
+    Odd users deliver one slice late, and every tenth has clocks 120 days behind.
+    """
+    path = work_path(spark, "stream-slices")
+    slices = facts.event_slices(facts.table(spark, sf_dir, "events"))
+    for number in range(4):
+        slices.where(F.col("slice") == number).drop("slice").write.mode("append").parquet(f"{path}/events")
+        files = spark.readStream.schema(S.LISTENER_EVENT).parquet(f"{path}/events")
+        run(files, path, f"{path}/checkpoint", compact_every=2).awaitTermination()
+    return path
+
+
+@query
+def stream_rollup_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _sliced(spark, sf_dir, stream_rollups.stream_rollup)
+    return stream_rollups.apps_of(stream_rollups.read_rollup(spark, path))
+
+
+@query
+def stream_flush_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flush.flushed_apps(flush.read_flushed(spark, _sliced(spark, sf_dir, flush.stream_flush)))
+
+
+@query
+def stream_flush_slices_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flush.flushed_metadata(flush.read_flushed(spark, _sliced(spark, sf_dir, flush.stream_flush)))

@@ -1,178 +1,73 @@
-"""Emit an application's rollup once, when the application ends.
+"""Emit an application's rollup once, in the trigger in which the application ends.
 
-The state of an application is split over ``buckets`` groups, by job for job
-ends and by key for properties, so an application with a large share of all
-events never meets one task. Its end event reaches every bucket; all buckets
-emit in the same trigger, and :func:`flushed_apps` and :func:`flushed_metadata`
-combine their few rows.
-
-An application that never ends emits nothing. Events that arrive in a later
-trigger than the end are lost, as the run is already reported.
+The events are logged as in :mod:`headwater.streaming.rollup`. A trigger that holds
+end events reads the logged state of those applications, whatever their age, and
+writes it to a folder of its own. What was reported stays out of later triggers:
+events after the end change nothing, as the run is already reported. Applications
+that haven't ended are never dropped; :func:`open_apps` lists them.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from headwater import schemas as S
-
-BUCKETS = 16
-DAY_MS = 86_400_000
-
-STATE = "closed boolean, last_ms bigint, end_ms bigint, n_failed bigint, fail_ms bigint, fail_job bigint, fail_message string, properties string"
-FLUSHED = (
-    "app_id string, bucket int, key string, value string, end_ms bigint, n_failed bigint, "
-    "fail_ms bigint, fail_job bigint, fail_message string"
-)
-COLUMNS = ["app_id", "bucket", "key", "value", "end_ms", "n_failed", "fail_ms", "fail_job", "fail_message"]
-
-
-def bucketed_events(events: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """Event rows with their bucket: job ends by job, properties by key, the end in every bucket."""
-    event = F.col("event")
-    nothing = F.lit(None).cast("string")
-    is_sql = (event == S.JOB_START) & F.try_element_at("properties", F.lit(S.EXECUTION_ID_KEY)).isNotNull()
-
-    def bucket_of(*columns):
-        return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
-
-    def row(bucket, key, value):
-        return F.struct(bucket.alias("bucket"), key.alias("key"), value.alias("value"))
-
-    row_type = "array<struct<bucket:int,key:string,value:string>>"
-    job_end = F.array(row(bucket_of("job_id"), nothing, nothing)).cast(row_type)
-    properties = F.transform(
-        F.map_entries("properties"), lambda e: row(bucket_of(e["key"]), e["key"], e["value"])
-    ).cast(row_type)
-    app_end = F.transform(
-        F.sequence(F.lit(0), F.lit(buckets - 1)), lambda b: row(b, nothing, nothing)
-    ).cast(row_type)
-    rows = F.when(event == S.JOB_END, job_end).when(is_sql, properties).when(event == S.APP_END, app_end)
-    failed = (event == S.JOB_END) & (F.col("result") == S.JOB_FAILED)
-    return events.select(
-        "app_id",
-        "event",
-        "event_ms",
-        F.coalesce("job_id", F.lit(-1)).alias("job_id"),
-        failed.alias("failed"),
-        "error_message",
-        F.timestamp_millis("event_ms").alias("event_time"),
-        F.explode(rows).alias("r"),
-    ).select("app_id", "r.bucket", "event", "event_ms", "job_id", "failed", "error_message", "event_time", "r.key", "r.value")
-
-
-def _text(value) -> str | None:
-    return None if pd.isna(value) else value
-
-
-def _fold(run: dict, properties: dict, rows: pd.DataFrame) -> bool:
-    """Fold one chunk of a bucket's rows into its state; true if the application ends in it.
-
-    Most chunks are a few rows, for which plain loops beat frame operations.
-    """
-    ends = False
-    columns = ("event", "event_ms", "job_id", "failed", "error_message", "key", "value")
-    for event, ms, job, failed, message, key, value in zip(*[rows[c].tolist() for c in columns]):
-        if event == S.JOB_END:
-            run["end_ms"] = max(run["end_ms"], ms)
-            if failed:
-                run["n_failed"] += 1
-                if (ms, job) >= (run["fail_ms"], run["fail_job"]):
-                    run["fail_ms"], run["fail_job"], run["fail_message"] = ms, job, _text(message)
-        elif event == S.APP_END:
-            ends = True
-        elif key not in properties or (ms, job) >= tuple(properties[key][:2]):
-            properties[key] = [ms, job, _text(value)]
-    return ends
-
-
-def _emit(app_id: str, bucket: int, run: dict, properties: dict) -> pd.DataFrame:
-    rows = [
-        (app_id, bucket, None, None, run["end_ms"], run["n_failed"], run["fail_ms"], run["fail_job"], run["fail_message"])
-    ]
-    rows += [(app_id, bucket, key, value, 0, 0, -1, -1, None) for key, (_, _, value) in properties.items()]
-    return pd.DataFrame(rows, columns=COLUMNS)
-
-
-def flush_bucket(keep_ms: int):
-    """The state function of one bucket of one application."""
-
-    def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        if state.exists:
-            closed, last_ms, end_ms, n_failed, fail_ms, fail_job, message, text = state.get
-        else:
-            closed, last_ms, end_ms, n_failed, fail_ms, fail_job, message, text = False, 0, 0, 0, -1, -1, None, "{}"
-        run = {
-            "end_ms": end_ms, "n_failed": n_failed, "fail_ms": fail_ms, "fail_job": fail_job, "fail_message": message
-        }
-        properties = json.loads(text)
-        ends_now = False
-        for rows in chunks:
-            last_ms = max(last_ms, int(rows["event_ms"].max()))
-            if not closed:
-                ends_now = _fold(run, properties, rows) or ends_now
-        if ends_now:
-            yield _emit(key[0], int(key[1]), run, properties)
-            closed, properties, run["fail_message"] = True, {}, None
-        state.update(
-            (closed, last_ms, run["end_ms"], run["n_failed"], run["fail_ms"], run["fail_job"], run["fail_message"],
-             json.dumps(properties))
-        )
-        state.setTimeoutTimestamp(max(last_ms, state.getCurrentWatermarkMs()) + keep_ms)
-
-    return update
+
+from headwater.streaming import rollup
+
+FLUSHED = rollup.LOG
+
+
+def _reported(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The applications reported by earlier triggers, each once."""
+    upto = None if before is None else before - 1
+    return rollup.read_batches(spark, f"{path}/flushed", FLUSHED, upto).where("key is null").select("app_id").distinct()
+
+
+def flush_batch(batch: DataFrame, number: int, path: str) -> None:
+    """Log a trigger's events and report the applications that end in it; safe to repeat."""
+    spark = batch.sparkSession
+    rollup.write_batch(rollup.partial_rows(batch), f"{path}/log", number)
+    own = rollup.read_batches(spark, f"{path}/log", rollup.LOG, number, after=number - 1)
+    ended = own.where("has_ended").select("app_id")
+    # an empty first folder, so that there is always something to read
+    if number == 0:
+        rollup.write_batch(spark.createDataFrame([], FLUSHED), f"{path}/flushed", -1)
+    new = ended.join(_reported(spark, path, number), "app_id", "left_anti")
+    state = rollup.read_rollup(spark, path, number).join(new, "app_id", "left_semi")
+    rollup.write_batch(state, f"{path}/flushed", number)
 
 
 def stream_flush(
-    events: DataFrame, buckets: int = BUCKETS, lateness: str = "90 days", keep_ms: int = 7 * DAY_MS
-) -> DataFrame:
-    """Flushed rows of ended applications, as a stream.
-
-    The state of an application without events for ``keep_ms`` of event time
-    (behind the watermark) is dropped, ended or not.
-    """
-    return (
-        bucketed_events(events, buckets)
-        .withWatermark("event_time", lateness)
-        .groupBy("app_id", "bucket")
-        .applyInPandasWithState(
-            flush_bucket(keep_ms), FLUSHED, STATE, "append", GroupStateTimeout.EventTimeTimeout
-        )
-    )
-
-
-def store_flushed(flushed: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Write the flushed rows of each trigger to a folder of its own below ``path``."""
+    events: DataFrame, path: str, checkpoint: str, available_now: bool = True, compact_every: int = rollup.COMPACT_EVERY
+) -> StreamingQuery:
+    """Report the applications of an event stream as they end, below ``path``."""
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        flush_batch(batch, number, path)
+        if number and number % compact_every == 0:
+            rollup.compact_rollup(batch.sparkSession, path, number - 1)
 
-    writer = flushed.writeStream.outputMode("append").foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def read_flushed(spark: SparkSession, path: str) -> DataFrame:
+    """The reported state rows."""
+    return rollup.read_batches(spark, f"{path}/flushed", FLUSHED).drop("batch")
+
+
+def open_apps(spark: SparkSession, path: str) -> DataFrame:
+    """Applications that were seen but not reported, with their last event."""
+    state = rollup.read_rollup(spark, path).where("key is null").select("app_id", "last_ms")
+    return state.join(_reported(spark, path), "app_id", "left_anti")
+
+
 def flushed_apps(rows: DataFrame) -> DataFrame:
-    """One row per ended application from the rows of its buckets."""
-    runs = rows.where(F.col("key").isNull())
-    apps = runs.groupBy("app_id").agg(
-        F.max("end_ms").alias("end_ms"),
-        F.sum("n_failed").alias("n_failed"),
-        F.max_by("fail_message", F.when(F.col("n_failed") > 0, F.struct("fail_ms", "fail_job"))).alias("status_reason"),
-    )
-    failed = F.col("n_failed") > 0
-    return apps.withColumn("status", F.when(failed, F.lit("FAILED")).otherwise(F.lit("SUCCESS")))
+    """One row per ended application."""
+    return rollup.apps_of(rows)
 
 
 def flushed_metadata(rows: DataFrame) -> DataFrame:
-    """Property values of ended applications; a key lives in one bucket."""
-    return rows.where(F.col("key").isNotNull()).select("app_id", "key", "value")
+    """Property values of ended applications."""
+    return rollup.metadata_of(rows)

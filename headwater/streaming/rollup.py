@@ -1,4 +1,11 @@
-"""Incremental application rollup: events in, latest state per application out."""
+"""Incremental application rollup: events in, latest state per application out.
+
+Each trigger aggregates its own events per application and property key and writes
+the rows to a folder named by its number. No state store is kept: all measures are
+maxima and sums, so the rows of any number of triggers merge exactly, whenever their
+events arrive and however long an application has been quiet. A repeated trigger
+replaces its folder, so nothing counts twice. Snapshots keep the log short.
+"""
 
 from __future__ import annotations
 
@@ -10,86 +17,130 @@ from headwater import schemas as S
 from headwater.sinks.writers import read_table, sink_table, table_exists
 
 ENTRY = "array<struct<key:string,value:string>>"
+LOG = (
+    "app_id string, key string, last_ms bigint, end_ms bigint, n_failed bigint, has_ended boolean, "
+    "failure struct<ms:bigint,job_id:bigint,message:string>, setting struct<ms:bigint,job_id:bigint,value:string>"
+)
+COMPACT_EVERY = 50
 
 
-def rollup_state(events: DataFrame) -> DataFrame:
-    """State rows per application: one with a NULL key for the run, one per property key.
+def partial_rows(events: DataFrame) -> DataFrame:
+    """One row per application with a NULL key for its run, and one per property key.
 
-    A single aggregate, so one pass over the stream keeps both. It combines map
-    side, and works the same on a batch and on a stream.
+    The last failure and the last value are kept with the time that orders them, so
+    rows of several batches can be merged.
     """
-    job_start = F.col("event") == S.JOB_START
-    is_sql = job_start & F.try_element_at("properties", F.lit(S.EXECUTION_ID_KEY)).isNotNull()
-    run_entry = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+    is_sql = (F.col("event") == S.JOB_START) & F.try_element_at("properties", F.lit(S.EXECUTION_ID_KEY)).isNotNull()
+    of_run = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
     properties = F.when(is_sql, F.map_entries("properties").cast(ENTRY)).otherwise(F.array().cast(ENTRY))
-    entries = F.concat(run_entry.cast(ENTRY), properties)
     rows = events.select(
-        "app_id", "event", "event_ms", "job_id", "result", "error_message", F.explode(entries).alias("entry")
-    )
-    of_run = F.col("entry.key").isNull()
-    ended = of_run & (F.col("event") == S.JOB_END)
+        "app_id", "event", "event_ms", "job_id", "result", "error_message",
+        F.explode(F.concat(of_run.cast(ENTRY), properties)).alias("entry"),
+    )
+    is_run = F.col("entry.key").isNull()
+    ended = is_run & (F.col("event") == S.JOB_END)
     failed = ended & (F.col("result") == S.JOB_FAILED)
-    when = F.struct("event_ms", "job_id")
+    order = [F.col("event_ms").alias("ms"), "job_id"]
     return rows.groupBy("app_id", F.col("entry.key").alias("key")).agg(
+        F.max("event_ms").alias("last_ms"),
         F.max(F.when(ended, F.col("event_ms"))).alias("end_ms"),
         F.count_if(failed).alias("n_failed"),
-        F.max_by("error_message", F.when(failed, when)).alias("status_reason"),
-        F.max_by("entry.value", F.when(~of_run, when)).alias("value"),
+        F.max(is_run & (F.col("event") == S.APP_END)).alias("has_ended"),
+        F.max(F.when(failed, F.struct(*order, F.col("error_message").alias("message")))).alias("failure"),
+        F.max(F.when(~is_run, F.struct(*order, F.col("entry.value").alias("value")))).alias("setting"),
     )
 
 
-def stream_rollup(events: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Fold an event stream into the state log below ``path``.
+def merge_rows(rows: DataFrame) -> DataFrame:
+    """Rows of several batches as one row per application and key."""
+    return rows.groupBy("app_id", "key").agg(
+        F.max("last_ms").alias("last_ms"),
+        F.max("end_ms").alias("end_ms"),
+        F.sum("n_failed").alias("n_failed"),
+        F.max("has_ended").alias("has_ended"),
+        F.max("failure").alias("failure"),
+        F.max("setting").alias("setting"),
+    )
 
-    Each trigger writes the changed rows to a folder of its own, named by its
-    batch number: a repeated trigger replaces its folder, so nothing counts twice.
-    """
 
-    def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/log/batch={number}")
+def write_batch(rows: DataFrame, path: str, number: int) -> None:
+    """Store the rows of a trigger; the same trigger again replaces them."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = (
-        rollup_state(events)
-        .writeStream.outputMode("update")
-        .foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-    )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
+def read_batches(spark: SparkSession, path: str, schema: str, upto: int | None = None, after: int = -1) -> DataFrame:
+    """The rows of the triggers after ``after``, up to ``upto``; other folders are not opened."""
+    batch = F.col("batch")
+    found = spark.read.schema(f"{schema}, batch bigint").parquet(path).where(batch > after)
+    return found if upto is None else found.where(batch <= upto)
 
-STATE = ["end_ms", "n_failed", "status_reason", "value"]
 
+def _snapshot(spark: SparkSession, path: str, upto: int | None) -> DataFrame | None:
+    if not table_exists(spark, f"{path}/snapshot"):
+        return None
+    found = read_table(spark, f"{path}/snapshot")
+    return found if upto is None or last_batch(found) <= upto else None
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    """The latest state row per application and key: the snapshot, overlaid by newer log rows."""
-    log = spark.read.parquet(f"{path}/log").select("app_id", "key", *STATE, F.col("batch").cast("bigint"))
-    if table_exists(spark, f"{path}/snapshot"):
-        snapshot = read_table(spark, f"{path}/snapshot")
-        upto = snapshot.agg(F.max("batch").alias("batch")).scalar()
-        log = log.where(F.col("batch") > upto).unionByName(snapshot)
-    latest = F.max_by(F.struct(*STATE), F.col("batch")).alias("state")
-    return log.groupBy("app_id", "key").agg(latest, F.max("batch").alias("batch")).select(
-        "app_id", "key", "state.*", "batch"
-    )
+
+def last_batch(snapshot: DataFrame) -> int:
+    found = snapshot.agg(F.max("batch").alias("batch")).first()
+    return -1 if found.batch is None else found.batch
 
 
-def compact_rollup(spark: SparkSession, path: str) -> int:
-    """Write the state as a snapshot; log folders up to its highest batch are then unused."""
-    return sink_table(read_rollup(spark, path), f"{path}/snapshot")
+def read_rollup(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """The state per application and key: the snapshot merged with the log after it."""
+    snapshot = _snapshot(spark, path, upto)
+    if snapshot is None:
+        return merge_rows(read_batches(spark, f"{path}/log", LOG, upto))
+    log = read_batches(spark, f"{path}/log", LOG, upto, after=last_batch(snapshot))
+    return merge_rows(log.unionByName(snapshot.where(F.col("app_id").isNotNull())))
+
+
+def compact_rollup(spark: SparkSession, path: str, upto: int | None = None) -> int:
+    """Write the state as a snapshot, then empty the log folders that it covers.
+
+    The snapshot holds the number of its last batch in a row of its own, so it is
+    known even if no application is left. A reader that started before keeps
+    reading the log it planned for, or fails and starts again.
+    """
+    log = read_batches(spark, f"{path}/log", LOG, upto)
+    last = log.agg(F.max("batch").alias("batch")).first().batch
+    if last is None:
+        return 0
+    state = read_rollup(spark, path, last).withColumn("batch", F.lit(None).cast("bigint"))
+    mark = spark.createDataFrame([(last,)], "batch bigint")
+    version = sink_table(state.unionByName(mark, allowMissingColumns=True), f"{path}/snapshot")
+    for row in log.select("batch").distinct().collect():  # one number for each trigger since the last snapshot
+        write_batch(spark.createDataFrame([], LOG), f"{path}/log", row.batch)
+    return version
+
+
+def stream_rollup(
+    events: DataFrame, path: str, checkpoint: str, available_now: bool = True, compact_every: int = COMPACT_EVERY
+) -> StreamingQuery:
+    """Fold an event stream into the log below ``path``."""
+
+    def store(batch: DataFrame, number: int) -> None:
+        write_batch(partial_rows(batch), f"{path}/log", number)
+        if number and number % compact_every == 0:
+            # one trigger behind, so that this one may be repeated
+            compact_rollup(batch.sparkSession, path, number - 1)
+
+    writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def apps_of(state: DataFrame) -> DataFrame:
     """Run columns per application, as the batch ``run_status`` gives them."""
-    failed = F.col("n_failed") > 0
     return state.where(F.col("key").isNull()).select(
         "app_id",
         F.coalesce("end_ms", F.lit(0)).alias("end_ms"),
         "n_failed",
-        "status_reason",
-        F.when(failed, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"),
+        F.col("failure.message").alias("status_reason"),
+        F.when(F.col("n_failed") > 0, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"),
     )
 
 
 def metadata_of(state: DataFrame) -> DataFrame:
     """Property values per application and key, as the batch ``merge_metadata`` gives them."""
-    return state.where(F.col("key").isNotNull()).select("app_id", "key", "value")
+    return state.where(F.col("key").isNotNull()).select("app_id", "key", F.col("setting.value").alias("value"))

@@ -58,14 +58,15 @@ def test_streamed_rollup_equals_the_batch(spark, rows, tmp_path):
 
 def test_flush_once_at_the_end(spark, rows, tmp_path):
     source, target = f"{tmp_path}/in", f"{tmp_path}/out"
-    counts = []
+    counts, left = [], []
     for batch in batches():
         feed(spark, source, batch)
-        flushed = flush.stream_flush(stream(spark, source), buckets=3)
-        flush.store_flushed(flushed, target, f"{tmp_path}/checkpoint").awaitTermination()
-        stored = spark.read.parquet(target)
+        flush.stream_flush(stream(spark, source), target, f"{tmp_path}/checkpoint", compact_every=1).awaitTermination()
+        stored = flush.read_flushed(spark, target)
         counts.append(flush.flushed_apps(stored).count())
+        left.append(rows(flush.open_apps(spark, target)))
     assert counts == [0, 1, 1]
+    assert left == [[("ended", DAY + 9), ("open", DAY + 1)], [("open", DAY + 1)], [("open", DAY + 41)]]
     # the first two batches, complete; nothing of the third
     until_end = spark.createDataFrame(sum(batches()[:2], []), S.LISTENER_EVENT).where(f"app_id = '{APP}'")
     columns = ["app_id", "end_ms", "n_failed", "status_reason", "status"]
@@ -75,12 +76,29 @@ def test_flush_once_at_the_end(spark, rows, tmp_path):
     assert rows(flush.flushed_metadata(stored), *columns) == rows(rollup.merge_metadata(until_end), *columns)
 
 
-def test_every_job_and_key_has_one_bucket_and_the_end_has_all(spark):
-    events = spark.createDataFrame(sum(batches(), []), S.LISTENER_EVENT)
-    bucketed = flush.bucketed_events(events, 4)
-    ends = bucketed.where(f"event = '{S.APP_END}'").groupBy("event_ms").count().collect()
-    assert [r["count"] for r in ends] == [4, 4]
-    per_key = bucketed.where("key is not null").groupBy("key").agg({"bucket": "min"}).join(
-        bucketed.where("key is not null").groupBy("key").agg({"bucket": "max"}), "key"
-    )
-    assert per_key.where("`min(bucket)` <> `max(bucket)`").count() == 0
+def test_old_and_quiet_applications_are_kept(spark, rows, tmp_path):
+    """One application lies 300 days behind, one is quiet for 120 days before a good job and its end."""
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    deliveries = [
+        [failed("quiet", 400 * DAY, 1, "lost"), good("new", 400 * DAY, 1), event("new", S.APP_END, 400 * DAY + 1)],
+        [good("tick", 520 * DAY, 1)],
+        [failed("old", 100 * DAY, 1, "late"), event("old", S.APP_END, 100 * DAY + 1)],
+        [good("quiet", 521 * DAY, 2), event("quiet", S.APP_END, 521 * DAY + 1)],
+    ]
+    for batch in deliveries:
+        feed(spark, source, batch)
+        flush.stream_flush(stream(spark, source), target, f"{tmp_path}/checkpoint", compact_every=2).awaitTermination()
+    found = rows(flush.flushed_apps(flush.read_flushed(spark, target)), "app_id", "status", "n_failed", "status_reason")
+    assert found == [("new", "SUCCESS", 0, None), ("old", "FAILED", 1, "late"), ("quiet", "FAILED", 1, "lost")]
+    assert rows(flush.open_apps(spark, target)) == [("tick", 520 * DAY)]
+
+
+def test_a_repeated_trigger_counts_once(spark, rows, tmp_path):
+    first, second, _ = (spark.createDataFrame(b, S.LISTENER_EVENT) for b in batches())
+    path = str(tmp_path)
+    for batch, number in ((first, 0), (first, 0), (second, 1), (second, 1)):
+        flush.flush_batch(batch, number, path)
+    found = flush.read_flushed(spark, path)
+    until_end = first.unionByName(second).where(f"app_id = '{APP}'")
+    columns = ["app_id", "end_ms", "n_failed", "status_reason", "status"]
+    assert rows(flush.flushed_apps(found), *columns) == rows(rollup.run_status(until_end), *columns)
