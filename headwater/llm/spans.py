@@ -4,15 +4,17 @@ A sentence ends at a line break or after a word that ends in ``.``, ``!`` or ``?
 that unpunctuated text has sentences too, and equal passages are cut alike wherever
 they stand, it also ends after each word whose hash says so (one in ten) and after
 12 words at the latest. At each sentence begins a span: the shortest run of at least
-three sentences and 25 words. Of all spans with equal words in all documents, the
-first stays, by ``doc_id`` (NULL last), a hash of the text, and place; the sentences
-that any other covers are removed, with the white space after them.
-
-A passage of 50 words or more holds a whole span unless chance cuts are missing at
-its beginning. Texts shorter than a span, NULL and empty ones stay as they are (NULL
-as empty). Rows with equal ``doc_id`` and text count as one document and are treated
-alike. Columns other than ``doc_id`` and ``text`` are ignored, or kept where rows are
-returned whole.
+three sentences and eight words. Of all spans with equal words in all documents, the first stays, by
+``doc_id`` (NULL last), a hash of the text, and place. The sentences that any others
+cover are removed, with the white space after them, if spans that overlap cover 25
+words at least; a shorter stretch, such as a common line, is left alone. A stretch that
+reaches the last span of a text takes what is left after it along.
+
+A passage of 50 words is cut into five sentences or more, so all of it goes but for a
+few words at its ends, where it doesn't begin or end with a sentence. Texts shorter
+than a span, NULL and empty ones stay as they are (NULL as empty). Rows with equal
+``doc_id`` and text count as one document and are treated alike. Columns other than
+``doc_id`` and ``text`` are ignored, or kept where rows are returned whole.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
@@ -31,7 +33,8 @@ from headwater.llm.frames import beside, map_arrow
 CHANCE = 10
 MOST_WORDS = 12
 SPAN_SENTENCES = 3
-SPAN_WORDS = 25
+SPAN_WORDS = 8
+STRETCH_WORDS = 25
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 _BASE = np.uint64(0xF1357AEA2E62A9C5)
@@ -82,6 +85,28 @@ def find_spans(sentences: Sentences, hashes: np.ndarray) -> tuple[np.ndarray, np
     return at, end, W.mix((total[b] - total[a]) * back[a] + (b - a).astype(np.uint64))
 
 
+def covered(sentences: Sentences, at: np.ndarray, end: np.ndarray, listed: np.ndarray) -> np.ndarray:
+    """Which sentences belong to long stretches of overlapping spans.
+
+    ``at`` and ``end`` are all spans; those that begin at the sentences ``listed``,
+    ascending, make the stretches.
+    """
+    out = np.zeros(len(sentences.begin) + 1, np.int64)
+    if len(listed):
+        which = np.searchsorted(at, listed)
+        ends = end[which]
+        text = np.searchsorted(sentences.first, listed, "right") - 1
+        last = np.searchsorted(at, sentences.first[text + 1]) - 1
+        ends = np.where(which == last, sentences.first[text + 1], ends)
+        apart = listed[1:] >= ends[:-1]
+        firsts = listed[np.concatenate([[True], apart])]
+        ends = ends[np.concatenate([apart, [True]])]
+        long = sentences.word[ends] - sentences.word[firsts] >= STRETCH_WORDS
+        np.add.at(out, firsts[long], 1)
+        np.subtract.at(out, ends[long], 1)
+    return np.cumsum(out)[:-1] > 0
+
+
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, Sentences, np.ndarray]]:
     data, offsets = W.column_bytes(batch.column("text"))
     for first, last in W.blocks(offsets):
@@ -105,13 +130,17 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts with what names them: NULL or not, id, and a short hash of the text."""
+    """Texts with what names them: NULL or not, id, and a short hash of the text that tells rows of one id apart."""
     text = F.coalesce("text", F.lit(""))
     return docs.select(
-        F.col("doc_id").isNull().alias("null"), "doc_id", F.hash(text).alias("text_hash"), text.alias("text")
+        F.col("doc_id").isNull().alias("null"), "doc_id", _short_hash(text).alias("text_hash"), text.alias("text")
     )
 
 
+def _short_hash(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(1 << 24)).cast("int")
+
+
 def spans(docs: DataFrame) -> DataFrame:
     """All spans: the document (``null, doc_id, text_hash``), the first ``sentence``, and the ``span``'s hash."""
     rows = _keyed(docs)
@@ -134,7 +163,7 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the sentences that the listed spans cover."""
+    """Remove the sentences that long stretches of the listed spans cover."""
     for batch in batches:
         cuts = batch.column("cuts")
         rest = [i for i, name in enumerate(batch.schema.names) if name not in ("text", "cuts")]
@@ -142,15 +171,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             listed = cuts.slice(first, last - first)
             values = np.asarray(listed.flatten(), np.int64)
             sizes = np.asarray(listed.value_lengths().fill_null(0), np.int64)
-            begins = np.repeat(sentences.first[:-1], sizes) + values
-            n = len(sentences.begin)
             at, end, _ = find_spans(sentences, hashes)
-            ends = np.zeros(n, np.int64)
-            ends[at] = end
-            cover = np.zeros(n + 1, np.int64)
-            np.add.at(cover, begins, 1)
-            np.subtract.at(cover, ends[begins], 1)
-            removed = np.cumsum(cover)[:n] > 0
+            removed = covered(sentences, at, end, np.repeat(sentences.first[:-1], sizes) + values)
             stops = np.append(sentences.begin[1:], len(data))
             last_of_text = sentences.first[1:][np.diff(sentences.first) > 0] - 1
             stops[last_of_text] = offsets[1:][np.diff(sentences.first) > 0]
@@ -179,7 +201,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """Each document's row in ``row``, its ``text`` without repeats, ``n_sentences`` and ``n_removed``."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(F.struct(*rest).alias("row"), text.alias("text"), F.hash(text).alias("text_hash"))
+    keyed = docs.select(F.struct(*rest).alias("row"), text.alias("text"), _short_hash(text).alias("text_hash"))
     lists = repeated(docs).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("cuts")
     )
