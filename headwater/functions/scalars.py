@@ -88,8 +88,14 @@ def lower_keys(options: Column) -> Column:
     return let(lowered, first_wins)
 
 
-def csv_items(text: Column) -> Column:
-    """Comma list to trimmed items; blank items are dropped."""
+def csv_items(text: Column, compat: bool = False) -> Column:
+    """Comma list to trimmed items; blank items are dropped.
+
+    ``compat`` keeps blank items, but for those that only commas follow.
+    """
+    if compat:
+        kept = F.transform(F.split(F.regexp_replace(text, ",+$", ""), ","), lambda item: F.trim(item))
+        return F.when(text.rlike("^,+$"), F.array().cast("array<string>")).otherwise(kept)
     items = F.transform(F.split(text, ","), lambda item: F.trim(item))
     return F.filter(items, lambda item: item != "")
 

@@ -16,14 +16,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from headwater.functions import names as N
 from headwater.functions.scalars import UNKNOWN, csv_items, let, lower_keys, opt
 from headwater.functions.sqltext import jdbc_tables, sql_tables
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
-from headwater.skew import lookup_join
 
 # Node, relation and provider names as they appear in plans.
 RELATION_NODE = "LogicalRelation"
@@ -68,8 +67,13 @@ def _options() -> Column:
     return F.col("options")
 
 
-def _s3_item(uri: Column) -> Column:
-    name = N.s3_name_sql(uri, F.col("s3a_endpoint"), F.col("s3n_endpoint"))
+def _s3_item(uri: Column, compat: bool) -> Column:
+    """The S3 name that all kinds of jobs share, or with ``compat`` the one of plans alone."""
+    endpoints = F.col("s3a_endpoint"), F.col("s3n_endpoint")
+    if not compat:
+        name = N.s3_name(uri, *endpoints)
+        return _item(name, F.when(uri.rlike(r"^s3[an]?://") & name.isNull(), F.lit("BAD_S3_PATH")))
+    name = N.s3_name_sql(uri, *endpoints)
     no_host = F.when(uri.rlike("^s3[an]://") & name.isNull(), F.lit("BAD_ENDPOINT"))
     return _item(name, F.coalesce(N.s3_sql_error(uri), no_host))
 
@@ -88,8 +92,8 @@ def _kafka_item(topic: Column) -> Column:
     return _item(name, F.when(name.isNull(), F.lit("MISSING_OPTION")))
 
 
-def _file_items() -> Column:
-    return F.transform("root_paths", _s3_item)
+def _file_items(compat: bool) -> Column:
+    return F.transform("root_paths", lambda path: _s3_item(path, compat))
 
 
 def _jdbc_items(compat: bool) -> Column:
@@ -103,10 +107,10 @@ def _jdbc_items(compat: bool) -> Column:
     return F.when(url.isNull() | source.isNull(), _error_item("MISSING_OPTION")).otherwise(items)
 
 
-def _kafka_items() -> Column:
+def _kafka_items(compat: bool) -> Column:
     topics = opt(_options(), "subscribe")
     return F.when(topics.isNull(), _error_item("MISSING_OPTION")).otherwise(
-        F.transform(csv_items(topics), _kafka_item)
+        F.transform(csv_items(topics, compat), _kafka_item)
     )
 
 
@@ -129,17 +133,17 @@ def default_rules(compat: bool = False) -> list[Rule]:
     """The built-in rules for relations.
 
     ``compat`` keeps the known gaps of the original rules: no plain JDBC tables,
-    queries cut at the first ``)``, no Snowflake ``dbtable``.
+    queries cut at the first ``)``, no Snowflake ``dbtable``, no ``s3`` paths.
     """
     is_relation = F.col("node_kind") == RELATION_NODE
     kind = F.coalesce("relation_kind", F.lit(""))
     catalog = F.coalesce("has_catalog_table", F.lit(False)) & ~kind.isin(FILE_RELATION, JDBC_RELATION)
     return [
-        Rule("file", is_relation & (kind == FILE_RELATION), _file_items(), 10),
+        Rule("file", is_relation & (kind == FILE_RELATION), _file_items(compat), 10),
         Rule("jdbc", is_relation & (kind == JDBC_RELATION), _jdbc_items(compat), 10),
         Rule("catalog", is_relation & catalog, _error_item("UNSUPPORTED_RELATION"), 10),
         Rule("snowflake", is_relation & (kind == SNOWFLAKE_RELATION), _snowflake_items(compat), 30),
-        Rule("kafka", is_relation & (kind == KAFKA_RELATION), _kafka_items(), 40),
+        Rule("kafka", is_relation & (kind == KAFKA_RELATION), _kafka_items(compat), 40),
     ]
 
 
@@ -183,14 +187,14 @@ def _input_items(rules: Sequence[Rule]) -> Column:
     return F.concat(*parts)
 
 
-def _output_items() -> Column:
+def _output_items(compat: bool = False) -> Column:
     provider = F.coalesce("provider", F.lit(""))
     path, url, table = (opt(_options(), key) for key in ("path", "url", "dbtable"))
-    delta = F.array(_s3_item(path))
+    delta = F.array(_s3_item(path, compat))
     kafka = F.array(_kafka_item(opt(_options(), "topic", UNKNOWN)))
     snowflake = F.array(_snowflake_item(N.snowflake_schema(_options()), opt(_options(), "dbtable", UNKNOWN)))
     jdbc = F.when(url.isNull() | table.isNull(), _error_item("MISSING_OPTION")).otherwise(
-        let(N.jdbc_database(url), lambda db: F.array(_jdbc_item(url, db, table, False)))
+        let(N.jdbc_database(url), lambda db: F.array(_jdbc_item(url, db, table, compat)))
     )
     found = (
         F.when(provider.contains(DELTA_PROVIDER) & path.isNotNull(), delta)
@@ -228,9 +232,9 @@ def _one_rule(nodes: DataFrame, rule_name: str, compat: bool = False) -> DataFra
     return _explode(nodes.where(rule.predicate), input=rule.items)
 
 
-def file_inputs(nodes: DataFrame) -> DataFrame:
-    """One name per s3a or s3n root path of a file relation; other paths give none."""
-    return _one_rule(nodes, "file")
+def file_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
+    """One name per S3 root path of a file relation; other paths give none."""
+    return _one_rule(nodes, "file", compat)
 
 
 def jdbc_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
@@ -238,9 +242,9 @@ def jdbc_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     return _one_rule(nodes, "jdbc", compat)
 
 
-def kafka_inputs(nodes: DataFrame) -> DataFrame:
+def kafka_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     """Subscribed topics of a Kafka relation."""
-    return _one_rule(nodes, "kafka")
+    return _one_rule(nodes, "kafka", compat)
 
 
 def snowflake_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
@@ -248,13 +252,14 @@ def snowflake_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     return _one_rule(nodes, "snowflake", compat)
 
 
-def _outputs_of(nodes: DataFrame, provider: Column) -> DataFrame:
-    return _explode(nodes.where(provider), output=_output_items())
+def _outputs_of(nodes: DataFrame, provider: Column, compat: bool = False) -> DataFrame:
+    return _explode(nodes.where(provider), output=_output_items(compat))
 
 
-def delta_outputs(nodes: DataFrame) -> DataFrame:
+def delta_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     """Targets of writes that name a Delta provider and a path."""
-    return _outputs_of(nodes, F.col("provider").contains(DELTA_PROVIDER) & opt(_options(), "path").isNotNull())
+    is_delta = F.col("provider").contains(DELTA_PROVIDER) & opt(_options(), "path").isNotNull()
+    return _outputs_of(nodes, is_delta, compat)
 
 
 def kafka_outputs(nodes: DataFrame) -> DataFrame:
@@ -267,11 +272,14 @@ def snowflake_outputs(nodes: DataFrame) -> DataFrame:
     return _outputs_of(nodes, F.col("provider") == SNOWFLAKE_PROVIDER)
 
 
-def jdbc_outputs(nodes: DataFrame) -> DataFrame:
-    """Targets of all other providers, and of Delta writes without a path."""
+def jdbc_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
+    """Targets of all other providers, and of Delta writes without a path.
+
+    ``compat`` writes the whole text as the table, and the schema as ``public``.
+    """
     delta = F.col("provider").contains(DELTA_PROVIDER) & opt(_options(), "path").isNotNull()
     others = F.col("provider").contains(KAFKA_PROVIDER) | (F.col("provider") == SNOWFLAKE_PROVIDER)
-    return _outputs_of(nodes, ~F.coalesce(delta | others, F.lit(False)))
+    return _outputs_of(nodes, ~F.coalesce(delta | others, F.lit(False)), compat)
 
 
 def _visible(nodes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -280,7 +288,7 @@ def _visible(nodes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     roots = classify_root(nodes, rules).select(*keys, F.col("rule").alias("root_rule"))
     below_write = (F.col("root_rule") == "write") & F.col("parent_id").isNotNull()
     root_relation = (F.col("root_rule") != "write") & F.col("parent_id").isNull()
-    return lookup_join(nodes, roots, keys, ["node_id"], how="inner").where(below_write | root_relation)
+    return nodes.join(roots, keys).where(below_write | root_relation)
 
 
 def write_inputs(
@@ -296,9 +304,9 @@ def write_inputs(
     return _explode(seen, input=_input_items(rules))
 
 
-def write_outputs(nodes: DataFrame) -> DataFrame:
+def write_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     """Output items of the write commands."""
-    return _explode(nodes, output=_output_items())
+    return _explode(nodes, output=_output_items(compat))
 
 
 def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bool = False) -> DataFrame:
@@ -311,7 +319,9 @@ def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bo
     if not compat:
         rules = rules or default_rules()
         inputs = F.when(F.col("node_kind") != WRITE_NODE, _input_items(rules)).otherwise(_no_items())
-        return _explode(nodes, input=inputs, output=_output_items())
+        # a node that no rule accepts costs the tests alone
+        named = nodes.where(_first_match(rules).isNotNull())
+        return _explode(named, input=inputs, output=_output_items())
     inputs = write_inputs(nodes, rules, root_only=True, compat=True)
     fatal = (
         inputs.where(F.col("error").isin(*FATAL))
@@ -319,9 +329,9 @@ def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bo
         .distinct()
         .withColumn("_lost", F.lit(True))
     )
-    kept = lookup_join(inputs, fatal, ["app_id", "dep_id"], ["node_id", "item"])
+    kept = inputs.join(fatal, ["app_id", "dep_id"], "left")
     kept = kept.where(F.col("_lost").isNull() | F.col("error").isNotNull()).drop("_lost")
-    return kept.unionByName(write_outputs(nodes))
+    return kept.unionByName(write_outputs(nodes, compat=True))
 
 
 def extract_errors(items: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from headwater.functions.names import uri_name
+from headwater.functions.names import hdfs_name, namespace, s3_name, uri_name, uri_path
 from headwater.functions.scalars import camel_to_snake
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
 from headwater.session import cut_lineage, work_path
-from headwater.skew import find_hot, lookup_join
+from headwater.skew import find_hot
 
 # RDD class names with a meaning of their own.
 OLD_API_SCAN = "HadoopRDD"
@@ -43,7 +43,6 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     steps = cut_lineage(edges.select(*NODE, "dep_rdd_id").distinct())
-    hot = find_hot(steps, NODE)
     base = work_path(spark, "ancestors")
     schema = roots.select(*NODE).schema
 
@@ -56,7 +55,7 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     while not frontier.isEmpty():
         seen = spark.read.schema(schema).parquet(base).select(*NODE)
         reached = (
-            lookup_join(steps, frontier, NODE, ["dep_rdd_id"], how="inner", hot=hot)
+            steps.join(frontier, NODE)
             .select("app_id", "job_id", F.col("dep_rdd_id").alias("rdd_id"))
             .distinct()
         )
@@ -66,8 +65,11 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _items(
-    paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys, hot: Sequence[Row]
+    paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys, hot: Sequence[Row], compat: bool
 ) -> DataFrame:
+    uri, endpoints = F.col("path"), (F.col("s3a_endpoint"), F.col("s3n_endpoint"))
+    # one S3 name for both kinds of jobs, unless the RDD flavour is asked for
+    joint = F.coalesce(s3_name(uri, *endpoints), hdfs_name(namespace(uri), uri_path(uri)))
     located = with_endpoints(paths, conf, ["job_id", "rdd_id", "item"], keys, hot)
     return (
         located.select(
@@ -76,20 +78,22 @@ def _items(
             F.lit(direction).alias("direction"),
             F.col("rdd_id").alias("node_id"),
             F.col("item").cast("bigint").alias("item"),
-            uri_name(F.col("path"), F.col("s3a_endpoint"), F.col("s3n_endpoint")).alias("name"),
+            (uri_name(uri, *endpoints) if compat else joint).alias("name"),
             F.lit(None).cast("string").alias("error"),
         )
         .where(F.col("name").isNotNull())
     )
 
 
-def rdd_inputs(closure: DataFrame, rdd_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -> DataFrame:
+def rdd_inputs(
+    closure: DataFrame, rdd_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, compat: bool = False
+) -> DataFrame:
     """Names of the paths that the file scans in the closure read."""
     scans = rdd_nodes.where(F.col("input_paths").isNotNull()).join(closure, NODE)
-    return _items(explode_input_paths(scans), "input", conf, keys, find_hot(rdd_nodes, ["app_id"]))
+    return _items(explode_input_paths(scans), "input", conf, keys, find_hot(rdd_nodes, ["app_id"]), compat)
 
 
-def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -> DataFrame:
+def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
     """Name of the path that a result stage writes: old-API key first, then the new one."""
     written = rdd_output.where(F.col("final_stage_kind") == RESULT_STAGE).select(
         "app_id",
@@ -98,12 +102,11 @@ def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS) -
         F.lit(0).alias("item"),
         F.coalesce("old_api_path", "new_api_path").alias("path"),
     )
-    return _items(
-        written.where(F.col("path").isNotNull()), "output", conf, keys, find_hot(rdd_output, ["app_id"])
-    )
+    named = written.where(F.col("path").isNotNull())
+    return _items(named, "output", conf, keys, find_hot(rdd_output, ["app_id"]), compat)
 
 
-def own_names(rdd_nodes: DataFrame, edges: DataFrame, hot: Sequence[Row] | None = None) -> DataFrame:
+def own_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """The name an RDD has by itself.
 
     The class name stands in for a missing name, for a name that is part of an
@@ -113,7 +116,7 @@ def own_names(rdd_nodes: DataFrame, edges: DataFrame, hot: Sequence[Row] | None
         "app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"), F.col("rdd_name").alias("parent_name")
     )
     first_deps = edges.where(F.col("dep_pos") == 0).select(*NODE, "dep_rdd_id")
-    named = lookup_join(rdd_nodes.join(first_deps, NODE, "left"), parents, DEPENDENCY, ["rdd_id"], hot=hot)
+    named = rdd_nodes.join(first_deps, NODE, "left").join(parents, DEPENDENCY, "left")
     name = F.col("rdd_name")
     from_path = (F.col("rdd_class") == OLD_API_SCAN) & F.exists("input_paths", lambda p: p.contains(name))
     from_parent = (F.col("rdd_class") == MAPPED) & (name == F.col("parent_name"))
@@ -127,12 +130,14 @@ def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Name of each RDD from its own name and those of its dependencies, in order.
 
     Resolved level by level from the leaves. A dependency text that already
-    starts with the own name stands alone.
+    starts with the own name stands alone. A dependency on an RDD that is not in
+    the graph counts as none, so no RDD loses its name. A name repeats the text of
+    each dependency, so it may double in length with each level of diamonds.
     """
     spark = rdd_nodes.sparkSession
-    pending = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos"))
-    hot = find_hot(pending, DEPENDENCY)  # dependencies that a large share of all RDDs have
-    own = cut_lineage(own_names(rdd_nodes, edges, hot))
+    present = rdd_nodes.select("app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"))
+    pending = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos").join(present, DEPENDENCY, "left_semi"))
+    own = cut_lineage(own_names(rdd_nodes, edges))
     base = work_path(spark, "lineage-names")
     leaves = own.join(pending.select(*NODE).distinct(), NODE, "left_anti")
     leaves.select(*NODE, F.col("own_name").alias("name")).write.parquet(f"{base}/round=0")
@@ -144,7 +149,7 @@ def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
             "app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"), F.col("name").alias("dep_name")
         )
         ready = (
-            lookup_join(pending, dep_names, DEPENDENCY, ["rdd_id"], hot=hot)
+            pending.join(dep_names, DEPENDENCY, "left")
             .groupBy(*NODE)
             .agg(
                 F.count_if(F.col("dep_name").isNull()).alias("missing"),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from headwater import schemas as S
 from headwater.operators.routing import classify_jobs
-from headwater.session import cut_lineage
 from headwater.skew import find_hot, lookup_join, number_rows
 
 DEP = ["app_id", "dep_id"]
@@ -29,18 +28,21 @@ def merge_deps(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return number_rows(items, [*keys, "direction"], order)
 
 
-def dep_fingerprints(items: DataFrame) -> DataFrame:
-    """One row per edge set: lengths and 128 bits over its numbered inputs and outputs.
+def dep_fingerprints(items: DataFrame, has_hot: bool | None = None) -> DataFrame:
+    """One row per edge set: lengths and three sums over its numbered inputs and outputs.
 
-    The bits are an XOR of hashes of (direction, position, name), so tasks
-    combine them before the shuffle and no list is ever collected.
+    The sums are of hashes of (direction, position, name), of two kinds of hashes, so
+    tasks combine them before the shuffle and no list is ever collected. Inputs are
+    numbered before outputs, so that one partitioning by edge set serves all.
     """
-    numbered = merge_deps(items.where(F.col("name").isNotNull()), DEP, ["node_id", "item", "name"])
+    named = items.where(F.col("name").isNotNull())
+    numbered = number_rows(named, DEP, ["direction", "node_id", "item", "name"], has_hot=has_hot)
     return numbered.groupBy(*DEP).agg(
         F.count_if(F.col("direction") == "input").alias("n_inputs"),
         F.count_if(F.col("direction") == "output").alias("n_outputs"),
         F.bit_xor(F.xxhash64("direction", "pos", "name")).alias("bits_a"),
         F.bit_xor(F.xxhash64("name", "direction", "pos", F.lit("b"))).alias("bits_b"),
+        F.sum(F.hash("direction", "pos", "name").cast("bigint")).alias("sum_c"),
     )
 
 
@@ -48,19 +50,15 @@ def distinct_deps(items: DataFrame) -> DataFrame:
     """Items of one edge set (the one with the lowest id) of each group of equal ones.
 
     Equal means the same input list and the same output list in one application.
-    The fingerprints, one short row per edge set, are stored in the shared folder;
-    they also tell which edge sets are large.
+    ``items`` should be stored, since it is read twice; its large edge sets are
+    counted once.
     """
-    prints = cut_lineage(dep_fingerprints(items).withColumn("size", F.col("n_inputs") + F.col("n_outputs")))
-    kept = prints.groupBy("app_id", "n_inputs", "n_outputs", "bits_a", "bits_b").agg(F.min("dep_id").alias("dep_id"))
-    return lookup_join(
-        items.where(F.col("name").isNotNull()),
-        kept.select(*DEP),
-        DEP,
-        ["node_id", "item"],
-        how="inner",
-        hot=find_hot(prints, DEP, weight="size"),
-    )
+    hot = find_hot(items, DEP)
+    prints = dep_fingerprints(items, bool(hot))
+    equal = ["app_id", "n_inputs", "n_outputs", "bits_a", "bits_b", "sum_c"]
+    kept = prints.groupBy(*equal).agg(F.min("dep_id").alias("dep_id")).select(*DEP)
+    named = items.where(F.col("name").isNotNull())
+    return lookup_join(named, kept, DEP, ["node_id", "item"], how="inner", hot=hot)
 
 
 def app_lineage(items: DataFrame, distinct: bool = False) -> DataFrame:

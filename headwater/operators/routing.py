@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from headwater import schemas as S
-from headwater.skew import lookup_join
 
 
 def classify_jobs(events: DataFrame) -> DataFrame:
@@ -34,9 +33,9 @@ def sql_triggers(events: DataFrame) -> DataFrame:
 
 
 def with_plans(triggers: DataFrame, plan_nodes: DataFrame) -> DataFrame:
-    """Plan nodes of triggered executions; a plan of any size is spread over tasks."""
+    """Plan nodes of triggered executions; Spark splits a very large plan's share of the join."""
     keys = ["app_id", "execution_id"]
-    return lookup_join(plan_nodes, triggers.select(*keys), keys, ["node_id"], how="inner")
+    return plan_nodes.join(triggers.select(*keys), keys)
 
 
 def skipped(triggers: DataFrame, plan_nodes: DataFrame) -> DataFrame:
@@ -49,7 +48,7 @@ def with_rdd_job(events: DataFrame, rdd_nodes: DataFrame) -> DataFrame:
     """RDD nodes of started RDD jobs; jobs without a graph have no lineage."""
     keys = ["app_id", "job_id"]
     jobs = classify_jobs(events).where(F.col("job_kind") == "rdd").select(*keys).distinct()
-    return lookup_join(rdd_nodes, jobs, keys, ["rdd_id"], how="inner")
+    return rdd_nodes.join(jobs, keys)
 
 
 def resolved_only(items: DataFrame) -> DataFrame:

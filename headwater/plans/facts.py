@@ -24,13 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a few unsplittable files, dealt out to all cores before costly work.
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows of a test table dealt out to all cores before costly work.
 
-    A table with at least as many splits as cores stays as it is.
+    Each test table is one file that a scan cannot split.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
 def conf_map(customers: DataFrame) -> DataFrame:
@@ -145,7 +144,7 @@ def _plan(rows: DataFrame, **columns: str) -> DataFrame:
 def plan_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The root of the plan of each order: writes of four kinds, or a plain query."""
     return _plan(
-        spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")),
+        dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")),
         app_id="concat('app-', o_orderkey div 10)",
         execution_id="o_orderkey",
         node_id="0",
@@ -186,7 +185,7 @@ def plan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("kind")
     )
     return _plan(
-        spread(lines),
+        dealt(lines),
         app_id="concat('app-', l_orderkey div 10)",
         execution_id="l_orderkey",
         node_id="8 * l_partkey + l_linenumber",
@@ -351,8 +350,6 @@ def order_items(spark: SparkSession, sf_dir: str, coarse: bool) -> DataFrame:
     Each line reads a part and writes to a supplier; ``coarse`` names groups of
     them, so that many orders have equal lists.
     """
-    from headwater.skew import lookup_join
-
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("dep_id"), F.concat(F.lit("app-"), "o_custkey").alias("app_id")
     )
@@ -363,7 +360,7 @@ def order_items(spark: SparkSession, sf_dir: str, coarse: bool) -> DataFrame:
         F.expr("8 * l_partkey + l_linenumber").alias("node_id"),
         F.expr(f"array(struct('input' as direction, {part} as name), struct('output' as direction, {supplier} as name))").alias("io"),
     )
-    owned = lookup_join(lines, orders, ["dep_id"], ["node_id"], how="inner")
+    owned = lines.join(orders, "dep_id")
     return owned.select("app_id", "dep_id", "node_id", F.lit(0).cast("bigint").alias("item"), F.explode("io").alias("io")).select(
         "app_id", "dep_id", "io.direction", "node_id", "item", "io.name"
     )

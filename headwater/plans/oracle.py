@@ -82,8 +82,8 @@ def _hdfs(uri: str) -> str:
     )
 
 
-def _uri(uri: str, a: str, n: str) -> str:
-    return f"coalesce({_s3_rdd(uri, a, n)}, {_hdfs(uri)})"
+def _uri(uri: str, a: str, n: str, compat: bool = False) -> str:
+    return f"coalesce({(_s3_rdd if compat else _s3_joint)(uri, a, n)}, {_hdfs(uri)})"
 
 
 def _mysql(host: str, db: str, tab: str) -> str:
@@ -183,7 +183,7 @@ def _child_items(compat: bool = False) -> str:
         (2, "'s3n://old-' || (s % 3)"),
     ]
     files = [
-        f"select {ids}, {at} as item, {_s3_sql(path, 's3a', 's3n')} as name, 'file' as rule "
+        f"select {ids}, {at} as item, {(_s3_sql if compat else _s3_joint)(path, 's3a', 's3n')} as name, 'file' as rule "
         f"from lines l left join apps using (app_id) where kind = 'AF'"
         for at, path in file_paths
     ]
@@ -237,27 +237,30 @@ def _child_items(compat: bool = False) -> str:
     ) + ")"
 
 
-def _root_items() -> str:
+def _root_items(compat: bool = False) -> str:
     """Items of the roots: inputs of plain relations, outputs of writes."""
+    s3 = _s3_sql if compat else _s3_joint
     ids = "j.app_id, job_id as dep_id, 0 as node_id"
     low = [
         (0, "'s3a://low-' || (custkey % 3) || '/x'"),
         (1, "'s3n://low/y'"),
     ]
     low_inputs = [
-        f"select {ids}, {at}, {_s3_sql(path, 's3a', 's3n')}, 'file', "
-        f"case when {_s3_sql(path, 's3a', 's3n')} is null then 'BAD_ENDPOINT' end, 'input' "
+        f"select {ids}, {at}, {s3(path, 's3a', 's3n')}, 'file', "
+        f"case when {s3(path, 's3a', 's3n')} is null then 'BAD_ENDPOINT' end, 'input' "
         f"from jobs j left join apps using (app_id) where not is_sql and status = 'F'"
         for at, path in low
     ]
     low_kafka = _kafka("'broker-low:9092'", "'low'")
     low_inputs.append(f"select {ids}, 0, {low_kafka}, 'kafka', null, 'input' from jobs j where not is_sql and status = 'P'")
     lake = "'s3a://lake-' || (custkey % 3) || '/orders/' || (job_id % 4)"
-    lake_name = _s3_sql(lake, "s3a", "s3n")
+    lake_name = s3(lake, "s3a", "s3n")
+    slashes = s3("'s3a://lake//bad'", "s3a", "s3n")
     delta = [
         f"select {ids}, 0, {lake_name}, 'delta', case when {lake_name} is null then 'BAD_ENDPOINT' end, 'output' "
         "from jobs j left join apps using (app_id) where priority = '1-URGENT' and status = 'O' and custkey % 2 = 0",
-        f"select {ids}, 0, null, 'delta', 'BAD_S3_PATH', 'output' from jobs j where priority = '1-URGENT' and status = 'F'",
+        f"select {ids}, 0, {slashes}, 'delta', {repr('BAD_S3_PATH') if compat else 'null'}, 'output' "
+        "from jobs j left join apps using (app_id) where priority = '1-URGENT' and status = 'F'",
         f"select {ids}, 0, null, 'jdbc', 'MISSING_OPTION', 'output' from jobs j where priority = '1-URGENT' and status = 'P'",
     ]
     topic = "case when status = 'P' then 'UNKNOWN' else 'orders_' || status end"
@@ -267,8 +270,9 @@ def _root_items() -> str:
         "case when status = 'P' then 'UNKNOWN' else 'ORDERS_' || (custkey % 4) end",
     )
     tab = "case when status = 'F' then 'audit.orders' else 'orders_' || status end"
-    pg_schema = "case when status = 'F' then 'audit' else 'public' end"
-    pg_tab = "case when status = 'F' then 'orders' else 'orders_' || status end"
+    # a text with a dot names schema and table, but not for the original rules
+    pg_schema = "'public'" if compat else "case when status = 'F' then 'audit' else 'public' end"
+    pg_tab = tab if compat else "case when status = 'F' then 'orders' else 'orders_' || status end"
     jdbc_name = (
         f"case custkey % 4 when 0 then {_mysql(chr(39) + 'my-' + chr(39) + ' || (custkey % 3)', chr(39) + 'shop' + chr(39), tab)} "
         f"when 1 then {_postgres(chr(39) + 'pg-' + chr(39) + ' || (custkey % 3)', chr(39) + 'shop' + chr(39), pg_schema, pg_tab)} end"
@@ -301,7 +305,7 @@ def _with(*parts: str) -> str:
 
 
 PLAN = _with(APPS, JOBS, LINES, _child_items(), _root_items(), _all_items())
-PLAN_COMPAT = _with(APPS, JOBS, LINES, _child_items(compat=True), _root_items(), _all_items())
+PLAN_COMPAT = _with(APPS, JOBS, LINES, _child_items(compat=True), _root_items(compat=True), _all_items())
 
 DEPTH = """
 steps as (
@@ -542,19 +546,23 @@ select {ITEM_COLUMNS} from (
   union all by name select * from roots where rule = '{rule}' and direction = 'input')"""
 
 
-def _rule_outputs(rule: str) -> str:
-    return PLAN + f"select {ITEM_COLUMNS} from roots where rule = '{rule}' and direction = 'output'"
+def _rule_outputs(rule: str, plan: str = PLAN) -> str:
+    return plan + f"select {ITEM_COLUMNS} from roots where rule = '{rule}' and direction = 'output'"
 
 
 ORACLE["file_inputs"] = _rule_inputs("file")
 ORACLE["jdbc_inputs"] = _rule_inputs("jdbc")
 ORACLE["jdbc_inputs_compat"] = _rule_inputs("jdbc", PLAN_COMPAT)
+ORACLE["file_inputs_compat"] = _rule_inputs("file", PLAN_COMPAT)
 ORACLE["kafka_inputs"] = _rule_inputs("kafka")
+ORACLE["kafka_inputs_compat"] = _rule_inputs("kafka", PLAN_COMPAT)
 ORACLE["snowflake_inputs"] = _rule_inputs("snowflake")
 ORACLE["delta_outputs"] = _rule_outputs("delta")
 ORACLE["kafka_outputs"] = _rule_outputs("kafka")
 ORACLE["snowflake_outputs"] = _rule_outputs("snowflake")
 ORACLE["jdbc_outputs"] = _rule_outputs("jdbc")
+ORACLE["jdbc_outputs_compat"] = _rule_outputs("jdbc", PLAN_COMPAT)
+ORACLE["delta_outputs_compat"] = _rule_outputs("delta", PLAN_COMPAT)
 ORACLE["unsupported_relations"] = PLAN + """
 select app_id, dep_id, 'input' as direction, node_id, item, error as extract_error from children where rule = 'catalog'"""
 
@@ -605,7 +613,7 @@ ORACLE["namespaces"] = PAGE_URIS + f"""
 select page_id, coalesce({_null("regexp_extract(uri, '^[a-z0-9]+://[^/?#]+')")}, {_null("regexp_extract(uri, '^([a-z0-9]+):', 1)")}) as namespace from u"""
 ORACLE["hdfs_names"] = PAGE_URIS + f"select page_id, {_hdfs('uri')} as name from u"
 PAGE_ENDPOINT = "case when page_id % 4 = 1 then 'http://minio:9000' end"
-ORACLE["uri_names"] = PAGE_URIS + f"select page_id, {_uri('uri', PAGE_ENDPOINT, 'null')} as name from u"
+ORACLE["uri_names"] = PAGE_URIS + f"select page_id, {_uri('uri', PAGE_ENDPOINT, 'null', compat=True)} as name from u"
 ORACLE["url_checks"] = PAGE_URIS + "select page_id, uri like 'http%' as ok from u"
 
 ORACLE["jdbc_names"] = f"""
@@ -679,14 +687,15 @@ ORACLE["rdd_ancestors"] = RECURSIVE + DEPTH + (
 ORACLE["rdd_input_paths"] = RECURSIVE + DEPTH + "," + SCANS + (
     "select app_id, job_id, num as rdd_id, item, path from paths"
 )
-ORACLE["rdd_inputs"] = RECURSIVE + ",".join([DEPTH, SCANS, APPS]) + f"""
+for _name, _compat in (("", False), ("_compat", True)):
+    ORACLE[f"rdd_inputs{_name}"] = RECURSIVE + ",".join([DEPTH, SCANS, APPS]) + f"""
 select app_id, job_id as dep_id, num as node_id, item, name from (
-  select p.*, {_uri('path', 's3a', 's3n')} as name
+  select p.*, {_uri('path', 's3a', 's3n', _compat)} as name
   from paths p semi join closure using (job_id, num) left join apps using (app_id))
 where name is not null"""
-ORACLE["rdd_outputs"] = _with(JOBS, APPS, OUTS) + f"""
+    ORACLE[f"rdd_outputs{_name}"] = _with(JOBS, APPS, OUTS) + f"""
 select app_id, job_id as dep_id, name from (
-  select o.*, {_uri('path', 's3a', 's3n')} as name from outs o left join apps using (app_id))
+  select o.*, {_uri('path', 's3a', 's3n', _compat)} as name from outs o left join apps using (app_id))
 where name is not null"""
 
 _LEVELS = 4  # seven steps, two back at a time
@@ -716,24 +725,66 @@ ORACLE["rdd_names"] = RECURSIVE + DEPTH + "," + ",".join(_level_sql) + (
     f"select 'app-' || (job_id // 10) as app_id, job_id, num as rdd_id, name from name{_LEVELS - 1}"
 )
 
+# the same without step 2: an edge to it counts as none
+_present_sql = [
+    """
+own as (
+  select s.job_id, s.num, nullif(s.two, 2) as d1, nullif(s.three, 2) as d2,
+    case when s.two is null then 'hadoop'
+      when s.num % 3 = 0 and not (s.num % 2 = 0 and parent.two is not null and parent.num % 3 = 0) then 'step'
+      when s.num % 2 = 0 then 'map_partitions' else 'shuffled' end as own_name
+  from steps s left join steps parent on parent.job_id = s.job_id and parent.num = s.two and parent.num <> 2
+  where s.num <> 2),
+name0 as (select job_id, num, own_name as name from own where d1 is null and d2 is null)"""
+]
+for _n in range(1, _LEVELS):
+    _present_sql.append(
+        f"""
+name{_n} as (
+  select * from name{_n - 1} union all
+  select job_id, num, case when starts_with(deps, own_name) then deps else own_name || '_' || deps end from (
+    select o.job_id, o.num, own_name, concat_ws('_', a.name, b.name) as deps
+    from own o left join name{_n - 1} a on a.job_id = o.job_id and a.num = o.d1
+      left join name{_n - 1} b on b.job_id = o.job_id and b.num = o.d2
+    where (o.d1 is null or a.name is not null) and (o.d2 is null or b.name is not null)
+      and not exists (select 1 from name{_n - 1} d where d.job_id = o.job_id and d.num = o.num)))"""
+    )
+ORACLE["rdd_names_dangling"] = RECURSIVE + DEPTH + "," + ",".join(_present_sql) + (
+    f"select 'app-' || (job_id // 10) as app_id, job_id, num as rdd_id, name from name{_LEVELS - 1}"
+)
+
 # --- Documents ----------------------------------------------------------------
 
-LINEAGE = (
-    RECURSIVE
-    + ",".join([APPS, JOBS, TRIGGERS, LINES, ROLLUP, METADATA, DEPTH, SCANS, OUTS])
-    + ",\n"
-    + ",\n".join([_child_items(), _root_items(), _all_items()])
-    + f""",
+
+def _lineage(compat: bool) -> str:
+    items = "items"
+    seen = ""
+    if compat:
+        items = "kept"
+        seen = """
+seen as (
+  select * from items where direction = 'output' or node_id = 0 or dep_id in (select job_id from jobs where is_sql)),
+lost as (
+  select distinct dep_id from seen
+  where direction = 'input' and error in ('UNSUPPORTED_RELATION', 'MISSING_OPTION', 'BAD_S3_PATH')),
+kept as (select * from seen where direction = 'output' or error is not null or dep_id not in (select dep_id from lost)),"""
+    uri = _uri("path", "s3a", "s3n", compat)
+    return (
+        RECURSIVE
+        + ",".join([APPS, JOBS, TRIGGERS, LINES, ROLLUP, METADATA, DEPTH, SCANS, OUTS])
+        + ",\n"
+        + ",\n".join([_child_items(compat), _root_items(compat), _all_items()])
+        + f""",{seen}
 rdd_items as (
-  select app_id, 2 * job_id + 1 as dep_id, 'input' as direction, num as node_id, item, {_uri('path', 's3a', 's3n')} as name
+  select app_id, 2 * job_id + 1 as dep_id, 'input' as direction, num as node_id, item, {uri} as name
   from paths p semi join closure using (job_id, num) semi join (select job_id from jobs where not is_sql) using (job_id)
     left join apps using (app_id)
   union all
-  select app_id, 2 * job_id + 1, 'output', 0, 0, {_uri('path', 's3a', 's3n')}
+  select app_id, 2 * job_id + 1, 'output', 0, 0, {uri}
   from outs semi join (select job_id from jobs where not is_sql) using (job_id) left join apps using (app_id)),
 every as (
   select app_id, 2 * dep_id as dep_id, direction, node_id, item, name
-  from items semi join (select execution_id as dep_id from triggers) using (dep_id)
+  from {items} semi join (select execution_id as dep_id from triggers) using (dep_id)
   union all select * from rdd_items),
 deps as (
   select app_id, dep_id, list(name order by node_id, item, name) filter (direction = 'input') as ins,
@@ -747,6 +798,12 @@ datasets as (
   select app_id, 'output', name, count(*)
   from (select app_id, unnest(outs) as name from distinct_deps) group by app_id, name)
 """
+    )
+
+
+LINEAGE = _lineage(False)
+ORACLE["lineage_edges_compat"] = _lineage(True) + (
+    "select app_id, job_name, direction, name as dataset, n from datasets join named using (app_id)"
 )
 
 ORACLE["lineage_edges"] = LINEAGE + (

@@ -61,13 +61,13 @@ def sql_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> Data
     return extract.plan_items(extract.prepare_nodes(nodes, facts.conf_kv(), keys, hot), compat=compat)
 
 
-def rdd_items(facts: Facts, keys: ConfKeys = KEYS) -> DataFrame:
+def rdd_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
     """Lineage items of the RDD jobs."""
     conf, job = facts.conf_kv(), ["app_id", "job_id"]
     jobs = routing.classify_jobs(facts.events).where(F.col("job_kind") == "rdd").select(*job).distinct()
     closure = rddgraph.ancestors(facts.rdd_edges, facts.rdd_roots.join(jobs, job, "left_semi"))
-    inputs = rddgraph.rdd_inputs(closure, facts.rdd_nodes, conf, keys)
-    outputs = rddgraph.rdd_outputs(facts.rdd_output.join(jobs, job, "left_semi"), conf, keys)
+    inputs = rddgraph.rdd_inputs(closure, facts.rdd_nodes, conf, keys, compat)
+    outputs = rddgraph.rdd_outputs(facts.rdd_output.join(jobs, job, "left_semi"), conf, keys, compat)
     return inputs.unionByName(outputs)
 
 
@@ -79,7 +79,7 @@ def build_lineage(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) ->
     results read them.
     """
     sql = sql_items(facts, keys, compat).withColumn("dep_id", F.col("dep_id") * 2)
-    rdd = rdd_items(facts, keys).withColumn("dep_id", F.col("dep_id") * 2 + 1)
+    rdd = rdd_items(facts, keys, compat).withColumn("dep_id", F.col("dep_id") * 2 + 1)
     every = cut_lineage(sql.unionByName(rdd))
     items = cut_lineage(rollup.distinct_deps(routing.resolved_only(every)))
     routes = C.route_apps(facts.events, facts.conf_kv(), keys)

@@ -231,11 +231,21 @@ def jdbc_inputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.jdbc_inputs(facts.plan_nodes(spark, sf_dir).transform(_bare), compat=True)
 
 
+@query
+def file_inputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.file_inputs(_nodes(spark, sf_dir), compat=True)
+
+
 @query
 def kafka_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.kafka_inputs(facts.plan_nodes(spark, sf_dir).transform(_bare))
 
 
+@query
+def kafka_inputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.kafka_inputs(facts.plan_nodes(spark, sf_dir).transform(_bare), compat=True)
+
+
 @query
 def snowflake_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.snowflake_inputs(facts.plan_nodes(spark, sf_dir).transform(_bare))
@@ -261,6 +271,16 @@ def jdbc_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.jdbc_outputs(facts.plan_roots(spark, sf_dir).transform(_bare))
 
 
+@query
+def jdbc_outputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.jdbc_outputs(facts.plan_roots(spark, sf_dir).transform(_bare), compat=True)
+
+
+@query
+def delta_outputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.delta_outputs(_nodes(spark, sf_dir), compat=True)
+
+
 @query
 def extract_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_errors(extract.plan_items(_nodes(spark, sf_dir)))
@@ -460,12 +480,33 @@ def rdd_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.select("app_id", "dep_id", "node_id", "item", "name")
 
 
+@query
+def rdd_inputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input names as RDD jobs alone give them."""
+    nodes, conf = facts.rdd_nodes(spark, sf_dir), facts.conf(spark, sf_dir)
+    items = rddgraph.rdd_inputs(_closure(spark, sf_dir), nodes, conf, compat=True)
+    return items.select("app_id", "dep_id", "node_id", "item", "name")
+
+
 @query
 def rdd_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     outputs = rddgraph.rdd_outputs(facts.rdd_output(spark, sf_dir), facts.conf(spark, sf_dir))
     return outputs.select("app_id", "dep_id", "name")
 
 
+@query
+def rdd_outputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outputs = rddgraph.rdd_outputs(facts.rdd_output(spark, sf_dir), facts.conf(spark, sf_dir), compat=True)
+    return outputs.select("app_id", "dep_id", "name")
+
+
+@query
+def rdd_names_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names where the graph lacks the second step of each job: edges to it count as none."""
+    nodes = facts.rdd_nodes(spark, sf_dir).where("rdd_id <> 2")
+    return rddgraph.lineage_names(nodes, facts.rdd_edges(spark, sf_dir).where("rdd_id <> 2"))
+
+
 @query
 def rdd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rddgraph.lineage_names(facts.rdd_nodes(spark, sf_dir), facts.rdd_edges(spark, sf_dir))
@@ -474,7 +515,7 @@ def rdd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Documents ----------------------------------------------------------------
 
 
-def _lineage(spark: SparkSession, sf_dir: str) -> pipelines.Lineage:
+def _lineage(spark: SparkSession, sf_dir: str, compat: bool = False) -> pipelines.Lineage:
     return pipelines.build_lineage(
         pipelines.Facts(
             facts.events(spark, sf_dir),
@@ -483,7 +524,8 @@ def _lineage(spark: SparkSession, sf_dir: str) -> pipelines.Lineage:
             facts.rdd_edges(spark, sf_dir),
             facts.rdd_roots(spark, sf_dir),
             facts.rdd_output(spark, sf_dir),
-        )
+        ),
+        compat=compat,
     )
 
 
@@ -501,6 +543,11 @@ def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineage(spark, sf_dir).edges()
 
 
+@query
+def lineage_edges_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lineage(spark, sf_dir, compat=True).edges()
+
+
 @query
 def job_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineage(spark, sf_dir).jobs().select(

@@ -58,15 +58,16 @@ def lookup_join(
 ) -> DataFrame:
     """Join many ``facts`` rows to few ``dim`` rows per key.
 
-    The rows of a hot key of ``facts`` are split into pieces by the ``spread``
-    columns, and only the ``dim`` rows of hot keys are repeated, once per piece.
-    Rows with a NULL key match nothing and are spread as well. All other keys
-    join as usual. Give ``hot`` (from :func:`find_hot`) when the same facts are
-    joined repeatedly.
+    Give ``hot`` (from :func:`find_hot`, counted once for a stored fact table) where
+    one key may hold a large share of the rows: its rows are split into pieces by
+    the ``spread`` columns, and only the ``dim`` rows of hot keys are repeated, once
+    per piece. Rows with a NULL key match nothing and are spread as well. All other
+    keys join as usual. With ``share`` the hot keys are counted here. With neither
+    it is a plain join, whose large partitions Spark splits at run time.
     """
     keys = list(keys)
     spark = facts.sparkSession
-    if hot is None:
+    if hot is None and share is not None:
         hot = find_hot(facts, keys, share)
     if not hot:
         return facts.join(dim, keys, how)
@@ -89,14 +90,21 @@ def lookup_join(
 
 
 def number_rows(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "pos", share: float | None = None
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    out: str = "pos",
+    share: float | None = None,
+    has_hot: bool | None = None,
 ) -> DataFrame:
-    """Number the rows of each group from 0 in the given order.
+    """Number the rows of each group from 0 in the given order, which has to be total.
 
     Without hot groups this is a window: no group is larger than a shuffle
-    partition should be. With hot groups see :func:`number_sorted`.
+    partition should be. With hot groups see :func:`number_sorted`. Rows that are
+    equal in all columns of the order may be numbered either way. ``has_hot`` tells
+    what is known already.
     """
-    if find_hot(df, group, share):
+    if bool(find_hot(df, group, share)) if has_hot is None else has_hot:
         return number_sorted(df, group, order, out)
     inside = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(out, F.row_number().over(inside).cast("bigint") - F.lit(1))

@@ -7,25 +7,17 @@ from headwater.plans import pipelines
 from headwater.sinks import writers as K
 from headwater.sources import readers
 
-REPORT = (
-    "latitude double, longitude double, time_received string, vehicle_id int, distance_along_trip double, "
-    "inferred_direction_id int, inferred_phase string, inferred_route_id string, inferred_trip_id string, "
-    "next_scheduled_stop_distance double, next_scheduled_stop_id string, report_hour string, report_date string"
-)
+REPORT = "latitude double, longitude double, vehicle_id int, report_hour string, report_date string, speed double"
 
 
 def reports(spark):
-    """13 reports of vehicles 470 to 482; the last four have no hour."""
-    data = [
-        (40.668602, -73.986697, f"2014-08-01 04:00:{i}", 470 + i, 4135.3, 0, "IN_PROGRESS", "B63", f"trip{i}", 0.3,
-         "stop", None if i > 8 else "2014-08-01 04", None if i > 8 else "2014-08-01")
-        for i in range(13)
-    ]
+    """Twelve reports of the buses 1 to 12; the last three have no hour."""
+    data = [(48.1 + i / 100, 11.5, 1 + i, f"{i:02}" if i < 9 else None, "2023-05-04", 30.0 + i) for i in range(12)]
     return spark.createDataFrame(data, REPORT)
 
 
 def vehicles(spark):
-    return spark.createDataFrame([(470 + i, f"vehicle {i}") for i in range(13)], "id int, name string")
+    return spark.createDataFrame([(1 + i, f"bus {i}") for i in range(12)], "id int, name string")
 
 
 def test_jdbc_job(spark):
@@ -37,7 +29,7 @@ def test_jdbc_job(spark):
 
 def test_delta_job(spark):
     cleaned = pipelines.reports_with_vehicles(reports(spark), vehicles(spark))
-    seen = spark.createDataFrame([(470, "x"), (471, "y")], "vehicle_id int, other string")
+    seen = spark.createDataFrame([(1, "x"), (2, "y")], "vehicle_id int, other string")
     found = pipelines.reports_with_seen(cleaned, seen)
     assert found.count() == 9 and found.where("vehicle_id is not null").count() == 0
     # a double that equals an int matches
@@ -47,14 +39,14 @@ def test_delta_job(spark):
 
 def test_kafka_job(spark, rows, tmp_path):
     records = spark.createDataFrame(
-        [(bytearray(b"1"), bytearray(b'{"name": "Alex", "type": "human"}'), t) for t in ("users", "more_users", "x")],
+        [(bytearray(b"1"), bytearray(b'{"page": 7, "ms": 120}'), t) for t in ("clicks", "late_clicks", "x")],
         readers.KAFKA_RECORD,
     )
     records.write.partitionBy("topic").parquet(f"{tmp_path}/in")
-    read = readers.scan_topic_archive(spark, f"{tmp_path}/in", "users, more_users")
+    read = readers.scan_topic_archive(spark, f"{tmp_path}/in", "clicks, late_clicks")
     assert etl.top_rows(etl.with_cast(read, "value", "string", "value_str"), 2).count() == 2
-    K.sink_topic_archive(pipelines.records_as_text(read), f"{tmp_path}/out", "total_users")
-    expected = ("1", '{"name": "Alex", "type": "human"}', "total_users")
+    K.sink_topic_archive(pipelines.records_as_text(read), f"{tmp_path}/out", "all_clicks")
+    expected = ("1", '{"page": 7, "ms": 120}', "all_clicks")
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == [expected, expected]
 
 

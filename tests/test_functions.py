@@ -28,8 +28,8 @@ A, B, C = (lambda: F.col("a")), (lambda: F.col("b")), (lambda: F.col("c"))
         ("s3a://b/k/x", None, r"//s3/cloud/aws/buckets/b/keys/k\\x"),
         ("s3a://b", None, "//s3/cloud/aws/buckets/b"),
         ("s3a://b/k/", None, "//s3/cloud/aws/buckets/b/keys/k"),
-        ("s3a://deltabucket/testdeltatable1", "http://minio:9000",
-         "//s3-custom/endpoint/minio/buckets/deltabucket/keys/testdeltatable1"),
+        ("s3a://lake/stock", "http://minio:9000",
+         "//s3-custom/endpoint/minio/buckets/lake/keys/stock"),
         ("s3a://b/k", "https://s3.us-east-1.amazonaws.com", "//s3-custom/endpoint/s3.us-east-1.amazonaws.com/buckets/b/keys/k"),
         ("s3a://b/k", "minio:9000", None),
         ("s3a://b/k", "s3.eu-west-1.amazonaws.com", None),
@@ -55,8 +55,8 @@ def test_s3_errors(value, uri, expected):
 @pytest.mark.parametrize(
     "uri, endpoint, expected",
     [
-        ("s3a://wordcount/words.txt", "http://minio:9000",
-         r"//s3-custom/endpoint/http:\\\\minio:9000/buckets/wordcount/keys/words.txt"),
+        ("s3a://texts/lines.txt", "http://minio:9000",
+         r"//s3-custom/endpoint/http:\\\\minio:9000/buckets/texts/keys/lines.txt"),
         ("s3://b/k", "http://minio:9000", "//s3/cloud/aws/buckets/b/keys/k"),
         ("s3a://b/k", "s3.eu-west-1.amazonaws.com", "//s3/cloud/aws/buckets/b/keys/k"),
         ("s3a://b", None, "//s3/cloud/aws/buckets/b"),
@@ -85,14 +85,14 @@ def test_namespace(value, uri, expected):
     assert value(N.namespace(A()), uri) == expected
 
 
-MYSQL = "//mysql/host/source-db/databases/mta_data/tables/"
+MYSQL = "//mysql/host/shop-db/databases/shop/tables/"
 
 
 @pytest.mark.parametrize(
     "url, table, compat, expected",
     [
-        ("jdbc:mysql://source-db:3306/mta_data", "vehicle", False, MYSQL + "vehicle"),
-        ("JDBC:MYSQL://u:p@source-db/mta_data?x=1", "vehicle", False, MYSQL + "vehicle"),
+        ("jdbc:mysql://shop-db:3306/shop", "buyers", False, MYSQL + "buyers"),
+        ("JDBC:MYSQL://u:p@shop-db/shop?x=1", "buyers", False, MYSQL + "buyers"),
         ("jdbc:postgresql://h:5432/d", "t", False, "//postgresql/host/h/databases/d/schemas/public/tables/t"),
         ("jdbc:postgresql://h:5432/d", "s.t", False, "//postgresql/host/h/databases/d/schemas/s/tables/t"),
         ("jdbc:postgresql://h:5432/d", "s.t", True, "//postgresql/host/h/databases/d/schemas/public/tables/s.t"),
@@ -107,7 +107,7 @@ def test_jdbc_name(value, url, table, compat, expected):
 @pytest.mark.parametrize(
     "sql, expected",
     [
-        ("select * from mta_reports r left join vehicle v on r.vehicle_id = v.id", ["mta_reports", "vehicle"]),
+        ("select o.id from purchases o left join buyers c on c.id = o.buyer", ["purchases", "buyers"]),
         ("select * from a x, b as y, c where x.k = y.k", ["a", "b", "c"]),
         ("select * from a join a on 1 = 1", ["a"]),
         ("with c as (select * from base), d(x) as (select 1 from b2) select * from C join d on 1=1", ["base", "b2"]),
@@ -186,8 +186,10 @@ def test_conf_flag(value, text, expected):
 
 
 def test_scalars(value):
-    assert value(X.csv_items(A()), "users, more_users") == ["users", "more_users"]
+    assert value(X.csv_items(A()), "clicks, late_clicks") == ["clicks", "late_clicks"]
     assert value(X.csv_items(A()), " , a,,") == ["a"]
+    for text, items in (("x,,y", ["x", "", "y"]), (" , a,,", ["", "a"]), (",,", []), ("", [""])):
+        assert value(X.csv_items(A(), compat=True), text) == items
     assert value(X.status(A())) == "SUCCESS"
     assert value(X.status(A()), "boom") == "FAILED"
     assert value(X.run_label(A(), F.lit(0)), "app") == "app-0"

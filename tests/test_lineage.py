@@ -1,4 +1,4 @@
-"""The five demo jobs as facts, and the quirks of both modes."""
+"""Five kinds of jobs as facts, and the quirks of both modes."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +9,10 @@ from headwater.operators import extract, rddgraph
 DELTA = "org.apache.spark.sql.delta.sources.DeltaDataSource"
 KAFKA = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
 SNOWFLAKE = "net.snowflake.spark.snowflake.DefaultSource"
-MTA = "(select * from mta_reports r left join vehicle v on r.vehicle_id = v.id) mta_rep_view"
-MTA_TABLES = ["//mysql/host/source-db/databases/mta_data/tables/" + t for t in ("mta_reports", "vehicle")]
-SOURCE = {"url": "jdbc:mysql://source-db:3306/mta_data", "dbtable": MTA}
-ENDPOINT = [("app", "spark.hadoop.fs.s3a.endpoint", "http://minio:9000")]
+SHOP_QUERY = "(select o.id, c.city from purchases o join buyers c on c.id = o.buyer) bought"
+SHOP_TABLES = ["//mysql/host/shop-db/databases/shop/tables/" + t for t in ("purchases", "buyers")]
+SHOP = {"url": "jdbc:mysql://shop-db:3306/shop", "dbtable": SHOP_QUERY}
+ENDPOINT = [("app", "spark.hadoop.fs.s3a.endpoint", "http://store:9100")]
 
 
 def write(provider, **options):
@@ -46,60 +46,58 @@ def items(spark):
 @pytest.mark.parametrize("compat", [False, True])
 def test_jdbc_to_jdbc(items, compat):
     plan = [
-        write("jdbc", url="jdbc:postgresql://target-db:5432/mta_data", dbtable="mta_transform"),
+        write("jdbc", url="jdbc:postgresql://report-db:5432/reports", dbtable="bought_by_city"),
         other(),
         other("Filter"),
-        relation("JDBCRelation", SOURCE),
+        relation("JDBCRelation", SHOP),
     ]
-    target = "//postgresql/host/target-db/databases/mta_data/schemas/public/tables/mta_transform"
-    assert items(plan, compat=compat) == (MTA_TABLES, [target], [])
+    target = "//postgresql/host/report-db/databases/reports/schemas/public/tables/bought_by_city"
+    assert items(plan, compat=compat) == (SHOP_TABLES, [target], [])
 
 
 @pytest.mark.parametrize("compat", [False, True])
 def test_kafka_to_kafka(items, compat):
-    servers = {"kafka.bootstrap.servers": "kafka:29092"}
+    servers = {"kafka.bootstrap.servers": "bus:9192"}
     plan = [
-        write(KAFKA, **servers, topic="total_users"),
+        write(KAFKA, **servers, topic="all_clicks"),
         other(),
-        relation("KafkaRelation", {**servers, "subscribe": "users, more_users"}),
+        relation("KafkaRelation", {**servers, "subscribe": "clicks, late_clicks"}),
     ]
-    topics = ["//kafka/cluster/kafka:29092/topics/" + t for t in ("users", "more_users", "total_users")]
+    topics = ["//kafka/cluster/bus:9192/topics/" + t for t in ("clicks", "late_clicks", "all_clicks")]
     assert items(plan, compat=compat) == (topics[:2], topics[2:], [])
 
 
 @pytest.mark.parametrize("compat", [False, True])
 def test_delta_and_jdbc_to_delta(items, compat):
-    path = "s3a://deltabucket/testdeltatable1"
+    path = "s3a://lake/tables/stock"
     plan = [
         write(DELTA, path=path),
         other("Join"),
-        relation("JDBCRelation", SOURCE),
+        relation("JDBCRelation", SHOP),
         relation("HadoopFsRelation", paths=[path]),
     ]
-    name = "//s3-custom/endpoint/minio/buckets/deltabucket/keys/testdeltatable1"
-    assert items(plan, ENDPOINT, compat) == ([*MTA_TABLES, name], [name], [])
+    host = "store" if compat else "store:9100"
+    name = rf"//s3-custom/endpoint/{host}/buckets/lake/keys/tables\\stock"
+    assert items(plan, ENDPOINT, compat) == ([*SHOP_TABLES, name], [name], [])
 
 
 @pytest.mark.parametrize("compat", [False, True])
 def test_snowflake_and_jdbc_to_snowflake(items, compat):
     account = {"sfURL": "acct.eu.example.com", "sfDatabase": "DB", "sfSchema": "SC"}
-    query = (
-        "select CC_CALL_CENTER_SK, CC_CLASS from CALL_CENTER LEFT JOIN CATALOG_PAGE "
-        "ON CATALOG_PAGE.CP_CATALOG_NUMBER = CALL_CENTER.CC_CALL_CENTER_SK"
-    )
+    query = "select f.ORIGIN, f.DELAY, p.RUNWAYS from FLIGHTS f RIGHT JOIN AIRPORTS p ON f.ORIGIN = p.CODE where f.DELAY > 15"
     plan = [
-        write(SNOWFLAKE, **account, dbtable="TEST_TABLE"),
+        write(SNOWFLAKE, **account, dbtable="DELAYS"),
         relation("SnowflakeRelation", {**account, "query": query}),
-        relation("JDBCRelation", SOURCE),
+        relation("JDBCRelation", SHOP),
     ]
-    names = ["//snowflake/account/acct/databases/DB/schemas/SC/tables/" + t for t in ("CALL_CENTER", "CATALOG_PAGE", "TEST_TABLE")]
-    assert items(plan, compat=compat) == ([*names[:2], *MTA_TABLES], names[2:], [])
+    names = ["//snowflake/account/acct/databases/DB/schemas/SC/tables/" + t for t in ("FLIGHTS", "AIRPORTS", "DELAYS")]
+    assert items(plan, compat=compat) == ([*names[:2], *SHOP_TABLES], names[2:], [])
 
 
 def test_text_to_text(spark):
     nodes = spark.createDataFrame(
         [
-            ("app", 1, 0, "HadoopRDD", "s3a://wordcount/words.txt", ["s3a://wordcount/words.txt"]),
+            ("app", 1, 0, "HadoopRDD", "s3a://texts/lines.txt", ["s3a://texts/lines.txt"]),
             ("app", 1, 1, "MapPartitionsRDD", None, None),
             ("app", 1, 9, "HadoopRDD", "unrelated", ["s3a://other/x"]),
         ],
@@ -109,8 +107,9 @@ def test_text_to_text(spark):
     roots = spark.createDataFrame([("app", 1, 1)], "app_id string, job_id bigint, rdd_id bigint")
     output = spark.createDataFrame([("app", 1, "result", "file:/home/result", None)], S.RDD_OUTPUT)
     conf = spark.createDataFrame(ENDPOINT, S.CONF_KV)
-    inputs = rddgraph.rdd_inputs(rddgraph.ancestors(edges, roots), nodes, conf).collect()
-    assert [r["name"] for r in inputs] == [r"//s3-custom/endpoint/http:\\\\minio:9000/buckets/wordcount/keys/words.txt"]
+    for compat, endpoint in ((False, "store:9100"), (True, r"http:\\\\store:9100")):
+        inputs = rddgraph.rdd_inputs(rddgraph.ancestors(edges, roots), nodes, conf, compat=compat).collect()
+        assert [r["name"] for r in inputs] == [rf"//s3-custom/endpoint/{endpoint}/buckets/texts/keys/lines.txt"]
     assert rddgraph.rdd_outputs(output, conf).count() == 0
 
 
@@ -153,7 +152,7 @@ def test_unknown_database(items):
     [
         (relation("HiveTableRelation", catalog=True), "UNSUPPORTED_RELATION"),
         (relation("KafkaRelation", {"kafka.bootstrap.servers": "k"}), "MISSING_OPTION"),
-        (relation("HadoopFsRelation", paths=["s3a://b/x//y"]), "BAD_S3_PATH"),
+        (relation("HadoopFsRelation", paths=["s3a:///x"]), "BAD_S3_PATH"),
     ],
 )
 def test_a_failed_input_loses_all_inputs_only_in_compat(items, bad, error):
@@ -162,11 +161,48 @@ def test_a_failed_input_loses_all_inputs_only_in_compat(items, bad, error):
 
 
 def test_a_failed_output_keeps_the_inputs(items):
-    for provider, options in (("jdbc", {"url": "jdbc:mysql://h/d"}), (DELTA, {}), (DELTA, {"path": "s3a://b/x//y"})):
+    for provider, options in (("jdbc", {"url": "jdbc:mysql://h/d"}), (DELTA, {}), (DELTA, {"path": "s3a:///x"})):
         inputs, outputs, errors = items([write(provider, **options), GOOD])
         assert (inputs, outputs, len(errors)) == (GOOD_NAME, [], 1)
 
 
+def test_slashes_are_an_error_only_in_compat(items):
+    plan = [write(DELTA, path="s3a://b/x//y"), GOOD]
+    assert items(plan) == (GOOD_NAME, [r"//s3/cloud/aws/buckets/b/keys/x\\y"], [])
+    assert items(plan, compat=True) == (GOOD_NAME, [], ["BAD_S3_PATH"])
+
+
+def test_a_table_text_with_a_dot(items):
+    plan = [write("jdbc", url="jdbc:postgresql://h/d", dbtable="audit.orders"), GOOD]
+    base = "//postgresql/host/h/databases/d/schemas/"
+    assert items(plan)[1] == [base + "audit/tables/orders"]
+    assert items(plan, compat=True)[1] == [base + "public/tables/audit.orders"]
+
+
+def test_blank_topics_count_only_in_compat(items):
+    plan = [OUT, relation("KafkaRelation", {"kafka.bootstrap.servers": "k:1", "subscribe": "x,,y"})]
+    topics = ["//kafka/cluster/k:1/topics/" + t for t in ("x", "", "y")]
+    assert items(plan)[0] == topics[::2]
+    assert items(plan, compat=True)[0] == topics
+
+
+@pytest.mark.parametrize("endpoint", ["http://store:9100", "s3.eu-west-1.amazonaws.com", "store:9100", None])
+def test_one_bucket_is_one_dataset_for_both_kinds_of_jobs(spark, items, endpoint):
+    conf = [("app", "spark.hadoop.fs.s3a.endpoint", endpoint)] if endpoint else []
+    written = items([write(DELTA, path="s3a://lake/stock/"), GOOD], conf)[1]
+    nodes = spark.createDataFrame([("app", 1, 0, "HadoopRDD", None, ["s3a://lake/stock"])], S.RDD_NODE)
+    closure = nodes.select("app_id", "job_id", "rdd_id")
+    read = rddgraph.rdd_inputs(closure, nodes, spark.createDataFrame(conf, S.CONF_KV)).collect()
+    assert [r["name"] for r in read] == written and len(written) == 1
+
+
+def test_dangling_edges_count_as_none(spark, rows):
+    nodes = spark.createDataFrame([("a", 1, i, "ShuffledRDD", f"n{i}", None) for i in (1, 2, 3)], S.RDD_NODE)
+    edges = spark.createDataFrame([("a", 1, 1, 2, 0), ("a", 1, 2, 9, 0), ("a", 1, 2, 3, 1)], S.RDD_EDGE)
+    found = rddgraph.lineage_names(nodes, edges)
+    assert rows(found, "rdd_id", "name") == [(1, "n1_n2_n3"), (2, "n2_n3"), (3, "n3")]
+
+
 def test_delta_write_to_a_local_path_has_no_output(items):
     assert items([write(DELTA, path="/tmp/x"), GOOD]) == (GOOD_NAME, [], [])
 
