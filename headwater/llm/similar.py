@@ -14,9 +14,10 @@ sets are linked if ``100 * |intersection| >= 90 * |union|``.
 2. *Clusters.* Each set is tied to the least set of its signatures, and the
    connected components of these ties are found: a link never leaves its cluster.
 3. *Prefix tree.* The sets of a cluster are put into a tree by their hashes in order.
-   Each set walks down it; the overlap with a path's beginning is shared by all sets
-   below, and a subtree is left out once the lengths that remain cannot reach the
-   bound any more, or if all its sets are connected with the walker already. A
+   Each set walks down it, one level of nodes at a time; the overlap with a path's
+   beginning is shared by all sets below, and a subtree is left out once the lengths
+   that remain cannot reach the bound any more, or if all its sets are connected with
+   the walker already. A
    cluster too large for one task is cut into blocks, and all pairs of blocks are
    joined, each on its own.
 4. The links' connected components are the result.
@@ -53,7 +54,7 @@ BLOCK_SHINGLES = 1_000_000
 HELD_SIGNATURES = 500_000
 _PART = np.uint64(0x9E3779B97F4A7C15)
 _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F)
-_SEGMENT = 64
+STRETCH = 32  # the most hashes of a tree node
 
 
 def block_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -188,17 +189,59 @@ def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["node", "other"])
 
 
-class Node:
-    """A stretch of a path of the prefix tree, and what lies below."""
+class PrefixTree:
+    """The sets of a block by their beginnings, as arrays over nodes.
 
-    __slots__ = ("begin", "end", "path", "children", "sets", "shortest", "longest", "joined")
+    A node is a stretch of at most STRETCH hashes that all sets below it share. The
+    sets lie in the order of their hashes, so those below a node are neighbours, and
+    those that end at a node come first.
+    """
 
-    def __init__(self, path: np.ndarray, begin: int, end: int) -> None:
-        self.path, self.begin, self.end = path, begin, end
-        self.children: list[Node] = []
-        self.sets: list[int] = []
-        self.shortest = self.longest = 0
-        self.joined = -1  # a set below, once all sets below are connected
+    def __init__(self, sets: list[np.ndarray], which: list[int]) -> None:
+        """``sets`` are sorted numbers; the tree holds those of ``which``."""
+        self.order = np.array(sorted(which, key=lambda i: sets[i].astype(">u4").tobytes()), np.int64)
+        rows = [sets[i] for i in self.order]
+        size = [len(x) for x in rows]
+        # how much of its beginning each set shares with the one before
+        shared = [0] + [_common(x, y) for x, y in zip(rows, rows[1:])]
+        nodes: list[tuple[int, int, int, int, int]] = []  # first set, set after the last, begin, end, sets that end
+        stretches: list[np.ndarray] = []
+        children: list[list[int]] = [[]]  # the first list is the root's
+        stack = [(0, len(rows), 0, 0)] if rows else []
+        while stack:
+            lo, hi, begin, parent = stack.pop()
+            end = min([size[lo], *shared[lo + 1 : hi], begin + STRETCH]) if hi - lo > 1 else min(size[lo], begin + STRETCH)
+            if end > begin:
+                children[parent].append(len(nodes))
+                stretches.append(rows[lo][begin:end])
+                ending = lo
+                while ending < hi and size[ending] == end:
+                    ending += 1
+                nodes.append((lo, hi, begin, end, ending - lo))
+                children.append([])
+                parent = len(nodes)
+            else:
+                ending = lo
+            first = ending
+            for k in range(ending + 1, hi + 1):
+                if k == hi or shared[k] <= end:
+                    if first < k:
+                        stack.append((first, k, end, parent))
+                    first = k
+        self.lo, self.hi, self.begin, self.end, self.ending = np.array(nodes, np.int64).reshape(-1, 5).T
+        self.hashes = np.concatenate(stretches) if stretches else np.empty(0, np.uint32)
+        self.at = np.concatenate([[0], np.cumsum(self.end - self.begin)])
+        self.child = np.array([c for below in children for c in below], np.int64)
+        self.child_at = np.concatenate([[0], np.cumsum([len(below) for below in children])])
+        lengths = np.array(size, np.int64)
+        self.lengths = lengths
+        self.shortest = np.array([lengths[lo:hi].min() for lo, hi, *_ in nodes], np.int64)
+        self.longest = np.array([lengths[lo:hi].max() for lo, hi, *_ in nodes], np.int64)
+
+    def below(self, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The children of nodes, and for each the place of its parent in ``nodes``."""
+        sizes = self.child_at[nodes + 2] - self.child_at[nodes + 1]
+        return self.child[_ranges(self.child_at[nodes + 1], sizes)], np.repeat(np.arange(len(nodes)), sizes)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -207,117 +250,70 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(differ[0]) if len(differ) else n
 
 
-def build_tree(sets: list[np.ndarray], which: list[int]) -> Node:
-    """The prefix tree of sorted sets."""
-    order = sorted(which, key=lambda i: sets[i].astype(">u8").tobytes())
-    root = Node(np.empty(0, np.uint64), 0, 0)
-    spine = [root]
-    last = None
-    for i in order:
-        shingles = sets[i]
-        shared = _common(last, shingles) if last is not None else 0
-        while spine[-1].begin >= shared and len(spine) > 1:
-            spine.pop()
-        top = spine[-1]
-        if top.end > shared:  # the path parts inside a stretch: cut it
-            below = Node(top.path, shared, top.end)
-            below.children, below.sets = top.children, top.sets
-            top.end, top.children, top.sets = shared, [below], []
-        if len(shingles) == top.end:
-            top.sets.append(i)
-        else:
-            leaf = Node(shingles, top.end, len(shingles))
-            leaf.sets.append(i)
-            top.children.append(leaf)
-            spine.append(leaf)
-        last = shingles
-    stack = [(root, False)]
-    while stack:
-        node, done = stack.pop()
-        if not done:
-            stack.append((node, True))
-            stack.extend((child, False) for child in node.children)
-        else:
-            lengths = [len(sets[i]) for i in node.sets]
-            node.shortest = min([*lengths, *(c.shortest for c in node.children)])
-            node.longest = max([*lengths, *(c.longest for c in node.children)])
-    return root
-
-
-class Groups:
-    """Sets joined so far."""
-
-    def __init__(self, n: int) -> None:
-        self.parent = list(range(n))
-
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.parent[self.find(i)] = self.find(j)
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of several ranges, one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
 
 
-def _can_reach(overlap: int, depth: int, left: int, size: int, node: Node) -> bool:
-    """Whether a set below a node can still be linked with a walker of ``size`` that has ``left`` hashes to come."""
-    best = min(max(left + depth, node.shortest), node.longest)
-    return NEED_OVERLAP[1] * (overlap + min(best - depth, left)) >= NEED_OVERLAP[0] * (size + best)
+def linked_sets(tree: PrefixTree, own: np.ndarray, is_own: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The places in the tree of the ``wanted`` sets that are linked with a set.
 
-
-def walk(walker: int, sets: list[np.ndarray], root: Node, groups: Groups) -> Iterator[int]:
-    """The sets of the tree that are linked with the walker, one at least of each group that isn't joined to it."""
-    own = sets[walker]
+    All nodes of a level are looked at together. A node's overlap is its parent's,
+    counted once for all sets below, plus that of its own stretch. A node is left if
+    no wanted set lies below, or if none of the lengths below can reach the bound.
+    ``is_own`` marks the hashes of the set.
+    """
     size = len(own)
-    stack: list[tuple[Node, int, bool]] = [(root, 0, False)]
-    while stack:
-        node, overlap, done = stack.pop()
-        if done:
-            below = {groups.find(c.joined) if c.joined >= 0 else -1 for c in node.children}
-            below |= {groups.find(i) for i in node.sets}
-            if len(below) == 1 and -1 not in below:
-                node.joined = node.sets[0] if node.sets else node.children[0].joined
-            continue
-        if node.joined >= 0 and groups.find(node.joined) == groups.find(walker):
-            continue
-        at, alive = node.begin, True
-        while alive and at < node.end:
-            to = min(at + _SEGMENT, node.end)
-            stretch = node.path[at:to]
-            place = np.searchsorted(own, stretch)
-            overlap += int((own[np.minimum(place, size - 1)] == stretch).sum())
-            passed = int(place[-1]) + int(place[-1] < size and own[place[-1]] == stretch[-1])
-            at = to
-            alive = _can_reach(overlap, at, size - passed, size, node)
-        if not alive:
-            continue
-        for i in node.sets:
-            if (
-                groups.find(i) != groups.find(walker)
-                and NEED_OVERLAP[1] * overlap >= NEED_OVERLAP[0] * (size + len(sets[i]))
-            ):
-                yield i
-        if node.joined < 0:
-            stack.append((node, 0, True))
-        stack.extend((child, overlap, False) for child in node.children)
+    above = np.concatenate([[0], np.cumsum(wanted)])
+    found = []
+    nodes = tree.child[: tree.child_at[1]]
+    overlap = np.zeros(len(nodes), np.int64)
+    while len(nodes):
+        keep = above[tree.hi[nodes]] > above[tree.lo[nodes]]
+        nodes, overlap = nodes[keep], overlap[keep]
+        if not len(nodes):
+            break
+        sizes = tree.end[nodes] - tree.begin[nodes]
+        hits = is_own[tree.hashes[_ranges(tree.at[nodes], sizes)]]
+        overlap = overlap + np.add.reduceat(hits, np.cumsum(sizes) - sizes, dtype=np.int64)
+        depth = tree.end[nodes]
+        left = size - np.searchsorted(own, tree.hashes[tree.at[nodes + 1] - 1], "right")
+        best = np.clip(left + depth, tree.shortest[nodes], tree.longest[nodes])
+        can = NEED_OVERLAP[1] * (overlap + np.minimum(best - depth, left)) >= NEED_OVERLAP[0] * (size + best)
+        nodes, overlap, depth = nodes[can], overlap[can], depth[can]
+        linked = (tree.ending[nodes] > 0) & (NEED_OVERLAP[1] * overlap >= NEED_OVERLAP[0] * (size + depth))
+        found.append(_ranges(tree.lo[nodes[linked]], tree.ending[nodes[linked]]))
+        nodes, parent = tree.below(nodes)
+        overlap = overlap[parent]
+    return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
 def join_block(table: pa.Table) -> pa.Table:
-    """Links between the sets of one block, or of two: as many as connect what is linked."""
-    nodes = table.column("node").to_pylist()
-    sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
-    in_first = table.column("in_first").to_pylist()
-    inside = all(in_first)
-    root = build_tree(sets, [i for i, first in enumerate(in_first) if first])
-    groups = Groups(len(sets))
+    """Links between the sets of one block, or of two: as many as connect what is linked.
+
+    The sets walk down the tree one after another; sets that are connected with the
+    walker already are no longer wanted.
+    """
+    nodes = table.column("node").to_numpy()
+    hashes = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+    in_first = np.asarray(table.column("in_first"))
+    every, numbers = np.unique(np.concatenate(hashes), return_inverse=True)  # smaller numbers, in the same order
+    sets = np.split(numbers.astype(np.uint32), np.cumsum([len(x) for x in hashes])[:-1])
+    tree = PrefixTree(sets, np.flatnonzero(in_first).tolist())
+    group = np.arange(len(sets))
+    is_own = np.zeros(len(every), bool)
     links: list[tuple[int, int]] = []
-    for i in range(len(sets)):
-        if inside or not in_first[i]:
-            for j in walk(i, sets, root, groups):
-                if groups.find(i) != groups.find(j):
-                    groups.join(i, j)
-                    links.append((nodes[i], nodes[j]))
+    for i in range(len(sets)) if in_first.all() else np.flatnonzero(~in_first):
+        wanted = group[tree.order] != group[i]
+        if not wanted.any():
+            continue
+        is_own[sets[i]] = True
+        for j in tree.order[linked_sets(tree, sets[i], is_own, wanted)]:
+            if group[j] != group[i]:
+                group[group == group[j]] = group[i]
+                links.append((int(nodes[i]), int(nodes[j])))
+        is_own[sets[i]] = False
     return pa.table({"node": pa.array([x[0] for x in links], pa.int64()), "other": pa.array([x[1] for x in links], pa.int64())})
 
 
