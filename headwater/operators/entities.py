@@ -1,18 +1,19 @@
-"""Lineage documents: job and run entities, envelopes, and the edge table.
+"""Lineage documents: job and run entities, their entries, envelopes, and the edge table.
 
-A document names at most about ``part_rows`` datasets and properties. The rest
-of a large application follows in further documents with the same names and a
-higher ``part``: together they hold everything, and none has to fit one task.
+An application has one layout whatever its size: a head document with the job and
+its run, and one entry for each dataset and property. Nothing gathers the entries
+of an application, so it may have any number of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from headwater.functions.names import spark_name
 from headwater.functions.scalars import ms_to_ts, run_label
-from headwater.session import cut_lineage
 from headwater.skew import lookup_join
 
 # Entity types and the metadata schema reference.
@@ -20,8 +21,7 @@ JOB = "JOB"
 JOB_RUN = "JOB_RUN"
 METADATA_SCHEMA_URL = "http://spark.adapter"
 
-PART_ROWS = 10_000
-PAIRS = "array<struct<key:string,value:string>>"
+HEAD = "head"
 
 
 def with_names(apps: DataFrame, routes: DataFrame) -> DataFrame:
@@ -35,62 +35,29 @@ def with_names(apps: DataFrame, routes: DataFrame) -> DataFrame:
     )
 
 
-def _parts(lineage: DataFrame, metadata: DataFrame, part_rows: int) -> DataFrame:
-    """Datasets and properties of each application, dealt out to parts by hash."""
-    content = cut_lineage(
-        lineage.select(
-            "app_id",
-            F.col("direction").alias("kind"),
-            F.col("name").alias("key"),
-            F.col("n").cast("string").alias("value"),
-        ).unionByName(metadata.select("app_id", F.lit("metadata").alias("kind"), "key", "value"))
-    )
-    sizes = content.groupBy("app_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(part_rows)).cast("int").alias("parts"))
-    dealt = lookup_join(content, sizes, ["app_id"], ["kind", "key"], how="inner").withColumn(
-        "part", F.pmod(F.xxhash64("kind", "key"), F.col("parts")).cast("int")
-    )
-
-    def listed(kind: str) -> Column:
-        pairs = F.collect_list(F.when(F.col("kind") == kind, F.struct("key", "value")))
-        return F.sort_array(pairs).cast(PAIRS).alias(kind)
-
-    return dealt.groupBy("app_id", "part").agg(listed("input"), listed("output"), listed("metadata"))
+def entries(lineage: DataFrame, metadata: DataFrame) -> DataFrame:
+    """What the job documents list: ``app_id, kind, key, value``, a row for each dataset and property.
 
+    ``lineage`` is ``app_lineage``; its kinds are ``input`` and ``output``, and the
+    value is the number of uses. ``metadata`` is ``merge_metadata``.
+    """
+    datasets = lineage.select(
+        "app_id", F.col("direction").alias("kind"), F.col("name").alias("key"), F.col("n").cast("string").alias("value")
+    )
+    return datasets.unionByName(metadata.select("app_id", F.lit("metadata").alias("kind"), "key", "value"))
 
-def job_entities(
-    named_apps: DataFrame, lineage: DataFrame, metadata: DataFrame, part_rows: int = PART_ROWS
-) -> DataFrame:
-    """The job document: names, metadata, inputs and outputs with their number of uses.
 
-    ``lineage`` is ``app_lineage``, ``metadata`` is ``merge_metadata``; an
-    application with neither still gets its part 0.
-    """
-    parts = _parts(lineage, metadata, part_rows)
-    columns = named_apps.select("app_id", "host", "source_name", "sink", "app_name", "job_name", "run_name")
-    joined = columns.join(parts, "app_id", "left")
-
-    def datasets(kind: str) -> Column:
-        pairs = F.coalesce(F.col(kind), F.array().cast(PAIRS))
-        return F.transform(
-            pairs, lambda p: F.struct(p["key"].alias("name"), p["value"].cast("bigint").alias("times"))
-        )
-
-    # sorted distinct keys, so the map is built without key conflicts
-    metadata_map = F.map_from_entries(F.coalesce(F.col("metadata"), F.array().cast(PAIRS)))
-    return joined.select(
+def job_entities(named_apps: DataFrame) -> DataFrame:
+    """The head of each job document: names, type and schema."""
+    return named_apps.select(
         "app_id",
         "host",
         "sink",
         "source_name",
-        "run_name",
-        F.coalesce("part", F.lit(0)).alias("part"),
         F.col("app_name").alias("name"),
         F.col("job_name").alias("resource_name"),
         F.lit(JOB).alias("type"),
         F.lit(METADATA_SCHEMA_URL).alias("schema_url"),
-        metadata_map.alias("metadata"),
-        datasets("input").alias("inputs"),
-        datasets("output").alias("outputs"),
     )
 
 
@@ -110,21 +77,34 @@ def run_entities(named_apps: DataFrame) -> DataFrame:
     )
 
 
-def envelopes(jobs: DataFrame, runs: DataFrame) -> DataFrame:
-    """Documents to publish: data source and ``[job, run]`` in this order, as JSON texts."""
+def envelopes(named_apps: DataFrame, listed: DataFrame, hot: Sequence[Row] | None = None) -> DataFrame:
+    """Documents to publish, as JSON texts: ``app_id, host, sink, source_name, kind, key, items``.
+
+    The head of an application holds ``[job, run]`` in this order, and each of its
+    entries (``listed``) is a document of its own. ``hot`` names the applications
+    with a large share of the entries.
+    """
     utc = {"timeZone": "UTC"}
-    job = F.to_json(F.struct("name", "resource_name", "type", "schema_url", "metadata", "inputs", "outputs"), utc)
+    job_columns = ["name", "resource_name", "type", "schema_url"]
+    jobs = job_entities(named_apps).select("app_id", F.to_json(F.struct(*job_columns)).alias("job"))
     run_columns = ["name", "resource_name", "type", "transformer", "start_time", "end_time", "status", "status_reason"]
-    run_docs = runs.select("app_id", F.to_json(F.struct(*run_columns), utc).alias("run"))
-    job_docs = jobs.select("app_id", "host", "sink", "source_name", "part", job.alias("job"))
-    return job_docs.join(run_docs, "app_id").select(
-        "app_id", "host", "sink", "source_name", "part", F.array("job", "run").alias("items")
-    )
-
-
-def edges(named_apps: DataFrame, lineage: DataFrame) -> DataFrame:
+    runs = run_entities(named_apps).select("app_id", F.to_json(F.struct(*run_columns), utc).alias("run"))
+    senders = named_apps.select("app_id", "host", "sink", "source_name", F.col("job_name").alias("_job"))
+    heads = senders.join(jobs, "app_id").join(runs, "app_id").select(
+        "app_id", "host", "sink", "source_name", F.lit(HEAD).alias("kind"), F.col("_job").alias("key"),
+        F.array("job", "run").alias("items"),
+    )
+    owned = lookup_join(listed, senders, ["app_id"], ["kind", "key"], how="inner", hot=hot)
+    details = owned.select(
+        "app_id", "host", "sink", "source_name", "kind", "key",
+        F.array(F.to_json(F.struct(F.col("_job").alias("job"), "kind", "key", "value"))).alias("items"),
+    )
+    return heads.unionByName(details)
+
+
+def edges(named_apps: DataFrame, lineage: DataFrame, hot: Sequence[Row] | None = None) -> DataFrame:
     """Edge table: dataset, direction, job and number of uses."""
     jobs = named_apps.select("app_id", "job_name")
-    return lookup_join(lineage, jobs, ["app_id"], ["direction", "name"], how="inner").select(
+    return lookup_join(lineage, jobs, ["app_id"], ["direction", "name"], how="inner", hot=hot).select(
         "app_id", "job_name", "direction", F.col("name").alias("dataset"), "n"
     )

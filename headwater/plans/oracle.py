@@ -569,12 +569,15 @@ select app_id, dep_id, 'input' as direction, node_id, item, error as extract_err
 ORACLE["custom_rule"] = (
     _with(
         "apps as (select null::varchar as app_id, null::varchar as s3a, null::varchar as s3n where false)",
+        JOBS,
         LINES,
         _child_items(),
+        _root_items(),
     )
     + """
 , named as (
-  select app_id, name from children
+  select app_id, name from children where name is not null or error is not null
+  union all select app_id, name from roots where direction = 'input'
   union all select app_id, '//step/' || node_id from lines where kind = 'RF' and num < 6)
 select app_id, starts_with(name, '//step/') as is_step, count(*) as n, max(name) as last_name
 from named group by app_id, is_step"""
@@ -811,12 +814,11 @@ ORACLE["lineage_edges"] = LINEAGE + (
 )
 
 ORACLE["job_entities"] = LINEAGE + """
-select app_id, host, sink, source_name, 0 as part, app_name as name, job_name as resource_name, 'JOB' as type,
-  'http://spark.adapter' as schema_url,
-  coalesce((select string_agg(key || '=' || value, ',' order by key) from metadata m where m.app_id = a.app_id), '') as metadata,
-  coalesce((select string_agg(d.name || '*' || n, ',' order by d.name) from datasets d where d.app_id = a.app_id and direction = 'input'), '') as inputs,
-  coalesce((select string_agg(d.name || '*' || n, ',' order by d.name) from datasets d where d.app_id = a.app_id and direction = 'output'), '') as outputs
-from named a"""
+select app_id, 'head' as kind, job_name as key, app_name as value, host, sink, source_name, 'JOB' as type,
+  'http://spark.adapter' as schema_url
+from named
+union all by name select app_id, direction as kind, name as key, n::varchar as value from datasets
+union all by name select app_id, 'metadata' as kind, key, value from metadata"""
 
 ORACLE["run_entities"] = _with(APPS, JOBS, ROLLUP) + """
 select app_id, app_name || '-' || end_ms as name, run_name as resource_name, 'JOB_RUN' as type, job_name as transformer,
@@ -834,21 +836,26 @@ outputs as (
   where name is not null group by app_id, name)"""
 )
 
-ORACLE["envelopes"] = STATUS_DOCS + r"""
-, q as (select app_id, string_agg('"' || key || '":"' || value || '"', ',' order by key) as text from metadata group by app_id),
-r as (select app_id, string_agg('{"name":"' || replace(name, '\', '\\') || '","times":' || n || '}', ',' order by name) as text from outputs group by app_id)
-select app_id, host, source_name, 0 as part,
-  '{"name":"' || app_name || '","resource_name":"' || job_name || '","type":"JOB","schema_url":"http://spark.adapter","metadata":{'
-    || coalesce(q.text, '') || '},"inputs":[],"outputs":[' || coalesce(r.text, '') || ']}' as job_json,
-  '{"name":"' || app_name || '-' || end_ms || '","resource_name":"' || run_name || '","type":"JOB_RUN","transformer":"' || job_name
+DOCUMENTS = STATUS_DOCS + r"""
+, listed as (
+  select app_id, 'output' as kind, name as key, n::varchar as value from outputs
+  union all select app_id, 'metadata', key, value from metadata),
+documents as (
+  select app_id, host, sink, source_name, 'head' as kind, job_name as key,
+    '{"name":"' || app_name || '","resource_name":"' || job_name || '","type":"JOB","schema_url":"http://spark.adapter"}|'
+    || '{"name":"' || app_name || '-' || end_ms || '","resource_name":"' || run_name || '","type":"JOB_RUN","transformer":"' || job_name
     || '","start_time":"1992-01-01T00:00:00.000Z","end_time":"' || strftime(make_timestamp(end_ms * 1000), '%Y-%m-%dT%H:%M:%S.%g') || 'Z","status":"'
-    || status || '"' || coalesce(',"status_reason":"' || status_reason || '"', '') || '}' as run_json
-from named left join q using (app_id) left join r using (app_id)"""
+    || status || '"' || coalesce(',"status_reason":"' || status_reason || '"', '') || '}' as items
+  from named
+  union all
+  select app_id, host, sink, source_name, kind, key,
+    '{"job":"' || job_name || '","kind":"' || kind || '","key":"' || replace(key, '\', '\\') || '","value":"' || value || '"}'
+  from listed join named using (app_id))"""
 
-ORACLE["publish_documents"] = _with(APPS, JOBS, ROLLUP) + """
-select host, count(*) as n, max(app_id) as last_app from named where sink = 'publish' group by host"""
-ORACLE["log_documents"] = _with(APPS, JOBS, ROLLUP) + """
-select source_name, count(*) as n, 2 * count(*) as n_items, max(app_name) as last_name from named where sink = 'log' group by source_name"""
+ORACLE["envelopes"] = DOCUMENTS + "select app_id, host, source_name, kind, key, items from documents"
+ORACLE["publish_documents"] = DOCUMENTS + "select app_id, host, kind, key, items from documents where sink = 'publish'"
+ORACLE["publish_stream"] = ORACLE["publish_documents"]
+ORACLE["log_documents"] = DOCUMENTS + "select source_name, kind, key, items from documents where sink = 'log'"
 
 # --- Ordinary ETL -------------------------------------------------------------
 
@@ -863,20 +870,21 @@ select length(value)::int as length, count(*) as n, max(value) as last_line from
 ORACLE["position_etl"] = """
 with r as (
   select o_orderkey as report_id, (o_orderkey % 200 - 100)::double as latitude, (o_orderkey % 400 - 200)::double as longitude,
-    o_custkey as vehicle_id, case when o_orderstatus <> 'P' then o_orderpriority end as report_hour
-  from orders),
-v as (select c_custkey as id, c_name as name from customer where c_acctbal >= 0)
-select report_id, latitude, longitude, vehicle_id, report_hour, name from r left join v on vehicle_id = id
+    (case when o_custkey % 3 = 0 then -o_custkey else o_custkey end)::int as vehicle_id,
+    case when o_orderstatus <> 'P' then o_orderpriority end as report_hour
+  from orders)
+select report_id, latitude, longitude, vehicle_id, report_hour, c_name as name from r left join customer on vehicle_id = c_custkey
 where latitude <= 80 and latitude >= -90 and longitude <= 180 and longitude >= -180
   and (latitude != 0 or longitude != 0) and report_hour is not null"""
 
 ORACLE["mixed_type_join"] = """
-with sizes as (select p_size, count(*) as n_parts, min(p_partkey) as first_part from part where p_size <= 40 group by p_size)
-select l_quantity, count(*) as n_lines, sum(n_parts)::bigint as n_pairs, max(first_part) as first_part
-from lineitem left join sizes on l_quantity = p_size group by l_quantity"""
+with sizes as (select distinct p_size * 2 as vehicle_id from part)
+select l_quantity as latitude, vehicle_id, count(*) as n, max(l_orderkey) as last_report
+from lineitem left join sizes on l_quantity = vehicle_id group by l_quantity, vehicle_id"""
 
 ORACLE["left_join_drop"] = """
-select p_partkey, p_size, s_name from part left join supplier on p_partkey = s_suppkey where p_size <= 10"""
+select p_partkey as CC_CALL_CENTER_SK, p_type as CC_CLASS, s_name
+from part left join supplier on p_partkey = s_suppkey * 2 where p_partkey <= 10"""
 
 ORACLE["bounded_join"] = """
 select s_suppkey, s_name, n_name from supplier left join nation on s_nationkey = n_nationkey where s_suppkey <= 10"""

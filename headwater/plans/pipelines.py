@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from headwater.operators import conf as C
@@ -41,16 +41,23 @@ class Lineage:
     metadata: DataFrame
 
     def edges(self) -> DataFrame:
-        return E.edges(self.apps, self.datasets)
+        return E.edges(self.apps, self.datasets, self.hot())
 
-    def jobs(self, part_rows: int = E.PART_ROWS) -> DataFrame:
-        return E.job_entities(self.apps, self.datasets, self.metadata, part_rows)
+    def hot(self) -> list[Row]:
+        """Applications with a large share of the items, counted on the stored items."""
+        return find_hot(self.items, ["app_id"])
+
+    def jobs(self) -> DataFrame:
+        return E.job_entities(self.apps)
+
+    def entries(self) -> DataFrame:
+        return E.entries(self.datasets, self.metadata)
 
     def runs(self) -> DataFrame:
         return E.run_entities(self.apps)
 
-    def envelopes(self, part_rows: int = E.PART_ROWS) -> DataFrame:
-        return E.envelopes(self.jobs(part_rows), self.runs())
+    def envelopes(self) -> DataFrame:
+        return E.envelopes(self.apps, self.entries(), self.hot())
 
 
 def sql_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:

@@ -21,7 +21,7 @@ from headwater.operators import etl, extract, rddgraph, rollup, routing
 from headwater.plans import facts, pipelines
 from headwater.session import cut_lineage, work_path
 from headwater.sinks import writers as K
-from headwater.skew import lookup_join
+from headwater.skew import find_hot, lookup_join
 from headwater.sources import eventlog, readers
 from headwater.streaming import flush, rollup as stream_rollups
 
@@ -298,7 +298,7 @@ def custom_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = extract.register_rule(
         extract.default_rules(), "filter_step", F.col("node_kind") == "Filter", F.array(step), priority=50
     )
-    nodes = extract.write_inputs(facts.plan_children(spark, sf_dir).transform(_bare), rules)
+    nodes = extract.write_inputs(facts.plan_nodes(spark, sf_dir).transform(_bare), rules)
     return nodes.groupBy("app_id", F.col("name").startswith("//step/").alias("is_step")).agg(
         F.count(F.lit(1)).alias("n"), F.max("name").alias("last_name")
     )
@@ -529,15 +529,6 @@ def _lineage(spark: SparkSession, sf_dir: str, compat: bool = False) -> pipeline
     )
 
 
-def _pairs_text(pairs: str) -> Column:
-    return F.array_join(F.transform(pairs, lambda p: F.concat_ws("*", p["name"], p["times"].cast("string"))), ",")
-
-
-def _map_text(column: str) -> Column:
-    entries = F.array_sort(F.map_entries(column))
-    return F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
-
-
 @query
 def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineage(spark, sf_dir).edges()
@@ -550,12 +541,13 @@ def lineage_edges_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def job_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lineage(spark, sf_dir).jobs().select(
-        "app_id", "host", "sink", "source_name", "part", "name", "resource_name", "type", "schema_url",
-        _map_text("metadata").alias("metadata"),
-        _pairs_text("inputs").alias("inputs"),
-        _pairs_text("outputs").alias("outputs"),
+    """Heads and entries of all job documents in one table."""
+    lineage = _lineage(spark, sf_dir)
+    heads = lineage.jobs().select(
+        "app_id", F.lit(E.HEAD).alias("kind"), F.col("resource_name").alias("key"), F.col("name").alias("value"),
+        "host", "sink", "source_name", "type", "schema_url",
     )
+    return heads.unionByName(lineage.entries(), allowMissingColumns=True)
 
 
 def _named_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -573,41 +565,45 @@ def _status_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes with the metadata of each application and the datasets of its RDD outputs."""
     apps, events = _named_apps(spark, sf_dir), facts.events(spark, sf_dir)
     outputs = rddgraph.rdd_outputs(facts.rdd_output(spark, sf_dir), facts.conf(spark, sf_dir))
-    jobs = E.job_entities(apps, rollup.app_lineage(outputs), rollup.merge_metadata(events))
-    return E.envelopes(jobs, E.run_entities(apps))
+    listed = E.entries(rollup.app_lineage(outputs), rollup.merge_metadata(events))
+    return E.envelopes(apps, listed, find_hot(events, ["app_id"]))
+
+
+def _documents_text(documents: DataFrame) -> DataFrame:
+    return documents.withColumn("items", F.array_join("items", "|"))
 
 
 @query
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _status_documents(spark, sf_dir).select(
-        "app_id", "host", "source_name", "part",
-        F.col("items")[0].alias("job_json"), F.col("items")[1].alias("run_json"),
-    )
+    return _documents_text(_status_documents(spark, sf_dir)).drop("sink")
 
 
 @query
 def publish_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents published to a table by host, read back."""
+    """Documents published twice to a table by host, read back: nothing doubles."""
     path = work_path(spark, "published")
-    K.publish(_status_documents(spark, sf_dir), path)
-    stored = spark.read.parquet(path)
-    return stored.groupBy(F.col("host").cast("string").alias("host")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("app_id").alias("last_app")
-    )
+    for _ in range(2):
+        K.publish(_status_documents(spark, sf_dir), path)
+    return _documents_text(K.read_published(spark, path)).select("app_id", "host", "kind", "key", "items")
+
+
+@query
+def publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents published from a stream."""
+    path = work_path(spark, "published-stream")
+    _status_documents(spark, sf_dir).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
+    writer = stream.writeStream.foreachBatch(K.publish_each(f"{path}/out")).trigger(availableNow=True)
+    writer.option("checkpointLocation", f"{path}/checkpoint").start().awaitTermination()
+    return _documents_text(K.read_published(spark, f"{path}/out")).select("app_id", "host", "kind", "key", "items")
 
 
 @query
 def log_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of logging applications as JSON lines, read back."""
     folder = K.sink_text(K.to_json_lines(_status_documents(spark, sf_dir)), work_path(spark, "logged"))
-    lines = readers.scan_text(spark, folder)
-    parsed = F.from_json("value", "source_name string, part int, items array<string>")
-    docs = lines.select(parsed.alias("d"))
-    return docs.groupBy("d.source_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.size("d.items")).alias("n_items"),
-        F.max(F.get_json_object(F.col("d.items")[0], "$.name")).alias("last_name"),
-    )
+    parsed = F.from_json("value", "source_name string, kind string, key string, items array<string>")
+    return _documents_text(readers.scan_text(spark, folder).select(parsed.alias("d")).select("d.*"))
 
 
 # --- Ordinary ETL -------------------------------------------------------------
@@ -636,40 +632,34 @@ def position_etl(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("report_id"),
         F.expr("cast(o_orderkey % 200 - 100 as double)").alias("latitude"),
         F.expr("cast(o_orderkey % 400 - 200 as double)").alias("longitude"),
-        F.col("o_custkey").alias("vehicle_id"),
+        F.expr("cast(if(o_custkey % 3 = 0, -o_custkey, o_custkey) as int)").alias("vehicle_id"),
         F.expr("if(o_orderstatus = 'P', null, o_orderpriority)").alias("report_hour"),
         F.col("o_orderdate").alias("report_date"),
     )
-    vehicles = facts.table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
-        F.col("c_custkey").alias("id"), F.col("c_name").alias("name")
-    )
-    placed = etl.where_not_null(etl.non_zero_position(etl.valid_position(reports)), "report_hour")
-    joined = etl.left_lookup(placed, vehicles, "vehicle_id", "id", ["report_id"], "bigint")
-    return etl.drop_cols(joined, "report_date", "id", "no_such_column")
+    vehicles = facts.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    return pipelines.reports_with_vehicles(reports, vehicles)
 
 
 @query
 def mixed_type_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items left joined on quantity (double) = part size (int), one row per size on the right."""
-    sizes = facts.table(spark, sf_dir, "part").where("p_size <= 40").groupBy("p_size").agg(
-        F.count(F.lit(1)).alias("n_parts"), F.min("p_partkey").alias("first_part")
+    """Line items as reports and part sizes as vehicles, through the delta demo job: a double equals an int."""
+    lines = facts.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("report_id"), F.col("l_quantity").alias("latitude"), F.lit(0).alias("vehicle_id")
     )
-    lines = facts.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    joined = etl.left_lookup(lines, sizes, "l_quantity", "p_size", ["l_orderkey", "l_partkey"], "double")
-    return joined.groupBy("l_quantity").agg(
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum("n_parts").alias("n_pairs"),
-        F.max("first_part").alias("first_part"),
+    sizes = facts.table(spark, sf_dir, "part").select((F.col("p_size") * 2).alias("vehicle_id")).distinct()
+    return pipelines.reports_with_seen(lines, sizes).groupBy("latitude", "vehicle_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("report_id").alias("last_report")
     )
 
 
 @query
 def left_join_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts up to key 10 in size, left joined to the suppliers of the same number, key dropped."""
-    parts = etl.where_le(facts.table(spark, sf_dir, "part"), "p_size", 10).select("p_partkey", "p_size")
-    suppliers = facts.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    joined = etl.left_join(parts, suppliers, parts["p_partkey"] == suppliers["s_suppkey"])
-    return etl.drop_cols(joined, "s_suppkey")
+    """Parts as call centers up to key 10 and suppliers as vehicles, through the warehouse demo job."""
+    centers = facts.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("CC_CALL_CENTER_SK"), F.col("p_type").alias("CC_CLASS")
+    )
+    vehicles = facts.table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 2).alias("vehicle_id"), "s_name")
+    return pipelines.centers_with_vehicles(centers, vehicles)
 
 
 @query

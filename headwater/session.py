@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,19 +27,15 @@ def local_session(app_name: str = "headwater", cores: str = "*", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees: ``spark.checkpoint.dir``.
+    """The folder that every executor sees: ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session without the setting gets a folder of its own; on a
-    cluster a missing setting is an error, since a machine-local folder would be
-    lost with its machine.
+    What is written there is named by :func:`work_path` and needed only until the
+    results that read it are written; the folder ``headwater`` in it can be removed
+    when no job runs.
     """
-    sc = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="headwater-")
-        sc.setCheckpointDir(folder)
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return folder.rstrip("/")
 
 

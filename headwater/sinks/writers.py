@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from headwater.sources.readers import DELTA, KAFKA, SNOWFLAKE
@@ -43,36 +44,51 @@ def sink_snowflake(
     df.write.format(fmt).options(**dict(options)).option("dbtable", table).mode(mode).save()
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions below a path: folders with a success marker."""
-    jvm = spark._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS"))
-    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done or [])
+COMMIT = "folder string, version bigint"
+
+
+def _commits(spark: SparkSession, path: str) -> list[Row]:
+    """The committed versions of a table, each with the folder of its data.
+
+    If writers met at one number, the folder that sorts first has it.
+    """
+    try:
+        found = spark.read.schema(COMMIT).parquet(f"{path}/commits")
+    except AnalysisException:  # nothing is committed yet
+        return []
+    return found.groupBy("version").agg(F.min("folder").alias("folder")).orderBy("version").collect()
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True if a versioned table has a complete version."""
-    return bool(_versions(spark, path))
+    return bool(_commits(spark, path))
 
 
 def sink_table(df: DataFrame, path: str) -> int:
     """Replace a versioned Parquet table; returns the new version.
 
-    Each write is a new folder, and readers take the newest complete one, so a
-    job may replace a table that it also reads.
+    Each write is a new folder, and readers take the newest committed one, so a job
+    may replace a table that it also reads. The data come first; then the writer
+    claims the next number by a commit record, and where another writer has claimed
+    it, the one after. So no version overwrites another.
     """
-    versions = _versions(df.sparkSession, path)
-    version = versions[-1] + 1 if versions else 1
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
-    return version
+    spark = df.sparkSession
+    folder = f"data-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(f"{path}/{folder}")
+    while True:
+        commits = _commits(spark, path)
+        version = commits[-1].version + 1 if commits else 1
+        record = spark.createDataFrame([(folder,)], "folder string").coalesce(1)
+        record.write.mode("append").parquet(f"{path}/commits/version={version}")
+        if any(c.version == version and c.folder == folder for c in _commits(spark, path)):
+            return version
 
 
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The newest complete version of a versioned table, or the given one."""
-    chosen = version if version is not None else _versions(spark, path)[-1]
-    return spark.read.parquet(f"{path}/version={chosen}")
+    commits = _commits(spark, path)
+    folder = next(c.folder for c in reversed(commits) if version is None or c.version == version)
+    return spark.read.parquet(f"{path}/{folder}")
 
 
 def sink_text(df: DataFrame, base: str) -> str:
@@ -82,17 +98,28 @@ def sink_text(df: DataFrame, base: str) -> str:
     return path
 
 
-def publish(envelopes: DataFrame, path: str) -> None:
-    """Append documents whose application publishes, one folder per host.
+def publish(envelopes: DataFrame, path: str, batch: int = 0) -> None:
+    """Write documents whose application publishes, one folder per host.
 
-    The rebalance gathers a host's documents into few files, and splits a host
-    that is too large for one task.
+    A batch has a folder of its own and replaces it when it is published again, so
+    nothing doubles. The rebalance gathers a host's documents into few files, and
+    splits a host that is too large for one task.
     """
     chosen = envelopes.where(F.col("sink") == "publish").hint("rebalance", "host")
-    chosen.write.partitionBy("host").mode("append").parquet(path)
+    chosen.write.partitionBy("host").mode("overwrite").parquet(f"{path}/batch={batch}")
+
+
+def publish_each(path: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function that publishes a stream of documents."""
+    return lambda batch, number: publish(batch, path, number)
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """All published documents."""
+    return spark.read.parquet(path).withColumn("host", F.col("host").cast("string"))
 
 
 def to_json_lines(envelopes: DataFrame) -> DataFrame:
     """Documents of the applications that only log, one JSON text per row."""
     logged = envelopes.where(F.col("sink") == "log")
-    return logged.select(F.to_json(F.struct("source_name", "part", "items")).alias("value"))
+    return logged.select(F.to_json(F.struct("source_name", "kind", "key", "items")).alias("value"))

@@ -4,8 +4,11 @@ from headwater.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("headwater-tests", "4", **{"spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(
+        "headwater-tests", "4", **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared}
+    )
     yield session
     session.stop()
 

@@ -91,14 +91,35 @@ def test_versioned_table_survives_its_own_overwrite(spark, rows, tmp_path):
 
 def test_publish_and_log(spark, rows, tmp_path):
     docs = spark.createDataFrame(
-        [("a", "h1", "publish", "//s", 0, ["j", "r"]), ("b", "h2", "publish", "//s", 0, ["j", "r"]), ("c", "h1", "log", "//t", 1, ["j", "r"])],
-        "app_id string, host string, sink string, source_name string, part int, items array<string>",
-    )
+        [("a", "h1", "publish", "//s", "head", "//j", ["j", "r"]), ("b", "h2", "publish", "//s", "input", "//d", ["e"]),
+         ("c", "h1", "log", "//t", "head", "//k", ["j", "r"])],
+        "app_id string, host string, sink string, source_name string, kind string, key string, items array<string>",
+    )
     for _ in range(2):
         K.publish(docs, f"{tmp_path}/p")
-    assert rows(spark.read.parquet(f"{tmp_path}/p"), "app_id", "host") == [("a", "h1")] * 2 + [("b", "h2")] * 2
-    assert (tmp_path / "p" / "host=h1").is_dir()
-    assert rows(K.to_json_lines(docs)) == [('{"source_name":"//t","part":1,"items":["j","r"]}',)]
+    assert rows(K.read_published(spark, f"{tmp_path}/p"), "app_id", "host") == [("a", "h1"), ("b", "h2")]
+    K.publish(docs, f"{tmp_path}/p", batch=1)
+    assert K.read_published(spark, f"{tmp_path}/p").count() == 4
+    assert (tmp_path / "p" / "batch=0" / "host=h1").is_dir()
+    assert rows(K.to_json_lines(docs)) == [('{"source_name":"//t","kind":"head","key":"//k","items":["j","r"]}',)]
+
+
+def test_two_writers_at_one_number_keep_both_versions(spark, rows, tmp_path, monkeypatch):
+    """The second writer sees no commit at first, as if both had started together."""
+    path = str(tmp_path / "t")
+    assert K.sink_table(spark.createDataFrame([(1,)], "n int"), path) == 1
+    real, blind = K._commits, [True]
+
+    def once_blind(session, where):
+        return [] if blind and blind.pop() else real(session, where)
+
+    monkeypatch.setattr(K, "_commits", once_blind)
+    version = K.sink_table(spark.createDataFrame([(2,)], "n int"), path)
+    assert version in (1, 2)
+    monkeypatch.setattr(K, "_commits", real)
+    folders = {c.version: c.folder for c in K._commits(spark, path)}
+    assert len(folders) == version and len(set(folders.values())) == len(folders)
+    assert version == 1 or rows(K.read_table(spark, path)) == [(2,)]
 
 
 class Calls:

@@ -6,6 +6,7 @@ from headwater import schemas as S
 from headwater.operators import conf as C
 from headwater.operators import entities as E
 from headwater.operators import rollup, routing
+from headwater.skew import find_hot
 
 ITEMS = "app_id string, dep_id bigint, direction string, node_id bigint, item bigint, name string, error string"
 KEY = S.EXECUTION_ID_KEY
@@ -129,7 +130,7 @@ def test_routes(spark, rows):
     ]
 
 
-def test_documents_in_parts_hold_everything(spark):
+def test_documents_have_one_layout(spark, rows):
     events = conf_events(spark)
     apps = E.with_names(rollup.rollup_apps(events), C.route_apps(events, C.conf_kv(events)))
     lineage = spark.createDataFrame(
@@ -137,26 +138,43 @@ def test_documents_in_parts_hold_everything(spark):
         "app_id string, direction string, name string, n bigint",
     )
     metadata = spark.createDataFrame([("ok", f"k{i}", f"v{i}") for i in range(30)], "app_id string, key string, value string")
-    for part_rows in (10, 10_000):
-        jobs = E.job_entities(apps, lineage, metadata, part_rows)
-        parts = jobs.where("app_id = 'ok'").collect()
-        assert len(parts) == (1 if part_rows > 150 else 15)
-        assert max(len(p["inputs"]) + len(p["outputs"]) + len(p["metadata"]) for p in parts) <= 3 * part_rows
-        inputs = sorted((i["name"], i["times"]) for p in parts for i in p["inputs"])
-        assert inputs == sorted((f"//input/{i}", i + 1) for i in range(60))
-        assert {k: v for p in parts for k, v in p["metadata"].items()} == {f"k{i}": f"v{i}" for i in range(30)}
-    runs = E.run_entities(apps)
-    empty = jobs.where("app_id = 'none'").collect()
-    assert [(p["part"], p["inputs"], p["metadata"]) for p in empty] == [(0, [], {})]
-    document = E.envelopes(jobs, runs).where("app_id = 'ok'").first()
-    job, run = (json.loads(text) for text in document["items"])
-    assert document["source_name"] == "//spark/host/h"
+    documents = E.envelopes(apps, E.entries(lineage, metadata))
+    heads = {r.app_id: r for r in documents.where("kind = 'head'").collect()}
+    assert set(heads) == {"none", "off", "bad", "ok", "nokey"}, "an application without entries still has its head"
+    job, run = (json.loads(text) for text in heads["ok"]["items"])
+    assert heads["ok"]["source_name"] == "//spark/host/h"
     assert (job["type"], job["resource_name"]) == ("JOB", "//spark/host/h/jobs/ok")
     assert run == {
         "name": "ok-8000", "resource_name": "//spark/host/h/jobs/ok/runs/8000", "type": "JOB_RUN",
         "transformer": "//spark/host/h/jobs/ok", "start_time": "1970-01-01T00:00:01.000Z",
         "end_time": "1970-01-01T00:00:08.000Z", "status": "SUCCESS",
     }
+    listed = documents.where("kind <> 'head'").collect()
+    found = {(r.kind, r.key, json.loads(r["items"][0])["value"]) for r in listed}
+    assert len(listed) == 150
+    assert found == {(d, f"//{d}/{i}", str(i + 1)) for d in ("input", "output") for i in range(60)} | {
+        ("metadata", f"k{i}", f"v{i}") for i in range(30)
+    }
+
+
+def test_documents_of_a_large_application_are_spread(spark):
+    """One application holds a third of all entries: they lie in several tasks."""
+    events = conf_events(spark)
+    apps = E.with_names(rollup.rollup_apps(events), C.route_apps(events, C.conf_kv(events)))
+    names = [("ok" if i % 3 == 0 else f"other{i}", "input", f"//d/{i}", 1) for i in range(3000)]
+    listed = E.entries(
+        spark.createDataFrame(names, "app_id string, direction string, name string, n bigint"),
+        spark.createDataFrame([], "app_id string, key string, value string"),
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        documents = E.envelopes(apps, listed, find_hot(listed, ["app_id"], share=0.05)).where("kind = 'input'")
+        parts = documents.select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert parts > 1
 
 
 def test_an_application_without_ended_jobs(spark):
