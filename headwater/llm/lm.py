@@ -44,7 +44,7 @@ from headwater.session import cut_lineage
 
 DISCOUNT = 0.75
 FREQUENT = 1 << 17
-BATCH_TOKENS = 2_000_000
+BATCH_TOKENS = 1_200_000
 START, END = np.uint64(1), np.uint64(2)
 _SPLIT = np.uint64(0x9E3779B97F4A7C15)
 SUMS, TEXTS, ASKED, COUNTS = range(4)  # kinds of messages
@@ -340,7 +340,9 @@ def _score_shard(unigrams: Unigrams):
         begins = np.flatnonzero(new)
         shard = Shard(contexts[begins], successors[begins], np.add.reduceat(counts, begins), unigrams)
         out = []
-        for row, (contexts, degrees, successors, _, occurrences) in zip(rows, read):
+        asking: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        names = np.array([row["batch"] for row in rows], np.int64)
+        for number, (row, (contexts, degrees, successors, _, occurrences)) in enumerate(zip(rows, read)):
             name = row["batch"]
             if row["ids"] is not None:
                 heads = (row[x] for x in ("ids", "id_null", "held_out", "n_tokens"))
@@ -352,17 +354,17 @@ def _score_shard(unigrams: Unigrams):
             known = np.repeat((total > 0) & word, occurrences)
             base = np.repeat(np.where(word, np.log10(total + 0.5), 0.0), occurrences)
             out.append(_sums(name, text, known, base, np.repeat(log, occurrences)))
-            if asked.any():
-                words, texts = np.repeat(successors, occurrences), text
-                pick = np.repeat(asked, occurrences)
-                words, texts = words[pick], texts[pick]
-                home = _home(words, unigrams.shards)
-                order = np.lexsort((words, home))
-                words, texts = words[order], texts[order].astype(np.uint32)
-                for target, part in _slices(home[order]):
-                    distinct, first = np.unique(words[part], return_index=True)
-                    sizes = np.diff(np.append(first, part.stop - part.start)).astype(np.uint32)
-                    out.append(_message(ASKED, target, name, distinct, sizes, texts[part]))
+            pick = np.repeat(asked, occurrences)
+            asking.append((np.repeat(successors, occurrences)[pick], text[pick], np.full(int(pick.sum()), number)))
+        # one message to each shard that is asked, for all batches together
+        words, texts, numbers = (np.concatenate(x) for x in zip(*asking))
+        home = _home(words, unigrams.shards)
+        order = np.lexsort((words, home))
+        words, places = words[order], np.stack([texts[order], numbers[order]], axis=1).astype(np.uint32)
+        for target, part in _slices(home[order]):
+            distinct, first = np.unique(words[part], return_index=True)
+            sizes = np.diff(np.append(first, part.stop - part.start)).astype(np.uint32)
+            out.append(_message(ASKED, target, -1, distinct, sizes, places[part], names))
         return _messages(out)
 
     return run
@@ -377,19 +379,26 @@ def _answer_counts(unigrams: Unigrams):
         for row in rows:
             if row["kind"] == COUNTS:
                 words, counts = np.frombuffer(row["a"], np.uint64), np.frombuffer(row["b"], np.int64)
-        out = []
+        answers: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for row in rows:
             if row["kind"] == ASKED:
                 asked = np.frombuffer(row["a"], np.uint64)
                 sizes = np.frombuffer(row["b"], np.uint32).astype(np.int64)
-                text = np.frombuffer(row["c"], np.uint32).astype(np.int64)
+                places = np.frombuffer(row["c"], np.uint32).astype(np.int64).reshape(-1, 2)
                 found = np.zeros(len(asked), np.int64)
                 if len(words):
                     at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
                     found = np.where(words[at] == asked, counts[at], 0)
                 log = np.repeat(np.log10(found + 0.5) - unigrams.log_whole(), sizes)
-                none = np.zeros(len(text))
-                out.append(_sums(row["batch"], text, none, none, log))
+                answers.append((np.frombuffer(row["d"], np.int64)[places[:, 1]], places[:, 0], log))
+        out = []
+        if answers:
+            name, text, log = (np.concatenate(x) for x in zip(*answers))
+            order = np.lexsort((log, text, name))  # one order of adding, whatever arrives first
+            name, text, log = name[order], text[order], log[order]
+            for batch, part in _slices(name):
+                none = np.zeros(part.stop - part.start)
+                out.append(_sums(batch, text[part], none, none, log[part]))
         return _messages(out)
 
     return run
