@@ -24,7 +24,7 @@ URI_HOST_PORT = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*://)?(?:[^@/?#]*@)?([^/?#]+)"
 BAD_URI = r"[\s<>\"{}|\\^`]|%([^0-9A-Fa-f]|[0-9A-Fa-f][^0-9A-Fa-f]|[0-9A-Fa-f]?$)|^:|^[^:/?#]+:(//)?$"
 # A second "//" in what follows the scheme, with something behind it.
 SECOND_SLASHES = r"^[^/]*(?:/[^/]+)*//(?://)*(?:[^/]|/(?:[^/]|$))"
-JDBC_URL = r"^(?i:jdbc:(mysql|postgresql))://(?:[^@/]*@)?([^:/?,;]+)[^/]*/([^/?;]+)"
+JDBC_URL = r"^(?i:jdbc:(mysql|postgresql))://(?:[^@/?]*@)?(\[[0-9A-Fa-f:.]+\]|[^:/?,;\[\]]+)[^/?;]*/([^/?;]+)"
 
 # Name kinds of the known databases, and the AWS endpoint domain.
 MYSQL = "mysql"

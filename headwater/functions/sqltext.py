@@ -1,10 +1,11 @@
 """Table references in SQL text, by patterns on a text column.
 
-This is a heuristic over text, not a grammar. It knows comments, string
-literals, quoted names, comma lists, nested selects, common table expressions
-and the ``from`` of functions such as ``extract(... from ...)``. A table that
-follows a derived table in a comma list (``from (select ...) q, t``) is not
-seen.
+This is a heuristic over text, not a grammar. It knows comments, string literals,
+quoted names, comma lists, nested selects and joins, common table expressions, table
+functions and the ``from`` of functions such as ``extract(... from ...)``. Parentheses
+are peeled from the inside, a bounded number of times, so that each statement is
+read without the ones inside it; tables of outer statements come first. A name that is
+a common table expression anywhere in the text counts as one everywhere.
 """
 
 from __future__ import annotations
@@ -28,6 +29,23 @@ CTE_NAME = rf"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)({_ATOM})\s*(?:\([^()]*\)\s
 PLAIN_TABLE = rf"^\s*{IDENTIFIER}\s*$"
 
 
+# Private characters stand for quoted names (with their number) and for groups in parentheses.
+_OPEN, _CLOSE, _GROUP = "\ue000", "\ue001", "\ue002"
+_DEPTH = 10
+_QUOTED = r"\"[^\"]+\"|`[^`]+`|\[[^\]]+\]"
+_PART = rf"(?:{_OPEN}\d+{_CLOSE}|{_WORD})"
+_NAME = rf"{_PART}(?:\s*\.\s*{_PART})*"
+_INNERMOST = r"\(([^()]*)\)"
+# A list of tables ends where another part of the statement begins.
+_LIST = (
+    r"(?is)\b(?:from|join)\s+(.*?)(?=\b(?:where|group|order|having|limit|union|intersect|except|on|using|join|left|right"
+    r"|inner|outer|full|cross|natural|window|qualify|select|from|returning|fetch|offset|set|when)\b|;|$)"
+)
+_ITEM = rf"(?i)^\s*(?:(?:lateral|only)\s+)*({_NAME}(?:\s*{_GROUP})?)"
+_CTE = rf"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)({_PART})\s*(?:{_GROUP}\s*)?as\s*(?:(?:not\s+)?materialized\s*)?{_GROUP}"
+_JOIN_GROUP = rf"(?is)^\s*(?!(?:select|with|values)\b)(?:{_NAME}|{_GROUP})\s.*\bjoin\b"
+
+
 def _tight(name: Column) -> Column:
     """``a . b`` as ``a.b``."""
     return F.when(name.contains("."), F.regexp_replace(name, r"\s*\.\s*", ".")).otherwise(name)
@@ -44,7 +62,7 @@ def _clean(sql: Column) -> Column:
     return F.regexp_replace(quiet, OTHER_FROM, " ")
 
 
-def _references(text: Column, compat: bool) -> Column:
+def _references(text: Column) -> Column:
     items = F.split(F.array_join(F.regexp_extract_all(text, F.lit(REFERENCES), F.lit(1)), ","), ",")
     names = F.transform(items, lambda item: F.regexp_extract(item, FIRST_NAME, 1))
     tables = F.filter(names, lambda name: (name != "") & ~name.endswith("("))
@@ -54,21 +72,79 @@ def _references(text: Column, compat: bool) -> Column:
 
     ctes = F.transform(F.regexp_extract_all(text, F.lit(CTE_NAME), F.lit(1)), lambda name: F.lower(name))
     found = F.when(text.rlike(r"(?i)^\s*with\b"), let(ctes, without)).otherwise(tables)
-    return F.array_distinct(F.transform(found, _tight if compat else _strip_quotes))
+    return F.array_distinct(F.transform(found, _tight))
+
+
+def _statements(text: Column) -> Column:
+    """The text with its groups replaced by a mark, then the groups that are statements or joins, outer first."""
+    start = F.struct(text.alias("text"), F.array().cast("array<string>").alias("inner"))
+    peeled = F.aggregate(
+        F.sequence(F.lit(1), F.lit(_DEPTH)),
+        start,
+        lambda left, _: F.struct(
+            F.regexp_replace(left["text"], _INNERMOST, f" {_GROUP} ").alias("text"),
+            F.concat(F.regexp_extract_all(left["text"], F.lit(_INNERMOST), F.lit(1)), left["inner"]).alias("inner"),
+        ),
+    )
+
+    def every(result: Column) -> Column:
+        joins = F.transform(result["inner"], lambda g: F.when(g.rlike(_JOIN_GROUP), F.concat(F.lit("select from "), g)).otherwise(g))
+        return F.concat(F.array(result["text"]), F.filter(joins, lambda g: g.rlike(r"(?i)\bselect\b")))
+
+    return let(peeled, every)
+
+
+def _found(text: Column) -> Column:
+    """Distinct names in the lists of tables of a text whose quoted names are replaced."""
+
+    def names(statements: Column) -> Column:
+        lists = F.flatten(F.transform(statements, lambda s: F.regexp_extract_all(s, F.lit(_LIST), F.lit(1))))
+        items = F.split(F.array_join(lists, ","), ",")
+        first = F.transform(items, lambda item: F.regexp_extract(item, _ITEM, 1))
+        ctes = F.flatten(F.transform(statements, lambda s: F.regexp_extract_all(s, F.lit(_CTE), F.lit(1))))
+        lowered = F.transform(ctes, lambda name: F.lower(name))
+        tables = F.filter(first, lambda name: (name != "") & ~name.endswith(_GROUP))
+        return let(lowered, lambda known: F.filter(tables, lambda name: ~F.array_contains(known, F.lower(name))))
+
+    return F.array_distinct(F.transform(let(_statements(text), names), _tight))
+
+
+def _plain_tables(text: Column) -> Column:
+    quoted = F.regexp_extract_all(text, F.lit(_QUOTED), F.lit(0))
+
+    def tables(names: Column) -> Column:
+        between = F.split(text, _QUOTED)
+        marked = F.transform(
+            between,
+            lambda part, i: F.when(
+                i < F.size(names), F.concat(part, F.lit(_OPEN), i.cast("string"), F.lit(_CLOSE))
+            ).otherwise(part),
+        )
+
+        def unquoted(part: Column) -> Column:
+            number = F.regexp_extract(part, rf"{_OPEN}(\d+){_CLOSE}", 1).try_cast("int")
+            name = F.get(names, number)
+            return F.when(part.startswith(_OPEN), F.substring(name, F.lit(2), F.length(name) - 2)).otherwise(part)
+
+        found = _found(F.array_join(marked, ""))
+        return F.transform(found, lambda name: F.array_join(F.transform(F.split(name, r"\."), unquoted), "."))
+
+    return F.array_distinct(let(quoted, tables))
 
 
 def sql_tables(sql: Column, compat: bool = False) -> Column:
-    """Distinct table names after FROM and JOIN, in order of appearance.
+    """Distinct table names after FROM and JOIN.
 
-    ``compat`` keeps quotes around names, and gives nothing for a text whose
-    parentheses do not pair up, as a grammar would.
+    ``compat`` reads the text in one go, without peeling; it keeps quotes around
+    names, and gives nothing for a text whose parentheses do not pair up, as a
+    grammar would.
     """
+    if not compat:
+        return let(_clean(sql), _plain_tables)
 
     def tables(text: Column) -> Column:
-        if not compat:
-            return _references(text, compat)
         opened, closed = (F.length(F.translate(text, mark, "")) for mark in "()")
-        return F.when(opened == closed, _references(text, compat)).otherwise(F.array().cast("array<string>"))
+        return F.when(opened == closed, _references(text)).otherwise(F.array().cast("array<string>"))
 
     return let(_clean(sql), tables)
 

@@ -631,30 +631,19 @@ select s_suppkey,
   case when r is null then 'MISSING_OPTION' when r >= 3 then 'UNSUPPORTED_DATABASE' end as error
 from t"""
 
-ORACLE["sql_tables_of_text"] = r"""
+# the names that each shape of statement was made of
+ORACLE["sql_tables_of_text"] = """
 with t as (
-  select p_partkey, case p_partkey % 6
-    when 0 then 'select * from part_' || p_size || ' r left join supplier_' || (p_partkey % 9) || ' v on r.k = v.k'
-    when 1 then 'WITH c AS (select * from base_' || p_size || ') select * from c join dim_' || lower(p_type) || ' d on c.k = d.k'
-    when 2 then 'select a from t1_' || p_size || ' x, t2_' || p_size || ' as y, t1_' || p_size || ' z where x.k = y.k'
-    when 3 then 'select extract(year from d) from (select d from inner_' || p_size || ') q where a is distinct from b'
-    when 4 then 'select ''from ghost'' s from real_' || p_size || ' -- join hidden' || chr(10) || '/* from x */ JOIN db.other_' || p_size || ' on 1=1'
-    else 'select * from "S' || p_size || '"."T" t join `b`.`c` u on 1=1 join generate_series(1, 2) g on 1=1' end as text
-  from part),
-clean as (
-  select p_partkey, lower(text) like 'with c %' as has_cte, regexp_replace(regexp_replace(regexp_replace(
-    text, '''[^'']*''|--[^\n]*|/\*[^*]*\*/', ' ', 'g'), 'extract\([^()]*\)', ' ', 'g'), 'is distinct from', ' ', 'g') as text
-  from t),
-refs as (
-  select p_partkey, has_cte, regexp_extract_all(text, '(?i)\b(?:from|join)\s+((?:[\w."`]+(?:\s+(?:as\s+)?\w+)?\s*,\s*)*[\w."`]+\(?)', 1) as lists
-  from clean),
-names as (
-  select p_partkey, list_filter(list_transform(flatten(list_transform(lists, lambda x: string_split(x, ','))),
-    lambda x: regexp_replace(regexp_extract(x, '^\s*([\w."`]+\(?)', 1), '["`]', '', 'g')),
-    lambda x: x <> '' and not ends_with(x, '(') and not (has_cte and x = 'c')) as names
-  from refs),
-uniq as (select p_partkey, list_filter(names, lambda x, i: list_position(names, x) = i) as names from names)
-select p_partkey, array_to_string(names, ',') as tables, len(names)::int as n_tables from uniq"""
+  select p_partkey, case p_partkey % 14
+    when 0 then ['part_' || p_size, 'supplier_' || (p_partkey % 9)] when 1 then ['dim_' || lower(split_part(p_type, ' ', 1)), 'base_' || p_size]
+    when 2 then ['t1_' || p_size, 't2_' || p_size] when 3 then ['inner_' || p_size]
+    when 4 then ['real_' || p_size, 'db.other_' || p_size] when 5 then ['S' || p_size || '.T', 'b.c']
+    when 6 then ['a' || p_size, 'b'] when 7 then ['t' || p_size] when 8 then ['t', 'i' || p_size]
+    when 9 then ['t' || p_size] when 10 then ['a,' || p_size] when 11 then ['t1', 't' || p_size]
+    when 12 then ['t' || p_size, 'u'] else ['l' || p_size, 'w'] end as names
+  from part)
+select p_partkey, array_to_string(list_distinct_in_order, ',') as tables, len(list_distinct_in_order)::int as n_tables
+from (select p_partkey, list_filter(names, lambda x, i: list_position(names, x) = i) as list_distinct_in_order from t)"""
 
 ORACLE["snake_names"] = r"""
 with t as (

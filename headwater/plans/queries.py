@@ -403,15 +403,23 @@ def jdbc_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sql_tables_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table references of one statement per part, in six shapes."""
+    """Table references of one statement per part, in fourteen shapes."""
     text = F.expr(
-        """case p_partkey % 6
+        """case p_partkey % 14
              when 0 then concat('select * from part_', p_size, ' r left join supplier_', p_partkey % 9, ' v on r.k = v.k')
              when 1 then concat('WITH c AS (select * from base_', p_size, ') select * from c join dim_', lower(p_type), ' d on c.k = d.k')
              when 2 then concat('select a from t1_', p_size, ' x, t2_', p_size, ' as y, t1_', p_size, ' z where x.k = y.k')
              when 3 then concat('select extract(year from d) from (select d from inner_', p_size, ') q where a is distinct from b')
              when 4 then concat('select ''from ghost'' s from real_', p_size, ' -- join hidden', chr(10), '/* from x */ JOIN db.other_', p_size, ' on 1=1')
-             else concat('select * from "S', p_size, '"."T" t join `b`.`c` u on 1=1 join generate_series(1, 2) g on 1=1') end"""
+             when 5 then concat('select * from "S', p_size, '"."T" t join `b`.`c` u on 1=1 join generate_series(1, 2) g on 1=1')
+             when 6 then concat('select * from (a', p_size, ' x join b on x.k = b.k) j')
+             when 7 then concat('select * from (with c as (select * from t', p_size, ') select * from c) q')
+             when 8 then concat('select * from (select x from i', p_size, ') q, t')
+             when 9 then concat('select * from only t', p_size)
+             when 10 then concat('select * from "a,', p_size, '" x')
+             when 11 then concat('select * from t1 x (c1, c2), t', p_size)
+             when 12 then concat('select * from t', p_size, ' tablesample (10), u cross join lateral f(a.b) z')
+             else concat('select * from l', p_size, ', (values (1)) v, w') end"""
     )
     tables = facts.table(spark, sf_dir, "part").select("p_partkey", sql_tables(text).alias("tables"))
     return tables.select("p_partkey", F.array_join("tables", ",").alias("tables"), F.size("tables").alias("n_tables"))

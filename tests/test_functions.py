@@ -98,6 +98,8 @@ MYSQL = "//mysql/host/shop-db/databases/shop/tables/"
         ("jdbc:postgresql://h:5432/d", "s.t", True, "//postgresql/host/h/databases/d/schemas/public/tables/s.t"),
         ("jdbc:sqlserver://h:1433;databaseName=d", "t", False, None),
         (None, "t", False, None),
+        ("jdbc:mysql://h?x=/a", "t", False, None),
+        ("jdbc:postgresql://[::1]:5432/db", "t", False, "//postgresql/host/[::1]/databases/db/schemas/public/tables/t"),
     ],
 )
 def test_jdbc_name(value, url, table, compat, expected):
@@ -119,6 +121,18 @@ def test_jdbc_name(value, url, table, compat, expected):
         ("select * from (select * from n1 where x in (select y from n2)) q", ["n1", "n2"]),
         ("select * from s . t", ["s.t"]),
         ("select 1", []),
+        ("select * from (a join b on a.x = b.x) j", ["a", "b"]),
+        ("select * from ((a join b on a.x = b.x) join c on 1 = 1)", ["c", "a", "b"]),
+        ("select * from (with c as (select * from t) select * from c) q", ["t"]),
+        ("select * from (select x from i) q, t", ["t", "i"]),
+        ("select * from only t", ["t"]),
+        ('select * from "a,b" x', ["a,b"]),
+        ("select * from t1 x (c1, c2), t2", ["t1", "t2"]),
+        ("select * from a cross join lateral f(a.b) z", ["a"]),
+        ("select * from t tablesample (10), u", ["t", "u"]),
+        ("select * from l, (values (1)) v, w", ["l", "w"]),
+        ("select a from t union select b from u order by 1", ["t", "u"]),
+        ("insert into o select f(x, (select max(y) from m)) from n where g(h(i(1))) > 0", ["n", "m"]),
     ],
 )
 def test_tables_in_sql_text(value, sql, expected):
