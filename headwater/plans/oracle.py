@@ -909,3 +909,21 @@ ORACLE["event_log_rdds"] = """
 with t as (select regexp_replace(o_orderpriority, '[^A-Z0-9]', '-', 'g') as app_id, o_orderkey from orders)
 select app_id, o_orderkey as job_id, 2 * o_orderkey as rdd_id, 0 as item, 's3a://logs/' || o_orderkey as path, 1 as n_children from t
 union all select app_id, o_orderkey, 2 * o_orderkey, 1, 's3a://logs/all', 1 from t"""
+
+LOG_APP = "regexp_replace(o_orderpriority, '[^A-Z0-9]', '-', 'g') as app_id"
+ORACLE["event_log_lineage"] = f"""
+with o as (select {LOG_APP}, * from orders)
+select app_id, 'input' as direction, '//s3/cloud/aws/buckets/tables/keys/' || (o_custkey % 5) as name, 1 as n
+from o where o_orderstatus <> 'P' group by app_id, o_custkey % 5
+union all select app_id, 'input', '//s3/cloud/aws/buckets/logs/keys/' || o_orderkey, 1 from o where o_orderstatus = 'P'
+union all select app_id, 'input', '//s3/cloud/aws/buckets/logs/keys/all', count(*) from o where o_orderstatus = 'P' group by app_id"""
+ORACLE["event_log_names"] = f"""
+with o as (select {LOG_APP}, o_orderkey, 's3a://logs/' || o_orderkey || ',s3a://logs/all' as list from orders)
+select app_id, o_orderkey as job_id, 2 * o_orderkey as rdd_id, list as name from o
+union all select app_id, o_orderkey, 2 * o_orderkey + 1, 'map_partitions_' || list from o"""
+ORACLE["event_log_unreadable"] = f"""
+select app_id, count(*) as n, max(len(line))::int as longest from (
+  select {LOG_APP}, '{{"Event":"SparkListenerJobEnd","Job ID":' || o_orderkey || ',"Completion Time":' || (epoch_ms(o_orderdate) + 3600000)
+    || ',"Job Result":{{"Result":"' || case when o_orderstatus = 'F' then 'JobFailed","Exception":{{"Message":"lost"}}}}'
+    else 'JobSucceeded"}}' end as line
+  from orders where o_orderkey % 10 = 7) group by app_id"""

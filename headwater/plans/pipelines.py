@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from headwater import schemas as S
 from headwater.operators import conf as C
 from headwater.operators import entities as E
 from headwater.operators import etl, extract, rddgraph, rollup, routing
 from headwater.operators.conf import KEYS, ConfKeys
 from headwater.session import cut_lineage
 from headwater.skew import find_hot
+from headwater.sources import eventlog
 
 
 @dataclass(frozen=True)
@@ -26,6 +28,8 @@ class Facts:
     rdd_roots: DataFrame
     rdd_output: DataFrame
     conf: DataFrame | None = None
+    # the RDDs that each job depends on, where they are known without following the edges
+    rdd_closure: DataFrame | None = None
 
     def conf_kv(self) -> DataFrame:
         return self.conf if self.conf is not None else C.conf_kv(self.events)
@@ -72,7 +76,10 @@ def rdd_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> Data
     """Lineage items of the RDD jobs."""
     conf, job = facts.conf_kv(), ["app_id", "job_id"]
     jobs = routing.classify_jobs(facts.events).where(F.col("job_kind") == "rdd").select(*job).distinct()
-    closure = rddgraph.ancestors(facts.rdd_edges, facts.rdd_roots.join(jobs, job, "left_semi"))
+    if facts.rdd_closure is not None:
+        closure = facts.rdd_closure.join(jobs, job, "left_semi")
+    else:
+        closure = rddgraph.ancestors(facts.rdd_edges, facts.rdd_roots.join(jobs, job, "left_semi"))
     inputs = rddgraph.rdd_inputs(closure, facts.rdd_nodes, conf, keys, compat)
     outputs = rddgraph.rdd_outputs(facts.rdd_output.join(jobs, job, "left_semi"), conf, keys, compat)
     return inputs.unionByName(outputs)
@@ -94,6 +101,20 @@ def build_lineage(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) ->
     return Lineage(apps, items, rollup.app_lineage(items), rollup.merge_metadata(facts.events))
 
 
+def facts_of_log(spark: SparkSession, path: str, app_id_pattern: str = eventlog.APP_ID_IN_PATH) -> Facts:
+    """The facts that event logs hold. A job's stages list its RDDs, so no edges are followed."""
+    nodes = eventlog.scan_rdd_nodes(spark, path, app_id_pattern)
+    return Facts(
+        eventlog.scan_events(spark, path, app_id_pattern),
+        eventlog.scan_plan_nodes(spark, path, app_id_pattern),
+        nodes,
+        eventlog.scan_rdd_edges(spark, path, app_id_pattern),
+        eventlog.scan_rdd_roots(spark, path, app_id_pattern),
+        spark.createDataFrame([], S.RDD_OUTPUT),
+        rdd_closure=nodes.select(*rddgraph.NODE),
+    )
+
+
 # --- The demo ETL jobs, on any tables of the same shape ---------------------
 
 

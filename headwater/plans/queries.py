@@ -744,12 +744,16 @@ def versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOG_FOLDER_APP = r"/app=([^/]+)/"
 
 
-def _write_log(spark: SparkSession, sf_dir: str) -> str:
-    """Orders as event-log lines: one folder per priority, which is the application."""
+def _write_log(spark: SparkSession, sf_dir: str, plans: bool = False) -> str:
+    """Orders as event-log lines: one folder per priority, which is the application.
+
+    With ``plans`` there are starts of SQL executions with a scan, and some lines are cut off.
+    """
     path = work_path(spark, "eventlog")
     rows = facts.table(spark, sf_dir, "orders").select(
         F.regexp_replace("o_orderpriority", "[^A-Z0-9]", "-").alias("app"),
         "o_orderkey",
+        "o_custkey",
         "o_orderstatus",
         X.utc_ms(F.col("o_orderdate")).alias("ms"),
     )
@@ -789,7 +793,20 @@ def _write_log(spark: SparkSession, sf_dir: str) -> str:
         )
     )
     other = F.lit('{"Event":"SparkListenerBlockManagerAdded","Timestamp":1}')
-    lines = rows.select("app", F.explode(F.array(start, end, other)).alias("value"))
+    texts = [start, end, other]
+    if plans:
+        scan = F.format_string(
+            '{"nodeName":"Scan parquet","metadata":{"Location":"InMemoryFileIndex(1 paths)[s3a://tables/%d]"},"children":[]}',
+            F.col("o_custkey") % 5,
+        )
+        plan = F.concat(F.lit('{"nodeName":"Project","metadata":{},"children":['), scan, F.lit("]}"))
+        sql = F.concat(
+            F.lit(f'{{"Event":"{S.SQL_START}","executionId":'), F.col("o_orderkey").cast("string"), F.lit(',"time":'),
+            F.col("ms").cast("string"), F.lit(',"sparkPlanInfo":'), plan, F.lit("}"),
+        )
+        cut = F.when(F.col("o_orderkey") % 10 == 7, F.substring(end, F.lit(1), F.length(end) - 1))
+        texts += [F.when(status != "P", sql), cut]
+    lines = rows.select("app", F.explode(F.array_compact(F.array(*texts))).alias("value"))
     lines.write.partitionBy("app").text(path)
     return path
 
@@ -813,6 +830,28 @@ def event_log_rdds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rddgraph.explode_input_paths(nodes).join(children, rddgraph.NODE, "left")
 
 
+@query
+def event_log_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Datasets of each application, from nothing but its event log."""
+    log = pipelines.facts_of_log(spark, _write_log(spark, sf_dir, plans=True), LOG_FOLDER_APP)
+    return pipelines.build_lineage(log).datasets
+
+
+@query
+def event_log_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage names of the RDDs in the event log."""
+    path = _write_log(spark, sf_dir)
+    nodes = eventlog.scan_rdd_nodes(spark, path, LOG_FOLDER_APP)
+    return rddgraph.lineage_names(nodes, eventlog.scan_rdd_edges(spark, path, LOG_FOLDER_APP))
+
+
+@query
+def event_log_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the log that were cut off."""
+    lines = eventlog.scan_unreadable(spark, _write_log(spark, sf_dir, plans=True), LOG_FOLDER_APP)
+    return lines.groupBy("app_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("line")).alias("longest"))
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = facts.table(spark, sf_dir, "events").schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)

@@ -50,9 +50,16 @@ LOG_LINE = T.StructType(
         T.StructField("Spark Properties", S.STRING_MAP),
         T.StructField("executionId", T.LongType()),
         T.StructField("time", T.LongType()),
+        T.StructField("sparkPlanInfo", T.StringType()),
+        T.StructField("unreadable", T.StringType()),
     ]
 )
 
+# How a log names RDDs after their classes or paths, and lists the paths of a file scan.
+CLASS_NAME = r"^\w*RDD\d*$"
+PATH_NAME = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/"
+SCAN_LOCATION = r'"Location":"\w+(?:\([^)]*\))?\[([^\]]*)\]'
+
 
 def _app_id(pattern: str) -> Column:
     path = F.col("_metadata.file_path")
@@ -62,9 +69,17 @@ def _app_id(pattern: str) -> Column:
     return F.coalesce(first, F.regexp_extract(path, pattern, 2))
 
 
+def _all_lines(spark: SparkSession, path: str, app_id_pattern: str) -> DataFrame:
+    reader = spark.read.schema(LOG_LINE).option("columnNameOfCorruptRecord", "unreadable")
+    return reader.json(path).select(_app_id(app_id_pattern).alias("app_id"), "*")
+
+
 def read_log(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
-    """Log lines with their application id. For rolled logs give ``.../eventlog_v2_*/events_*``."""
-    return spark.read.schema(LOG_LINE).json(path).select(_app_id(app_id_pattern).alias("app_id"), "*")
+    """Log lines with their application id. For rolled logs give ``.../eventlog_v2_*/events_*``.
+
+    Lines that cannot be read are left out; see :func:`scan_unreadable`.
+    """
+    return _all_lines(spark, path, app_id_pattern).where(F.col("unreadable").isNull()).drop("unreadable")
 
 
 def scan_events(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
@@ -89,6 +104,51 @@ def scan_events(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_
     )
 
 
+def scan_unreadable(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
+    """Lines that are no JSON, such as a line that was cut off: ``app_id, line``."""
+    # Spark refuses to read nothing but the unreadable lines, so the test looks at the event as well
+    any_event = F.coalesce("Event", F.lit("")) != F.lit("\0")
+    lines = _all_lines(spark, path, app_id_pattern).where(F.col("unreadable").isNotNull() & any_event)
+    return lines.select("app_id", F.col("unreadable").alias("line"))
+
+
+def scan_plan_nodes(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
+    """The file scans of each SQL execution as ``plan_node`` rows below a root.
+
+    The plan of an execution start lists the locations of its scans; a location that
+    the log has cut short is left out. What an execution writes is not in it.
+    """
+    plans = read_log(spark, path, app_id_pattern).where(
+        (F.col("Event") == S.SQL_START) & F.col("sparkPlanInfo").isNotNull()
+    )
+    lists = F.regexp_extract_all("sparkPlanInfo", F.lit(SCAN_LOCATION), F.lit(1))
+    paths = F.transform(lists, lambda text: F.filter(F.split(text, ", *"), lambda p: (p != "") & ~p.endswith("...")))
+    none = F.array().cast("array<string>")
+    nodes = plans.select("app_id", "executionId", F.posexplode(F.concat(F.array(none), paths)).alias("node_id", "root_paths"))
+    is_root = F.col("node_id") == 0
+    return nodes.select(
+        "app_id",
+        F.col("executionId").alias("execution_id"),
+        F.col("node_id").cast("bigint").alias("node_id"),
+        F.when(~is_root, F.lit(0)).cast("bigint").alias("parent_id"),
+        F.when(is_root, F.lit("Execution")).otherwise(F.lit("LogicalRelation")).alias("node_kind"),
+        F.when(~is_root, F.lit("HadoopFsRelation")).alias("relation_kind"),
+        F.lit(None).cast("string").alias("provider"),
+        F.create_map().cast(S.STRING_MAP).alias("options"),
+        F.when(~is_root, F.col("root_paths")).alias("root_paths"),
+        F.lit(False).alias("has_catalog_table"),
+    )
+
+
+def scan_rdd_roots(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
+    """The final RDD of each job: the highest of its last stage."""
+    stages = F.filter("Stage Infos", lambda s: F.size(s["RDD Info"]) > 0)
+    last = F.array_max(F.transform(stages, lambda s: F.struct(s["Stage ID"], F.array_max(s["RDD Info"]["RDD ID"]).alias("rdd_id"))))
+    jobs = read_log(spark, path, app_id_pattern).where(F.col("Event") == S.JOB_START)
+    roots = jobs.select("app_id", F.col("Job ID").alias("job_id"), last["rdd_id"].alias("rdd_id"))
+    return roots.where(F.col("rdd_id").isNotNull()).dropDuplicates(["app_id", "job_id"])
+
+
 def _job_rdds(spark: SparkSession, path: str, app_id_pattern: str) -> DataFrame:
     return (
         read_log(spark, path, app_id_pattern)
@@ -103,19 +163,26 @@ def scan_rdd_nodes(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_
 
     The stages of a job list every RDD it depends on, so this is already the
     closure of its final RDD. A leaf that is named like a path is a file scan;
-    its name is the comma list of its paths.
+    its name is the comma list of its paths, which the RDD mapped from it repeats. A
+    name like that of a class is the class, and the RDD has no name of its own.
     """
     name = F.col("rdd.Name")
-    is_scan = (F.size("rdd.Parent IDs") == 0) & name.rlike(r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/")
-    scope = F.get_json_object("rdd.Scope", "$.name")
+    is_class, is_path = name.rlike(CLASS_NAME), name.rlike(PATH_NAME)
+    is_scan = (F.size("rdd.Parent IDs") == 0) & is_path
+    rdd_class = (
+        F.when(is_class, name)
+        .when(is_scan, F.lit("HadoopRDD"))
+        .when(is_path, F.lit("MapPartitionsRDD"))
+        .otherwise(F.get_json_object("rdd.Scope", "$.name"))
+    )
     return (
         _job_rdds(spark, path, app_id_pattern)
         .select(
             "app_id",
             "job_id",
             F.col("rdd.RDD ID").alias("rdd_id"),
-            F.when(is_scan, F.lit("HadoopRDD")).otherwise(scope).alias("rdd_class"),
-            name.alias("rdd_name"),
+            rdd_class.alias("rdd_class"),
+            F.when(~is_class, name).alias("rdd_name"),
             F.when(is_scan, F.split(name, ",")).alias("input_paths"),
         )
         .dropDuplicates(["app_id", "job_id", "rdd_id"])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from headwater import schemas as S
 from headwater.operators import rddgraph, rollup, routing
+from headwater.plans import pipelines
 from headwater.sources import eventlog
 
 JOB = """
@@ -51,6 +52,14 @@ def test_own_event_log(spark, log):
     assert events.where("conf is not null").select(F.col("conf")["spark.app.name"]).first()[0] == "tiny job"
     assert events.where(F.col("event") == S.JOB_END).count() == 3
 
+    assert eventlog.scan_unreadable(spark, path).count() == 0
+    roots = {r.job_id: r.rdd_id for r in eventlog.scan_rdd_roots(spark, path).collect()}
+    assert len(roots) == 3
+    named = rddgraph.lineage_names(eventlog.scan_rdd_nodes(spark, path), eventlog.scan_rdd_edges(spark, path))
+    assert named.where("name = 'map_partitions_hadoop'").count() >= 1
+    lineage = pipelines.build_lineage(pipelines.facts_of_log(spark, path))
+    assert lineage.datasets.count() == 0, "local files have no name"
+
     nodes = eventlog.scan_rdd_nodes(spark, path)
     paths = rddgraph.explode_input_paths(nodes).select("path").distinct().collect()
     assert [r["path"] for r in paths] == [f"file://{log}/words.txt"]
