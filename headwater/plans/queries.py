@@ -444,7 +444,14 @@ def arg_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def url_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _page_uris(spark, sf_dir).select("page_id", X.is_http_url(F.col("uri")).alias("ok"))
+    """Page URLs as they are, and seven ways to change them."""
+    url = F.expr(
+        """case page_id % 8 when 0 then url when 1 then regexp_replace(url, '^https?:', 'ftp:')
+             when 2 then concat('http://localhost:8080/', page_id) when 3 then concat(url, ' x')
+             when 4 then regexp_replace(url, '^(https?://[^/]+)/', '$1//') when 5 then regexp_replace(url, '^(https?://)[^/]+', '$1')
+             when 6 then regexp_replace(url, '^(https?://[^/]+)', '$1:1234567') end"""
+    )
+    return facts.table(spark, sf_dir, "pages").select("page_id", X.is_http_url(url).alias("ok"))
 
 
 @query
