@@ -73,7 +73,8 @@ def in_order(docs: DataFrame, buckets_per_partition: int = 4) -> DataFrame:
         at = [bisect_right(bounds, k) - 1 for k in keys]
         return pd.Series([2 * b + (bounds[b] == k) for b, k in zip(at, keys)], dtype="int32")
 
-    placed = rows.withColumn("_at", bucket(*key))
+    some_id = F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))  # no NULL, so that ids stay whole
+    placed = rows.withColumn("_at", bucket("_null", some_id, "_hash"))
     own = F.expr("struct(_at div 2 as bucket, 0 as extra)")
     copy = F.expr(f"struct(if(_at = 1, {last}, _at div 2 - 1) as bucket, 1 as extra)")
     places = F.explode(F.when(F.col("_at") % 2 == 1, F.array(own, copy)).otherwise(F.array(own)))

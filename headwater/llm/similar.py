@@ -1,11 +1,12 @@
 """Near-duplicate documents: a prefix-tree join of n-gram sets by Jaccard similarity.
 
-A document's set holds the hashes of its three-word shingles, in the order of the
-hashes, which is the same everywhere. Documents with equal sets are one node. Two
-sets are linked if ``100 * |intersection| >= 90 * |union|``.
+A document's set holds the hashes of its word shingles, in the order of the hashes,
+which is the same everywhere. Documents with equal sets are one node. Two sets are
+linked if their intersection is a given share of their union at least. Shingles of
+three words and a share of 9/10 are the default; :data:`NEAR` has five and 4/5.
 
-1. *Which sets can meet.* Sets that are linked differ in at most a nineteenth of
-   their sizes' sum, d. The range of hashes is cut into d + 2 parts; at least two
+1. *Which sets can meet.* Sets that are linked differ in at most a known part of
+   their sizes' sum, d (a nineteenth for 9/10, a ninth for 4/5). The range of hashes is cut into d + 2 parts; at least two
    parts hold the same of both. A set has a signature for each of its parts, so
    linked sets share one. (A part without hashes tells little. As one such part
    of each set may be left out without losing a link, it is; a set with more of
@@ -26,14 +27,16 @@ Copies are one node, so they never become pairs, and a block of near-copies is
 connected after a few walks. Equality of shingles, parts and sets is that of 64-bit
 hashes.
 
-NULL and empty texts have empty sets, linked with nothing; one or two words are one
-shingle. Rows of equal ``doc_id`` are documents of their own. Columns other than
+NULL and empty texts have empty sets, linked with nothing; fewer words than a shingle
+are one shingle. Rows of equal ``doc_id`` are documents of their own. Columns other than
 ``doc_id`` and ``text`` are ignored, or kept where rows are returned whole.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +49,6 @@ from headwater.llm.frames import beside, map_arrow
 from headwater.llm.graph import components
 from headwater.session import cut_lineage
 
-WORDS = 3
-# A link: NEED_OVERLAP[1] * overlap >= NEED_OVERLAP[0] * (sum of both sizes), that is, a Jaccard similarity of 0.9.
-NEED_OVERLAP = (9, 19)
 BLOCK_SETS = 4_000
 BLOCK_SHINGLES = 1_000_000
 HELD_SIGNATURES = 500_000
@@ -57,16 +57,50 @@ _LEVEL = np.uint64(0xC2B2AE3D27D4EB4F)
 STRETCH = 32  # the most hashes of a tree node
 
 
-def block_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+@dataclass(frozen=True)
+class Likeness:
+    """Which sets are linked: shingles of so many words, and the intersection's share of the union."""
+
+    words: int = 3
+    share: tuple[int, int] = (9, 10)
+
+    def reached(self, overlap: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether an overlap links two sets of these sizes' sum."""
+        part, whole = self.share
+        return (part + whole) * overlap >= part * sizes
+
+    @cached_property
+    def bounds(self) -> np.ndarray:
+        """Where classes of set sizes begin: linked sets are of one class or of neighbouring classes."""
+        part, whole = self.share
+        found = [1]
+        while found[-1] < 1 << 40:
+            found.append(found[-1] * whole // part + 1)
+        return np.array(found)
+
+    def size_class(self, n: int) -> int:
+        return int(np.searchsorted(self.bounds, n, "right")) - 1
+
+    def differing(self, level: int) -> int:
+        """The most by which linked sets of class ``level``, or of it and the next, differ."""
+        part, whole = self.share
+        most = int(self.bounds[level + 1] - 1 + self.bounds[level + 2] - 1)
+        return most * (whole - part) // (whole + part)
+
+
+NEAR = Likeness(5, (4, 5))
+
+
+def block_sets(data: np.ndarray, offsets: np.ndarray, n_words: int = 3) -> list[np.ndarray]:
     """The sorted shingle hashes of each text of a block."""
     words = W.find_words(data, offsets)
     hashes = W.hash_words(data, words, lower=True)
-    found, at = W.shingles(hashes, words, WORDS)
+    found, at = W.shingles(hashes, words, n_words)
     ends = np.searchsorted(words.text[at], np.arange(len(offsets)))
     out = []
     for k in range(len(offsets) - 1):
         a, b = words.first[k], words.first[k + 1]
-        if 0 < b - a < WORDS:
+        if 0 < b - a < n_words:
             whole = np.full(1, b - a, np.uint64)
             for h in hashes[a:b]:
                 whole = W.mix(whole * _PART + h)
@@ -82,32 +116,12 @@ def node_of(shingles: np.ndarray) -> int:
     return int(W.mix(total).view(np.int64)[0])
 
 
-class Sizes:
-    """Classes of set sizes: linked sets are of one class or of neighbouring classes."""
-
-    def __init__(self) -> None:
-        bounds = [1]
-        while bounds[-1] < 1 << 40:
-            bounds.append(bounds[-1] * 10 // 9 + 1)
-        self.bounds = np.array(bounds)
-
-    def of(self, n: int) -> int:
-        return int(np.searchsorted(self.bounds, n, "right")) - 1
-
-    def differing(self, level: int) -> int:
-        """The most by which linked sets of class ``level``, or of it and the next, differ."""
-        return int(self.bounds[level + 1] - 1 + self.bounds[level + 2] - 1) // NEED_OVERLAP[1]
-
-
-_SIZES = Sizes()
-
-
-def signatures(shingles: np.ndarray) -> np.ndarray:
+def signatures(shingles: np.ndarray, like: Likeness = Likeness()) -> np.ndarray:
     """The signatures of a set: a linked set has one of them at least, unless it is equal."""
     out = []
-    own = _SIZES.of(len(shingles))
+    own = like.size_class(len(shingles))
     for level in (own, own - 1):
-        differing = _SIZES.differing(level) if level >= 0 else 0
+        differing = like.differing(level) if level >= 0 else 0
         if not differing:
             continue  # linked sets of these sizes are equal
         parts = differing + 2
@@ -124,22 +138,22 @@ def signatures(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
-def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
+def _sets(batch: pa.RecordBatch, like: Likeness) -> Iterator[tuple[int, list[np.ndarray]]]:
     data, offsets = W.column_bytes(batch.column("text"))
     for first, last in W.blocks(offsets):
         lo = offsets[first]
-        yield first, block_sets(data[lo : offsets[last]], offsets[first : last + 1] - lo)
+        yield first, block_sets(data[lo : offsets[last]], offsets[first : last + 1] - lo, like.words)
 
 
-def _node_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _node_rows(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sets = [s for _, found in _sets(batch) for s in found]
+        sets = [s for _, found in _sets(batch, like) for s in found]
         columns = [batch.column(name) for name in ("doc_id", "text_hash")]
         columns += [pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) for s in sets], pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node"])
 
 
-def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signature_rows(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterator[pa.RecordBatch]:
     """The least set of each signature, and ties to it, of as many texts as a task holds at once."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size = 0
@@ -159,10 +173,10 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([key, node, other], ["signature", "node", "other"])
 
     for batch in batches:
-        for _, sets in _sets(batch):
+        for _, sets in _sets(batch, like):
             for shingles in sets:
                 if len(shingles):
-                    found = signatures(shingles)
+                    found = signatures(shingles, like)
                     held.append((found, np.full(len(found), node_of(shingles), np.int64)))
                     size += len(found)
             if size >= HELD_SIGNATURES:
@@ -256,7 +270,9 @@ def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - sizes), sizes)
 
 
-def linked_sets(tree: PrefixTree, own: np.ndarray, is_own: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def linked_sets(
+    tree: PrefixTree, own: np.ndarray, is_own: np.ndarray, wanted: np.ndarray, like: Likeness
+) -> np.ndarray:
     """The places in the tree of the ``wanted`` sets that are linked with a set.
 
     All nodes of a level are looked at together. A node's overlap is its parent's,
@@ -280,16 +296,16 @@ def linked_sets(tree: PrefixTree, own: np.ndarray, is_own: np.ndarray, wanted: n
         depth = tree.end[nodes]
         left = size - np.searchsorted(own, tree.hashes[tree.at[nodes + 1] - 1], "right")
         best = np.clip(left + depth, tree.shortest[nodes], tree.longest[nodes])
-        can = NEED_OVERLAP[1] * (overlap + np.minimum(best - depth, left)) >= NEED_OVERLAP[0] * (size + best)
+        can = like.reached(overlap + np.minimum(best - depth, left), size + best)
         nodes, overlap, depth = nodes[can], overlap[can], depth[can]
-        linked = (tree.ending[nodes] > 0) & (NEED_OVERLAP[1] * overlap >= NEED_OVERLAP[0] * (size + depth))
+        linked = (tree.ending[nodes] > 0) & like.reached(overlap, size + depth)
         found.append(_ranges(tree.lo[nodes[linked]], tree.ending[nodes[linked]]))
         nodes, parent = tree.below(nodes)
         overlap = overlap[parent]
     return np.concatenate(found) if found else np.empty(0, np.int64)
 
 
-def join_block(table: pa.Table) -> pa.Table:
+def join_block(table: pa.Table, like: Likeness = Likeness()) -> pa.Table:
     """Links between the sets of one block, or of two: as many as connect what is linked.
 
     The sets walk down the tree one after another; sets that are connected with the
@@ -309,7 +325,7 @@ def join_block(table: pa.Table) -> pa.Table:
         if not wanted.any():
             continue
         is_own[sets[i]] = True
-        for j in tree.order[linked_sets(tree, sets[i], is_own, wanted)]:
+        for j in tree.order[linked_sets(tree, sets[i], is_own, wanted, like)]:
             if group[j] != group[i]:
                 group[group == group[j]] = group[i]
                 links.append((int(nodes[i]), int(nodes[j])))
@@ -322,22 +338,24 @@ def _hashed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def set_nodes(docs: DataFrame) -> DataFrame:
+def set_nodes(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """``doc_id, text_hash, n_shingles, node`` of each document."""
     rows = _hashed(docs)
-    return map_arrow(rows, _node_rows, beside(rows, "n_shingles bigint, node bigint", "text"))
+    schema = beside(rows, "n_shingles bigint, node bigint", "text")
+    return map_arrow(rows, lambda batches: _node_rows(batches, like), schema)
 
 
-def clusters(docs: DataFrame) -> DataFrame:
+def clusters(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """``node, component``: sets that share a signature, directly or through others."""
-    rows = map_arrow(_hashed(docs).select("text"), _signature_rows, "signature bigint, node bigint, other bigint")
+    schema = "signature bigint, node bigint, other bigint"
+    rows = map_arrow(_hashed(docs).select("text"), lambda batches: _signature_rows(batches, like), schema)
     ordered = rows.repartition("signature").sortWithinPartitions("signature", "node")
     return components(map_arrow(ordered, _ties, "node bigint, other bigint").distinct())
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, nodes: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """Links that connect all linked sets; ``nodes`` is the result of :func:`set_nodes`."""
-    found = cut_lineage(clusters(docs))
+    found = cut_lineage(clusters(docs, like))
     one_text = nodes.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.max("n_shingles").alias("n"))
     members = cut_lineage(one_text.join(found, "node"))
     sums = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
@@ -351,7 +369,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["component", "blocks", "block", "node"]
         for batch in batches:
-            for first, sets in _sets(batch):
+            for first, sets in _sets(batch, like):
                 own = [batch.column(name).slice(first, len(sets)) for name in names]
                 yield pa.RecordBatch.from_arrays(
                     [*own, pa.array([s.tobytes() for s in sets], pa.binary())], [*names, "shingles"]
@@ -370,17 +388,18 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         "node",
         "shingles",
     )
-    return units.groupBy("component", "one", "two").applyInArrow(join_block, "node bigint, other bigint")
+    by_unit = units.groupBy("component", "one", "two")
+    return by_unit.applyInArrow(lambda table: join_block(table, like), "node bigint, other bigint")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """``doc_id, text_hash, n_shingles, node`` and ``group`` of each document: the group of linked sets.
 
     The group of a document that is linked with no other set is its node; that of an
     empty one is NULL.
     """
-    nodes = cut_lineage(set_nodes(docs))
-    groups = components(links(docs, nodes)).withColumnRenamed("component", "_group")
+    nodes = cut_lineage(set_nodes(docs, like))
+    groups = components(links(docs, nodes, like)).withColumnRenamed("component", "_group")
     found = nodes.join(groups, "node", "left")
     return found.select(
         "doc_id",
@@ -391,22 +410,22 @@ def grouped(docs: DataFrame) -> DataFrame:
     )
 
 
-def similar(docs: DataFrame) -> DataFrame:
+def similar(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id``: the smallest ``doc_id`` that links reach."""
-    found = cut_lineage(grouped(docs))
+    found = cut_lineage(grouped(docs, like))
     least = found.where(F.col("group").isNotNull()).groupBy("group").agg(F.min("doc_id").alias("component_id"))
     joined = found.join(least, "group", "left")
     own = F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """The documents with all their columns, one of each group of linked documents.
 
     The one with the smallest ``doc_id`` stays, NULL last, then by a hash of its text.
     Of rows that are equal in both, one stays. Empty texts all stay.
     """
-    found = grouped(docs)
+    found = grouped(docs, like)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     kept = (
         found.where(F.col("group").isNotNull())

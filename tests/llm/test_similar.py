@@ -11,14 +11,14 @@ from headwater.llm.graph import components
 from tests.llm.conftest import WORDS, key, words_of
 
 
-def set_of(text):
+def set_of(text, n=3):
     words = words_of(text, lower=True)
-    if len(words) < 3:
+    if len(words) < n:
         return frozenset([tuple(words)]) if words else frozenset()
-    return frozenset(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
 
 
-def groups_of(sets):
+def groups_of(sets, share=(9, 10)):
     parent = list(range(len(sets)))
 
     def find(i):
@@ -28,14 +28,14 @@ def groups_of(sets):
 
     for i, j in combinations(range(len(sets)), 2):
         both = len(sets[i] & sets[j])
-        if sets[i] and sets[j] and 100 * both >= 90 * (len(sets[i]) + len(sets[j]) - both):
+        if sets[i] and sets[j] and share[1] * both >= share[0] * (len(sets[i]) + len(sets[j]) - both):
             parent[find(j)] = find(i)
     return [find(i) for i in range(len(sets))]
 
 
-def expected(rows):
-    sets = [set_of(r[1]) for r in rows]
-    roots = groups_of(sets)
+def expected(rows, like=similar.Likeness()):
+    sets = [set_of(r[1], like.words) for r in rows]
+    roots = groups_of(sets, like.share)
     least = {}
     for r, root in zip(rows, roots):
         least[root] = min(x for x in (least.get(root), r[0], 1 << 60) if x is not None)
@@ -61,8 +61,8 @@ def near_copies(rng, n, size, edits):
     return out
 
 
-@pytest.mark.parametrize("blocks", [4_000, 7])
-def test_many_near_copies_at_the_bound(spark, monkeypatch, blocks):
+@pytest.mark.parametrize("blocks, like", [(4_000, similar.Likeness()), (7, similar.Likeness()), (4_000, similar.NEAR)])
+def test_many_near_copies_at_the_bound(spark, monkeypatch, blocks, like):
     """Chains of links around the bound, of several sizes; with small blocks, clusters are cut."""
     rng = random.Random(blocks)
     texts = []
@@ -72,21 +72,22 @@ def test_many_near_copies_at_the_bound(spark, monkeypatch, blocks):
     monkeypatch.setattr(similar, "BLOCK_SETS", blocks)
     monkeypatch.setattr(similar, "HELD_SIGNATURES", 200)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
-    assert sorted(key(r) for r in similar.similar(docs).collect()) == expected(rows)
+    assert sorted(key(r) for r in similar.similar(docs, like).collect()) == expected(rows, like)
 
 
-def test_linked_sets_share_a_signature():
+@pytest.mark.parametrize("like", [similar.Likeness(), similar.NEAR])
+def test_linked_sets_share_a_signature(like):
     rng = np.random.default_rng(8)
     for _ in range(400):
         n = int(rng.integers(9, 300))
         a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
-        for differing in range(1, n // 9 + 1):
+        for differing in range(1, n // 4 + 1, 1 + n // 60):
             gone = int(rng.integers(0, differing + 1))
             b = np.delete(a, rng.choice(len(a), min(gone, len(a) - 1), replace=False))
             b = np.unique(np.concatenate([b, rng.integers(0, 2**63, differing - gone, dtype=np.uint64)]))
             both = len(np.intersect1d(a, b))
-            if 100 * both >= 90 * (len(a) + len(b) - both) and len(np.setxor1d(a, b)):
-                assert len(np.intersect1d(similar.signatures(a), similar.signatures(b)))
+            if like.share[1] * both >= like.share[0] * (len(a) + len(b) - both) and len(np.setxor1d(a, b)):
+                assert len(np.intersect1d(similar.signatures(a, like), similar.signatures(b, like)))
 
 
 def test_the_tree_finds_what_pairs_find():
