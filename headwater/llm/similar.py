@@ -3,10 +3,10 @@
 A document's set holds the hashes of its word shingles, in the order of the hashes,
 which is the same everywhere. Documents with equal sets are one node. Two sets are
 linked if their intersection is a given share of their union at least. Shingles of
-three words and a share of 9/10 are the default; :data:`NEAR` has five and 4/5.
+three words and a share of 9/10 are the default; :data:`NEAR` has three and 7/8.
 
 1. *Which sets can meet.* Sets that are linked differ in at most a known part of
-   their sizes' sum, d (a nineteenth for 9/10, a ninth for 4/5). The range of hashes is cut into d + 2 parts; at least two
+   their sizes' sum, d (a nineteenth for 9/10, a fifteenth for 7/8). The range of hashes is cut into d + 2 parts; at least two
    parts hold the same of both. A set has a signature for each of its parts, so
    linked sets share one. (A part without hashes tells little. As one such part
    of each set may be left out without losing a link, it is; a set with more of
@@ -88,7 +88,9 @@ class Likeness:
         return most * (whole - part) // (whole + part)
 
 
-NEAR = Likeness(5, (4, 5))
+# As near as five words and 4/5: an edited word changes three shingles instead of five,
+# and (n - 3 e) / (n + 3 e) reaches 7/8 for the same numbers e of edits as (n - 5 e) / (n + 5 e) reaches 4/5.
+NEAR = Likeness(3, (7, 8))
 
 
 def block_sets(data: np.ndarray, offsets: np.ndarray, n_words: int = 3) -> list[np.ndarray]:

@@ -61,7 +61,7 @@ def near_copies(rng, n, size, edits):
     return out
 
 
-@pytest.mark.parametrize("blocks, like", [(4_000, similar.Likeness()), (7, similar.Likeness()), (4_000, similar.NEAR)])
+@pytest.mark.parametrize("blocks, like", [(4_000, similar.Likeness()), (7, similar.Likeness()), (4_000, similar.NEAR), (4_000, similar.Likeness(5, (4, 5)))])
 def test_many_near_copies_at_the_bound(spark, monkeypatch, blocks, like):
     """Chains of links around the bound, of several sizes; with small blocks, clusters are cut."""
     rng = random.Random(blocks)
@@ -75,7 +75,7 @@ def test_many_near_copies_at_the_bound(spark, monkeypatch, blocks, like):
     assert sorted(key(r) for r in similar.similar(docs, like).collect()) == expected(rows, like)
 
 
-@pytest.mark.parametrize("like", [similar.Likeness(), similar.NEAR])
+@pytest.mark.parametrize("like", [similar.Likeness(), similar.NEAR, similar.Likeness(5, (4, 5))])
 def test_linked_sets_share_a_signature(like):
     rng = np.random.default_rng(8)
     for _ in range(400):
