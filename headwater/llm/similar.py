@@ -3,17 +3,25 @@
 A document's set holds the hashes of its word shingles, in the order of the hashes,
 which is the same everywhere. Documents with equal sets are one node. Two sets are
 linked if their intersection is a given share of their union at least. Shingles of
-three words and a share of 9/10 are the default; :data:`NEAR` has three and 7/8.
+three words and a share of 9/10 are the default; :data:`NEAR` has five and 4/5.
 
 1. *Which sets can meet.* Sets that are linked differ in at most a known part of
-   their sizes' sum, d (a nineteenth for 9/10, a fifteenth for 7/8). The range of hashes is cut into d + 2 parts; at least two
+   their sizes' sum, d (a nineteenth for 9/10, a ninth for 4/5). The range of hashes is cut into d + 2 parts; at least two
    parts hold the same of both. A set has a signature for each of its parts, so
    linked sets share one. (A part without hashes tells little. As one such part
    of each set may be left out without losing a link, it is; a set with more of
    them has signatures for all.) Sets of sizes that can be linked are cut alike:
    each is cut for its own class of sizes and for the class below.
+
+   Below 7/8 a part holds three or four hashes only, and common passages would tie
+   unrelated sets. There the range is cut into more than d / 2 groups of three parts.
+   Some group has one differing hash at most, so two of its parts are the same in
+   both: signatures are those of pairs of parts of a group. As some groups more are
+   cut, pairs without hashes are left out in the same way.
 2. *Clusters.* Each set is tied to the least set of its signatures, and the
    connected components of these ties are found: a link never leaves its cluster.
+   Below 7/8 the cuts of a set for its two classes are nodes of their own, so that
+   ties do not lead on from one class of sizes to the next.
 3. *Prefix tree.* The sets of a cluster are put into a tree by their hashes in order.
    Each set walks down it, one level of nodes at a time; the overlap with a path's
    beginning is shared by all sets below, and a subtree is left out once the lengths
@@ -69,6 +77,12 @@ class Likeness:
         part, whole = self.share
         return (part + whole) * overlap >= part * sizes
 
+    @property
+    def paired(self) -> bool:
+        """Whether a signature takes two parts, since one would hold few hashes."""
+        part, whole = self.share
+        return 8 * part < 7 * whole
+
     @cached_property
     def bounds(self) -> np.ndarray:
         """Where classes of set sizes begin: linked sets are of one class or of neighbouring classes."""
@@ -88,9 +102,7 @@ class Likeness:
         return most * (whole - part) // (whole + part)
 
 
-# As near as five words and 4/5: an edited word changes three shingles instead of five,
-# and (n - 3 e) / (n + 3 e) reaches 7/8 for the same numbers e of edits as (n - 5 e) / (n + 5 e) reaches 4/5.
-NEAR = Likeness(3, (7, 8))
+NEAR = Likeness(5, (4, 5))
 
 
 def block_sets(data: np.ndarray, offsets: np.ndarray, n_words: int = 3) -> list[np.ndarray]:
@@ -118,25 +130,69 @@ def node_of(shingles: np.ndarray) -> int:
     return int(W.mix(total).view(np.int64)[0])
 
 
+def levels(like: Likeness, n_shingles: int) -> list[int]:
+    """The classes that a set of this size is cut for; at others, linked sets are equal."""
+    own = like.size_class(n_shingles)
+    return [level for level in (own, own - 1) if level >= 0 and like.differing(level)]
+
+
+def vertex(nodes: np.ndarray, level: int, like: Likeness) -> np.ndarray:
+    """The node of a set in the graph of ties, where it is cut for the class ``level``."""
+    if not like.paired:
+        return nodes
+    return W.mix(nodes.view(np.uint64) + np.uint64((level + 1) * int(_LEVEL) % 2**64)).view(np.int64)
+
+
+def _single(shingles: np.ndarray, differing: int, shift: np.uint64) -> np.ndarray:
+    """Signatures of single parts."""
+    parts = differing + 2
+    part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    content = np.add.reduceat(W.mix(shingles), begins)
+    where = part[begins]
+    if parts - len(begins) > 1:
+        bare = np.setdiff1d(np.arange(parts, dtype=np.uint64), where)
+        where = np.concatenate([where, bare])
+        content = np.concatenate([content, np.zeros(len(bare), np.uint64)])
+    return W.mix(W.mix(content + shift) + where * _PART)
+
+
+def _pairs(shingles: np.ndarray, differing: int, shift: np.uint64) -> np.ndarray:
+    """Signatures of pairs of parts, three for each group of three parts.
+
+    ``alike`` groups at least have one differing hash at most. A set with fewer groups
+    of two bare parts needs no signatures of bare pairs.
+    """
+    alike = 2 + differing // 16
+    groups = differing // 2 + alike
+    part = (((shingles >> np.uint64(32)) * np.uint64(3 * groups)) >> np.uint64(32)).astype(np.int64)
+    begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    content = np.zeros(3 * groups, np.uint64)
+    content[part[begins]] = W.mix(np.add.reduceat(W.mix(shingles), begins) + shift)
+    filled = np.zeros(3 * groups, bool)
+    filled[part[begins]] = True
+    content, filled = content.reshape(-1, 3), filled.reshape(-1, 3)
+    every = int((filled.sum(axis=1) < 2).sum()) >= alike
+    out = []
+    for number, (a, b) in enumerate(((0, 1), (0, 2), (1, 2))):
+        group = np.arange(groups) if every else np.flatnonzero(filled[:, a] | filled[:, b])
+        both = W.mix(content[group, a] + _PART) + content[group, b] + shift
+        out.append(W.mix(W.mix(both) + (group * 3 + number + 1).astype(np.uint64) * _PART))
+    return np.concatenate(out)
+
+
+def level_signatures(shingles: np.ndarray, like: Likeness) -> list[tuple[int, np.ndarray]]:
+    """The signatures of a set, for each class that it is cut for."""
+    of_parts = _pairs if like.paired else _single
+    return [
+        (level, of_parts(shingles, like.differing(level), np.uint64((level + 1) * int(_LEVEL) % 2**64)))
+        for level in levels(like, len(shingles))
+    ]
+
+
 def signatures(shingles: np.ndarray, like: Likeness = Likeness()) -> np.ndarray:
     """The signatures of a set: a linked set has one of them at least, unless it is equal."""
-    out = []
-    own = like.size_class(len(shingles))
-    for level in (own, own - 1):
-        differing = like.differing(level) if level >= 0 else 0
-        if not differing:
-            continue  # linked sets of these sizes are equal
-        parts = differing + 2
-        part = ((shingles >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        content = np.add.reduceat(W.mix(shingles), begins)
-        where = part[begins]
-        if parts - len(begins) > 1:
-            bare = np.setdiff1d(np.arange(parts, dtype=np.uint64), where)
-            where = np.concatenate([where, bare])
-            content = np.concatenate([content, np.zeros(len(bare), np.uint64)])
-        shift = np.uint64((level + 1) * int(_LEVEL) % 2**64)
-        out.append(W.mix(W.mix(content + shift) + where * _PART))
+    out = [found for _, found in level_signatures(shingles, like)]
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
@@ -178,9 +234,10 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], like: Likeness) -> Iterat
         for _, sets in _sets(batch, like):
             for shingles in sets:
                 if len(shingles):
-                    found = signatures(shingles, like)
-                    held.append((found, np.full(len(found), node_of(shingles), np.int64)))
-                    size += len(found)
+                    node = np.full(1, node_of(shingles), np.int64)
+                    for level, found in level_signatures(shingles, like):
+                        held.append((found, np.repeat(vertex(node, level, like), len(found))))
+                        size += len(found)
             if size >= HELD_SIGNATURES:
                 yield from flush()
                 held, size = [], 0
@@ -348,18 +405,36 @@ def set_nodes(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
 
 
 def clusters(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
-    """``node, component``: sets that share a signature, directly or through others."""
+    """``node, component``: sets that share a signature, directly or through others; see :func:`vertex`."""
     schema = "signature bigint, node bigint, other bigint"
     rows = map_arrow(_hashed(docs).select("text"), lambda batches: _signature_rows(batches, like), schema)
     ordered = rows.repartition("signature").sortWithinPartitions("signature", "node")
     return components(map_arrow(ordered, _ties, "node bigint, other bigint").distinct())
 
 
+def _vertices(rows: DataFrame, like: Likeness) -> DataFrame:
+    """The rows of sets ``node, text_hash, n`` with each ``vertex`` of theirs."""
+    if not like.paired:
+        return rows.withColumn("vertex", F.col("node"))
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = np.asarray(batch.column("node"))
+            found = [(k, level) for k, n in enumerate(batch.column("n").to_pylist()) if n for level in levels(like, n)]
+            own = pa.array([k for k, _ in found], pa.int64())
+            ids = [int(vertex(nodes[k : k + 1], level, like)[0]) for k, level in found]
+            columns = [batch.column(name).take(own) for name in names] + [pa.array(ids, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "vertex"])
+
+    return map_arrow(rows, run, beside(rows, "vertex bigint"))
+
+
 def links(docs: DataFrame, nodes: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     """Links that connect all linked sets; ``nodes`` is the result of :func:`set_nodes`."""
     found = cut_lineage(clusters(docs, like))
     one_text = nodes.groupBy("node").agg(F.min("text_hash").alias("text_hash"), F.max("n_shingles").alias("n"))
-    members = cut_lineage(one_text.join(found, "node"))
+    members = cut_lineage(_vertices(one_text, like).join(found.withColumnRenamed("node", "vertex"), "vertex").drop("vertex"))
     sums = members.groupBy("component").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("shingles"))
     cut = F.greatest(F.ceil(F.col("sets") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     blocks = members.join(sums.select("component", cut.alias("blocks")), "component").withColumn(

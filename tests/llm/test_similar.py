@@ -148,3 +148,33 @@ def test_components_of_a_path_a_star_and_none(spark):
     found = {r.node: r.component for r in components(spark.createDataFrame(edges, "x bigint, y bigint")).collect()}
     assert found == {**{k: 0 for k in range(101)}, **{k: 1000 for k in range(1000, 1100)}}
     assert components(spark.createDataFrame([], "x bigint, y bigint")).collect() == []
+
+
+def test_the_pipeline_links_trimmed_copies_and_edits_that_stand_together(spark):
+    """Five words and 0.8: a fifth of the text cut away, a quarter added, or a tenth edited in one place."""
+    rng = random.Random(12)
+    words = [f"{rng.choice(WORDS)}{k}" for k in range(204)]
+    changed = [*words[:90], *[f"new{k}" for k in range(17)], *words[107:]]
+    texts = [words, words[:165], [*words, *[f"tail{k}" for k in range(48)]], changed, words[:160], changed[::-1]]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id bigint, text string")
+    found = {r.doc_id: r.component_id for r in similar.similar(docs, similar.NEAR).collect()}
+    assert found[1] == found[2] == found[3] == 0 and found[5] == 5
+    assert sorted(key((r[0], r[1])) for r in found.items()) == sorted(
+        key((r[0], r[2])) for r in similar.similar(docs, similar.Likeness(5, (4, 5))).collect()
+    )
+
+
+def test_a_common_passage_ties_fewer_unrelated_sets_by_pairs_of_parts():
+    """Sets of 300 that share 30."""
+    rng = np.random.default_rng(4)
+    passage = rng.integers(0, 2**63, 30, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 270, dtype=np.uint64) * np.uint64(2)])) for _ in range(60)]
+
+    def ties(of_parts):
+        like = similar.NEAR
+        found = [
+            {(k, x) for k in similar.levels(like, len(s)) for x in of_parts(s, like.differing(k), np.uint64(k)).tolist()} for s in sets
+        ]
+        return sum(bool(a & b) for a, b in combinations(found, 2))
+
+    assert similar.NEAR.paired and 3 * ties(similar._pairs) < ties(similar._single)
