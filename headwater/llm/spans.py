@@ -13,7 +13,8 @@ reaches the last span of a text takes what is left after it along.
 A passage of 50 words is cut into five sentences or more, so all of it goes but for a
 few words at its ends, where it doesn't begin or end with a sentence. Texts shorter
 than a span, NULL and empty ones stay as they are (NULL as empty). Rows with equal
-``doc_id`` and text count as one document and are treated alike. Columns other than
+``doc_id`` and text count as one document and are treated alike; texts are told apart
+by 64-bit hashes. Columns other than
 ``doc_id`` and ``text`` are ignored, or kept where rows are returned whole.
 """
 
@@ -29,12 +30,14 @@ from pyspark.sql import functions as F
 
 from headwater.llm import words as W
 from headwater.llm.frames import beside, map_arrow
+from headwater.session import cut_lineage
 
 CHANCE = 10
 MOST_WORDS = 12
 SPAN_SENTENCES = 3
 SPAN_WORDS = 8
 STRETCH_WORDS = 25
+ID_BUCKETS = 1 << 18
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 _BASE = np.uint64(0xF1357AEA2E62A9C5)
@@ -129,32 +132,44 @@ def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts with what names them: NULL or not, id, and a short hash of the text that tells rows of one id apart."""
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(
-        F.col("doc_id").isNull().alias("null"), "doc_id", _short_hash(text).alias("text_hash"), text.alias("text")
-    )
+def _shared_ids(docs: DataFrame) -> DataFrame:
+    """``bucket`` of the ids that several rows have; at most ID_BUCKETS, so that every task can hold them."""
+    several = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return cut_lineage(several.select(_bucket(F.col("doc_id")).alias("bucket")).distinct())
 
 
-def _short_hash(text: Column) -> Column:
-    return F.pmod(F.xxhash64(text), F.lit(1 << 24)).cast("int")
+def _bucket(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(ID_BUCKETS)).cast("int")
 
 
-def spans(docs: DataFrame) -> DataFrame:
+def _named(rows: DataFrame, doc_id: str, shared: DataFrame) -> DataFrame:
+    """``rows`` with ``text_hash``, which tells rows of one id apart.
+
+    It has all 64 bits where the id is NULL or may not be unique, and is 0, which
+    takes little room in a shuffle, where the id alone names the row.
+    """
+    marked = shared.select("bucket", F.lit(True).alias("_several"))
+    joined = rows.withColumn("bucket", _bucket(F.col(doc_id))).join(F.broadcast(marked), "bucket", "left")
+    needed = F.col(doc_id).isNull() | F.col("_several").isNotNull()
+    text_hash = F.when(needed, F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
+    return joined.withColumn("text_hash", text_hash).drop("bucket", "_several")
+
+
+def spans(docs: DataFrame, shared: DataFrame) -> DataFrame:
     """All spans: the document (``null, doc_id, text_hash``), the first ``sentence``, and the ``span``'s hash."""
-    rows = _keyed(docs)
+    text = F.coalesce("text", F.lit(""))
+    rows = _named(docs.select(F.col("doc_id").isNull().alias("null"), "doc_id", text.alias("text")), "doc_id", shared)
     return map_arrow(rows, _span_rows, beside(rows, "sentence int, span bigint", "text"))
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, shared: DataFrame) -> DataFrame:
     """The first sentences of all spans that an earlier span equals, as one sorted list for each document.
 
     The first place of each span is aggregated before the shuffle, so a passage
     that very many documents share is one row a task. The join to the places of a
     span is a plain one, whose large partitions Spark splits.
     """
-    found = spans(docs)
+    found = spans(docs, shared)
     place = F.struct("null", "doc_id", "text_hash", "sentence")
     firsts = found.groupBy("span").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     later = found.join(firsts.select("span", "first"), "span").where(place != F.col("first"))
@@ -201,8 +216,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """Each document's row in ``row``, its ``text`` without repeats, ``n_sentences`` and ``n_removed``."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select(F.struct(*rest).alias("row"), text.alias("text"), _short_hash(text).alias("text_hash"))
-    lists = repeated(docs).select(
+    shared = _shared_ids(docs)
+    keyed = _named(docs.select(F.struct(*rest).alias("row"), text.alias("text")), "row.doc_id", shared)
+    lists = repeated(docs, shared).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("cuts")
     )
     same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from headwater.llm import spans
 from headwater.llm import words as W
@@ -111,3 +112,23 @@ def test_rows_and_no_rows(docs, no_docs):
     assert left[4] == 0, "a copy loses all its words"
     assert left[100] == left[101] == left[12] == 1
     assert spans.remove_repeats(no_docs).collect() == [] and spans.cleaned_rows(no_docs).collect() == []
+
+
+def test_texts_without_an_id_are_told_apart_by_the_whole_hash(spark):
+    """Two texts whose hashes agree in their last 24 bits; only one of them holds a passage that stands elsewhere."""
+    passage = "\n".join(" ".join(f"p{i}{j}" for j in range(9)) + "." for i in range(6))
+    ends = spark.range(12_000).select(F.col("id").cast("string").alias("n"))
+    with_passage = ends.select("n", F.concat(F.lit(passage + "\nholds "), "n").alias("text"))
+    clean_text = "\n".join(" ".join(f"c{i}{j}" for j in range(9)) + "." for i in range(8))
+    without = ends.select("n", F.concat(F.lit(clean_text + "\nclean "), "n").alias("text"))
+    low = F.pmod(F.xxhash64("text"), F.lit(1 << 24)).alias("low")
+    pair = (
+        with_passage.select(F.col("text").alias("one"), low)
+        .join(without.select(F.col("text").alias("two"), low), "low")
+        .orderBy("one", "two")
+        .first()
+    )
+    rows = [(1, passage + "\nfirst"), (None, pair.one), (None, pair.two), (2, "a b c"), (2, "d e f")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = [r.text for r in spans.remove_repeats(docs).collect()]
+    assert pair.two in found and pair.one not in found
