@@ -8,9 +8,9 @@ with c(h) tokens and n(h) kinds of successors,
 
 with p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) as the base model has it. Frequent words
 are the end and those with at least N / 2**17 tokens, at most 2**17, and every task
-knows their counts. For rarer words that did follow h, the second summand, which is
-small beside the first, is left out; the probabilities of a context sum up to
-slightly less than 1. Log probabilities of successors are kept in 16 bits.
+knows their counts; this saves messages only and changes no probability. Log
+probabilities of successors are kept in 16 bits, for rarer words those of the first
+summand.
 
 No task holds the whole model, nor all texts. A task cuts its texts into batches
 and sends each distinct pair of a batch once to the shard of its context, with its
@@ -18,8 +18,8 @@ training count and the batch's texts that it is in. A shard adds up the counts,
 builds its trie, answers the pairs of each batch from it, and returns sums for each
 text. A context that is frequent enough to fill a shard is split by its successors'
 hashes; since hashes spread them evenly, n(h) is then taken as the number of splits
-times the kinds in one, and as 1 at least. Pairs that were not seen ask the shard of a rare second word
-for its count.
+times the kinds in one, and as 1 at least. Pairs with a rare second word ask its
+shard for its count, and send along the first summand as a multiple of D n(h) / c(h).
 
 Words are told apart by 64-bit hashes, successors of one context by 40 bits. NULL and
 empty texts are one end token. Repeated rows are texts of their own. Without
@@ -303,23 +303,28 @@ class Shard:
         owner, words, n = owner[seen], successors[seen], counts[seen]
         often = unigrams.find(words)
         whole = 10 ** unigrams.log_whole()
+        # the second summand of a rare word is added where its count is
         shared = np.where(often >= 0, 10 ** self.log_left[owner] * (often + 0.5) / whole, 0)
         logs = np.log10(np.maximum(n - DISCOUNT, 0) / total[owner] + shared)
         self.trie = Trie(own, np.bincount(owner, minlength=len(own)), words, logs)
 
     def answer(
         self, contexts: np.ndarray, degrees: np.ndarray, successors: np.ndarray, unigrams: Unigrams
-    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each pair: the count of its context, its log probability, and whether its second word must be asked for."""
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each pair: the count of its context, its log probability, and whether its second word must be asked for.
+
+        Of a pair that asks, the log is that of D n(h) / c(h); the last array has the first summand's multiple of it.
+        """
         place = np.repeat(self.trie.context(contexts), degrees)
         log = self.trie.log(place, successors)
         missing = np.isnan(log)
         often = unigrams.find(successors)
-        asked = missing & (often < 0)
-        log = np.where(missing, self.log_left[place], log)
+        asked = often < 0
+        ratio = np.where(asked & ~missing, 10 ** (np.where(missing, 0, log) - self.log_left[place]), 0.0)
+        log = np.where(missing | asked, self.log_left[place], log)
         fallback = missing & ~asked
         log[fallback] += np.log10(often[fallback] + 0.5) - unigrams.log_whole()
-        return self.total[place], log, asked
+        return self.total[place], log, asked, ratio
 
 
 def _score_shard(unigrams: Unigrams):
@@ -340,14 +345,14 @@ def _score_shard(unigrams: Unigrams):
         begins = np.flatnonzero(new)
         shard = Shard(contexts[begins], successors[begins], np.add.reduceat(counts, begins), unigrams)
         out = []
-        asking: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        asking: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         names = np.array([row["batch"] for row in rows], np.int64)
         for number, (row, (contexts, degrees, successors, _, occurrences)) in enumerate(zip(rows, read)):
             name = row["batch"]
             if row["ids"] is not None:
                 heads = (row[x] for x in ("ids", "id_null", "held_out", "n_tokens"))
                 out.append((TEXTS, name, name, *heads))
-            total, log, asked = shard.answer(contexts, degrees, successors, unigrams)
+            total, log, asked, ratio = shard.answer(contexts, degrees, successors, unigrams)
             raw = row["texts"]
             text = np.frombuffer(raw, np.uint16 if len(raw) == 2 * occurrences.sum() else np.uint32).astype(np.int64)
             word = np.repeat(contexts, degrees) != START  # each word is the context of one token; the start is none
@@ -355,12 +360,13 @@ def _score_shard(unigrams: Unigrams):
             base = np.repeat(np.where(word, np.log10(total + 0.5), 0.0), occurrences)
             out.append(_sums(name, text, known, base, np.repeat(log, occurrences)))
             pick = np.repeat(asked, occurrences)
-            asking.append((np.repeat(successors, occurrences)[pick], text[pick], np.full(int(pick.sum()), number)))
+            ratio = np.repeat(ratio.astype(np.float32).view(np.uint32), occurrences)[pick]
+            asking.append((np.repeat(successors, occurrences)[pick], text[pick], np.full(int(pick.sum()), number), ratio))
         # one message to each shard that is asked, for all batches together
-        words, texts, numbers = (np.concatenate(x) for x in zip(*asking))
+        words, texts, numbers, ratios = (np.concatenate(x) for x in zip(*asking))
         home = _home(words, unigrams.shards)
         order = np.lexsort((words, home))
-        words, places = words[order], np.stack([texts[order], numbers[order]], axis=1).astype(np.uint32)
+        words, places = words[order], np.stack([texts[order], numbers[order], ratios[order]], axis=1).astype(np.uint32)
         for target, part in _slices(home[order]):
             distinct, first = np.unique(words[part], return_index=True)
             sizes = np.diff(np.append(first, part.stop - part.start)).astype(np.uint32)
@@ -371,7 +377,7 @@ def _score_shard(unigrams: Unigrams):
 
 
 def _answer_counts(unigrams: Unigrams):
-    """The log probabilities of rare words, for the batches that ask."""
+    """The logs that rare words add, for the batches that ask."""
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -384,13 +390,14 @@ def _answer_counts(unigrams: Unigrams):
             if row["kind"] == ASKED:
                 asked = np.frombuffer(row["a"], np.uint64)
                 sizes = np.frombuffer(row["b"], np.uint32).astype(np.int64)
-                places = np.frombuffer(row["c"], np.uint32).astype(np.int64).reshape(-1, 2)
+                places = np.frombuffer(row["c"], np.uint32).reshape(-1, 3)
                 found = np.zeros(len(asked), np.int64)
                 if len(words):
                     at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
                     found = np.where(words[at] == asked, counts[at], 0)
-                log = np.repeat(np.log10(found + 0.5) - unigrams.log_whole(), sizes)
-                answers.append((np.frombuffer(row["d"], np.int64)[places[:, 1]], places[:, 0], log))
+                share = np.repeat((found + 0.5) / 10 ** unigrams.log_whole(), sizes)
+                log = np.log10(places[:, 2].copy().view(np.float32) + share)
+                answers.append((np.frombuffer(row["d"], np.int64)[places[:, 1]], places[:, 0].astype(np.int64), log))
         out = []
         if answers:
             name, text, log = (np.concatenate(x) for x in zip(*answers))

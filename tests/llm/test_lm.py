@@ -114,3 +114,10 @@ def test_trie_lookups():
     assert np.isnan(trie.log(np.array([-1]), successors[:1])).all()
     assert Trie(contexts[:0], degrees[:0], successors[:0], logs[:0]).context(contexts[:2]).tolist() == [-1, -1]
     assert restore(quantise(np.array([0.0, -8.0, -99.0]))).round(3).tolist() == [0.0, -8.0, -16.0]
+
+
+def test_frequent_words_change_no_probability(docs, edge_rows, monkeypatch):
+    """Seen pairs with a rare second word have their whole lower-order share."""
+    monkeypatch.setattr(lm, "FREQUENT", 16)
+    monkeypatch.setattr(lm, "BATCH_TOKENS", 500)
+    close(lm.score(docs, fold("doc_id", 5) == 1).collect(), expected(edge_rows, 1 << 60), 2e-4)
