@@ -17,8 +17,7 @@ and sends each distinct pair of a batch once to the shard of its context, with i
 training count and the batch's texts that it is in. A shard adds up the counts,
 builds its trie, answers the pairs of each batch from it, and returns sums for each
 text. A context that is frequent enough to fill a shard is split by its successors'
-hashes; since hashes spread them evenly, n(h) is then taken as the number of splits
-times the kinds in one, and as 1 at least. Pairs with a rare second word ask its
+hashes; its n(h) is summed over those shards in a pass of its own. Pairs with a rare second word ask its
 shard for its count, and send along the first summand as a multiple of D n(h) / c(h).
 
 Words are told apart by 64-bit hashes, successors of one context by 40 bits. NULL and
@@ -30,7 +29,7 @@ training texts every token has probability 1. Columns other than ``doc_id`` and
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +156,8 @@ class Unigrams:
     shards: int
     frequent: np.ndarray
     counts: np.ndarray
+    split: np.ndarray | None = None  # the contexts over several shards, at most as many as shards, and their n(h)
+    kinds: np.ndarray | None = None
 
     def log_whole(self) -> float:
         return float(np.log10(self.n_tokens + 0.5 * (self.n_words + 1)))
@@ -173,6 +174,20 @@ class Unigrams:
         counts = np.maximum(self.find(words), 0)
         return np.maximum(-(-counts * self.shards // max(self.n_tokens, 1)), 1)
 
+    def home(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """The shard of each pair."""
+        split = W.mix(token) % self.splits(before).astype(np.uint64)
+        return (W.mix(before + (split + np.uint64(1)) * _SPLIT) % np.uint64(self.shards)).astype(np.int64)
+
+    def whole_kinds(self, contexts: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """n(h) of contexts with ``own`` kinds in one shard."""
+        if self.split is None:  # not counted: the kinds of one split stand for all
+            return own * self.splits(contexts)
+        if not len(self.split):
+            return own
+        at = np.minimum(np.searchsorted(self.split, contexts), len(self.split) - 1)
+        return np.where(self.split[at] == contexts, self.kinds[at], own)
+
 
 def count_words(rows: DataFrame, shards: int) -> tuple[DataFrame, Unigrams]:
     """The counts of all training words, stored by shard, and what tasks need of them."""
@@ -199,6 +214,53 @@ def count_words(rows: DataFrame, shards: int) -> tuple[DataFrame, Unigrams]:
     return stored, Unigrams(n, v, shards, words[order], counts[order])
 
 
+# --- Kinds of successors of split contexts ------------------------------------
+
+
+def _split_rows(unigrams: Unigrams):
+    """Each batch's distinct training pairs of split contexts, by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _read(batches):
+            pick = batch.train[batch.text].astype(bool) & (unigrams.splits(batch.before) > 1)
+            before, token = batch.before[pick], batch.token[pick]
+            shard = unigrams.home(before, token)
+            order = np.lexsort((token, before, shard))
+            shard, before, token = shard[order], before[order], token[order]
+            new = np.ones(len(token), bool)  # a pair has one shard
+            new[1:] = (before[1:] != before[:-1]) | (token[1:] != token[:-1])
+            shard, before, token = shard[new], before[new], token[new]
+            rows = [(own, before[part].tobytes(), token[part].tobytes()) for own, part in _slices(shard)]
+            columns = [pa.array([x[0] for x in rows], pa.int64())]
+            columns += [pa.array([x[k] for x in rows], pa.binary()) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "contexts", "successors"])
+
+    return run
+
+
+def _count_kinds(table: pa.Table) -> pa.Table:
+    """How many successors each split context has in one shard."""
+    contexts, successors = (_joined(table, x, np.uint64) for x in ("contexts", "successors"))
+    order = np.lexsort((successors, contexts))
+    contexts, successors = contexts[order], successors[order]
+    new = np.ones(len(contexts), bool)
+    new[1:] = (contexts[1:] != contexts[:-1]) | (successors[1:] != successors[:-1])
+    own, kinds = np.unique(contexts[new], return_counts=True)
+    return pa.table({"context": pa.array(own.view(np.int64)), "kinds": pa.array(kinds.astype(np.int64))})
+
+
+def count_kinds(rows: DataFrame, unigrams: Unigrams) -> Unigrams:
+    """``unigrams`` with n(h) of the contexts that are split, of which there are at most as many as shards."""
+    if not (unigrams.splits(unigrams.frequent) > 1).any():
+        return replace(unigrams, split=np.empty(0, np.uint64), kinds=np.empty(0, np.int64))
+    sent = map_arrow(rows, _split_rows(unigrams), "shard bigint, contexts binary, successors binary")
+    counted = sent.groupBy("shard").applyInArrow(_count_kinds, "context bigint, kinds bigint")
+    found = counted.groupBy("context").agg(F.sum("kinds").alias("kinds")).toPandas()
+    split, kinds = found["context"].to_numpy(np.int64).view(np.uint64), found["kinds"].to_numpy(np.int64)
+    order = np.argsort(split)
+    return replace(unigrams, split=split[order], kinds=kinds[order])
+
+
 # --- Pairs --------------------------------------------------------------------
 
 _PAIR_ROWS = (
@@ -213,11 +275,9 @@ def _pair_rows(unigrams: Unigrams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        shards = np.uint64(unigrams.shards)
         for number, batch in enumerate(_read(batches)):
             name = (TaskContext.get().partitionId() << 32) + number
-            split = W.mix(batch.token) % unigrams.splits(batch.before).astype(np.uint64)
-            shard = (W.mix(batch.before + (split + np.uint64(1)) * _SPLIT) % shards).astype(np.int64)
+            shard = unigrams.home(batch.before, batch.token)
             order = np.lexsort((batch.token, batch.before, shard))
             shard, before, token, text = shard[order], batch.before[order], batch.token[order], batch.text[order]
             train = batch.train[text]
@@ -296,8 +356,8 @@ class Shard:
         total = np.where(splits > 1, unigrams.find(own), total)
         self.total = total
         with np.errstate(divide="ignore", invalid="ignore"):
-            left = DISCOUNT * kinds * splits / total
-        # one split of a context may by chance have no successor that was seen, but the context has one
+            left = DISCOUNT * unigrams.whole_kinds(own, kinds) / total
+        # where n(h) of a split context is not counted, a split may have no successor that was seen, but the context has one
         self.log_left = np.where(total > 0, np.log10(np.clip(left, DISCOUNT / np.maximum(total, 1), 1)), 0.0)
         owner = np.cumsum(new) - 1
         owner, words, n = owner[seen], successors[seen], counts[seen]
@@ -455,6 +515,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     shards = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"), (~held_out).alias("train"))
     counts, unigrams = count_words(rows, shards)
+    unigrams = count_kinds(rows, unigrams)
     pairs = map_arrow(rows, _pair_rows(unigrams), _PAIR_ROWS)
     found = cut_lineage(pairs.groupBy("shard").applyInArrow(_score_shard(unigrams), _MESSAGES))
     none = F.lit(None)

@@ -121,3 +121,17 @@ def test_frequent_words_change_no_probability(docs, edge_rows, monkeypatch):
     monkeypatch.setattr(lm, "FREQUENT", 16)
     monkeypatch.setattr(lm, "BATCH_TOKENS", 500)
     close(lm.score(docs, fold("doc_id", 5) == 1).collect(), expected(edge_rows, 1 << 60), 2e-4)
+
+
+def test_a_split_context_counts_its_kinds_exactly(spark):
+    """A word with a third of all tokens and few successors is split; no shard guesses n(h) from its own kinds."""
+    rows = [(k, f"hot a{k % 3} hot b{k % 2}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    close(lm.score(docs, fold("doc_id", 5) == 1).collect(), expected(rows, 1 << 60), 2e-4)
+    train = docs.selectExpr("doc_id", "text", "doc_id >= 0 as train")
+    _, unigrams = lm.count_words(train, 40)
+    unigrams = lm.count_kinds(train, unigrams)
+    hot = next(w for w in unigrams.split if w > lm.END and unigrams.find(np.array([w]))[0] == 120)
+    assert unigrams.splits(np.array([hot]))[0] > 10
+    one = lm.Shard(np.array([hot]), np.array([12345], np.uint64), np.array([1]), unigrams)
+    assert one.log_left[0] == pytest.approx(math.log10(lm.DISCOUNT * 5 / 120))
