@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from headwater.llm import bpe, classifier, counts, fingerprint, language, lm, mixing, rules, similar, spans
+from headwater.functions.scalars import let
+from headwater.llm import bpe, classifier, counts, fingerprint, language, lm, minhash, mixing, negatives, periodic, rules
+from headwater.llm import similar, spans
 from headwater.llm.frames import fold, table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -126,3 +128,86 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spans.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("row.doc_id", "n_sentences", "n_removed", "text")
+
+
+@query
+def op11_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+ORACLE["op12_hard_negatives"] = """
+with vectors as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        [floor(256 * cast(x as double)) for x in embedding] as v
+    from embeddings
+    where label is not null and embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scores as (
+    select a.vec_id as anchor_id, r.vec_id as other_id, a.label = r.label as same,
+        cast(list_inner_product(a.v, r.v) as bigint) as score
+    from vectors a join vectors r on a.vec_id <> r.vec_id
+    where a.vec_id % 50 = 0),
+positives as (
+    select anchor_id, other_id as positive_id, score as positive_score
+    from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+negatives as (
+    select p.anchor_id, positive_id, positive_score, other_id as negative_id, score as negative_score,
+        row_number() over (partition by p.anchor_id, positive_id order by score desc, other_id) as rank
+    from positives p join scores s on p.anchor_id = s.anchor_id and not s.same
+        and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score
+from negatives where rank <= 3
+"""
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """The documents, one in ten of them (by a checksum of its id) with words that repeat periodically from some place on."""
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+
+    def repeating(words: Column) -> Column:
+        n, g = F.size(words).cast("bigint"), F.floor(checksum / 10)
+        start = g % n
+        period = F.lit(1) + F.floor((n - start) / (F.lit(3) + g % 8))
+        shape = F.struct(start.alias("start"), period.alias("period"))
+
+        def word(of: Column, i: Column) -> Column:
+            back = of["start"] + (i - of["start"]) % of["period"]
+            return F.get(words, F.when(i < of["start"], i).otherwise(back).cast("int"))
+
+        every = let(shape, lambda of: F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: word(of, i)))
+        return F.when(n > 0, F.array_join(every, " ")).otherwise(F.lit(""))
+
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    return docs.withColumn("text", F.when(checksum % 10 == 0, let(words, repeating)).otherwise(F.col("text")))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+    def longer(best: Column, run: Column) -> Column:
+        # the runs come by start, then period, so the first of equal ones stays
+        more = best["period"].isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+        return F.when(more, run).otherwise(best)
+
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", F.reduce("runs", none, longer))
+    return best.select(
+        "row.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
