@@ -1,11 +1,11 @@
-"""Table references in SQL text, by patterns on a text column.
-
-This is a heuristic over text, not a grammar. It knows comments, string literals,
-quoted names, comma lists, nested selects and joins, common table expressions, table
-functions and the ``from`` of functions such as ``extract(... from ...)``. Parentheses
-are peeled from the inside, a bounded number of times, so that each statement is
-read without the ones inside it; tables of outer statements come first. A name that is
-a common table expression anywhere in the text counts as one everywhere.
+"""Table references in SQL text, from a text column.
+
+The text is cut into tokens, which one fold reads with a stack of scopes, one for each open parenthesis, however
+deep. A scope knows whether it is in a list of tables, so that a comma after a join condition goes on with the
+list, and a comma of the select list doesn't. It knows its common table expressions: they hide tables in their own
+statement and below, after their bodies, or inside them if they are recursive. Comments, literals, texts between dollar
+signs, quoted names, table functions, ``is distinct from`` and the ``from`` inside functions such as ``extract`` are
+known too. Tables of outer statements come first. Targets of INSERT and MERGE are not read, so they are not listed.
 """
 
 from __future__ import annotations
@@ -29,23 +29,6 @@ CTE_NAME = rf"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)({_ATOM})\s*(?:\([^()]*\)\s
 PLAIN_TABLE = rf"^\s*{IDENTIFIER}\s*$"
 
 
-# Private characters stand for quoted names (with their number) and for groups in parentheses.
-_OPEN, _CLOSE, _GROUP = "\ue000", "\ue001", "\ue002"
-_DEPTH = 10
-_QUOTED = r"\"[^\"]+\"|`[^`]+`|\[[^\]]+\]"
-_PART = rf"(?:{_OPEN}\d+{_CLOSE}|{_WORD})"
-_NAME = rf"{_PART}(?:\s*\.\s*{_PART})*"
-_INNERMOST = r"\(([^()]*)\)"
-# A list of tables ends where another part of the statement begins.
-_LIST = (
-    r"(?is)\b(?:from|join)\s+(.*?)(?=\b(?:where|group|order|having|limit|union|intersect|except|on|using|join|left|right"
-    r"|inner|outer|full|cross|natural|window|qualify|select|from|returning|fetch|offset|set|when)\b|;|$)"
-)
-_ITEM = rf"(?i)^\s*(?:(?:lateral|only)\s+)*({_NAME}(?:\s*{_GROUP})?)"
-_CTE = rf"(?i)(?:\bwith\s+(?:recursive\s+)?|,\s*)({_PART})\s*(?:{_GROUP}\s*)?as\s*(?:(?:not\s+)?materialized\s*)?{_GROUP}"
-_JOIN_GROUP = rf"(?is)^\s*(?!(?:select|with|values)\b)(?:{_NAME}|{_GROUP})\s.*\bjoin\b"
-
-
 def _tight(name: Column) -> Column:
     """``a . b`` as ``a.b``."""
     return F.when(name.contains("."), F.regexp_replace(name, r"\s*\.\s*", ".")).otherwise(name)
@@ -75,72 +58,144 @@ def _references(text: Column) -> Column:
     return F.array_distinct(F.transform(found, _tight))
 
 
-def _statements(text: Column) -> Column:
-    """The text with its groups replaced by a mark, then the groups that are statements or joins, outer first."""
-    start = F.struct(text.alias("text"), F.array().cast("array<string>").alias("inner"))
-    peeled = F.aggregate(
-        F.sequence(F.lit(1), F.lit(_DEPTH)),
-        start,
-        lambda left, _: F.struct(
-            F.regexp_replace(left["text"], _INNERMOST, f" {_GROUP} ").alias("text"),
-            F.concat(F.regexp_extract_all(left["text"], F.lit(_INNERMOST), F.lit(1)), left["inner"]).alias("inner"),
-        ),
-    )
-
-    def every(result: Column) -> Column:
-        joins = F.transform(result["inner"], lambda g: F.when(g.rlike(_JOIN_GROUP), F.concat(F.lit("select from "), g)).otherwise(g))
-        return F.concat(F.array(result["text"]), F.filter(joins, lambda g: g.rlike(r"(?i)\bselect\b")))
-
-    return let(peeled, every)
-
-
-def _found(text: Column) -> Column:
-    """Distinct names in the lists of tables of a text whose quoted names are replaced."""
-
-    def names(statements: Column) -> Column:
-        lists = F.flatten(F.transform(statements, lambda s: F.regexp_extract_all(s, F.lit(_LIST), F.lit(1))))
-        items = F.split(F.array_join(lists, ","), ",")
-        first = F.transform(items, lambda item: F.regexp_extract(item, _ITEM, 1))
-        ctes = F.flatten(F.transform(statements, lambda s: F.regexp_extract_all(s, F.lit(_CTE), F.lit(1))))
-        lowered = F.transform(ctes, lambda name: F.lower(name))
-        tables = F.filter(first, lambda name: (name != "") & ~name.endswith(_GROUP))
-        return let(lowered, lambda known: F.filter(tables, lambda name: ~F.array_contains(known, F.lower(name))))
-
-    return F.array_distinct(F.transform(let(_statements(text), names), _tight))
+# Comments, literals and texts between dollar signs; names with their dots; single marks.
+_TOKEN = rf"--[^\n]*|/\*[\s\S]*?\*/|'[^']*'|\$(\w*)\$[\s\S]*?\$\1\$|{IDENTIFIER}|\S"
+_SILENT = r"^(?:--|/\*|'[\s\S]*'$|\$\w*\$)"
+
+# Kinds of tokens. Words that are none of these are names.
+_KINDS = ["name", "(", ")", ",", ";", "from", "join", "select", "with", "recursive", "as", "end", "skip", "no name", "using", "delete", "distinct"]
+_NAME, _OPEN, _CLOSE, _COMMA, _SEMICOLON, _FROM, _JOIN, _SELECT, _WITH, _RECURSIVE, _AS, _END, _SKIP, _OTHER, _USING, _DELETE, _DISTINCT = range(17)
+_WORDS = {
+    **{word: kind for kind, word in enumerate(_KINDS) if kind not in (_NAME, _END, _SKIP, _OTHER)},
+    **dict.fromkeys(["values"], _SELECT),
+    **dict.fromkeys(["merge"], _DELETE),
+    **dict.fromkeys(["lateral", "only"], _SKIP),
+    # what ends a list of tables
+    **dict.fromkeys("where group order having limit union intersect except window qualify returning fetch offset set when".split(), _END),
+    **dict.fromkeys("on left right inner outer full cross natural into".split(), _OTHER),
+    # stands between the name of a common table expression and its body
+    **dict.fromkeys(["materialized"], _AS),
+}
+# How far a scope's list of common table expressions is.
+_NO_LIST, _WANTS_NAME, _WANTS_BODY, _HAS_BODY = range(4)
+
+# What is known of each scope: whether a FROM counts in it, whether it is in a list of tables, whether USING
+# names a table in it, and its common table expressions.
+_SCOPE = "q:boolean,f:boolean,u:boolean,list:int,recursive:boolean,cte:string"
+_STATE = (
+    f"struct<{_SCOPE},wants:boolean,last:int,pending:string,stack:array<struct<{_SCOPE}>>,"
+    "ctes:array<struct<depth:int,name:string>>,found:array<struct<depth:int,place:int,name:string>>>"
+)
 
 
-def _plain_tables(text: Column) -> Column:
-    quoted = F.regexp_extract_all(text, F.lit(_QUOTED), F.lit(0))
+def _tokens(sql: Column) -> Column:
+    """The tokens of a text with their kinds, without comments and literals."""
+    kinds = F.create_map(*[F.lit(x) for pair in _WORDS.items() for x in pair])
+    found = F.filter(F.regexp_extract_all(sql, F.lit(_TOKEN), F.lit(0)), lambda token: ~token.rlike(_SILENT))
+
+    def kind(token: Column) -> Column:
+        named = token.rlike(rf"^(?:{_WORD}|[\"`\[]..)")
+        return F.coalesce(F.try_element_at(kinds, F.lower(token)), F.when(named, F.lit(_NAME)), F.lit(_OTHER))
+
+    return F.transform(found, lambda token: F.struct(kind(token).alias("kind"), _strip_quotes(token).alias("name")))
+
+
+def _known(ctes: Column, name: Column) -> Column:
+    return F.exists(ctes, lambda cte: cte["name"] == F.lower(name))
+
+
+def _add_pending(s: Column) -> Column:
+    """The tables found, with the one that waits for the token after it, unless it is a common table expression."""
+    one = F.struct(F.size(s["stack"]).alias("depth"), F.size(s["found"]).alias("place"), s["pending"].alias("name"))
+    counts = s["pending"].isNotNull() & ~_known(s["ctes"], s["pending"])
+    return F.when(counts, F.concat(s["found"], F.array(one))).otherwise(s["found"])
+
+
+def _step(s: Column, token: Column) -> Column:
+    """The state after one more token."""
+    kind, name, depth = token["kind"], token["name"], F.size(s["stack"])
+    top = F.get(s["stack"], depth - 1)
+    opens, closes = kind == _OPEN, (kind == _CLOSE) & (depth > 0)
+    # a name before the parenthesis is a function's; tables or a statement stand where a table is wanted
+    group = s["wants"] & s["pending"].isNull() & (s["last"] != _USING)
+    body = (s["list"] == _WANTS_BODY) & (s["last"] == _AS)
+    from_counts = (kind == _FROM) & s["q"] & (s["last"] != _DISTINCT)
+    with_starts = (kind == _WITH) & (s["wants"] | ~s["f"])
+    starts = (kind == _SELECT) | (kind == _DELETE) | (kind == _SEMICOLON)
+    using = (kind == _USING) & s["u"]
+    cte_name = (kind == _NAME) & (s["list"] == _WANTS_NAME)
+    no, yes, nothing = F.lit(False), F.lit(True), F.lit(None).cast("string")
+    saved = F.struct(
+        s["q"].alias("q"),
+        s["f"].alias("f"),
+        s["u"].alias("u"),
+        F.when(body, F.lit(_HAS_BODY)).otherwise(s["list"]).alias("list"),
+        s["recursive"].alias("recursive"),
+        s["cte"].alias("cte"),
+    )
+    # a common table expression is known after its body, or from its name on if it is recursive
+    left = F.when(closes | (kind == _SEMICOLON), F.filter(s["ctes"], lambda c: c["depth"] < depth)).otherwise(s["ctes"])
+    registers = F.when(closes & (top["list"] == _HAS_BODY), top["cte"]).when(cte_name & s["recursive"], name)
+    at = F.when(closes, depth - 1).otherwise(depth)
+    return F.struct(
+        F.when(opens, group).when(closes, top["q"]).when(starts | with_starts, yes).otherwise(s["q"]).alias("q"),
+        F.when(opens, group)
+        .when(closes, top["f"])
+        .when(from_counts | using | (kind == _JOIN), yes)
+        .when(starts | with_starts | (kind == _END), no)
+        .otherwise(s["f"])
+        .alias("f"),
+        F.when(opens, no).when(closes, top["u"]).when(kind == _DELETE, yes)
+        .when((kind == _USING) | (kind == _SELECT) | (kind == _SEMICOLON), no).otherwise(s["u"]).alias("u"),
+        F.when(opens, F.lit(_NO_LIST))
+        .when(closes, top["list"])
+        .when(with_starts, F.lit(_WANTS_NAME))
+        .when(cte_name, F.lit(_WANTS_BODY))
+        .when((kind == _COMMA) & (s["list"] == _HAS_BODY), F.lit(_WANTS_NAME))
+        .when(starts | (kind == _END), F.lit(_NO_LIST))
+        .otherwise(s["list"])
+        .alias("list"),
+        F.when(opens | with_starts, no).when(closes, top["recursive"]).when(kind == _RECURSIVE, yes)
+        .otherwise(s["recursive"]).alias("recursive"),
+        F.when(opens, nothing).when(closes, top["cte"]).when(cte_name, F.lower(name)).otherwise(s["cte"]).alias("cte"),
+        F.when(opens, group)
+        .when(from_counts | using | (kind == _JOIN), yes)
+        .when(kind == _COMMA, s["f"])
+        .when(kind == _SKIP, s["wants"])
+        .otherwise(no)
+        .alias("wants"),
+        kind.alias("last"),
+        F.when((kind == _NAME) & s["wants"], name).otherwise(nothing).alias("pending"),
+        F.when(opens, F.concat(s["stack"], F.array(saved)))
+        .when(closes, F.slice(s["stack"], 1, depth - 1))
+        .otherwise(s["stack"])
+        .alias("stack"),
+        F.when(registers.isNotNull(), F.concat(left, F.array(F.struct(at.alias("depth"), F.lower(registers).alias("name")))))
+        .otherwise(left)
+        .alias("ctes"),
+        F.when(opens, s["found"]).otherwise(_add_pending(s)).alias("found"),
+    )
 
-    def tables(names: Column) -> Column:
-        between = F.split(text, _QUOTED)
-        marked = F.transform(
-            between,
-            lambda part, i: F.when(
-                i < F.size(names), F.concat(part, F.lit(_OPEN), i.cast("string"), F.lit(_CLOSE))
-            ).otherwise(part),
-        )
 
-        def unquoted(part: Column) -> Column:
-            number = F.regexp_extract(part, rf"{_OPEN}(\d+){_CLOSE}", 1).try_cast("int")
-            name = F.get(names, number)
-            return F.when(part.startswith(_OPEN), F.substring(name, F.lit(2), F.length(name) - 2)).otherwise(part)
+def _tables_of(sql: Column) -> Column:
+    start = F.from_json(F.lit('{"q":true,"f":false,"u":false,"list":0,"recursive":false,"wants":false,"last":0,"stack":[],"ctes":[],"found":[]}'), _STATE)
 
-        found = _found(F.array_join(marked, ""))
-        return F.transform(found, lambda name: F.array_join(F.transform(F.split(name, r"\."), unquoted), "."))
+    def names(state: Column) -> Column:
+        # outer statements first; the places are ascending
+        return F.array_distinct(F.transform(F.array_sort(_add_pending(state)), lambda found: found["name"]))
 
-    return F.array_distinct(let(quoted, tables))
+    return F.aggregate(_tokens(sql), start, _step, names)
 
 
 def sql_tables(sql: Column, compat: bool = False) -> Column:
-    """Distinct table names after FROM and JOIN.
+    """Distinct names of the tables that a text reads: after FROM and JOIN, and after the USING of DELETE and MERGE.
 
-    ``compat`` reads the text in one go, without peeling; it keeps quotes around
+    ``compat`` looks for patterns in the text as a whole; it keeps quotes around
     names, and gives nothing for a text whose parentheses do not pair up, as a
     grammar would.
     """
     if not compat:
-        return let(_clean(sql), _plain_tables)
+        return F.when(sql.isNotNull(), _tables_of(sql))
 
     def tables(text: Column) -> Column:
         opened, closed = (F.length(F.translate(text, mark, "")) for mark in "()")

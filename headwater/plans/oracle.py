@@ -634,13 +634,16 @@ from t"""
 # the names that each shape of statement was made of
 ORACLE["sql_tables_of_text"] = """
 with t as (
-  select p_partkey, case p_partkey % 14
+  select p_partkey, case p_partkey % 22
     when 0 then ['part_' || p_size, 'supplier_' || (p_partkey % 9)] when 1 then ['dim_' || lower(split_part(p_type, ' ', 1)), 'base_' || p_size]
     when 2 then ['t1_' || p_size, 't2_' || p_size] when 3 then ['inner_' || p_size]
     when 4 then ['real_' || p_size, 'db.other_' || p_size] when 5 then ['S' || p_size || '.T', 'b.c']
     when 6 then ['a' || p_size, 'b'] when 7 then ['t' || p_size] when 8 then ['t', 'i' || p_size]
     when 9 then ['t' || p_size] when 10 then ['a,' || p_size] when 11 then ['t1', 't' || p_size]
-    when 12 then ['t' || p_size, 'u'] else ['l' || p_size, 'w'] end as names
+    when 12 then ['t' || p_size, 'u'] when 13 then ['l' || p_size, 'w']
+    when 14 then ['a' || p_size, 'b', 'c' || (p_partkey % 5)] when 15 then ['a' || p_size, 'b', 'c'] when 16 then ['s' || p_size]
+    when 17 then ['t' || p_size, 'u', 'v' || p_size] when 18 then ['c', 'd' || p_size] when 19 then ['t' || p_size]
+    when 20 then ['after_all', 'deep' || p_size] else ['s' || p_size, 'r', 'r2'] end as names
   from part)
 select p_partkey, array_to_string(list_distinct_in_order, ',') as tables, len(list_distinct_in_order)::int as n_tables
 from (select p_partkey, list_filter(names, lambda x, i: list_position(names, x) = i) as list_distinct_in_order from t)"""

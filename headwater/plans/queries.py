@@ -403,9 +403,9 @@ def jdbc_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sql_tables_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Table references of one statement per part, in fourteen shapes."""
+    """Table references of one statement per part, in twenty-two shapes."""
     text = F.expr(
-        """case p_partkey % 14
+        """case p_partkey % 22
              when 0 then concat('select * from part_', p_size, ' r left join supplier_', p_partkey % 9, ' v on r.k = v.k')
              when 1 then concat('WITH c AS (select * from base_', p_size, ') select * from c join dim_', lower(p_type), ' d on c.k = d.k')
              when 2 then concat('select a from t1_', p_size, ' x, t2_', p_size, ' as y, t1_', p_size, ' z where x.k = y.k')
@@ -419,7 +419,15 @@ def sql_tables_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
              when 10 then concat('select * from "a,', p_size, '" x')
              when 11 then concat('select * from t1 x (c1, c2), t', p_size)
              when 12 then concat('select * from t', p_size, ' tablesample (10), u cross join lateral f(a.b) z')
-             else concat('select * from l', p_size, ', (values (1)) v, w') end"""
+             when 13 then concat('select * from l', p_size, ', (values (1)) v, w')
+             when 14 then concat('select * from a', p_size, ' x join b y on x.id = y.id, c', p_partkey % 5, ' z where x.k in (1, 2)')
+             when 15 then concat('select x, y from a', p_size, ' join b using (id, k), c order by x, y')
+             when 16 then concat('MERGE INTO t', p_size, ' USING s', p_size, ' q ON q.k = 1 WHEN MATCHED THEN UPDATE SET a = 1, b = 2')
+             when 17 then concat('delete from t', p_size, ' using u, v', p_size, ' where u.k = v.k')
+             when 18 then concat('select * from c, (with c as (select * from d', p_size, ') select * from c) q join c on 1 = 1')
+             when 19 then concat('select $$ from ghost $$, $t$ join x $$ y $t$ from t', p_size)
+             when 20 then concat('select * from ', repeat('(select * from ', 30), 'deep', p_size, repeat(') q', 30), ', after_all')
+             else concat('with recursive r as (select 1 from s', p_size, ' union all select * from r), r2 as (select * from r2, r) select * from r, r2') end"""
     )
     tables = facts.table(spark, sf_dir, "part").select("p_partkey", sql_tables(text).alias("tables"))
     return tables.select("p_partkey", F.array_join("tables", ",").alias("tables"), F.size("tables").alias("n_tables"))

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import time
 import uuid
+from typing import Any, NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -54,3 +57,78 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = work_path(spark, "round")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Child(NamedTuple):
+    """What a folder holds."""
+
+    name: str
+    is_folder: bool
+    modified_ms: int
+
+
+def _file_system(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """Spark's own client of the store that a path is in, and the path for it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def children(spark: SparkSession, path: str) -> list[Child]:
+    """The files and folders directly below a folder, by name; none if it isn't there."""
+    store, where = _file_system(spark, path)
+    if not store.exists(where):
+        return []
+    return sorted(
+        Child(found.getPath().getName(), found.isDirectory(), found.getModificationTime()) for found in store.listStatus(where)
+    )
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, where = _file_system(spark, path)
+    return store.exists(where)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file, or a folder with all that it holds; false if it isn't there."""
+    store, where = _file_system(spark, path)
+    return store.delete(where, True)
+
+
+def claim_path(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a short file; false if it is there already. Of several callers one succeeds.
+
+    It rests on the store's exclusive create, which HDFS and the file systems of object stores with
+    conditional writes have.
+    """
+    store, where = _file_system(spark, path)
+    try:
+        out = store.create(where, False)
+    except Py4JJavaError:
+        if store.exists(where):
+            return False
+        raise
+    out.writeUTF(content)
+    out.close()
+    return True
+
+
+def read_claim(spark: SparkSession, path: str) -> str | None:
+    """The content of a claimed file; none if it is not complete yet."""
+    store, where = _file_system(spark, path)
+    stream = store.open(where)
+    try:
+        return stream.readUTF()
+    except Py4JJavaError:
+        return None
+    finally:
+        stream.close()
+
+
+def clear_work(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete work folders that were last written so long ago; returns how many.
+
+    For a schedule of its own: results that still read such a folder must be written by then.
+    """
+    base, limit = f"{shared_dir(spark)}/headwater", (time.time() - 3600 * older_than_hours) * 1000
+    old = [child for child in children(spark, base) if child.modified_ms < limit]
+    return sum(delete_path(spark, f"{base}/{child.name}") for child in old)

@@ -1,27 +1,30 @@
 """Incremental application rollup: events in, latest state per application out.
 
-Each trigger aggregates its own events per application and property key and writes
-the rows to a folder named by its number. No state store is kept: all measures are
+Each trigger aggregates its own events per application and property key and logs
+the rows as a run of its own (see :mod:`headwater.streaming.runs`). No state store is kept: all measures are
 maxima and sums, so the rows of any number of triggers merge exactly, whenever their
 events arrive and however long an application has been quiet. A repeated trigger
-replaces its folder, so nothing counts twice. Snapshots keep the log short.
+replaces its run, so nothing counts twice. Runs are merged level by level, which keeps the log short.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from headwater import schemas as S
-from headwater.sinks.writers import read_table, sink_table, table_exists
+from headwater.streaming.runs import RunLog
 
 ENTRY = "array<struct<key:string,value:string>>"
 LOG = (
     "app_id string, key string, last_ms bigint, end_ms bigint, n_failed bigint, has_ended boolean, "
     "failure struct<ms:bigint,job_id:bigint,message:string>, setting struct<ms:bigint,job_id:bigint,value:string>"
 )
-COMPACT_EVERY = 50
+# So many runs of one size are merged into one.
+FAN = 8
 
 
 def partial_rows(events: DataFrame) -> DataFrame:
@@ -63,68 +66,35 @@ def merge_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def write_batch(rows: DataFrame, path: str, number: int) -> None:
-    """Store the rows of a trigger; the same trigger again replaces them."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-
-def read_batches(spark: SparkSession, path: str, schema: str, upto: int | None = None, after: int = -1) -> DataFrame:
-    """The rows of the triggers after ``after``, up to ``upto``; other folders are not opened."""
-    batch = F.col("batch")
-    found = spark.read.schema(f"{schema}, batch bigint").parquet(path).where(batch > after)
-    return found if upto is None else found.where(batch <= upto)
-
-
-def _snapshot(spark: SparkSession, path: str, upto: int | None) -> DataFrame | None:
-    if not table_exists(spark, f"{path}/snapshot"):
-        return None
-    found = read_table(spark, f"{path}/snapshot")
-    return found if upto is None or last_batch(found) <= upto else None
+def log_of(spark: SparkSession, path: str) -> RunLog:
+    return RunLog(spark, f"{path}/log", LOG)
 
 
-def last_batch(snapshot: DataFrame) -> int:
-    found = snapshot.agg(F.max("batch").alias("batch")).first()
-    return -1 if found.batch is None else found.batch
-
-
-def read_rollup(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
-    """The state per application and key: the snapshot merged with the log after it."""
-    snapshot = _snapshot(spark, path, upto)
-    if snapshot is None:
-        return merge_rows(read_batches(spark, f"{path}/log", LOG, upto))
-    log = read_batches(spark, f"{path}/log", LOG, upto, after=last_batch(snapshot))
-    return merge_rows(log.unionByName(snapshot.where(F.col("app_id").isNotNull())))
+def read_rollup(
+    spark: SparkSession, path: str, upto: int | None = None, buckets: Sequence[int] | None = None
+) -> DataFrame:
+    """The state per application and key, now or after the trigger ``upto``, of all applications or of some buckets.
 
+    A state that merged runs no longer tell raises ``LookupError``.
+    """
+    return merge_rows(log_of(spark, path).read(upto, buckets))
 
-def compact_rollup(spark: SparkSession, path: str, upto: int | None = None) -> int:
-    """Write the state as a snapshot, then empty the log folders that it covers.
 
-    The snapshot holds the number of its last batch in a row of its own, so it is
-    known even if no application is left. A reader that started before keeps
-    reading the log it planned for, or fails and starts again.
-    """
-    log = read_batches(spark, f"{path}/log", LOG, upto)
-    last = log.agg(F.max("batch").alias("batch")).first().batch
-    if last is None:
-        return 0
-    state = read_rollup(spark, path, last).withColumn("batch", F.lit(None).cast("bigint"))
-    mark = spark.createDataFrame([(last,)], "batch bigint")
-    version = sink_table(state.unionByName(mark, allowMissingColumns=True), f"{path}/snapshot")
-    for row in log.select("batch").distinct().collect():  # one number for each trigger since the last snapshot
-        write_batch(spark.createDataFrame([], LOG), f"{path}/log", row.batch)
-    return version
+def compact_rollup(spark: SparkSession, path: str, upto: int | None = None) -> bool:
+    """Merge all runs of the log into one; false if there is nothing to merge."""
+    return log_of(spark, path).merge_all(merge_rows, upto) is not None
 
 
 def stream_rollup(
-    events: DataFrame, path: str, checkpoint: str, available_now: bool = True, compact_every: int = COMPACT_EVERY
+    events: DataFrame, path: str, checkpoint: str, available_now: bool = True, compact_every: int = FAN
 ) -> StreamingQuery:
-    """Fold an event stream into the log below ``path``."""
+    """Fold an event stream into the log below ``path``; ``compact_every`` runs of one size become one."""
 
     def store(batch: DataFrame, number: int) -> None:
-        write_batch(partial_rows(batch), f"{path}/log", number)
-        if number and number % compact_every == 0:
-            # one trigger behind, so that this one may be repeated
-            compact_rollup(batch.sparkSession, path, number - 1)
+        log = log_of(batch.sparkSession, path)
+        log.write(partial_rows(batch), number)
+        # one trigger behind, so that this one may be repeated
+        log.compact(compact_every, merge_rows, number - 1)
 
     writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -1,5 +1,7 @@
 """The demo jobs on fixtures of the demo's shape, the sinks, and the connector options."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from headwater.operators import etl
@@ -99,27 +101,110 @@ def test_publish_and_log(spark, rows, tmp_path):
         K.publish(docs, f"{tmp_path}/p")
     assert rows(K.read_published(spark, f"{tmp_path}/p"), "app_id", "host") == [("a", "h1"), ("b", "h2")]
     K.publish(docs, f"{tmp_path}/p", batch=1)
-    assert K.read_published(spark, f"{tmp_path}/p").count() == 4
+    assert K.read_published(spark, f"{tmp_path}/p").count() == 2
     assert (tmp_path / "p" / "batch=0" / "host=h1").is_dir()
     assert rows(K.to_json_lines(docs)) == [('{"source_name":"//t","kind":"head","key":"//k","items":["j","r"]}',)]
 
 
 def test_two_writers_at_one_number_keep_both_versions(spark, rows, tmp_path, monkeypatch):
-    """The second writer sees no commit at first, as if both had started together."""
+    """The second writer has read the commits before the first one commits."""
     path = str(tmp_path / "t")
     assert K.sink_table(spark.createDataFrame([(1,)], "n int"), path) == 1
-    real, blind = K._commits, [True]
-
-    def once_blind(session, where):
-        return [] if blind and blind.pop() else real(session, where)
-
-    monkeypatch.setattr(K, "_commits", once_blind)
-    version = K.sink_table(spark.createDataFrame([(2,)], "n int"), path)
-    assert version in (1, 2)
-    monkeypatch.setattr(K, "_commits", real)
-    folders = {c.version: c.folder for c in K._commits(spark, path)}
-    assert len(folders) == version and len(set(folders.values())) == len(folders)
-    assert version == 1 or rows(K.read_table(spark, path)) == [(2,)]
+    real = K._commits
+
+    def interleaved(session, where):
+        found = real(session, where)
+        monkeypatch.setattr(K, "_commits", real)
+        assert K.sink_table(spark.createDataFrame([(2,)], "n int"), path) == 2
+        return found
+
+    monkeypatch.setattr(K, "_commits", interleaved)
+    assert K.sink_table(spark.createDataFrame([(3,)], "n int"), path) == 3
+    assert [rows(K.read_table(spark, path, v)) for v in (1, 2, 3)] == [[(1,)], [(2,)], [(3,)]]
+    assert rows(K.read_table(spark, path)) == [(3,)]
+
+
+def test_many_writers_at_once(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    with ThreadPoolExecutor(6) as pool:
+        versions = list(pool.map(lambda n: (K.sink_table(spark.createDataFrame([(n,)], "n int"), path), n), range(12)))
+    assert sorted(v for v, _ in versions) == list(range(1, 13))
+    assert all(rows(K.read_table(spark, path, v)) == [(n,)] for v, n in versions)
+
+
+def test_a_write_that_builds_on_a_replaced_version_is_given_up(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    one = spark.createDataFrame([(1,)], "n int")
+    assert K.sink_table(one, path, base=0) == 1
+    base = K.table_version(spark, path)
+    mine = K.read_table(spark, path, base).selectExpr("n + 10 as n")
+    assert K.sink_table(K.read_table(spark, path, base).selectExpr("n + 1 as n"), path, base) == 2
+    with pytest.raises(K.TableConflict):
+        K.sink_table(mine, path, base)
+    assert rows(K.read_table(spark, path)) == [(2,)] and len(list((tmp_path / "t").glob("data-*"))) == 2
+    assert K.sink_table(K.read_table(spark, path, 2).selectExpr("n + 10 as n"), path, 2) == 3
+    with pytest.raises(LookupError):
+        K.read_table(spark, path, 9)
+
+
+def test_old_versions_are_swept_when_nobody_needs_them(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(4):
+        K.sink_table(spark.createDataFrame([(n,)], "n int"), path)
+    spark.range(1).write.parquet(f"{path}/data-given-up")
+    assert K.sweep_table(spark, path, keep=2) == []  # all were written just now
+    old = K.read_table(spark, path, 1)
+    assert rows(old) == [(0,)]
+    assert len(K.sweep_table(spark, path, keep=2, older_than_hours=0)) == 3
+    assert rows(K.read_table(spark, path, 3)) == [(2,)] and rows(K.read_table(spark, path)) == [(3,)]
+    with pytest.raises(LookupError):
+        K.read_table(spark, path, 1)
+    assert K.sink_table(spark.createDataFrame([(9,)], "n int"), path) == 5
+
+
+DOCUMENT = "app_id string, host string, sink string, source_name string, kind string, key string, items array<string>"
+
+
+def document(app_id="a", host="h", items=("x",), key="//k", source="//s", kind="head"):
+    return (app_id, host, "publish", source, kind, key, list(items) if items is not None else None)
+
+
+def test_the_newest_document_is_read_once(spark, rows, tmp_path):
+    path, frame = f"{tmp_path}/p", lambda docs: spark.createDataFrame(docs, DOCUMENT)
+    K.publish(frame([document(items=["old"]), document("b", items=["b"]), document(key="//d", kind="input", items=["e"])]), path, 1)
+    K.publish(frame([document(items=["new"]), document("c", items=["c"])]), path, 2)
+    found = rows(K.read_published(spark, path), "app_id", "key", "items", "batch")
+    assert found == [("a", "//d", ["e"], 1), ("a", "//k", ["new"], 2), ("b", "//k", ["b"], 1), ("c", "//k", ["c"], 2)]
+
+
+def test_host_names_come_back_as_written(spark, rows, tmp_path):
+    hosts = ["007", "10.10", "1e3", "2024-01-01", "true", "a b/c=d", "NULL"]
+    K.publish(spark.createDataFrame([document(f"a{k}", host) for k, host in enumerate(hosts)], DOCUMENT), f"{tmp_path}/p")
+    assert rows(K.read_published(spark, f"{tmp_path}/p"), "app_id", "host") == [(f"a{k}", h) for k, h in enumerate(hosts)]
+
+
+def refuses_bad(host, row):
+    if host == "bad":
+        raise ConnectionError(f"no answer for {row.key}")
+
+
+def test_failed_documents_are_kept_apart_and_published_later(spark, rows, tmp_path):
+    path = f"{tmp_path}/p"
+    docs = [document("a"), document("b", "bad"), document("c", None), document("d", items=None), document("e", source=None)]
+    K.publish(spark.createDataFrame(docs, DOCUMENT), path, 0, refuses_bad)
+    assert rows(K.read_published(spark, path), "app_id") == [("a",)]
+    errors = dict(rows(K.read_failed(spark, path), "app_id", "error"))
+    assert errors == {"b": "ConnectionError: no answer for //k", "c": "no host", "d": "no items", "e": "no source_name"}
+    again = K.read_failed(spark, path).drop("error", "batch").where("app_id in ('b', 'd')")
+    K.publish(again, path, 1)
+    assert rows(K.read_published(spark, path), "app_id", "host") == [("a", "h"), ("b", "bad")]
+    assert rows(K.read_failed(spark, path), "app_id", "batch") == [("c", 0), ("d", 1), ("e", 0)]
+
+
+def test_no_documents(spark, tmp_path):
+    path = f"{tmp_path}/p"
+    K.publish(spark.createDataFrame([], DOCUMENT), path)
+    assert K.read_published(spark, path).count() == 0 and K.read_failed(spark, path).count() == 0
 
 
 class Calls:

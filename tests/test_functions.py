@@ -133,12 +133,45 @@ def test_jdbc_name(value, url, table, compat, expected):
         ("select * from l, (values (1)) v, w", ["l", "w"]),
         ("select a from t union select b from u order by 1", ["t", "u"]),
         ("insert into o select f(x, (select max(y) from m)) from n where g(h(i(1))) > 0", ["n", "m"]),
+        ("select * from a join b on a.id = b.id, c", ["a", "b", "c"]),
+        ("select * from a join b using (id), c", ["a", "b", "c"]),
+        ("select a, b, (select max(x), y from m, n) from t x, u", ["t", "u", "m", "n"]),
+        ("select * from t1 full outer join t2 on (t1.a = t2.a), t3 order by a, b, c", ["t1", "t2", "t3"]),
+        ("merge into t using s on t.a = s.a when matched then update set x = 1, y = 2", ["s"]),
+        ("merge into t using (select * from s, r) q on 1 = 1", ["s", "r"]),
+        ("delete from t using u where t.a = u.a", ["t", "u"]),
+        ("delete from t using u join v using (id), w", ["t", "u", "v", "w"]),
+        ("update t set a = 1, b = 2 from s, r where 1 = 1", ["s", "r"]),
+        ("select $$ from zzz $$ from t", ["t"]),
+        ("select $q$ it's from zzz $q$, $1 from t", ["t"]),
+        ("select * from c, (with c as (select 1) select * from c) q", ["c"]),
+        ("with t as (select * from t) select * from t", ["t"]),
+        ("with recursive r as (select 1 from s union select * from r) select * from R", ["s"]),
+        ("with a as materialized (select * from x), b as not materialized (select * from a, y) select * from b, a, z",
+         ["z", "x", "y"]),
+        ("with c(x) as (select 1 from b), d as (select * from c, e) insert into o select * from d join f on f.a in (1, 2), g",
+         ["f", "g", "b", "e"]),
+        ("select 1 from a; select 2 from b, c", ["a", "b", "c"]),
+        ("with a as (select 1) select * from a; select * from a", ["a"]),
+        ("from t select a, b", ["t"]),
+        ("select * from t with (nolock), u", ["t", "u"]),
+        ("select * from a left join lateral (select * from z where z.i = a.i) y on true, only k", ["a", "k", "z"]),
+        ("select trim(both 'x' from y), overlay(a placing b from 1) from t", ["t"]),
+        ("select * from f(1, (select 2 from h)), v", ["v", "h"]),
+        ("select * from " + "(" * 30 + "select * from deep" + ")" * 30 + " q, t", ["t", "deep"]),
+        ("select * from " + "(" * 30 + "a join b on 1 = 1" + ")" * 30, ["a", "b"]),
+        ("select * from a)) , b", ["a", "b"]),
+        ("", []),
     ],
 )
 def test_tables_in_sql_text(value, sql, expected):
     assert value(sql_tables(A()), sql) == expected
 
 
+def test_no_sql_text(value):
+    assert value(sql_tables(A()), None) is None
+
+
 @pytest.mark.parametrize(
     "text, default, compat",
     [
