@@ -14,7 +14,8 @@ summand.
 
 No task holds the whole model, nor all texts. A task cuts its texts into batches
 and sends each distinct pair of a batch once to the shard of its context, with its
-training count and the batch's texts that it is in. A shard adds up the counts,
+training count and the batch's texts that it is in. There is a shard for every SHARD_BYTES bytes
+of text, so a shard's part of the corpus, about a million tokens, stays the same. It adds up the counts,
 builds its trie, answers the pairs of each batch from it, and returns sums for each
 text. A context that is frequent enough to fill a shard is split by its successors'
 hashes; its n(h) is summed over those shards in a pass of its own. Pairs with a rare second word ask its
@@ -29,7 +30,7 @@ training texts every token has probability 1. Columns other than ``doc_id`` and
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +38,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
-from headwater.llm.frames import map_arrow, shuffle_partitions
+from headwater.llm.frames import map_arrow
 from headwater.llm.trie import Trie
 from headwater.session import cut_lineage
 
 DISCOUNT = 0.75
 FREQUENT = 1 << 17
 BATCH_TOKENS = 1_200_000
+SHARD_BYTES = 6 << 20
 START, END = np.uint64(1), np.uint64(2)
 _SPLIT = np.uint64(0x9E3779B97F4A7C15)
 SUMS, TEXTS, ASKED, COUNTS = range(4)  # kinds of messages
@@ -156,8 +158,9 @@ class Unigrams:
     shards: int
     frequent: np.ndarray
     counts: np.ndarray
-    split: np.ndarray | None = None  # the contexts over several shards, at most as many as shards, and their n(h)
-    kinds: np.ndarray | None = None
+    # the contexts over several shards, at most as many as shards, and their n(h)
+    split: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
+    kinds: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
     def log_whole(self) -> float:
         return float(np.log10(self.n_tokens + 0.5 * (self.n_words + 1)))
@@ -181,8 +184,6 @@ class Unigrams:
 
     def whole_kinds(self, contexts: np.ndarray, own: np.ndarray) -> np.ndarray:
         """n(h) of contexts with ``own`` kinds in one shard."""
-        if self.split is None:  # not counted: the kinds of one split stand for all
-            return own * self.splits(contexts)
         if not len(self.split):
             return own
         at = np.minimum(np.searchsorted(self.split, contexts), len(self.split) - 1)
@@ -252,7 +253,7 @@ def _count_kinds(table: pa.Table) -> pa.Table:
 def count_kinds(rows: DataFrame, unigrams: Unigrams) -> Unigrams:
     """``unigrams`` with n(h) of the contexts that are split, of which there are at most as many as shards."""
     if not (unigrams.splits(unigrams.frequent) > 1).any():
-        return replace(unigrams, split=np.empty(0, np.uint64), kinds=np.empty(0, np.int64))
+        return unigrams
     sent = map_arrow(rows, _split_rows(unigrams), "shard bigint, contexts binary, successors binary")
     counted = sent.groupBy("shard").applyInArrow(_count_kinds, "context bigint, kinds bigint")
     found = counted.groupBy("context").agg(F.sum("kinds").alias("kinds")).toPandas()
@@ -357,7 +358,6 @@ class Shard:
         self.total = total
         with np.errstate(divide="ignore", invalid="ignore"):
             left = DISCOUNT * unigrams.whole_kinds(own, kinds) / total
-        # where n(h) of a split context is not counted, a split may have no successor that was seen, but the context has one
         self.log_left = np.where(total > 0, np.log10(np.clip(left, DISCOUNT / np.maximum(total, 1), 1)), 0.0)
         owner = np.cumsum(new) - 1
         owner, words, n = owner[seen], successors[seen], counts[seen]
@@ -512,9 +512,10 @@ def _combine(unigrams: Unigrams):
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """Learn from the documents where ``held_out`` is false, and score all."""
-    shards = shuffle_partitions(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"), (~held_out).alias("train"))
-    counts, unigrams = count_words(rows, shards)
+    # a shard's work and memory are bounded, so the shards grow with the texts
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    counts, unigrams = count_words(rows, max(-(-(n_bytes or 0) // SHARD_BYTES), 1))
     unigrams = count_kinds(rows, unigrams)
     pairs = map_arrow(rows, _pair_rows(unigrams), _PAIR_ROWS)
     found = cut_lineage(pairs.groupBy("shard").applyInArrow(_score_shard(unigrams), _MESSAGES))
