@@ -1,21 +1,22 @@
 """RDD graphs: closure of a job's final RDD, its inputs and outputs, lineage names.
 
 A graph belongs to one job, so all keys start with ``(app_id, job_id)``. The
-iterative operators keep their rounds as files in the shared folder: a lost
+iterative operators keep their rounds as files in the shared folder, and delete those that no later round reads: a lost
 executor costs one round at most.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from headwater.functions.names import hdfs_name, namespace, s3_name, uri_name, uri_path
 from headwater.functions.scalars import camel_to_snake
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
-from headwater.session import cut_lineage, work_path
+from headwater.session import cut_lineage, delete_path, path_exists, work_path
 from headwater.skew import find_hot
 
 # RDD class names with a meaning of their own.
@@ -23,7 +24,17 @@ OLD_API_SCAN = "HadoopRDD"
 MAPPED = "MapPartitionsRDD"
 RESULT_STAGE = "result"
 
+# The longest name that is spelled out, and up to where longer ones are counted.
+MOST_CHARS = 1 << 16
+COUNTED_CHARS = 1 << 60
+# The largest graph, RDDs and edges together, that one task walks.
+GRAPH_SIZE = 200_000
+_DEP = "struct<dep_pos:int,head:string,n_chars:bigint>"
+_NODE_SCHEMA = "app_id string, job_id bigint, rdd_id bigint"
+
 NODE = ["app_id", "job_id", "rdd_id"]
+JOB = ["app_id", "job_id"]
+_UP = ["_app", "_job", "_rdd"]
 DEPENDENCY = ["app_id", "job_id", "dep_rdd_id"]
 
 
@@ -37,31 +48,35 @@ def explode_input_paths(rdd_nodes: DataFrame) -> DataFrame:
 def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All RDDs that the root RDDs of each job depend on, and the roots, each once.
 
-    One round per level of the graph: step from the frontier along the edges,
-    drop what was seen, stop when nothing is new. A shared dependency is visited
-    once, so the work grows with nodes and edges, not with paths.
+    By path doubling: round k knows what is less than 2^k steps away, and the pairs that paths of 2^k steps
+    connect. Joining them gives what is less than 2^(k+1) away; joining the pairs with themselves, the pairs
+    of the next round. When a round finds nothing new the closure is complete, so a graph of depth d takes about log2(d)
+    rounds. Shared dependencies, and paths between the same pair, count once.
     """
     spark = edges.sparkSession
-    steps = cut_lineage(edges.select(*NODE, "dep_rdd_id").distinct())
     base = work_path(spark, "ancestors")
     schema = roots.select(*NODE).schema
-
-    def store(rows: DataFrame, number: int) -> DataFrame:
-        rows.write.parquet(f"{base}/round={number}")
-        return spark.read.schema(schema).parquet(f"{base}/round={number}")
-
-    frontier = store(roots.select(*NODE).distinct(), 0)
+    jobs = roots.select(*JOB).distinct()
+    pairs = edges.select(*NODE, "dep_rdd_id").distinct().join(jobs, JOB, "left_semi")
+    roots.select(*NODE).distinct().write.parquet(f"{base}/reached/round=0")
     number = 0
-    while not frontier.isEmpty():
-        seen = spark.read.schema(schema).parquet(base).select(*NODE)
-        reached = (
-            steps.join(frontier, NODE)
-            .select("app_id", "job_id", F.col("dep_rdd_id").alias("rdd_id"))
-            .distinct()
-        )
+    while True:
+        reached = spark.read.schema(schema).parquet(f"{base}/reached").select(*NODE)
+        # the pairs of this round are stored, as both this round and the next one read them
+        path = f"{base}/pairs/round={number}"
+        pairs.write.parquet(path)
+        stored = spark.read.schema(pairs.schema).parquet(path)
+        step = stored.join(reached, NODE, "left_semi").select("app_id", "job_id", F.col("dep_rdd_id").alias("rdd_id"))
+        new = step.distinct().join(reached, NODE, "left_anti")
         number += 1
-        frontier = store(reached.join(seen, NODE, "left_anti"), number)
-    return spark.read.schema(schema).parquet(base).select(*NODE)
+        new.write.parquet(f"{base}/reached/round={number}")
+        if number > 1:
+            delete_path(spark, f"{base}/pairs/round={number - 2}")
+        if spark.read.schema(schema).parquet(f"{base}/reached/round={number}").isEmpty():
+            delete_path(spark, f"{base}/pairs")
+            return spark.read.schema(schema).parquet(f"{base}/reached").select(*NODE)
+        on = stored.select("app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"), F.col("dep_rdd_id").alias("_far"))
+        pairs = stored.join(on, DEPENDENCY).select(*NODE, F.col("_far").alias("dep_rdd_id")).distinct()
 
 
 def _items(
@@ -126,46 +141,170 @@ def own_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _joined(own: Column, deps: Column) -> Column:
+    """Head and length of the name that follows from the own name and the names of the dependencies, in order."""
+    text = F.array_join(F.transform(deps, lambda d: d["head"]), "_")
+    length = F.reduce(deps, F.lit(-1).cast("bigint"), lambda n, d: F.least(n + d["n_chars"] + 1, F.lit(COUNTED_CHARS).cast("bigint")))
+    stands_alone = F.startswith(text, own)
+    head = F.when(stands_alone, text).otherwise(F.concat_ws("_", own, text))
+    n_chars = F.when(stands_alone, length).otherwise(F.least(F.coalesce(F.length(own), F.lit(0)) + length + 1, F.lit(COUNTED_CHARS).cast("bigint")))
+    bare = F.size(deps) == 0
+    return F.struct(
+        F.left(F.when(bare, own).otherwise(head), F.lit(MOST_CHARS)).alias("head"),
+        F.when(bare, F.coalesce(F.length(own), F.lit(0)).cast("bigint")).otherwise(n_chars).alias("n_chars"),
+    )
+
+
+def _solve(own: dict[int, str | None], deps: dict[int, list[int]], most: int) -> Iterator[tuple[int, str | None, int]]:
+    """The names of one graph: each RDD, the name's beginning, and its length."""
+    waiting = {node: len(below) for node, below in deps.items() if below}
+    above: dict[int, list[int]] = {}
+    for node, below in deps.items():
+        for dep in below:
+            above.setdefault(dep, []).append(node)
+    ready = [node for node in own if node not in waiting]
+    heads: dict[int, tuple[str | None, int]] = {}
+    while ready:
+        node = ready.pop()
+        name, below = own[node], deps.get(node)
+        if below:
+            text = "_".join(heads[dep][0] for dep in below if heads[dep][0] is not None)[:most]
+            length = sum(heads[dep][1] + 1 for dep in below) - 1
+            if name is None or not text.startswith(name):
+                text = text if name is None else f"{name}_{text}"[:most]
+                length += len(name or "") + 1
+            name, length = text, min(length, COUNTED_CHARS)
+        else:
+            length = len(name or "")
+        heads[node] = (name if name is None else name[:most], length)
+        for up in above.get(node, ()):
+            waiting[up] -= 1
+            if not waiting[up]:
+                ready.append(up)
+    for node, (head, length) in heads.items():
+        yield node, head if length <= most else None, length
+
+
+def _solve_graphs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Names of whole graphs, whose RDDs come one after another."""
+    key, own, deps = None, {}, {}
+    rows: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(types)]
+        rows.clear()
+        return pa.RecordBatch.from_arrays(columns, [*NODE, "name", "n_chars"])
+
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+    for batch in batches:
+        for app, job, rdd, name, below in zip(*(column.to_pylist() for column in batch.columns)):
+            if (app, job) != key:
+                if key is not None:
+                    rows.extend((*key, *found) for found in _solve(own, deps, most))
+                key, own, deps = (app, job), {}, {}
+            own[rdd] = name
+            deps[rdd] = below or []
+            if len(rows) >= 1000:
+                yield flush()
+    if key is not None:
+        rows.extend((*key, *found) for found in _solve(own, deps, most))
+    yield flush()
+
+
 def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Name of each RDD from its own name and those of its dependencies, in order.
+    """Name of each RDD from its own name and those of its dependencies, in order, and its length ``n_chars``.
 
-    Resolved level by level from the leaves. A dependency text that already
+    A dependency text that already
     starts with the own name stands alone. A dependency on an RDD that is not in
-    the graph counts as none, so no RDD loses its name. A name repeats the text of
-    each dependency, so it may double in length with each level of diamonds.
+    the graph counts as none, so no RDD loses its name. RDDs that depend on themselves have none. A name repeats the text of
+    each dependency, so it may double in length with each level of diamonds: a name of more than
+    MOST_CHARS characters is NULL, and only its length (counted up to COUNTED_CHARS) tells of it.
+
+    The graph of a job goes to one task, which walks it once; one with more than GRAPH_SIZE RDDs and edges goes
+    through :func:`_names_by_rounds`, with the same result.
+    """
+    present = rdd_nodes.select("app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id")).distinct()
+    kept = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos").join(present, DEPENDENCY, "left_semi"))
+    counts = kept.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_deps"))
+    own = cut_lineage(own_names(rdd_nodes, edges).join(counts, NODE, "left").fillna(0, ["n_deps"]))
+    sizes = own.groupBy(*JOB).agg(F.sum(F.col("n_deps") + 1).alias("size"))
+    large = cut_lineage(sizes.where(F.col("size") > GRAPH_SIZE).select(*JOB))
+    some_are_large = not large.isEmpty()
+
+    def of_small(rows: DataFrame) -> DataFrame:
+        return rows.join(large, JOB, "left_anti") if some_are_large else rows
+
+    lists = of_small(kept).groupBy(*NODE).agg(
+        F.array_sort(F.collect_list(F.struct("dep_pos", "dep_rdd_id")))["dep_rdd_id"].alias("deps")
+    )
+    graphs = of_small(own).join(lists, NODE, "left").select(*NODE, "own_name", "deps")
+    ordered = graphs.repartition(*JOB).sortWithinPartitions(*JOB)
+    most = MOST_CHARS
+    names = ordered.mapInArrow(lambda batches: _solve_graphs(batches, most), f"{_NODE_SCHEMA}, name string, n_chars bigint")
+    if some_are_large:
+        names = names.unionByName(_names_by_rounds(own.join(large, JOB, "left_semi"), kept.join(large, JOB, "left_semi")))
+    return names
+
+
+def _names_by_rounds(own: DataFrame, kept: DataFrame) -> DataFrame:
+    """The same for graphs of any size: ``own`` are RDDs with their own names and numbers of dependencies.
+
+    From the leaves on, each finished name goes along the edges to the RDDs that depend on it, and an RDD is finished
+    when it has the names of all its dependencies. A round groups those messages
+    alone, and the edges of finished RDDs are dropped after 2, 4, 8 and so on rounds.
     """
-    spark = rdd_nodes.sparkSession
-    present = rdd_nodes.select("app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"))
-    pending = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos").join(present, DEPENDENCY, "left_semi"))
-    own = cut_lineage(own_names(rdd_nodes, edges))
+    spark, own = own.sparkSession, cut_lineage(own)
+    # along the edges, upwards: the RDD that depends comes with what it needs to make its own name
+    up = cut_lineage(
+        kept.join(own, NODE).select(
+            F.col("app_id").alias("_app"), F.col("job_id").alias("_job"), F.col("dep_rdd_id").alias("_rdd"),
+            F.struct("rdd_id", "dep_pos", "own_name", "n_deps").alias("up"),
+        )
+    )
     base = work_path(spark, "lineage-names")
-    leaves = own.join(pending.select(*NODE).distinct(), NODE, "left_anti")
-    leaves.select(*NODE, F.col("own_name").alias("name")).write.parquet(f"{base}/round=0")
-    schema = spark.read.parquet(f"{base}/round=0").schema
-    number = 0
+    number, deps_type = 0, f"array<{_DEP}>"
+    messages = own.where(F.col("n_deps") == 0).withColumn("deps", F.array().cast(deps_type))
+    schema = messages.schema
+
+    def names() -> DataFrame:
+        return spark.read.schema(f"{_NODE_SCHEMA}, name string, n_chars bigint").parquet(f"{base}/round=*/kind=name")
+
+    nothing = [F.lit(None).cast(kind).alias(name) for name, kind in (("name", "string"), ("n_chars", "bigint"))]
     while True:
-        done = spark.read.schema(schema).parquet(base)
-        dep_names = done.select(
-            "app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"), F.col("name").alias("dep_name")
+        gathered = messages.groupBy(*NODE).agg(
+            F.first("own_name").alias("own_name"),
+            F.first("n_deps").alias("n_deps"),
+            F.array_sort(F.flatten(F.collect_list("deps"))).alias("deps"),
         )
-        ready = (
-            pending.join(dep_names, DEPENDENCY, "left")
-            .groupBy(*NODE)
-            .agg(
-                F.count_if(F.col("dep_name").isNull()).alias("missing"),
-                F.sort_array(F.collect_list(F.struct("dep_pos", "dep_name"))).alias("deps"),
-            )
-            .where(F.col("missing") == 0)
-            .join(own, NODE)
+        made = F.when(F.size("deps") == F.col("n_deps"), _joined(F.col("own_name"), F.col("deps")))
+        finished = F.col("made").isNotNull()
+        same = [F.col(a) == F.col(b) for a, b in zip(NODE, _UP)]
+        sent = gathered.withColumn("made", made).join(up, [*same, finished], "left")
+        waiting = F.struct(F.lit("message").alias("kind"), "rdd_id", "own_name", "n_deps", "deps", *nothing)
+        name = F.struct(
+            F.lit("name").alias("kind"),
+            "rdd_id",
+            F.lit(None).cast("string").alias("own_name"),
+            F.lit(None).cast("bigint").alias("n_deps"),
+            F.lit(None).cast(deps_type).alias("deps"),
+            F.when(F.col("made.n_chars") <= MOST_CHARS, F.col("made.head")).alias("name"),
+            F.col("made.n_chars").alias("n_chars"),
         )
-        text = F.array_join(F.transform("deps", lambda d: d["dep_name"]), "_")
-        name = F.when(F.startswith(text, F.col("own_name")), text).otherwise(
-            F.concat_ws("_", "own_name", text)
+        dep = F.struct(F.col("up.dep_pos").alias("dep_pos"), F.col("made.head").alias("head"), F.col("made.n_chars").alias("n_chars"))
+        message = F.struct(
+            F.lit("message").alias("kind"), "up.rdd_id", "up.own_name", "up.n_deps", F.array(dep).cast(deps_type).alias("deps"), *nothing
         )
-        number += 1
-        ready.select(*NODE, name.alias("name")).write.parquet(f"{base}/round={number}")
-        resolved = spark.read.schema(schema).parquet(f"{base}/round={number}")
-        if resolved.isEmpty():
+        rows = F.when(~finished, F.array(waiting)).when(F.col("up").isNull(), F.array(name)).otherwise(F.array(name, message))
+        out = sent.select("app_id", "job_id", F.explode(rows).alias("row")).select("app_id", "job_id", "row.*")
+        out.write.partitionBy("kind").parquet(f"{base}/round={number}")
+        delete_path(spark, f"{base}/round={number - 1}/kind=message")
+        # a round without a name has nothing but dependencies in a circle
+        if not all(path_exists(spark, f"{base}/round={number}/kind={kind}") for kind in ("message", "name")):
             break
-        pending = cut_lineage(pending.join(resolved, NODE, "left_anti").select(*NODE, "dep_rdd_id", "dep_pos"))
-    return spark.read.schema(schema).parquet(base).select(*NODE, "name")
+        messages = spark.read.schema(schema).parquet(f"{base}/round={number}/kind=message")
+        number += 1
+        if number & (number - 1) == 0:
+            # the edges of finished RDDs go, so later rounds read those of deeper graphs alone
+            up = cut_lineage(up.join(names().select(*[F.col(a).alias(b) for a, b in zip(NODE, _UP)]), _UP, "left_anti"))
+    # a name comes once for each RDD that depends on it
+    return names().dropDuplicates(NODE)

@@ -643,7 +643,7 @@ with t as (
     when 12 then ['t' || p_size, 'u'] when 13 then ['l' || p_size, 'w']
     when 14 then ['a' || p_size, 'b', 'c' || (p_partkey % 5)] when 15 then ['a' || p_size, 'b', 'c'] when 16 then ['s' || p_size]
     when 17 then ['t' || p_size, 'u', 'v' || p_size] when 18 then ['c', 'd' || p_size] when 19 then ['t' || p_size]
-    when 20 then ['after_all', 'deep' || p_size] else ['s' || p_size, 'r', 'r2'] end as names
+    when 20 then ['after_all', 'deep' || p_size] else ['s' || p_size] end as names
   from part)
 select p_partkey, array_to_string(list_distinct_in_order, ',') as tables, len(list_distinct_in_order)::int as n_tables
 from (select p_partkey, list_filter(names, lambda x, i: list_position(names, x) = i) as list_distinct_in_order from t)"""
@@ -845,8 +845,16 @@ documents as (
   from listed join named using (app_id))"""
 
 ORACLE["envelopes"] = DOCUMENTS + "select app_id, host, source_name, kind, key, items from documents"
-ORACLE["publish_documents"] = DOCUMENTS + "select app_id, host, kind, key, items from documents where sink = 'publish'"
-ORACLE["publish_stream"] = ORACLE["publish_documents"]
+ORACLE["publish_documents"] = DOCUMENTS + (
+    "select app_id, '0' || length(key) || '.10' as host, kind, key, items, 2::bigint as batch from documents where sink = 'publish'"
+)
+ORACLE["publish_stream"] = DOCUMENTS + "select app_id, host, kind, key, items from documents where sink = 'publish'"
+ORACLE["failed_documents"] = DOCUMENTS + """
+select app_id, kind, key, 'no host' as error, 1::bigint as batch from documents
+where sink = 'publish' and kind = 'head' and length(app_id) % 3 <> 0
+union all
+select app_id, kind, null, 'no key', 0::bigint from documents
+where sink = 'publish' and kind = 'head' and length(app_id) % 2 <> 0"""
 ORACLE["log_documents"] = DOCUMENTS + "select source_name, kind, key, items from documents where sink = 'log'"
 
 # --- Ordinary ETL -------------------------------------------------------------
@@ -894,7 +902,8 @@ ORACLE["file_formats"] = """
 select c_custkey, c_name, c_mktsegment, c_nationkey, fmt
 from customer, (select unnest(['parquet', 'orc', 'csv', 'json']) as fmt)"""
 
-ORACLE["versioned_table"] = "select s_suppkey, s_nationkey, 2 as hops from supplier"
+ORACLE["versioned_table"] = """
+select s_suppkey, s_nationkey, (v - 1)::int as hops, v::int as version from supplier, (select unnest([1, 2, 3]) as v)"""
 
 # --- Event logs ---------------------------------------------------------------
 

@@ -527,12 +527,12 @@ def rdd_outputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rdd_names_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names where the graph lacks the second step of each job: edges to it count as none."""
     nodes = facts.rdd_nodes(spark, sf_dir).where("rdd_id <> 2")
-    return rddgraph.lineage_names(nodes, facts.rdd_edges(spark, sf_dir).where("rdd_id <> 2"))
+    return rddgraph.lineage_names(nodes, facts.rdd_edges(spark, sf_dir).where("rdd_id <> 2")).drop("n_chars")
 
 
 @query
 def rdd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rddgraph.lineage_names(facts.rdd_nodes(spark, sf_dir), facts.rdd_edges(spark, sf_dir))
+    return rddgraph.lineage_names(facts.rdd_nodes(spark, sf_dir), facts.rdd_edges(spark, sf_dir)).drop("n_chars")
 
 
 # --- Documents ----------------------------------------------------------------
@@ -601,13 +601,32 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents_text(_status_documents(spark, sf_dir)).drop("sink")
 
 
+def _number_host(key: Column) -> Column:
+    return F.concat(F.lit("0"), F.length(key).cast("string"), F.lit(".10"))
+
+
 @query
 def publish_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents published twice to a table by host, read back: nothing doubles."""
+    """Documents published twice with changes, some without a key at first, to hosts that look like numbers."""
     path = work_path(spark, "published")
-    for _ in range(2):
-        K.publish(_status_documents(spark, sf_dir), path)
-    return _documents_text(K.read_published(spark, path)).select("app_id", "host", "kind", "key", "items")
+    documents = cut_lineage(_status_documents(spark, sf_dir).withColumn("host", _number_host(F.col("key"))))
+    older = documents.withColumn("items", F.array(F.lit("replaced"))).withColumn(
+        "key", F.when(F.length("key") % 7 != 0, F.col("key"))
+    )
+    K.publish(older, path, 1)
+    K.publish(older, path, 1)
+    K.publish(documents, path, 2)
+    return _documents_text(K.read_published(spark, path)).select("app_id", "host", "kind", "key", "items", "batch")
+
+
+@query
+def failed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that were kept apart for want of a key, and are not published since."""
+    path = work_path(spark, "published-failed")
+    documents = _status_documents(spark, sf_dir).where("sink = 'publish' and kind = 'head'")
+    K.publish(documents.withColumn("key", F.when(F.length("app_id") % 2 == 0, F.col("key"))), path, 0)
+    K.publish(documents.withColumn("host", F.when(F.length("app_id") % 3 == 0, F.col("host"))), path, 1)
+    return K.read_failed(spark, path).select("app_id", "kind", "key", "error", "batch")
 
 
 @query
@@ -744,14 +763,19 @@ def file_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table replaced by a job that reads it: nations joined to what was there."""
+    """A table replaced by a job that reads it, all its versions; a write that builds on an old one is given up."""
     path = work_path(spark, "table")
     suppliers = facts.table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", F.lit(0).alias("hops"))
     K.sink_table(suppliers, path)
     for _ in range(2):
-        current = K.read_table(spark, path)
-        K.sink_table(current.withColumn("hops", F.col("hops") + F.lit(1)), path)
-    return K.read_table(spark, path)
+        current, base = K.read_table(spark, path), K.table_version(spark, path)
+        K.sink_table(current.withColumn("hops", F.col("hops") + F.lit(1)), path, base)
+    try:  # a writer that has read the first version only
+        K.sink_table(suppliers.withColumn("hops", F.lit(-1)), path, base=1)
+    except K.TableConflict:
+        K.sweep_table(spark, path, keep=3, older_than_hours=0)
+    versions = [K.read_table(spark, path, n).withColumn("version", F.lit(n)) for n in (1, 2, 3)]
+    return versions[0].unionByName(versions[1]).unionByName(versions[2])
 
 
 # --- Event logs and streams ---------------------------------------------------
@@ -857,7 +881,7 @@ def event_log_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineage names of the RDDs in the event log."""
     path = _write_log(spark, sf_dir)
     nodes = eventlog.scan_rdd_nodes(spark, path, LOG_FOLDER_APP)
-    return rddgraph.lineage_names(nodes, eventlog.scan_rdd_edges(spark, path, LOG_FOLDER_APP))
+    return rddgraph.lineage_names(nodes, eventlog.scan_rdd_edges(spark, path, LOG_FOLDER_APP)).drop("n_chars")
 
 
 @query

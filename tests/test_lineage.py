@@ -1,10 +1,13 @@
 """Five kinds of jobs as facts, and the quirks of both modes."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from headwater import schemas as S
 from headwater.operators import extract, rddgraph
+from headwater.session import children, shared_dir
 
 DELTA = "org.apache.spark.sql.delta.sources.DeltaDataSource"
 KAFKA = "org.apache.spark.sql.kafka010.KafkaSourceProvider"
@@ -282,3 +285,93 @@ def test_lineage_names(spark):
         3: "union_map_partitions_hadoop_parallel_collection",
         4: "union_map_partitions_hadoop_parallel_collection",
     }
+
+
+def chain(app, n, job=1):
+    return [(app, job, k, k - 1, 0) for k in range(1, n)]
+
+
+def rounds_of(spark, label, below=""):
+    """How many rounds the newest run with this label has stored."""
+    base = f"{shared_dir(spark)}/headwater"
+    newest = max((c for c in children(spark, base) if c.name.startswith(f"{label}-")), key=lambda c: c.modified_ms)
+    return sum(c.name.startswith("round=") for c in children(spark, f"{base}/{newest.name}{below}"))
+
+
+def test_closure_of_a_deep_graph_takes_few_rounds(spark):
+    edges = spark.createDataFrame(chain("deep", 200) + chain("short", 3) + chain("rootless", 9), S.RDD_EDGE)
+    roots = spark.createDataFrame([("deep", 1, 199), ("short", 1, 1)], "app_id string, job_id bigint, rdd_id bigint")
+    closure = rddgraph.ancestors(edges, roots)
+    assert {r["app_id"]: r["count"] for r in closure.groupBy("app_id").count().collect()} == {"deep": 200, "short": 2}
+    assert closure.distinct().count() == 202
+    assert rounds_of(spark, "ancestors", "/reached") <= 10
+
+
+def test_closure_of_random_graphs(spark):
+    rng, edges, expected = random.Random(1), [], set()
+    for job in range(12):
+        n = rng.randrange(2, 40)
+        own = {(k, rng.randrange(k)) for k in range(1, n) for _ in range(rng.randrange(0, 3))}
+        edges += [("a", job, k, d, 0) for k, d in own]
+        open_ones = [n - 1]
+        while open_ones:
+            k = open_ones.pop()
+            if (job, k) not in expected:
+                expected.add((job, k))
+                open_ones += [d for x, d in own if x == k]
+    roots = {job: max(k for j, k in expected if j == job) for job in range(12)}
+    frame = spark.createDataFrame([("a", job, k) for job, k in roots.items()], "app_id string, job_id bigint, rdd_id bigint")
+    found = [(r.job_id, r.rdd_id) for r in rddgraph.ancestors(spark.createDataFrame(edges, S.RDD_EDGE), frame).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+
+
+def graph_nodes(spark, edges, name=lambda k: f"n{k}"):
+    ids = sorted({(app, job, k) for app, job, a, b, _ in edges for k in (a, b)})
+    return spark.createDataFrame([(app, job, k, "ShuffledRDD", name(k), None) for app, job, k in ids], S.RDD_NODE)
+
+
+@pytest.fixture(params=["tasks", "rounds"])
+def walk(request, monkeypatch):
+    """How graphs are walked: in tasks, or in rounds as very large ones are."""
+    if request.param == "rounds":
+        monkeypatch.setattr(rddgraph, "GRAPH_SIZE", 3)
+    return request.param
+
+
+def test_names_of_a_deep_graph(spark, walk):
+    n = 200 if walk == "tasks" else 20
+    edges = chain("deep", n) + chain("small", 2)
+    found = rddgraph.lineage_names(graph_nodes(spark, edges), spark.createDataFrame(edges, S.RDD_EDGE)).collect()
+    names = {(r.app_id, r.rdd_id): r.name for r in found}
+    assert len(found) == n + 2 and names["small", 1] == "n1_n0"
+    assert names["deep", n - 1] == "_".join(f"n{k}" for k in range(n - 1, -1, -1))
+    assert all(r.n_chars == len(r.name) for r in found)
+
+
+def test_names_that_double_are_counted_not_spelled_out(spark, monkeypatch, walk):
+    """Thirty diamonds on top of each other: the name of the top has some 2 ** 31 parts."""
+    edges, levels = [], 30 if walk == "tasks" else 12
+    for level in range(levels):
+        low = 3 * level
+        edges += [("x", 1, low + 1, low, 0), ("x", 1, low + 2, low, 0), ("x", 1, low + 3, low + 1, 0), ("x", 1, low + 3, low + 2, 1)]
+    monkeypatch.setattr(rddgraph, "MOST_CHARS", 2000)
+    found = {r.rdd_id: r for r in rddgraph.lineage_names(graph_nodes(spark, edges), spark.createDataFrame(edges, S.RDD_EDGE)).collect()}
+    text, expected = {0: "n0"}, {0: 2}
+    for level in range(levels):
+        low = 3 * level
+        for k in (low + 1, low + 2):
+            expected[k] = len(f"n{k}") + 1 + expected[low]
+            text[k] = f"n{k}_{text[low]}"[:5000]
+        expected[low + 3] = len(f"n{low + 3}") + 2 + expected[low + 1] + expected[low + 2]
+        text[low + 3] = f"n{low + 3}_{text[low + 1]}_{text[low + 2]}"[:5000]
+    assert {k: r.n_chars for k, r in found.items()} == expected and expected[3 * levels] > 2 ** (levels + 1)
+    assert all(found[k].name == (text[k] if n <= 2000 else None) for k, n in expected.items())
+
+
+def test_names_wait_for_all_dependencies(spark, walk):
+    """An RDD that depends on a leaf and on the end of a chain; a circle gets no names and holds up nothing."""
+    edges = chain("a", 6) + [("a", 1, 9, 0, 1), ("a", 1, 9, 5, 0), ("b", 1, 1, 2, 0), ("b", 1, 2, 1, 0), ("b", 1, 3, 4, 0)]
+    found = rddgraph.lineage_names(graph_nodes(spark, edges), spark.createDataFrame(edges, S.RDD_EDGE)).collect()
+    names = {(r.app_id, r.rdd_id): r.name for r in found}
+    assert names["a", 9] == "n9_n5_n4_n3_n2_n1_n0_n0" and names["b", 3] == "n3_n4"
+    assert ("b", 1) not in names and len(names) == 9
