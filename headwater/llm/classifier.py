@@ -30,9 +30,10 @@ from headwater.llm import words as W
 from headwater.llm.frames import beside, labelled_sample, map_arrow, texts
 
 BITS = 18
-SAMPLE_ROWS = 20_000  # labelled documents that the weights are learned from, at most (about)
+SAMPLE_ROWS = 20_000  # labelled documents that the weights are learned from, at most
 PARTS = 8
 THRESHOLD = 0.3
+_LEARNED = -1  # marks a part that had rows, among the weights
 
 
 @dataclass(frozen=True)
@@ -151,14 +152,17 @@ def fit(
                     learner.learn(at, x, y)
             w = learner.weights()
             at = np.flatnonzero(w)
-            columns = [pa.array(np.full(len(at), part, np.int32)), pa.array(at), pa.array(w[at])]
+            at, w = np.append(at, _LEARNED), np.append(w[at], 1.0)
+            columns = [pa.array(np.full(len(at), part, np.int32)), pa.array(at), pa.array(w)]
             yield pa.RecordBatch.from_arrays(columns, ["part", "at", "weight"])
 
     learned = map_arrow(sparse.repartition(PARTS, "part"), learn, "part int, at bigint, weight double")
     summed = learned.groupBy("at").agg(F.array_sort(F.collect_list("weight")).alias("weights"))  # at most PARTS each
     weights = np.zeros((1 << BITS) + 1)
     found = summed.select("at", F.aggregate("weights", F.lit(0.0), lambda a, b: a + b).alias("weight")).toPandas()
-    weights[found["at"].to_numpy(np.int64)] = found["weight"].to_numpy() / PARTS
+    at, total = found["at"].to_numpy(np.int64), found["weight"].to_numpy()
+    # the mean over the parts that had rows to learn from
+    weights[at[at >= 0]] = total[at >= 0] / max(float(total[at == _LEARNED].sum()), 1.0)
     weights[:-1] *= ftrl.scale
     return weights
 

@@ -48,19 +48,20 @@ def beside(rows: DataFrame, added: str, *without: str) -> StructType:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """Documents with a label, about ``most`` of them at most, chosen by a hash of their id.
+    """``doc_id, text, label`` of at most ``most`` documents with a label, chosen by a hash of their id.
 
-    One label for each document: the smallest, where a document has several. NULL
-    labels and ids count as none.
+    One label for each id: the smallest, where it has several. NULL
+    labels and ids count as none. One row for each id: of several, the one whose text has the smallest
+    hash. It is aggregated before the shuffle, so an id may have any number of rows.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .groupBy("doc_id")
         .agg(F.min(label).cast("int").alias("label"))
     )
-    share = min(1.0, most / max(known.count(), 1))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return texts(docs).join(chosen, "doc_id")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    rows = texts(docs).join(F.broadcast(chosen), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.first("label").alias("label"))
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from headwater.llm import words as W
 from headwater.llm.frames import beside, labelled_sample, map_arrow, texts
 
-SAMPLE_ROWS = 20_000  # labelled documents that the rules are learned from, at most (about)
+SAMPLE_ROWS = 20_000  # labelled documents that the rules are learned from, at most
 WINDOW = 5
 COUNTS = [
     "n_words",
@@ -261,7 +261,7 @@ def decision(rules: Sequence[Rule]) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE_ROWS) -> list[Rule]:
     """Learn the rules from documents whose ``label`` is 0 (bad) or not (good).
 
-    The driver sees about ``most`` rows of ten numbers, no texts.
+    The driver sees at most ``most`` rows of ten numbers, no texts.
     """
     counted = text_counts(labelled_sample(docs, labels, label, most))
     rows = counted.select(

@@ -25,6 +25,7 @@ _LOWER_BYTE = _BYTE.copy()
 _LOWER_BYTE[65:91] = _BYTE[97:123]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(4095, _BASE)]))
+LONG_WORD = 1 << 18  # longer words are hashed in pieces, so that no more powers are held
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -93,6 +94,16 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
     return Words(starts, ends, text, first)
 
 
+def _long_word(table: np.ndarray, word: np.ndarray) -> np.uint64:
+    """The hash of one word, piece by piece: the same as that of the word as a whole."""
+    powers, total = _powers(LONG_WORD), 0
+    for lo in range(0, len(word), LONG_WORD):
+        piece = table[word[lo : lo + LONG_WORD]]
+        part = int(np.add.reduce(piece * powers[: len(piece)]))
+        total = (total + part * pow(int(_BASE), lo, 1 << 64)) % (1 << 64)
+    return mix(np.array([(total + len(word)) % (1 << 64)], np.uint64))[0]
+
+
 def hash_words(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarray:
     """A hash of each word; with ``lower``, A to Z count as a to z."""
     table = _LOWER_BYTE if lower else _BYTE
@@ -103,6 +114,13 @@ def hash_words(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarra
     while at < len(out):
         to = max(at + 1, int(np.searchsorted(totals, totals[at] + SLICE_BYTES, "right")) - 1)
         size = lengths[at:to]
+        if size.max() > LONG_WORD:
+            to = max(at + 1, at + int(np.argmax(size > LONG_WORD)))
+            size = lengths[at:to]
+        if size[0] > LONG_WORD:
+            out[at] = _long_word(table, data[words.starts[at] : words.ends[at]])
+            at = to
+            continue
         begin = totals[at:to] - totals[at]
         inner = np.arange(totals[to] - totals[at]) - np.repeat(begin, size)
         values = table[data[inner + np.repeat(words.starts[at:to], size)]]

@@ -1,14 +1,16 @@
 """The classifier and language identification."""
 
 import random
+from zlib import crc32
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from headwater.llm import classifier, language
+from headwater.llm import classifier, language, queries
+from headwater.llm import words as W
 from headwater.llm.frames import fold, labelled_sample
-from tests.llm.conftest import WORDS
+from tests.llm.conftest import WORDS, words_of
 
 
 def made(spark, seed=5):
@@ -78,7 +80,107 @@ def test_classifier_on_edges(docs, no_docs, labels, no_labels, edge_rows):
 def test_labelled_sample(docs, labels):
     found = {r.doc_id: r["label"] for r in labelled_sample(docs, labels, "quality", 1000).collect()}
     assert found[4] == 0 and found[3] == 1 and None not in found
-    assert 0 < labelled_sample(docs, labels, "quality", 10).select("doc_id").distinct().count() < 25
+    assert labelled_sample(docs, labels, "quality", 10).count() == 10
+
+
+def test_one_id_on_very_many_rows_is_one_row_of_the_sample(spark):
+    rows = [(1, f"text {k % 50}") for k in range(5000)] + [(k, "other") for k in range(2, 30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(30)] + [(1, 0)] * 100, "doc_id bigint, quality int")
+    found = labelled_sample(docs, labels, "quality", 10).collect()
+    assert len(found) <= 10
+    every = labelled_sample(docs, labels, "quality", 1000).collect()
+    assert len(every) == len({r.doc_id for r in every}) == 29
+    again = labelled_sample(docs.repartition(3), labels, "quality", 1000).collect()
+    assert sorted(every) == sorted(again) and [r.label for r in every if r.doc_id == 1] == [0]
+
+
+def test_few_labels_are_not_diluted(spark):
+    """With four labels most parts learn nothing, and count for nothing."""
+    rows = [(0, "good calm words here " * 5), (1, "BAD!! LOUD!! " * 9), (2, "more calm words here " * 5), (3, "LOUD!! BAD!! " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k % 2 == 0)) for k in range(4)], "doc_id bigint, quality int")
+    weights = classifier.fit(docs, labels, F.lit(True))
+    parts = {r[0] for r in docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(classifier.PARTS))).collect()}
+    assert np.allclose(weights, brute_weights(spark, rows, {k: int(k % 2 == 0) for k in range(4)})) and len(parts) < classifier.PARTS
+
+
+def brute_features(text):
+    """Features of a text one by one: words, pairs, forms and pairs of forms."""
+    out, one = [], lambda x: int(W.mix(np.array([x % 2**64], np.uint64))[0])
+    words = words_of(text)
+    found = []
+    for word in words:
+        data = np.frombuffer(word, np.uint8)
+        whole = W.Words(np.array([0]), np.array([len(word)]), np.array([0]), np.array([0, 1]))
+        bits = 0
+        for byte in word:
+            bits |= int(classifier._KIND[byte])
+        found.append((int(W.hash_words(data, whole)[0]), one(bits + 7)))
+    base = int(W._BASE)
+    for i, (h, k) in enumerate(found):
+        out += [h, k]
+        if i + 1 < len(found):
+            h2, k2 = found[i + 1]
+            out += [one(one(h) * base + h2), one(k * 3 + k2 + (h == h2))]
+    return [x >> 64 - classifier.BITS for x in out]
+
+
+def brute_weights(spark, rows, labels, ftrl=classifier.Ftrl()):
+    """The learner row by row with dictionaries."""
+    keys = {r.doc_id: r.h for r in spark.createDataFrame(rows, "doc_id bigint, text string").select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    bias, learned = 1 << classifier.BITS, []
+    for part in range(classifier.PARTS):
+        own = sorted((keys[k], text, labels[k]) for k, text in rows if k in labels and keys[k] % classifier.PARTS == part)
+        z, n = {}, {}
+
+        def weight(i):
+            shrunk = max(abs(z.get(i, 0.0)) - ftrl.l1, 0.0) * np.sign(z.get(i, 0.0))
+            return -shrunk / ((ftrl.beta + n.get(i, 0.0) ** 0.5) / ftrl.alpha + ftrl.l2)
+
+        for _ in range(ftrl.epochs):
+            for _, text, label in own:
+                found = brute_features(text)
+                x = {i: np.float32(found.count(i) / len(found)) * ftrl.scale for i in set(found)} | {bias: 1.0}
+                w = {i: weight(i) for i in x}
+                error = 1 / (1 + np.exp(-sum(w[i] * x[i] for i in x))) - label
+                for i in x:
+                    g, old = error * x[i], n.get(i, 0.0)
+                    z[i] = z.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / ftrl.alpha * w[i]
+                    n[i] = old + g * g
+        if own:
+            learned.append({i: weight(i) for i in z})
+    out = np.zeros(bias + 1)
+    for found in learned:
+        for i, w in found.items():
+            out[i] += w / len(learned)
+    out[:-1] *= ftrl.scale
+    return out
+
+
+def test_the_whole_query_against_a_plain_learner(spark, tmp_path):
+    docs, labels = made(spark)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    known = {r.doc_id: r.quality for r in labels.collect() if crc32(str(r.doc_id).encode()) % 5}
+    weights = brute_weights(spark, rows, known)
+    found = {r.doc_id: r for r in queries.QUERIES["op4_quality_classifier"](spark, str(tmp_path)).collect()}
+    assert len(found) == len(rows)
+    for doc_id, text in rows:
+        own = brute_features(text)
+        score = 1 / (1 + np.exp(-(np.mean([weights[i] for i in own]) + weights[-1])))
+        assert found[doc_id].score == pytest.approx(score, abs=1e-5)
+        assert found[doc_id].predicted == int(found[doc_id].score >= 0.3) and found[doc_id].held_out == (doc_id not in known)
+
+
+def test_long_words_are_hashed_in_pieces(monkeypatch):
+    text = b"ab " + b"xY" * 5000 + b" c " + b"q" * 300 + b" " + b"zz" * 1000
+    data = np.frombuffer(text, np.uint8)
+    words = W.find_words(data, np.array([0, len(text)]))
+    whole = [W.hash_words(data, words, lower) for lower in (False, True)]
+    monkeypatch.setattr(W, "LONG_WORD", 256)
+    assert all((W.hash_words(data, words, lower) == h).all() for lower, h in zip((False, True), whole))
 
 
 def brute_profile(texts, size=language.PROFILE):
