@@ -7,17 +7,16 @@ executor costs one round at most.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.functions.names import hdfs_name, namespace, s3_name, uri_name, uri_path
 from headwater.functions.scalars import camel_to_snake
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
 from headwater.session import cut_lineage, delete_path, path_exists, work_path
-from headwater.skew import find_hot
 
 # RDD class names with a meaning of their own.
 OLD_API_SCAN = "HadoopRDD"
@@ -45,20 +44,81 @@ def explode_input_paths(rdd_nodes: DataFrame) -> DataFrame:
     )
 
 
+def _large(sizes: DataFrame) -> tuple[DataFrame, bool]:
+    """The graphs of ``app_id, job_id, size`` that are too large for one task, and whether there are any."""
+    large = cut_lineage(sizes.where(F.col("size") > GRAPH_SIZE).select(*JOB))
+    return large, not large.isEmpty()
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The RDDs that the roots of whole graphs reach; the rows of a graph come one after another, roots without a dependency."""
+    rows: list[tuple] = []
+
+    def walk(key: tuple, roots: set[int], deps: dict[int, list[int]]) -> None:
+        seen, open_ones = set(roots), list(roots)
+        while open_ones:
+            for dep in deps.get(open_ones.pop(), ()):
+                if dep not in seen:
+                    seen.add(dep)
+                    open_ones.append(dep)
+        rows.extend((*key, node) for node in seen)
+
+    def flush() -> pa.RecordBatch:
+        columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate([pa.string(), pa.int64(), pa.int64()])]
+        rows.clear()
+        return pa.RecordBatch.from_arrays(columns, NODE)
+
+    key, roots, deps = None, set(), {}
+    for batch in batches:
+        for app, job, rdd, dep in zip(*(column.to_pylist() for column in batch.columns)):
+            if (app, job) != key:
+                if key is not None:
+                    walk(key, roots, deps)
+                key, roots, deps = (app, job), set(), {}
+                if len(rows) >= 1000:
+                    yield flush()
+            if dep is None:
+                roots.add(rdd)
+            else:
+                deps.setdefault(rdd, []).append(dep)
+    if key is not None:
+        walk(key, roots, deps)
+    yield flush()
+
+
 def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """All RDDs that the root RDDs of each job depend on, and the roots, each once.
 
-    By path doubling: round k knows what is less than 2^k steps away, and the pairs that paths of 2^k steps
+    The graph of a job goes to one task, which walks it once; one with more than GRAPH_SIZE edges goes through
+    :func:`_ancestors_by_doubling`, with the same result.
+    """
+    jobs = roots.select(*JOB).distinct()
+    wanted = edges.select(*NODE, "dep_rdd_id").where(F.col("dep_rdd_id").isNotNull()).join(jobs, JOB, "left_semi")
+    large, some_are_large = _large(edges.groupBy(*JOB).agg(F.count(F.lit(1)).alias("size")))
+    starts = roots.select(*NODE)
+    rows = wanted.unionByName(starts.withColumn("dep_rdd_id", F.lit(None).cast("bigint")))
+    small = rows.join(large, JOB, "left_anti") if some_are_large else rows
+    found = small.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_reached, _NODE_SCHEMA)
+    if some_are_large:
+        found = found.unionByName(
+            _ancestors_by_doubling(wanted.join(large, JOB, "left_semi"), starts.join(large, JOB, "left_semi"))
+        )
+    return found
+
+
+def _ancestors_by_doubling(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """The same for graphs of any size.
+
+    Round k knows what is less than 2^k steps away, and the pairs that paths of 2^k steps
     connect. Joining them gives what is less than 2^(k+1) away; joining the pairs with themselves, the pairs
     of the next round. When a round finds nothing new the closure is complete, so a graph of depth d takes about log2(d)
     rounds. Shared dependencies, and paths between the same pair, count once.
     """
     spark = edges.sparkSession
     base = work_path(spark, "ancestors")
-    schema = roots.select(*NODE).schema
-    jobs = roots.select(*JOB).distinct()
-    pairs = edges.select(*NODE, "dep_rdd_id").distinct().join(jobs, JOB, "left_semi")
-    roots.select(*NODE).distinct().write.parquet(f"{base}/reached/round=0")
+    schema = roots.schema
+    pairs = edges.distinct()
+    roots.distinct().write.parquet(f"{base}/reached/round=0")
     number = 0
     while True:
         reached = spark.read.schema(schema).parquet(f"{base}/reached").select(*NODE)
@@ -80,12 +140,12 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _items(
-    paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys, hot: Sequence[Row], compat: bool
+    paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys, compat: bool
 ) -> DataFrame:
     uri, endpoints = F.col("path"), (F.col("s3a_endpoint"), F.col("s3n_endpoint"))
     # one S3 name for both kinds of jobs, unless the RDD flavour is asked for
     joint = F.coalesce(s3_name(uri, *endpoints), hdfs_name(namespace(uri), uri_path(uri)))
-    located = with_endpoints(paths, conf, ["job_id", "rdd_id", "item"], keys, hot)
+    located = with_endpoints(paths, conf, ["job_id", "rdd_id", "item"], keys)
     return (
         located.select(
             "app_id",
@@ -105,7 +165,7 @@ def rdd_inputs(
 ) -> DataFrame:
     """Names of the paths that the file scans in the closure read."""
     scans = rdd_nodes.where(F.col("input_paths").isNotNull()).join(closure, NODE)
-    return _items(explode_input_paths(scans), "input", conf, keys, find_hot(rdd_nodes, ["app_id"]), compat)
+    return _items(explode_input_paths(scans), "input", conf, keys, compat)
 
 
 def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
@@ -118,7 +178,7 @@ def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, c
         F.coalesce("old_api_path", "new_api_path").alias("path"),
     )
     named = written.where(F.col("path").isNotNull())
-    return _items(named, "output", conf, keys, find_hot(rdd_output, ["app_id"]), compat)
+    return _items(named, "output", conf, keys, compat)
 
 
 def own_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -228,8 +288,7 @@ def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     counts = kept.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_deps"))
     own = cut_lineage(own_names(rdd_nodes, edges).join(counts, NODE, "left").fillna(0, ["n_deps"]))
     sizes = own.groupBy(*JOB).agg(F.sum(F.col("n_deps") + 1).alias("size"))
-    large = cut_lineage(sizes.where(F.col("size") > GRAPH_SIZE).select(*JOB))
-    some_are_large = not large.isEmpty()
+    large, some_are_large = _large(sizes)
 
     def of_small(rows: DataFrame) -> DataFrame:
         return rows.join(large, JOB, "left_anti") if some_are_large else rows

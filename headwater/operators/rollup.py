@@ -8,13 +8,15 @@ before its shuffle, and its groups are single datasets, keys or executions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater import schemas as S
 from headwater.operators.routing import classify_jobs
-from headwater.skew import find_hot, lookup_join, number_rows
+from headwater.session import cut_lineage
+from headwater.skew import number_rows
 
 DEP = ["app_id", "dep_id"]
 
@@ -23,42 +25,63 @@ def merge_deps(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     """Concatenate the lists of several edge sets: order kept, duplicates kept.
 
     ``order`` places the items; the result numbers them from 0 per ``keys`` and
-    direction.
+    direction. ``items`` are computed once, and stored.
     """
     return number_rows(items, [*keys, "direction"], order)
 
 
-def dep_fingerprints(items: DataFrame, has_hot: bool | None = None) -> DataFrame:
-    """One row per edge set: lengths and three sums over its numbered inputs and outputs.
+def _hash(seed: int) -> Column:
+    """A 64-bit hash of an item's direction, position and name."""
+    return F.xxhash64(F.lit(seed), "direction", "pos", "name")
 
-    The sums are of hashes of (direction, position, name), of two kinds of hashes, so
-    tasks combine them before the shuffle and no list is ever collected. Inputs are
-    numbered before outputs, so that one partitioning by edge set serves all.
+
+def dep_fingerprints(numbered: DataFrame, seed: int = 0) -> DataFrame:
+    """One row per edge set: lengths and a sum over its numbered inputs and outputs.
+
+    The sums are of hashes of (direction, position, name), so
+    tasks combine them before the shuffle and no list is ever collected.
     """
-    named = items.where(F.col("name").isNotNull())
-    numbered = number_rows(named, DEP, ["direction", "node_id", "item", "name"], has_hot=has_hot)
     return numbered.groupBy(*DEP).agg(
         F.count_if(F.col("direction") == "input").alias("n_inputs"),
         F.count_if(F.col("direction") == "output").alias("n_outputs"),
-        F.bit_xor(F.xxhash64("direction", "pos", "name")).alias("bits_a"),
-        F.bit_xor(F.xxhash64("name", "direction", "pos", F.lit("b"))).alias("bits_b"),
-        F.sum(F.hash("direction", "pos", "name").cast("bigint")).alias("sum_c"),
+        F.bit_xor(_hash(seed)).alias("bits"),
     )
 
 
 def distinct_deps(items: DataFrame) -> DataFrame:
     """Items of one edge set (the one with the lowest id) of each group of equal ones.
 
-    Equal means the same input list and the same output list in one application.
-    ``items`` should be stored, since it is read twice; its large edge sets are
-    counted once.
+    Equal means the same input list and the same output list in one application. Fingerprints only propose what
+    is equal: a group of several has to have one name at each position. Where it has not, its members are compared with its first,
+    and those that differ are grouped again by another hash, until none is left, so no edge set is lost to a collision.
+    ``items`` should be stored, since it is read several times.
     """
-    hot = find_hot(items, DEP)
-    prints = dep_fingerprints(items, bool(hot))
-    equal = ["app_id", "n_inputs", "n_outputs", "bits_a", "bits_b", "sum_c"]
-    kept = prints.groupBy(*equal).agg(F.min("dep_id").alias("dep_id")).select(*DEP)
     named = items.where(F.col("name").isNotNull())
-    return lookup_join(named, kept, DEP, ["node_id", "item"], how="inner", hot=hot)
+    numbered = number_rows(named, DEP, ["direction", "node_id", "item", "name"], stored=True)
+    equal = ["app_id", "n_inputs", "n_outputs", "bits"]
+    kept, left, seed = [], numbered, 0
+    while True:
+        prints = cut_lineage(dep_fingerprints(left, seed))
+        groups = prints.groupBy(*equal).agg(F.min("dep_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        kept.append(groups.select("app_id", F.col("first").alias("dep_id")))
+        members = prints.join(groups.where("n > 1"), equal).select(*DEP, "first")
+        # lengths are equal, so the lists of a group are if it has one name at each position
+        places = left.join(members, DEP).groupBy("app_id", "first", "direction", "pos")
+        names = places.agg(F.min("name").alias("least"), F.max("name").alias("greatest"))
+        mixed = cut_lineage(names.where("least <> greatest").select("app_id", "first").distinct())
+        if mixed.isEmpty():
+            break
+        left, seed = left.join(_unequal(left, members.join(mixed, ["app_id", "first"], "left_semi")), DEP, "left_semi"), seed + 1
+    chosen = reduce(DataFrame.unionByName, kept)
+    return numbered.drop("pos").join(chosen, DEP, "left_semi")
+
+
+def _unequal(numbered: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of groups whose lists are not those of the group's first."""
+    own = numbered.join(members, DEP).select(*DEP, "first", "direction", "pos", "name")
+    theirs = numbered.select("app_id", F.col("dep_id").alias("first"), "direction", "pos", "name")
+    differ = own.join(theirs, ["app_id", "first", "direction", "pos", "name"], "left_anti")
+    return cut_lineage(differ.select(*DEP).distinct())
 
 
 def app_lineage(items: DataFrame, distinct: bool = False) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from headwater import schemas as S
@@ -13,7 +13,6 @@ from headwater.operators import entities as E
 from headwater.operators import etl, extract, rddgraph, rollup, routing
 from headwater.operators.conf import KEYS, ConfKeys
 from headwater.session import cut_lineage
-from headwater.skew import find_hot
 from headwater.sources import eventlog
 
 
@@ -45,11 +44,7 @@ class Lineage:
     metadata: DataFrame
 
     def edges(self) -> DataFrame:
-        return E.edges(self.apps, self.datasets, self.hot())
-
-    def hot(self) -> list[Row]:
-        """Applications with a large share of the items, counted on the stored items."""
-        return find_hot(self.items, ["app_id"])
+        return E.edges(self.apps, self.datasets)
 
     def jobs(self) -> DataFrame:
         return E.job_entities(self.apps)
@@ -61,15 +56,13 @@ class Lineage:
         return E.run_entities(self.apps)
 
     def envelopes(self) -> DataFrame:
-        return E.envelopes(self.apps, self.entries(), self.hot())
+        return E.envelopes(self.apps, self.entries())
 
 
 def sql_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
     """Lineage items of the triggered SQL executions, errors included."""
     nodes = routing.with_plans(routing.sql_triggers(facts.events), facts.plan_nodes)
-    # the few keys that hold most nodes are counted on the bare fact table
-    hot = find_hot(facts.plan_nodes, ["app_id"])
-    return extract.plan_items(extract.prepare_nodes(nodes, facts.conf_kv(), keys, hot), compat=compat)
+    return extract.plan_items(extract.prepare_nodes(nodes, facts.conf_kv(), keys), compat=compat)
 
 
 def rdd_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
@@ -90,7 +83,8 @@ def build_lineage(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) ->
 
     Executions and jobs share one id column: even ids are SQL executions, odd
     ones RDD jobs. The items are stored once in the shared folder, since several
-    results read them.
+    results read them. Joins with the few rows of an application are plain ones: where one application has a large
+    share of the rows, Spark splits its partition at run time.
     """
     sql = sql_items(facts, keys, compat).withColumn("dep_id", F.col("dep_id") * 2)
     rdd = rdd_items(facts, keys, compat).withColumn("dep_id", F.col("dep_id") * 2 + 1)

@@ -589,7 +589,7 @@ def _status_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     apps, events = _named_apps(spark, sf_dir), facts.events(spark, sf_dir)
     outputs = rddgraph.rdd_outputs(facts.rdd_output(spark, sf_dir), facts.conf(spark, sf_dir))
     listed = E.entries(rollup.app_lineage(outputs), rollup.merge_metadata(events))
-    return E.envelopes(apps, listed, find_hot(events, ["app_id"]))
+    return E.envelopes(apps, listed)
 
 
 def _documents_text(documents: DataFrame) -> DataFrame:

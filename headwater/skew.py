@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from headwater.session import cut_lineage
 
@@ -89,56 +91,56 @@ def lookup_join(
     return left.join(right, keys + ["_piece"], how).drop("_piece")
 
 
-def number_rows(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    out: str = "pos",
-    share: float | None = None,
-    has_hot: bool | None = None,
-) -> DataFrame:
-    """Number the rows of each group from 0 in the given order, which has to be total.
-
-    Without hot groups this is a window: no group is larger than a shuffle
-    partition should be. With hot groups see :func:`number_sorted`. Rows that are
-    equal in all columns of the order may be numbered either way. ``has_hot`` tells
-    what is known already.
-    """
-    if bool(find_hot(df, group, share)) if has_hot is None else has_hot:
-        return number_sorted(df, group, order, out)
-    inside = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(inside).cast("bigint") - F.lit(1))
-
-
-def number_sorted(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "pos") -> DataFrame:
-    """Number the rows of each group from 0, whatever the sizes of the groups.
+def _number_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number the rows of each group in one sorted partition from 0; ``_row`` is the place in the partition."""
+    last, count, row = None, 0, 0
+    for batch in batches:
+        group = np.asarray(batch.column("_group"))
+        n = len(group)
+        begins = np.ones(n, bool)
+        begins[1:] = group[1:] != group[:-1]
+        if n and group[0] == last:
+            begins[0] = False
+        place = np.arange(n)
+        since = np.maximum.accumulate(np.where(begins, place, -count if n and not begins[0] else 0))
+        inside = place - since
+        if n:
+            last, count = group[-1], int(inside[-1]) + 1
+        columns = [*batch.columns, pa.array(inside), pa.array(place + row)]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "_inside", "_row"])
+        row += n
+
+
+def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "pos", stored: bool = False) -> DataFrame:
+    """Number the rows of each group from 0 in the given order, whatever the sizes of the groups.
 
     The rows are sorted once by group and order over all tasks, so a large group
-    lies in many partitions, in order. A row's number is its place in its
-    partition, plus the group's rows in the partitions before, which a short
-    table of (group, partition) counts tells. No task sees a whole group.
+    lies in many partitions, in order, and no task needs a group as a whole. Each partition numbers its own rows; only its
+    first group may have begun before, so a short table with a row for each partition tells by how much that group's numbers go up.
 
-    The sorted rows are stored in the shared folder, so that a task that runs
-    again cannot see them in another order.
+    The rows are stored in the shared folder before the sort, which reads them twice, unless they are ``stored``, and after
+    it, so that a task that runs again cannot see them in another order. Groups are told apart by 64-bit hashes beside the sort. Rows that
+    are equal in all columns of the order may be numbered either way.
     """
     group, order = list(group), list(order)
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.monotonically_increasing_id()
-    sorted_rows = cut_lineage(
-        df.repartitionByRange(partitions, *group, *order).sortWithinPartitions(*group, *order).withColumn("_place", place)
-    ).withColumn("_partition", F.shiftrightunsigned("_place", 33))
-    cell = [*group, "_partition"]
-    before = Window.partitionBy(*group).orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        sorted_rows.groupBy(*cell)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
-        .withColumn("_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first"))
-        .select(*[F.col(c).alias(f"_of_{c}") for c in cell], "_shift")
-    )
-    # NULL is a group like any other
-    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in cell]
-    return (
-        sorted_rows.join(shifts, same)
-        .withColumn(out, F.col("_place") + F.col("_shift"))
-        .drop("_place", "_partition", "_shift", *[f"_of_{c}" for c in cell])
+    spark = df.sparkSession
+    rows = df if stored else cut_lineage(df)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(partitions, *group, *order).sortWithinPartitions(*group, *order)
+    keyed = placed.withColumn("_group", F.xxhash64(*group)).withColumn("_partition", F.spark_partition_id())
+    more = T.StructType.fromDDL("_inside bigint, _row bigint").fields
+    inside = cut_lineage(keyed.mapInArrow(_number_inside, T.StructType([*keyed.schema.fields, *more])))
+    ends = inside.groupBy("_partition").agg(
+        F.min_by("_group", "_row").alias("first"),
+        F.max(F.struct("_row", "_group", "_inside")).alias("last"),
     )
+    shifts, before, tail = [], None, 0
+    for end in sorted(ends.collect()):  # a row for each partition
+        shift = tail if end.first == before else 0
+        whole = end.last._inside == end.last._row  # all rows are of one group
+        before, tail = end.last._group, end.last._inside + 1 + (shift if whole else 0)
+        shifts.append((end._partition, end.first, shift))
+    table = F.broadcast(spark.createDataFrame(shifts, "_partition int, _first bigint, _shift bigint"))
+    shift = F.when(F.col("_group") == F.col("_first"), F.col("_shift")).otherwise(F.lit(0))
+    numbered = inside.join(table, "_partition").withColumn(out, F.col("_inside") + shift)
+    return numbered.select(*df.columns, out)

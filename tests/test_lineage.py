@@ -298,7 +298,9 @@ def rounds_of(spark, label, below=""):
     return sum(c.name.startswith("round=") for c in children(spark, f"{base}/{newest.name}{below}"))
 
 
-def test_closure_of_a_deep_graph_takes_few_rounds(spark):
+def test_closure_of_a_deep_graph_takes_few_rounds(spark, monkeypatch):
+    """Graphs that are too large for a task."""
+    monkeypatch.setattr(rddgraph, "GRAPH_SIZE", 5)
     edges = spark.createDataFrame(chain("deep", 200) + chain("short", 3) + chain("rootless", 9), S.RDD_EDGE)
     roots = spark.createDataFrame([("deep", 1, 199), ("short", 1, 1)], "app_id string, job_id bigint, rdd_id bigint")
     closure = rddgraph.ancestors(edges, roots)
@@ -307,7 +309,9 @@ def test_closure_of_a_deep_graph_takes_few_rounds(spark):
     assert rounds_of(spark, "ancestors", "/reached") <= 10
 
 
-def test_closure_of_random_graphs(spark):
+@pytest.mark.parametrize("size", [10, 200_000])
+def test_closure_of_random_graphs(spark, monkeypatch, size):
+    monkeypatch.setattr(rddgraph, "GRAPH_SIZE", size)
     rng, edges, expected = random.Random(1), [], set()
     for job in range(12):
         n = rng.randrange(2, 40)

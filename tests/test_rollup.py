@@ -46,6 +46,16 @@ def test_equal_lists_are_one_edge_set(spark, rows):
     assert rows(rollup.app_lineage(kept, distinct=True).where("app_id = 'b'"), "name", "n") == [("o", 1), ("x", 1), ("y", 1)]
 
 
+def test_edge_sets_with_equal_fingerprints_are_told_apart(spark, rows, monkeypatch):
+    """Every item has the same hash, so only the comparison can tell the lists apart."""
+    lists = {1: ["x", "y"], 2: ["y", "x"], 3: ["x", "y"], 4: ["x", "z"], 5: ["y", "x"], 6: ["x", "z"], 7: ["z", "z"]}
+    data = [row for dep, names in lists.items() for row in item_rows("a", dep, names, ["o"], start=100 * dep)]
+    monkeypatch.setattr(rollup, "_hash", lambda seed: F.lit(42).cast("bigint"))
+    kept = rollup.distinct_deps(spark.createDataFrame(data, ITEMS))
+    assert rows(kept.select("dep_id").distinct()) == [(1,), (2,), (4,), (7,)]
+    assert kept.count() == 12
+
+
 def test_merge_keeps_order_and_duplicates(spark):
     data = item_rows("a", 2, ["z", "x"], []) + item_rows("a", 1, ["x"], ["o"])
     merged = rollup.merge_deps(spark.createDataFrame(data, ITEMS), ["app_id"], ["dep_id", "node_id", "item"])

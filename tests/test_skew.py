@@ -41,15 +41,37 @@ def test_hot_rows_are_spread(spark):
     assert parts > 1
 
 
-@pytest.mark.parametrize("share", [0.01, 0.9])
-def test_number_rows_matches_a_sort(spark, share):
+@pytest.mark.parametrize("partitions", ["2", "7", "40"])
+def test_number_rows_matches_a_sort(spark, partitions):
+    """Groups from one row to two thirds of all rows, ones that fill several partitions, and small Arrow batches."""
     generator = random.Random(3)
-    data = [(generator.choice(["a", "b", None]), generator.randrange(100), f"n{i}") for i in range(2000)]
+    names = ["hot"] * 600 + ["a", "b", None] * 60 + [f"g{k}" for k in range(200)]
+    data = [(generator.choice(names), generator.randrange(100), f"n{i}") for i in range(2000)]
     df = spark.createDataFrame(data, "g string, o bigint, n string").repartition(5)
-    numbered = number_rows(df, ["g"], ["o", "n"], share=share).collect()
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        numbered = number_rows(df, ["g"], ["o", "n"]).collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
     assert len(numbered) == len(data)
-    for group in ("a", "b", None):
+    for group in {g for g, _, _ in data}:
         expected = sorted((o, n) for g, o, n in data if g == group)
         got = [(r["o"], r["n"]) for r in sorted((r for r in numbered if r["g"] == group), key=lambda r: r["pos"])]
         assert got == expected
         assert sorted(r["pos"] for r in numbered if r["g"] == group) == list(range(len(expected)))
+
+
+def test_rows_are_numbered_from_one_run_of_what_they_come_from(spark):
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(len(batch))
+            yield batch
+
+    df = spark.range(500).selectExpr("id % 3 as g", "id as o").mapInArrow(count, "g bigint, o bigint")
+    assert number_rows(df, ["g"], ["o"]).count() == 500 and runs.value == 500
+    assert number_rows(df.where("g > 5"), ["g"], ["o"]).count() == 0
