@@ -7,7 +7,7 @@ with c(h) tokens and n(h) kinds of successors,
     p(w | h) = max(c(h w) - D, 0) / c(h) + D n(h) / c(h) * p(w)
 
 with p(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) as the base model has it. Frequent words
-are the end and those with at least N / 2**17 tokens, at most 2**17, and every task
+are the end and those with at least N / 2**20 tokens, at most 2**20, and every task
 knows their counts; this saves messages only and changes no probability. Log
 probabilities of successors are kept in 16 bits, for rarer words those of the first
 summand.
@@ -43,9 +43,9 @@ from headwater.llm.trie import Trie
 from headwater.session import cut_lineage
 
 DISCOUNT = 0.75
-FREQUENT = 1 << 17
-BATCH_TOKENS = 1_200_000
-SHARD_BYTES = 6 << 20
+FREQUENT = 1 << 20
+BATCH_TOKENS = 700_000
+SHARD_BYTES = 4 << 20
 START, END = np.uint64(1), np.uint64(2)
 _SPLIT = np.uint64(0x9E3779B97F4A7C15)
 SUMS, TEXTS, ASKED, COUNTS = range(4)  # kinds of messages
