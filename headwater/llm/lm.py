@@ -21,7 +21,8 @@ text. A context that is frequent enough to fill a shard is split by its successo
 hashes; its n(h) is summed over those shards in a pass of its own. Pairs with a rare second word ask its
 shard for its count, and send along the first summand as a multiple of D n(h) / c(h).
 
-Words are told apart by 64-bit hashes, successors of one context by 40 bits. NULL and
+Words are told apart by 64-bit hashes; as successors they travel with 48 bits, and those of one context are told apart by 40.
+The two marks are the same successor then, but only the end is one. NULL and
 empty texts are one end token. Repeated rows are texts of their own. Without
 training texts every token has probability 1. Columns other than ``doc_id`` and
 ``text`` are ignored; ids are integers or NULL.
@@ -98,8 +99,24 @@ def _slices(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(shard[a]), slice(a, b)
 
 
+def _short(words: np.ndarray) -> np.ndarray:
+    """The 48 bits of a hash that successors travel with."""
+    return words >> np.uint64(16)
+
+
+def _pack(words: np.ndarray) -> np.ndarray:
+    """Hashes as six bytes each."""
+    return np.ascontiguousarray(_short(words).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1)
+
+
 def _home(words: np.ndarray, shards: int) -> np.ndarray:
-    return (W.mix(words + _SPLIT) % np.uint64(shards)).astype(np.int64)
+    return (W.mix(_short(words) + _SPLIT) % np.uint64(shards)).astype(np.int64)
 
 
 # --- Counts of words ----------------------------------------------------------
@@ -165,12 +182,13 @@ class Unigrams:
     def log_whole(self) -> float:
         return float(np.log10(self.n_tokens + 0.5 * (self.n_words + 1)))
 
-    def find(self, words: np.ndarray) -> np.ndarray:
-        """The counts of frequent words, -1 for others."""
+    def find(self, words: np.ndarray, short: bool = False) -> np.ndarray:
+        """The counts of frequent words, -1 for others; successors are known by the ``short`` part of their hashes."""
         if not len(self.frequent):
             return np.full(len(words), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
-        return np.where(self.frequent[at] == words, self.counts[at], -1)
+        frequent, words = (_short(self.frequent), _short(words)) if short else (self.frequent, words)
+        at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+        return np.where(frequent[at] == words, self.counts[at], -1)
 
     def splits(self, words: np.ndarray) -> np.ndarray:
         """Over how many shards the pairs of a context are spread."""
@@ -295,7 +313,7 @@ def _pair_rows(unigrams: Unigrams):
                         name,
                         b[new_context],
                         np.diff(np.append(firsts, len(pairs))).astype(np.uint32),
-                        t[pairs],
+                        _pack(t[pairs]),
                         np.add.reduceat(train[part].astype(np.uint32), pairs, dtype=np.uint32),
                         np.diff(np.append(pairs, len(b))).astype(np.uint32),
                         text[part].astype(np.uint16 if len(batch.ids) <= 1 << 16 else np.uint32),
@@ -361,7 +379,7 @@ class Shard:
         self.log_left = np.where(total > 0, np.log10(np.clip(left, DISCOUNT / np.maximum(total, 1), 1)), 0.0)
         owner = np.cumsum(new) - 1
         owner, words, n = owner[seen], successors[seen], counts[seen]
-        often = unigrams.find(words)
+        often = unigrams.find(words, short=True)
         whole = 10 ** unigrams.log_whole()
         # the second summand of a rare word is added where its count is
         shared = np.where(often >= 0, 10 ** self.log_left[owner] * (often + 0.5) / whole, 0)
@@ -378,7 +396,7 @@ class Shard:
         place = np.repeat(self.trie.context(contexts), degrees)
         log = self.trie.log(place, successors)
         missing = np.isnan(log)
-        often = unigrams.find(successors)
+        often = unigrams.find(successors, short=True)
         asked = often < 0
         ratio = np.where(asked & ~missing, 10 ** (np.where(missing, 0, log) - self.log_left[place]), 0.0)
         log = np.where(missing | asked, self.log_left[place], log)
@@ -392,7 +410,7 @@ def _score_shard(unigrams: Unigrams):
         rows = table.to_pylist()
         read = []
         for row in rows:
-            contexts, successors = (np.frombuffer(row[x], np.uint64) for x in ("contexts", "successors"))
+            contexts, successors = np.frombuffer(row["contexts"], np.uint64), _unpack(row["successors"])
             degrees, counts, occurrences = (
                 np.frombuffer(row[x], np.uint32).astype(np.int64) for x in ("degrees", "counts", "occurrences")
             )
@@ -430,7 +448,7 @@ def _score_shard(unigrams: Unigrams):
         for target, part in _slices(home[order]):
             distinct, first = np.unique(words[part], return_index=True)
             sizes = np.diff(np.append(first, part.stop - part.start)).astype(np.uint32)
-            out.append(_message(ASKED, target, -1, distinct, sizes, places[part], names))
+            out.append(_message(ASKED, target, -1, _pack(distinct), sizes, places[part], names))
         return _messages(out)
 
     return run
@@ -448,13 +466,13 @@ def _answer_counts(unigrams: Unigrams):
         answers: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for row in rows:
             if row["kind"] == ASKED:
-                asked = np.frombuffer(row["a"], np.uint64)
+                asked = _short(_unpack(row["a"]))
                 sizes = np.frombuffer(row["b"], np.uint32).astype(np.int64)
                 places = np.frombuffer(row["c"], np.uint32).reshape(-1, 3)
                 found = np.zeros(len(asked), np.int64)
                 if len(words):
-                    at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
-                    found = np.where(words[at] == asked, counts[at], 0)
+                    at = np.minimum(np.searchsorted(_short(words), asked), len(words) - 1)
+                    found = np.where(_short(words[at]) == asked, counts[at], 0)
                 share = np.repeat((found + 0.5) / 10 ** unigrams.log_whole(), sizes)
                 log = np.log10(places[:, 2].copy().view(np.float32) + share)
                 answers.append((np.frombuffer(row["d"], np.int64)[places[:, 1]], places[:, 0].astype(np.int64), log))
