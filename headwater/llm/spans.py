@@ -1,21 +1,24 @@
 """Substring deduplication by sliding spans of sentences.
 
-A sentence ends at a line break or after a word that ends in ``.``, ``!`` or ``?``. So
-that unpunctuated text has sentences too, and equal passages are cut alike wherever
-they stand, it also ends after each word whose hash says so (one in ten) and after
-12 words at the latest. At each sentence begins a span: the shortest run of at least
-three sentences and eight words. Of all spans with equal words in all documents, the first stays, by
+A sentence ends at a line break or after a word that ends in ``.``, ``!`` or ``?``. Text may have no
+punctuation, and passages may begin and end inside a sentence, so sentences are cut further by their content alone: after each word
+whose hash is not greater than both of its neighbours', which is two words of three. So equal passages are cut alike wherever they
+stand, but for a word or two at their ends. At each of these short sentences begins a span: the shortest run of at least
+three of them and 20 words; the last span of a text goes on to its end. Of all spans with equal words in all documents, the first stays, by
 ``doc_id`` (NULL last), a hash of the text, and place. The sentences that any others
-cover are removed, with the white space after them, if spans that overlap cover 25
-words at least; a shorter stretch, such as a common line, is left alone. A stretch that
-reaches the last span of a text takes what is left after it along.
+cover are removed, with the white space after them.
 
-A passage of 50 words is cut into five sentences or more, so all of it goes but for a
-few words at its ends, where it doesn't begin or end with a sentence. Texts shorter
-than a span, NULL and empty ones stay as they are (NULL as empty). Rows with equal
+SPAN_WORDS decides what counts as a repeated passage: common lines of up to 19 words stay, as do texts that are shorter.
+
+A task takes its texts in batches. It settles the repeats inside a batch, and sends each distinct span of the batch once to the
+shard of its hash, with the first of its places; so a passage that very many documents share is one entry a batch. A
+shard finds the first place of each span among the batches and marks the others, and the marks of a batch
+are dealt back to its documents. There is a shard for every SHARD_BYTES of text, so none grows with the input.
+
+NULL and empty texts stay as they are (NULL as empty). Rows with equal
 ``doc_id`` and text count as one document and are treated alike; texts are told apart
-by 64-bit hashes. Columns other than
-``doc_id`` and ``text`` are ignored, or kept where rows are returned whole.
+by 64-bit hashes. Ids are integers or NULL. Columns other than
+``doc_id`` and ``text`` are ignored, or kept where rows are returned whole. The input is read several times, and should be stored.
 """
 
 from __future__ import annotations
@@ -32,16 +35,16 @@ from headwater.llm import words as W
 from headwater.llm.frames import beside, map_arrow
 from headwater.session import cut_lineage
 
-CHANCE = 10
-MOST_WORDS = 12
 SPAN_SENTENCES = 3
-SPAN_WORDS = 8
-STRETCH_WORDS = 25
+SPAN_WORDS = 20
+BATCH_WORDS = 500_000
+SHARD_BYTES = 8 << 20
 ID_BUCKETS = 1 << 18
 _STOP = np.zeros(256, bool)
 _STOP[list(b".!?")] = True
 _BASE = np.uint64(0xF1357AEA2E62A9C5)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+HEAD, SPANS, MARKS = range(3)  # kinds of messages
 
 
 @dataclass
@@ -59,13 +62,13 @@ def find_sentences(data: np.ndarray, offsets: np.ndarray, words: W.Words, hashes
         empty = np.empty(0, np.int64)
         return Sentences(np.zeros(1, np.int64), empty, np.zeros(len(offsets), np.int64))
     lines = np.concatenate([[0], np.cumsum(data == 10, dtype=np.int64)])
-    ends = _STOP[data[words.ends - 1]] | (hashes % np.uint64(CHANCE) == 0)
+    last = np.append(words.text[1:] != words.text[:-1], True)  # of a text
+    over_next = np.append(hashes[:-1] > hashes[1:], True) | last
+    over_previous = np.append(True, hashes[1:] >= hashes[:-1])
+    over_previous[1:] |= last[:-1]
+    ends = _STOP[data[words.ends - 1]] | last | ~(over_next & over_previous)
     ends[:-1] |= lines[words.starts[1:]] > lines[words.ends[:-1]]
-    ends[:-1] |= words.text[1:] != words.text[:-1]
-    begins = np.concatenate([[True], ends[:-1]])
-    place = np.arange(n)
-    since = place - np.maximum.accumulate(np.where(begins, place, 0))
-    word = np.flatnonzero(since % MOST_WORDS == 0)
+    word = np.flatnonzero(np.append(True, ends[:-1]))
     return Sentences(np.append(word, n), words.starts[word], np.searchsorted(word, words.first))
 
 
@@ -77,7 +80,9 @@ def find_spans(sentences: Sentences, hashes: np.ndarray) -> tuple[np.ndarray, np
     enough = np.searchsorted(sentences.word, sentences.word[:-1] + SPAN_WORDS)
     end = np.maximum(at + SPAN_SENTENCES, enough)
     whole = end <= sentences.first[text + 1] if n else np.empty(0, bool)
-    at, end = at[whole], end[whole]
+    at, end, text = at[whole], end[whole], text[whole]
+    last = np.append(text[1:] != text[:-1], True)[: len(text)]
+    end[last] = sentences.first[text[last] + 1]
     ones = np.full(len(hashes), _BASE)
     ones[:1] = 1
     power = np.multiply.accumulate(ones)
@@ -89,24 +94,10 @@ def find_spans(sentences: Sentences, hashes: np.ndarray) -> tuple[np.ndarray, np
 
 
 def covered(sentences: Sentences, at: np.ndarray, end: np.ndarray, listed: np.ndarray) -> np.ndarray:
-    """Which sentences belong to long stretches of overlapping spans.
-
-    ``at`` and ``end`` are all spans; those that begin at the sentences ``listed``,
-    ascending, make the stretches.
-    """
+    """Which sentences belong to the spans that begin at the sentences ``listed``; ``at`` and ``end`` are all spans."""
     out = np.zeros(len(sentences.begin) + 1, np.int64)
-    if len(listed):
-        which = np.searchsorted(at, listed)
-        ends = end[which]
-        text = np.searchsorted(sentences.first, listed, "right") - 1
-        last = np.searchsorted(at, sentences.first[text + 1]) - 1
-        ends = np.where(which == last, sentences.first[text + 1], ends)
-        apart = listed[1:] >= ends[:-1]
-        firsts = listed[np.concatenate([[True], apart])]
-        ends = ends[np.concatenate([apart, [True]])]
-        long = sentences.word[ends] - sentences.word[firsts] >= STRETCH_WORDS
-        np.add.at(out, firsts[long], 1)
-        np.subtract.at(out, ends[long], 1)
+    np.add.at(out, listed, 1)
+    np.subtract.at(out, end[np.searchsorted(at, listed)], 1)
     return np.cumsum(out)[:-1] > 0
 
 
@@ -120,18 +111,6 @@ def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.nd
         yield first, last, own, places, find_sentences(own, places, words, hashes), hashes
 
 
-def _span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["null", "doc_id", "text_hash", "sentence", "span"]
-    for batch in batches:
-        for first, last, _, _, sentences, hashes in _blocks(batch):
-            at, _, span = find_spans(sentences, hashes)
-            text = np.searchsorted(sentences.first, at, "right") - 1
-            own = pa.array(first + text)
-            columns = [batch.column(name).take(own) for name in names[:3]]
-            columns += [pa.array((at - sentences.first[text]).astype(np.int32)), pa.array(span.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-
 def _shared_ids(docs: DataFrame) -> DataFrame:
     """``bucket`` of the ids that several rows have; at most ID_BUCKETS, so that every task can hold them."""
     several = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -155,30 +134,151 @@ def _named(rows: DataFrame, doc_id: str, shared: DataFrame) -> DataFrame:
     return joined.withColumn("text_hash", text_hash).drop("bucket", "_several")
 
 
-def spans(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """All spans: the document (``null, doc_id, text_hash``), the first ``sentence``, and the ``span``'s hash."""
-    text = F.coalesce("text", F.lit(""))
-    rows = _named(docs.select(F.col("doc_id").isNull().alias("null"), "doc_id", text.alias("text")), "doc_id", shared)
-    return map_arrow(rows, _span_rows, beside(rows, "sentence int, span bigint", "text"))
+_MESSAGE = (
+    "kind int, target bigint, batch bigint, no_id binary, ids binary, text_hashes binary, spans binary, ranks binary, "
+    "sentences binary"
+)
+_NAMES = [x.split()[0] for x in _MESSAGE.split(", ")]
+
+
+def _messages(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
+    packed = [[x.tobytes() if isinstance(x, np.ndarray) else x for x in row] for row in rows]
+    return pa.RecordBatch.from_arrays([pa.array([row[k] for row in packed], t) for k, t in enumerate(types)], _NAMES)
+
+
+class _Batch:
+    """The spans of some texts, until they are sent."""
+
+    def __init__(self) -> None:
+        self.keys: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.rows = self.words = 0
+
+    def sent(self, name: int, shards: int) -> pa.RecordBatch:
+        no_id, ids, text_hashes = (np.concatenate(x) for x in zip(*self.keys))
+        spans, row, sentence = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((text_hashes, ids, no_id))
+        new = np.ones(len(order), bool)
+        for key in (no_id[order], ids[order], text_hashes[order]):
+            new[1:] &= key[1:] == key[:-1]
+        new[1:] = ~new[1:]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.cumsum(new) - 1
+        heads = [x[order][new] for x in (no_id, ids, text_hashes)]
+        rank = rank[row]
+        order = np.lexsort((sentence, rank, spans))
+        spans, rank, sentence = spans[order], rank[order].astype(np.uint32), sentence[order].astype(np.uint32)
+        other_span = np.append(True, spans[1:] != spans[:-1])[: len(spans)]
+        other_place = other_span | np.append(True, (rank[1:] != rank[:-1]) | (sentence[1:] != sentence[:-1]))[: len(spans)]
+        later = other_place & ~other_span  # equal rows have equal places
+        out = [(HEAD, name % shards, name, *heads, None, rank[later], sentence[later])]
+        spans, rank, sentence = spans[other_span], rank[other_span], sentence[other_span]
+        shard = (spans % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        ends = np.searchsorted(shard[order], np.arange(shards + 1))
+        for k in np.flatnonzero(np.diff(ends)):
+            own = order[ends[k] : ends[k + 1]]
+            out.append((SPANS, int(k), name, *heads, spans[own], rank[own], sentence[own]))
+        return _messages(out)
+
+
+def _span_rows(shards: int, batch_words: int):
+    """Each batch's documents, with what repeats inside the batch; and its distinct spans, by shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number, held = TaskContext.get().partitionId() << 32, _Batch()
+        for batch in batches:
+            ids = batch.column("doc_id")
+            keys = np.asarray(ids.is_null()), np.asarray(ids.fill_null(0)), np.asarray(batch.column("text_hash"))
+            for first, last, _, _, sentences, hashes in _blocks(batch):
+                at, _, span = find_spans(sentences, hashes)
+                text = np.searchsorted(sentences.first, at, "right") - 1
+                held.keys.append(tuple(x[first:last] for x in keys))
+                held.parts.append((span, held.rows + text, at - sentences.first[text]))
+                held.rows += last - first
+                held.words += len(hashes)
+                if held.words >= batch_words:
+                    yield held.sent(number, shards)
+                    number, held = number + 1, _Batch()
+        if held.rows:
+            yield held.sent(number, shards)
+
+    return run
+
+
+def _joined(rows: list[dict], name: str, kind: type) -> np.ndarray:
+    return np.concatenate([np.frombuffer(row[name], kind) for row in rows])
+
+
+def _mark(table: pa.Table) -> pa.Table:
+    """Of each span of a shard, all places but the first one; what the batches say of themselves passes."""
+    rows = table.to_pylist()
+    out = [tuple(row[name] for name in _NAMES) for row in rows if row["kind"] == HEAD]
+    rows = [row for row in rows if row["kind"] == SPANS]
+    if rows:
+        spans, rank, sentence = (_joined(rows, name, kind) for name, kind in (("spans", np.uint64), ("ranks", np.uint32), ("sentences", np.uint32)))
+        owner = np.repeat(np.arange(len(rows)), [len(row["spans"]) // 8 for row in rows])
+        order = np.argsort(spans, kind="stable")
+        ordered = spans[order]
+        same = ordered[1:] == ordered[:-1]
+        several = order[np.append(same, False) | np.append(False, same)]
+        spans, rank, sentence, owner = spans[several], rank[several], sentence[several], owner[several]
+        begins = np.cumsum([0] + [len(row["no_id"]) for row in rows])[:-1]
+        place = begins[owner] + rank
+        keys = [_joined(rows, name, kind)[place] for name, kind in (("no_id", bool), ("ids", np.int64), ("text_hashes", np.int64))]
+        order = np.lexsort((sentence, keys[2], keys[1], keys[0], spans))
+        begin = np.append(True, spans[order][1:] != spans[order][:-1])[: len(order)]
+        first = order[np.maximum.accumulate(np.where(begin, np.arange(len(order)), 0))]
+        later = np.zeros(len(order), bool)
+        for key in (*keys, sentence):
+            later |= key[order] != key[first]
+        chosen = order[later]
+        chosen = chosen[np.argsort(owner[chosen], kind="stable")]
+        ends = np.searchsorted(owner[chosen], np.arange(len(rows) + 1))
+        for k in np.flatnonzero(np.diff(ends)):
+            own = chosen[ends[k] : ends[k + 1]]
+            out.append((MARKS, None, rows[k]["batch"], None, None, None, None, rank[own], sentence[own]))
+    return pa.Table.from_batches([_messages(out)])
+
+
+def _deal(table: pa.Table) -> pa.Table:
+    """The marked sentences of each document of a batch, ascending."""
+    rows = table.to_pylist()
+    head = next(row for row in rows if row["kind"] == HEAD)
+    rank, sentence = (_joined(rows, name, np.uint32).astype(np.int64) for name in ("ranks", "sentences"))
+    cuts = np.unique(np.stack([rank, sentence], axis=1), axis=0)
+    with_cuts, begins = np.unique(cuts[:, 0], return_index=True)
+    no_id = np.frombuffer(head["no_id"], bool)[with_cuts]
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.append(begins, len(cuts)).astype(np.int32)), pa.array(cuts[:, 1].astype(np.int32))
+    )
+    return pa.table(
+        {
+            "doc_id": pa.array(np.frombuffer(head["ids"], np.int64)[with_cuts], mask=no_id),
+            "text_hash": pa.array(np.frombuffer(head["text_hashes"], np.int64)[with_cuts]),
+            "cuts": lists,
+        }
+    )
 
 
 def repeated(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """The first sentences of all spans that an earlier span equals, as one sorted list for each document.
-
-    The first place of each span is aggregated before the shuffle, so a passage
-    that very many documents share is one row a task. The join to the places of a
-    span is a plain one, whose large partitions Spark splits.
-    """
-    found = spans(docs, shared)
-    place = F.struct("null", "doc_id", "text_hash", "sentence")
-    firsts = found.groupBy("span").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = found.join(firsts.select("span", "first"), "span").where(place != F.col("first"))
-    # a list is as long as its document has sentences, at most
-    return later.groupBy("null", "doc_id", "text_hash").agg(F.sort_array(F.collect_set("sentence")).alias("cuts"))
+    """``doc_id, text_hash, cuts``: the first sentences of all spans that an earlier span equals, a sorted list for each document."""
+    text = F.coalesce("text", F.lit(""))
+    rows = _named(docs.select(F.col("doc_id").cast("bigint"), text.alias("text")), "doc_id", shared)
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0]
+    shards = max(-(-(n_bytes or 0) // SHARD_BYTES), 1)
+    sent = map_arrow(rows, _span_rows(shards, BATCH_WORDS), _MESSAGE)
+    marks = sent.groupBy("target").applyInArrow(_mark, _MESSAGE)
+    dealt = marks.groupBy("batch").applyInArrow(_deal, "doc_id bigint, text_hash bigint, cuts array<int>")
+    # equal rows may lie in several batches, which mark the same: all places of a span but the first
+    return dealt.groupBy("doc_id", "text_hash").agg(F.first("cuts").alias("cuts"))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove the sentences that long stretches of the listed spans cover."""
+    """Remove the sentences that the listed spans cover."""
     for batch in batches:
         cuts = batch.column("cuts")
         rest = [i for i, name in enumerate(batch.schema.names) if name not in ("text", "cuts")]
@@ -221,7 +321,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     lists = repeated(docs, shared).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("cuts")
     )
-    same = F.col("row.doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    same = F.col("row.doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
     joined = keyed.join(lists, same, "left").select("row", "text", "cuts")
     return map_arrow(joined, _cut, beside(joined, "text string, n_sentences bigint, n_removed bigint", "text", "cuts"))
 

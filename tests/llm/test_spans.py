@@ -1,12 +1,14 @@
+import random
 import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from headwater.llm import spans
 from headwater.llm import words as W
-from tests.llm.conftest import key, words_of
+from tests.llm.conftest import WORDS, key, words_of
 
 
 def cut(text):
@@ -14,40 +16,32 @@ def cut(text):
     raw = text.encode()
     data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
     found = W.find_words(data, offsets)
-    hashes = W.hash_words(data, found)
+    hashes = [int(h) for h in W.hash_words(data, found)]
     out, current = [], []
     for i, (a, b) in enumerate(zip(found.starts, found.ends)):
         current.append((a, raw[a:b]))
-        after = found.starts[i + 1] if i + 1 < len(found) else len(raw)
-        ends = raw[b - 1 : b] in (b".", b"!", b"?") or b"\n" in raw[b:after] or hashes[i] % 10 == 0 or len(current) == 12
-        if ends or i + 1 == len(found):
+        last = i + 1 == len(found)
+        after = len(raw) if last else found.starts[i + 1]
+        peak = (last or hashes[i] > hashes[i + 1]) and (i == 0 or hashes[i] >= hashes[i - 1])
+        if raw[b - 1 : b] in (b".", b"!", b"?") or b"\n" in raw[b:after] or not peak or last:
             out.append((current[0][0], after, [w for _, w in current]))
             current = []
     return out
 
 
-def span_words(sentences, i):
-    words, k = [], i
-    while k < len(sentences) and (k - i < 3 or len(words) < 8):
-        words += sentences[k][2]
-        k += 1
-    return (tuple(words), k) if k - i >= 3 and len(words) >= 8 else None
-
-
-def long_stretches(sentences, spans):
-    """Sentences of overlapping spans that have 25 words together."""
-    every = [i for i in range(len(sentences)) if span_words(sentences, i)]
-    out, spans = set(), sorted(spans)
-    while spans:
-        first = spans.pop(0)
-        end = span_words(sentences, first)[1]
-        last = first
-        while spans and spans[0] < end:
-            last = spans.pop(0)
-            end = span_words(sentences, last)[1]
-        inside = range(first, len(sentences) if last == every[-1] else end)
-        if sum(len(sentences[s][2]) for s in inside) >= 25:
-            out |= set(inside)
+def spans_of(sentences):
+    """The words of the span that begins at each sentence, and the sentence after its last."""
+    out = {}
+    for i in range(len(sentences)):
+        words, k = [], i
+        while k < len(sentences) and (k - i < 3 or len(words) < 20):
+            words += sentences[k][2]
+            k += 1
+        if k - i >= 3 and len(words) >= 20:
+            out[i] = (tuple(words), k)
+    if out:
+        last = max(out)
+        out[last] = (tuple(w for s in sentences[last:] for w in s[2]), len(sentences))
     return out
 
 
@@ -56,16 +50,14 @@ def brute(rows):
     docs = sorted({(r[0], r[1] or "") for r in rows}, key=lambda d: key(d[:1]))
     where = {}
     cuts = {d: cut(d[1]) for d in docs}
+    spans = {d: spans_of(cuts[d]) for d in docs}
     for d in docs:
-        for i in range(len(cuts[d])):
-            found = span_words(cuts[d], i)
-            if found:
-                where.setdefault(found[0], []).append((d, i))
-    later = {d: set() for d in docs}
+        for i, (words, _) in spans[d].items():
+            where.setdefault(words, []).append((d, i))
+    removed = {d: set() for d in docs}
     for places in where.values():
         for d, i in places[1:]:
-            later[d].add(i)
-    removed = {d: long_stretches(cuts[d], later[d]) for d in docs}
+            removed[d] |= set(range(i, spans[d][i][1]))
     out = {}
     for d in docs:
         raw, kept, at = d[1].encode(), b"", 0
@@ -77,7 +69,15 @@ def brute(rows):
     return out
 
 
-def test_repeats_are_removed_as_by_hand(docs, edge_rows):
+@pytest.fixture(params=["one shard", "small batches and shards"])
+def sizes(request, monkeypatch):
+    """Small batches and shards send what several batches share, and equal rows, to different tasks."""
+    if request.param != "one shard":
+        monkeypatch.setattr(spans, "SHARD_BYTES", 5000)
+        monkeypatch.setattr(spans, "BATCH_WORDS", 50)
+
+
+def test_repeats_are_removed_as_by_hand(docs, edge_rows, sizes):
     rows = [r for r in edge_rows if r[0] != 7]  # ties of an id are ordered by a hash
     found = spans.remove_repeats(docs.where("doc_id is null or doc_id <> 7"))
     got = sorted(key((r.row.doc_id, r.text, r.n_sentences, r.n_removed)) for r in found.collect())
@@ -132,3 +132,52 @@ def test_texts_without_an_id_are_told_apart_by_the_whole_hash(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     found = [r.text for r in spans.remove_repeats(docs).collect()]
     assert pair.two in found and pair.one not in found
+
+
+def passages(rng, words, every, n):
+    """Pairs of documents with one passage in a line, between unpunctuated text of 5 to 39 words."""
+    word = lambda: rng.choice(WORDS) + rng.choice(WORDS) + str(rng.randrange(100))
+    rows, planted = [], []
+    for k in range(n):
+        own = [word() for _ in range(words)]
+        if every:
+            own = [w + "." if i % every == every - 1 else w for i, w in enumerate(own)]
+        planted.append(own)
+        for doc_id in (k, 10_000 + k):
+            around = [[word() for _ in range(rng.randint(5, 39))] for _ in range(2)]
+            rows.append((doc_id, " ".join(around[0] + own + around[1]), len(around[0]) + len(around[1])))
+    return rows, planted
+
+
+@pytest.mark.parametrize("words, every", [(24, 6), (24, 0), (30, 0), (51, 0), (51, 6), (60, 0), (60, 6)])
+def test_second_copies_of_passages_go(spark, words, every):
+    rows, planted = passages(random.Random(words + every), words, every, 150)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, around int").repartition(3)
+    found = {r.row.doc_id: (r.text, r.row.around) for r in spans.remove_repeats(docs).collect()}
+    assert all(found[k][0] == text for k, text, _ in rows if k < 10_000), "first copies stay"
+    left = [max(len(found[10_000 + k][0].split()) - found[10_000 + k][1], 0) / words for k in range(150)]
+    assert np.mean(left) < 0.1 and max(left) < 0.6
+    assert np.mean([len(found[10_000 + k][0].split()) >= found[10_000 + k][1] for k in range(150)]) > 0.95
+
+
+def test_common_lines_stay(spark):
+    """Lines of up to 19 words that many documents have are no passages."""
+    rng = random.Random(8)
+    word = lambda: rng.choice(WORDS) + rng.choice(WORDS) + str(rng.randrange(100))
+    common = [" ".join(word() for _ in range(n)) + "." for n in (5, 8, 12, 16, 19)]
+    rows = []
+    for k in range(200):
+        lines = [" ".join(word() for _ in range(rng.randint(5, 25))) + "." for _ in range(6)]
+        lines.insert(rng.randrange(1, 6), rng.choice(common))
+        rows.append((k, "\n".join(lines)))
+    found = {r.row.doc_id: r.text for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert np.mean([found[k] == text for k, text in rows]) > 0.95
+
+
+def test_a_third_of_all_rows_is_one_row(spark):
+    text = " ".join(f"w{i}" for i in range(60)) + "."
+    rows = [(1, text)] * 300 + [(k, f"d{k} " * 3 + text) for k in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    found = Counter((r.row.doc_id, len(r.text.split())) for r in spans.remove_repeats(docs).collect())
+    assert found[1, 60] == 300
+    assert all(n < 7 for doc_id, n in found if doc_id != 1)
