@@ -917,6 +917,15 @@ union all
 select app_id, 'SparkListenerJobEnd', ms + 3600000, o_orderkey, null,
   case when o_orderstatus = 'F' then 'JobFailed' else 'JobSucceeded' end, case when o_orderstatus = 'F' then 'lost' end from t"""
 
+ORACLE["event_log_stream"] = """
+with t as (
+  select regexp_replace(o_orderpriority, '[^A-Z0-9]', '-', 'g') as app_id, epoch_ms(o_orderdate) as ms, o_orderkey, o_orderstatus
+  from orders)
+select app_id, max(ms + 3600000)::bigint as end_ms, count(*) filter (o_orderstatus = 'F') as n_failed,
+  case when count(*) filter (o_orderstatus = 'F') > 0 then 'lost' end as status_reason,
+  case when count(*) filter (o_orderstatus = 'F') > 0 then 'FAILED' else 'SUCCESS' end as status
+from t group by app_id"""
+
 ORACLE["event_log_rdds"] = """
 with t as (select regexp_replace(o_orderpriority, '[^A-Z0-9]', '-', 'g') as app_id, o_orderkey from orders)
 select app_id, o_orderkey as job_id, 2 * o_orderkey as rdd_id, 0 as item, 's3a://logs/' || o_orderkey as path, 1 as n_children from t

@@ -12,7 +12,7 @@ from headwater.operators import conf as C
 from headwater.operators import entities as E
 from headwater.operators import etl, extract, rddgraph, rollup, routing
 from headwater.operators.conf import KEYS, ConfKeys
-from headwater.session import cut_lineage
+from headwater.session import cut_lineage, work_path
 from headwater.sources import eventlog
 
 
@@ -96,14 +96,21 @@ def build_lineage(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) ->
 
 
 def facts_of_log(spark: SparkSession, path: str, app_id_pattern: str = eventlog.APP_ID_IN_PATH) -> Facts:
-    """The facts that event logs hold. A job's stages list its RDDs, so no edges are followed."""
-    nodes = eventlog.scan_rdd_nodes(spark, path, app_id_pattern)
+    """The facts that event logs hold, read from the logs once. A job's stages list its RDDs, so no edges are followed."""
+    target = work_path(spark, "facts-of-log")
+    eventlog.stage_log(spark, path, target, app_id_pattern)
+    return staged_facts(spark, target)
+
+
+def staged_facts(spark: SparkSession, target: str) -> Facts:
+    """The facts that :func:`headwater.sources.eventlog.stage_log` has stored."""
+    nodes = eventlog.staged(spark, target, "rdd_node")
     return Facts(
-        eventlog.scan_events(spark, path, app_id_pattern),
-        eventlog.scan_plan_nodes(spark, path, app_id_pattern),
+        eventlog.staged(spark, target, "event"),
+        eventlog.staged(spark, target, "plan_node"),
         nodes,
-        eventlog.scan_rdd_edges(spark, path, app_id_pattern),
-        eventlog.scan_rdd_roots(spark, path, app_id_pattern),
+        eventlog.staged(spark, target, "rdd_edge"),
+        eventlog.staged(spark, target, "rdd_root"),
         spark.createDataFrame([], S.RDD_OUTPUT),
         rdd_closure=nodes.select(*rddgraph.NODE),
     )

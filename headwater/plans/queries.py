@@ -891,6 +891,17 @@ def event_log_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.groupBy("app_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("line")).alias("longest"))
 
 
+@query
+def event_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run records from event logs that arrive in two deliveries, through the stream of their staged events."""
+    log, target = _write_log(spark, sf_dir, plans=True), work_path(spark, "log-stream")
+    for number, apps in enumerate(("[12]*", "[345]*")):
+        eventlog.stage_log(spark, f"{log}/app={apps}", f"{target}/facts/batch={number:08d}", LOG_FOLDER_APP)
+        events = eventlog.stream_events(spark, target)
+        stream_rollups.stream_rollup(events, f"{target}/rollup", f"{target}/checkpoint").awaitTermination()
+    return stream_rollups.apps_of(stream_rollups.read_rollup(spark, f"{target}/rollup"))
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = facts.table(spark, sf_dir, "events").schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)

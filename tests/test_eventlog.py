@@ -1,5 +1,7 @@
 """A job of our own writes its event log; the log is then read back as facts."""
 
+import json
+import shutil
 import subprocess
 import sys
 
@@ -10,6 +12,7 @@ from headwater import schemas as S
 from headwater.operators import rddgraph, rollup, routing
 from headwater.plans import pipelines
 from headwater.sources import eventlog
+from headwater.streaming import rollup as streams
 
 JOB = """
 import sys
@@ -68,3 +71,71 @@ def test_own_event_log(spark, log):
     last = nodes.where(F.col("job_id") == job).agg(F.max("rdd_id").alias("rdd_id"))
     roots = last.select(F.lit(nodes.first()["app_id"]).alias("app_id"), F.lit(job).cast("bigint").alias("job_id"), "rdd_id")
     assert rddgraph.ancestors(edges, roots).count() == nodes.where(F.col("job_id") == job).count()
+
+
+def test_facts_are_read_in_one_pass(spark, log, rows, tmp_path, monkeypatch):
+    """The log is read once, and no more: it may be gone when its facts are used."""
+    copy = tmp_path / "copy"
+    shutil.copytree(log / "log", copy)
+    path, scans, real = f"{copy}/eventlog_v2_*/events_*", [], eventlog._all_lines
+    monkeypatch.setattr(eventlog, "_all_lines", lambda *args: scans.append(args) or real(*args))
+    expected = {
+        "event": rows(eventlog.scan_events(spark, path), "app_id", "event", "event_ms", "job_id", "execution_id"),
+        "plan_node": rows(eventlog.scan_plan_nodes(spark, path).drop("options")),
+        "rdd_node": rows(eventlog.scan_rdd_nodes(spark, path)),
+        "rdd_edge": rows(eventlog.scan_rdd_edges(spark, path)),
+        "rdd_root": rows(eventlog.scan_rdd_roots(spark, path)),
+    }
+    scans.clear()
+    eventlog.stage_log(spark, path, f"{tmp_path}/facts")
+    facts = pipelines.facts_of_log(spark, path)
+    assert len(scans) == 2
+    shutil.rmtree(copy)
+    for kind, found in expected.items():
+        again = eventlog.staged(spark, f"{tmp_path}/facts", kind).drop("options")
+        columns = ["app_id", "event", "event_ms", "job_id", "execution_id"] if kind == "event" else again.columns
+        assert rows(again, *columns) == found and found, kind
+    assert eventlog.staged(spark, f"{tmp_path}/facts", "unreadable").count() == 0
+    assert rows(facts.rdd_nodes) == expected["rdd_node"]
+
+
+def line(event, **fields):
+    return json.dumps({"Event": event, **fields})
+
+
+def segment(folder, number, lines, app="app-1"):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / f"events_{number}_{app}").write_text("\n".join(lines) + "\n")
+
+
+def test_segments_are_staged_once_they_are_closed(spark, rows, tmp_path):
+    base, target = tmp_path / "logs", f"{tmp_path}/staged"
+    folder = base / "eventlog_v2_app-1"
+    (base).mkdir()
+    failed = {"Result": "JobFailed", "Exception": {"Message": "lost"}}
+    segment(folder, 1, [line("SparkListenerApplicationStart", **{"App Name": "one", "Timestamp": 5}), "{cut off"])
+    segment(folder, 2, [line("SparkListenerJobEnd", **{"Job ID": 1, "Completion Time": 7, "Job Result": failed})])
+    (folder / "appstatus_app-1.inprogress").touch()
+    (base / "local-7.inprogress").write_text(line("SparkListenerApplicationStart", **{"App Name": "two", "Timestamp": 5}))
+
+    def run():
+        n = eventlog.ingest_closed(spark, str(base), target)
+        events = eventlog.stream_events(spark, target)
+        streams.stream_rollup(events, f"{tmp_path}/state", f"{tmp_path}/checkpoint").awaitTermination()
+        return n, rows(streams.apps_of(streams.read_rollup(spark, f"{tmp_path}/state")), "app_id", "end_ms", "status")
+
+    assert run() == (1, [("app-1", 0, "SUCCESS")])
+    segment(folder, 10, [line("SparkListenerJobEnd", **{"Job ID": 2, "Completion Time": 9, "Job Result": {"Result": "JobSucceeded"}})])
+    assert run() == (1, [("app-1", 7, "FAILED")])  # the second segment is closed by the tenth
+    assert run() == (0, [("app-1", 7, "FAILED")])
+    (folder / "appstatus_app-1.inprogress").rename(folder / "appstatus_app-1")
+    (base / "local-7.inprogress").rename(base / "local-7")
+    n, state = run()
+    assert n == 2 and state == [("app-1", 9, "FAILED"), ("local-7", 0, "SUCCESS")]
+    # a call that was cut off after its ledger entry is made good
+    facts = tmp_path / "staged" / "facts"
+    last = sorted(facts.iterdir())[-1]
+    shutil.rmtree(last)
+    assert run() == (0, state)
+    events = rows(eventlog.staged(spark, f"{target}/facts", "event"), "app_id", "event")
+    assert len(events) == 4 and eventlog.staged(spark, f"{target}/facts", "unreadable").count() == 1
