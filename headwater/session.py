@@ -53,10 +53,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used between the rounds of iterative operators: the next round starts from
     files, which outlive any executor.
     """
-    spark = df.sparkSession
-    path = work_path(spark, "round")
+    return cut_at(df, work_path(df.sparkSession, "round"))
+
+
+def cut_at(df: DataFrame, path: str) -> DataFrame:
+    """The same at a path of the caller's, who may delete it once nothing reads it any more."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class Child(NamedTuple):
