@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from headwater.session import cut_lineage
+from headwater.session import cut_at, delete_path, work_path
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` of every node with an edge; the component is its least node.
 
-    ``edges`` has two columns of numbers. Each round is stored in the shared folder.
+    ``edges`` has two columns of numbers. Each round is stored in the shared folder, and the one before is deleted.
     The least neighbour is aggregated before the shuffle, and the join to a node's
     edges is a plain one, whose large partitions Spark splits, so a node may have
     very many edges. The number of rounds grows with the logarithm of the nodes.
@@ -37,11 +37,15 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     named = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
     mark = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")]
-    stars, before = cut_lineage(named), None
+    spark = edges.sparkSession
+    path = work_path(spark, "stars")
+    stars, before = cut_at(named, path), None
     while True:
         now = stars.agg(*mark).first()
         if now == before:
             return stars.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 stars.select("b", "b").distinct()
             )
-        stars, before = cut_lineage(_small_star(_large_star(stars))), now
+        last, path = path, work_path(spark, "stars")
+        stars, before = cut_at(_small_star(_large_star(stars)), path), now
+        delete_path(spark, last)

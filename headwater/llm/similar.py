@@ -50,7 +50,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from headwater.llm import words as W
 from headwater.llm.frames import beside, map_arrow
@@ -508,7 +507,7 @@ def one_of_each(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
         found.where(F.col("group").isNotNull())
         .groupBy("group")
         .agg(F.min(place).alias("first"))
-        .select(F.xxhash64("first.doc_id").alias("id_hash"), "first.text_hash", F.lit(True).alias("kept"))
+        .select(F.xxhash64("first.doc_id").alias("id_hash"), "first.text_hash")
     )
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(
@@ -517,7 +516,6 @@ def one_of_each(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
         F.xxhash64(text).alias("text_hash"),
         (~text.rlike(r"[^\x20\x09-\x0D]")).alias("bare"),
     )
-    key = ["id_hash", "text_hash"]
-    number = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
-    joined = keyed.join(kept, key, "left").where("bare or kept").withColumn("nr", number)
-    return joined.where("bare or nr = 1").select("row.*")
+    # equal rows fall away before they are shuffled, so an id and text that very many rows have is no large group
+    one = keyed.where("not bare").dropDuplicates(["id_hash", "text_hash"]).join(kept, ["id_hash", "text_hash"], "left_semi")
+    return keyed.where("bare").unionByName(one).select("row.*")

@@ -11,6 +11,8 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from headwater.llm.queries import ORACLE, QUERIES
+from tests.llm import test_rules, test_similar, test_spans
+from tests.llm.conftest import key
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -25,6 +27,9 @@ COLUMNS = {
     "op8": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op9": "doc_id n_tokens best_score",
     "op10": "doc_id held_out lang_pred score",
+    "op11": "doc_id n_shingles component_id kept",
+    "op12": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
 }
 
 
@@ -39,6 +44,10 @@ def test_queries_cover_their_table(spark, name):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     found = queries()[name](spark, SF_DIR)
     assert set(COLUMNS[name.split("_")[0]].split()) <= set(found.columns)
+    if name.startswith("op12"):  # a search: see its own tests
+        anchors = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("vec_id % 50 = 0").count()
+        assert 0 < found.select("anchor_id").distinct().count() <= anchors
+        return
     ids = Counter(r.doc_id for r in found.select("doc_id").collect())
     assert ids == Counter(r.doc_id for r in docs.select("doc_id").collect())
 
@@ -56,6 +65,32 @@ def test_stages_on_edges(spark, docs, no_docs, tmp_path):
         assert rows.columns == ["doc_id", "n_tokens", "ids"]
 
 
+def test_survivors_by_brute_force(spark, docs, edge_rows, no_labels, tmp_path):
+    """The first three stages in their order: what each keeps of what the one before kept."""
+    no_labels.write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [r for r in edge_rows if r[0] != 7]  # ties of an id are ordered by a hash
+    found = docs.where("doc_id is null or doc_id <> 7")
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        path = f"{tmp_path}/{name}"
+        stage(spark, found, str(tmp_path)).write.parquet(path)
+        found = spark.read.parquet(path)
+        if name == "quality_rules":
+            counts = [test_rules.brute(r[1]) for r in rows]
+            rows = [r for r, c in zip(rows, counts) if r[1] is not None and c[0] >= 10 and 100 * c[4] <= 20 * c[0]]
+        elif name == "ngram_jaccard":
+            roots = test_similar.groups_of([test_similar.set_of(r[1], 5) for r in rows], (4, 5))
+            firsts = {}
+            for r, root in zip(rows, roots):
+                firsts[root] = min(firsts.get(root, r), r, key=lambda x: key(x[:1]))
+            rows = list(firsts.values())
+        else:
+            left = test_spans.brute(rows)
+            cleaned = [(r, *left[r[0], r[1]]) for r in rows]
+            rows = [(r[0], text) for r, text, n, removed in cleaned if removed < n or not n]
+        assert sorted(key((r.doc_id, r.text)) for r in found.collect()) == sorted(key(r[:2]) for r in rows), name
+    assert 10 < len(rows) < 40
+
+
 def test_the_whole_run(spark):
     found = corpus_pipeline.run(spark, SF_DIR).collect()
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
