@@ -33,7 +33,7 @@ AWS_DOMAIN = ".amazonaws.com"
 
 
 def _blank_to_null(c: Column) -> Column:
-    return F.nullif(c, F.lit(""))
+    return let(c, lambda text: F.when(text != "", text))
 
 
 def _extract(c: Column, pattern: str, group: int = 1) -> Column:
@@ -57,9 +57,8 @@ def _render(kind: str, *parts: tuple[str, Column]) -> Column:
 
 def namespace(uri: Column) -> Column:
     """``scheme://authority``, or the scheme alone when there is no authority."""
-    scheme = _extract(uri, SCHEME)
     authority = _extract(uri, AUTHORITY)
-    return F.coalesce(F.concat(scheme, F.lit("://"), authority), scheme)
+    return let(_extract(uri, SCHEME), lambda scheme: F.coalesce(F.concat(scheme, F.lit("://"), authority), scheme))
 
 
 def uri_path(uri: Column) -> Column:
@@ -116,11 +115,14 @@ def s3_name_sql(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Colu
     counts with its host only, so an endpoint without a host gives no name.
     """
     endpoint = F.when(uri.startswith("s3a://"), s3a_endpoint).otherwise(s3n_endpoint)
-    bucket, key = _bucket_key(F.rtrim(_rest(uri), F.lit("/")))
-    name = F.when(endpoint.isNull() | is_bad_uri(endpoint), s3_aws(bucket, key)).otherwise(
-        s3_custom(uri_host(endpoint), bucket, key)
-    )
-    return F.when(_is_s3_sql(uri) & s3_sql_error(uri).isNull(), name)
+
+    def name(bucket: Column, key: Column) -> Column:
+        return F.when(endpoint.isNull() | is_bad_uri(endpoint), s3_aws(bucket, key)).otherwise(
+            s3_custom(uri_host(endpoint), bucket, key)
+        )
+
+    named = let(F.rtrim(_rest(uri), F.lit("/")), lambda rest: name(*_bucket_key(rest)))
+    return F.when(_is_s3_sql(uri) & s3_sql_error(uri).isNull(), named)
 
 
 def s3_name_rdd(ns: Column, path: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
@@ -147,15 +149,18 @@ def s3_name(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
     ``host[:port]``.
     """
     endpoint = F.when(uri.startswith("s3a://"), s3a_endpoint).when(uri.startswith("s3n://"), s3n_endpoint)
-    host = _extract(endpoint, URI_HOST_PORT)
     rest = F.regexp_extract(uri, r"^s3[an]?://(.*)$", 1)
     plain = F.regexp_replace(F.regexp_replace(rest, "/+", "/"), "/$", "")
-    bucket = _extract(plain, "^([^/]+)")
-    key = F.regexp_extract(plain, "^[^/]+/(.*)$", 1)
-    name = F.when(host.isNull() | host.contains(AWS_DOMAIN), s3_aws(bucket, key)).otherwise(
-        s3_custom(host, bucket, key)
-    )
-    return F.when(uri.rlike("^s3[an]?://"), name)
+
+    def name(plain: Column, host: Column) -> Column:
+        bucket = _extract(plain, "^([^/]+)")
+        key = F.regexp_extract(plain, "^[^/]+/(.*)$", 1)
+        return F.when(host.isNull() | host.contains(AWS_DOMAIN), s3_aws(bucket, key)).otherwise(
+            s3_custom(host, bucket, key)
+        )
+
+    named = let(plain, lambda p: let(_extract(endpoint, URI_HOST_PORT), lambda host: name(p, host)))
+    return F.when(uri.rlike("^s3[an]?://"), named)
 
 
 def hdfs_name(ns: Column, path: Column) -> Column:
@@ -175,10 +180,13 @@ def uri_name(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
 
 def jdbc_database(url: Column) -> Column:
     """Database name behind a MySQL or PostgreSQL URL, NULL for others."""
-    kind = F.lower(F.regexp_extract(url, JDBC_URL, 1))
     host, database = _extract(url, JDBC_URL, 2), _extract(url, JDBC_URL, 3)
-    named = [F.when(kind == k, _render(k, ("host", host), ("databases", database))) for k in (MYSQL, POSTGRES)]
-    return F.coalesce(*named)
+
+    def name(kind: Column) -> Column:
+        named = F.concat(F.lit("//"), kind, F.lit("/host/"), part(host), F.lit("/databases/"), part(database))
+        return F.when(kind.isin(MYSQL, POSTGRES), named)
+
+    return let(F.lower(F.regexp_extract(url, JDBC_URL, 1)), name)
 
 
 def jdbc_table(database: Column, table: Column, compat: bool = False) -> Column:

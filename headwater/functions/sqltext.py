@@ -1,6 +1,6 @@
 """Table references in SQL text, from a text column.
 
-The text is cut into tokens, which one fold reads with a stack of scopes, one for each open parenthesis, however
+The text is cut into tokens, which one loop, over Arrow batches in the tasks, reads with a stack of scopes, one for each open parenthesis, however
 deep. A scope knows whether it is in a list of tables, so that a comma after a join condition goes on with the
 list, and a comma of the select list doesn't. It knows its common table expressions: they hide tables in their own
 statement and below, after their bodies, or inside them if they are recursive. Comments, literals, texts between dollar
@@ -10,8 +10,13 @@ known too. Tables of outer statements come first. Targets of INSERT and MERGE ar
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from headwater.functions.scalars import let
 
@@ -58,9 +63,19 @@ def _references(text: Column) -> Column:
     return F.array_distinct(F.transform(found, _tight))
 
 
-# Comments, literals and texts between dollar signs; names with their dots; single marks.
-_TOKEN = rf"--[^\n]*|/\*[\s\S]*?\*/|'[^']*'|\$(\w*)\$[\s\S]*?\$\1\$|{IDENTIFIER}|\S"
-_SILENT = r"^(?:--|/\*|'[\s\S]*'$|\$\w*\$)"
+# The same for ``re``, and so with blanks and words as above: comments, literals and texts between dollar signs; names with
+# their dots; single marks.
+_BLANK = r"[ \t\n\x0b\f\r]"
+_ATOM_HERE = r"(?:\"[^\"]+\"|`[^`]+`|\[[^\]]+\]|[\w$]+)"
+_TOKEN = re.compile(
+    r"--[^\n]*|/\*[\s\S]*?\*/|'[^']*'|\$([A-Za-z0-9_]*)\$[\s\S]*?\$\1\$"
+    rf"|{_ATOM_HERE}(?:{_BLANK}*\.{_BLANK}*{_ATOM_HERE})*|[^{_BLANK[1:]}"
+)
+_SILENT = re.compile(r"--|/\*|'[\s\S]*'$|\$[A-Za-z0-9_]*\$")
+_NAMED = re.compile(r"[\w$]|[\"`\[][^\n\r\x85\u2028\u2029]{2}")
+_DOT = re.compile(rf"{_BLANK}*\.{_BLANK}*")
+_NO_PLAIN_NAME = re.compile(r"[.\"`\[]")
+_QUOTES = str.maketrans("", "", "\"`[]")
 
 # Kinds of tokens. Words that are none of these are names.
 _KINDS = ["name", "(", ")", ",", ";", "from", "join", "select", "with", "recursive", "as", "end", "skip", "no name", "using", "delete", "distinct"]
@@ -79,112 +94,91 @@ _WORDS = {
 # How far a scope's list of common table expressions is.
 _NO_LIST, _WANTS_NAME, _WANTS_BODY, _HAS_BODY = range(4)
 
-# What is known of each scope: whether a FROM counts in it, whether it is in a list of tables, whether USING
-# names a table in it, and its common table expressions.
-_SCOPE = "q:boolean,f:boolean,u:boolean,list:int,recursive:boolean,cte:string"
-_STATE = (
-    f"struct<{_SCOPE},wants:boolean,last:int,pending:string,stack:array<struct<{_SCOPE}>>,"
-    "ctes:array<struct<depth:int,name:string>>,found:array<struct<depth:int,place:int,name:string>>>"
-)
-
 
-def _tokens(sql: Column) -> Column:
-    """The tokens of a text with their kinds, without comments and literals."""
-    kinds = F.create_map(*[F.lit(x) for pair in _WORDS.items() for x in pair])
-    found = F.filter(F.regexp_extract_all(sql, F.lit(_TOKEN), F.lit(0)), lambda token: ~token.rlike(_SILENT))
-
-    def kind(token: Column) -> Column:
-        named = token.rlike(rf"^(?:{_WORD}|[\"`\[]..)")
-        return F.coalesce(F.try_element_at(kinds, F.lower(token)), F.when(named, F.lit(_NAME)), F.lit(_OTHER))
-
-    return F.transform(found, lambda token: F.struct(kind(token).alias("kind"), _strip_quotes(token).alias("name")))
-
-
-def _known(ctes: Column, name: Column) -> Column:
-    return F.exists(ctes, lambda cte: cte["name"] == F.lower(name))
-
-
-def _add_pending(s: Column) -> Column:
-    """The tables found, with the one that waits for the token after it, unless it is a common table expression."""
-    one = F.struct(F.size(s["stack"]).alias("depth"), F.size(s["found"]).alias("place"), s["pending"].alias("name"))
-    counts = s["pending"].isNotNull() & ~_known(s["ctes"], s["pending"])
-    return F.when(counts, F.concat(s["found"], F.array(one))).otherwise(s["found"])
-
-
-def _step(s: Column, token: Column) -> Column:
-    """The state after one more token."""
-    kind, name, depth = token["kind"], token["name"], F.size(s["stack"])
-    top = F.get(s["stack"], depth - 1)
-    opens, closes = kind == _OPEN, (kind == _CLOSE) & (depth > 0)
-    # a name before the parenthesis is a function's; tables or a statement stand where a table is wanted
-    group = s["wants"] & s["pending"].isNull() & (s["last"] != _USING)
-    body = (s["list"] == _WANTS_BODY) & (s["last"] == _AS)
-    from_counts = (kind == _FROM) & s["q"] & (s["last"] != _DISTINCT)
-    with_starts = (kind == _WITH) & (s["wants"] | ~s["f"])
-    starts = (kind == _SELECT) | (kind == _DELETE) | (kind == _SEMICOLON)
-    using = (kind == _USING) & s["u"]
-    cte_name = (kind == _NAME) & (s["list"] == _WANTS_NAME)
-    no, yes, nothing = F.lit(False), F.lit(True), F.lit(None).cast("string")
-    saved = F.struct(
-        s["q"].alias("q"),
-        s["f"].alias("f"),
-        s["u"].alias("u"),
-        F.when(body, F.lit(_HAS_BODY)).otherwise(s["list"]).alias("list"),
-        s["recursive"].alias("recursive"),
-        s["cte"].alias("cte"),
-    )
-    # a common table expression is known after its body, or from its name on if it is recursive
-    left = F.when(closes | (kind == _SEMICOLON), F.filter(s["ctes"], lambda c: c["depth"] < depth)).otherwise(s["ctes"])
-    registers = F.when(closes & (top["list"] == _HAS_BODY), top["cte"]).when(cte_name & s["recursive"], name)
-    at = F.when(closes, depth - 1).otherwise(depth)
-    return F.struct(
-        F.when(opens, group).when(closes, top["q"]).when(starts | with_starts, yes).otherwise(s["q"]).alias("q"),
-        F.when(opens, group)
-        .when(closes, top["f"])
-        .when(from_counts | using | (kind == _JOIN), yes)
-        .when(starts | with_starts | (kind == _END), no)
-        .otherwise(s["f"])
-        .alias("f"),
-        F.when(opens, no).when(closes, top["u"]).when(kind == _DELETE, yes)
-        .when((kind == _USING) | (kind == _SELECT) | (kind == _SEMICOLON), no).otherwise(s["u"]).alias("u"),
-        F.when(opens, F.lit(_NO_LIST))
-        .when(closes, top["list"])
-        .when(with_starts, F.lit(_WANTS_NAME))
-        .when(cte_name, F.lit(_WANTS_BODY))
-        .when((kind == _COMMA) & (s["list"] == _HAS_BODY), F.lit(_WANTS_NAME))
-        .when(starts | (kind == _END), F.lit(_NO_LIST))
-        .otherwise(s["list"])
-        .alias("list"),
-        F.when(opens | with_starts, no).when(closes, top["recursive"]).when(kind == _RECURSIVE, yes)
-        .otherwise(s["recursive"]).alias("recursive"),
-        F.when(opens, nothing).when(closes, top["cte"]).when(cte_name, F.lower(name)).otherwise(s["cte"]).alias("cte"),
-        F.when(opens, group)
-        .when(from_counts | using | (kind == _JOIN), yes)
-        .when(kind == _COMMA, s["f"])
-        .when(kind == _SKIP, s["wants"])
-        .otherwise(no)
-        .alias("wants"),
-        kind.alias("last"),
-        F.when((kind == _NAME) & s["wants"], name).otherwise(nothing).alias("pending"),
-        F.when(opens, F.concat(s["stack"], F.array(saved)))
-        .when(closes, F.slice(s["stack"], 1, depth - 1))
-        .otherwise(s["stack"])
-        .alias("stack"),
-        F.when(registers.isNotNull(), F.concat(left, F.array(F.struct(at.alias("depth"), F.lower(registers).alias("name")))))
-        .otherwise(left)
-        .alias("ctes"),
-        F.when(opens, s["found"]).otherwise(_add_pending(s)).alias("found"),
-    )
-
-
-def _tables_of(sql: Column) -> Column:
-    start = F.from_json(F.lit('{"q":true,"f":false,"u":false,"list":0,"recursive":false,"wants":false,"last":0,"stack":[],"ctes":[],"found":[]}'), _STATE)
-
-    def names(state: Column) -> Column:
-        # outer statements first; the places are ascending
-        return F.array_distinct(F.transform(F.array_sort(_add_pending(state)), lambda found: found["name"]))
-
-    return F.aggregate(_tokens(sql), start, _step, names)
+def _tokens(sql: str) -> Iterator[tuple[int, str]]:
+    """The kinds of the tokens of a text and their names, without comments and literals."""
+    for match in _TOKEN.finditer(sql):
+        token = match.group()
+        if token[0] in "-/'$" and _SILENT.match(token):
+            continue
+        kind = _WORDS.get(token.lower())
+        if kind is None:
+            kind = _NAME if _NAMED.match(token) else _OTHER
+        if kind == _NAME and _NO_PLAIN_NAME.search(token):
+            token = _DOT.sub(".", token).translate(_QUOTES)
+        yield kind, token
+
+
+def _tables_of(sql: str) -> list[str]:
+    """The distinct names of the tables that a text reads, those of outer statements first."""
+    # what is known of the scope: whether a FROM counts in it, whether it is in a list of tables, whether USING
+    # names a table in it, and its common table expressions
+    counts, in_list, uses, ctes_at, recursive, cte = True, False, False, _NO_LIST, False, None
+    wants, last, pending = False, _NAME, None
+    stack: list[tuple] = []
+    ctes: list[tuple[int, str]] = []
+    found: list[tuple[int, str]] = []
+
+    def add() -> None:
+        """The name that waits for the token after it is a table, unless it is a common table expression."""
+        if not any(name == pending.lower() for _, name in ctes):
+            found.append((len(stack), pending))
+
+    for kind, name in _tokens(sql):
+        # a name before the parenthesis is a function's; tables or a statement stand where a table is wanted
+        if pending is not None and kind != _OPEN:
+            add()
+        if kind in (_NAME, _OTHER) and ctes_at != _WANTS_NAME:
+            pending, wants, last = name if wants and kind == _NAME else None, False, kind
+            continue
+        depth = len(stack)
+        from_counts = kind == _FROM and counts and last != _DISTINCT
+        with_starts = kind == _WITH and (wants or not in_list)
+        starts = kind in (_SELECT, _DELETE, _SEMICOLON)
+        names_table = from_counts or (kind == _USING and uses) or kind == _JOIN
+        wanted, listed, waiting = wants, in_list, pending
+        wants = names_table or (kind == _COMMA and in_list) or (kind == _SKIP and wants)
+        pending = name if kind == _NAME and wanted else None
+        if kind == _OPEN:
+            body = _HAS_BODY if ctes_at == _WANTS_BODY and last == _AS else ctes_at
+            stack.append((counts, in_list, uses, body, recursive, cte))
+            wants = counts = in_list = wanted and waiting is None and last != _USING
+            uses, ctes_at, recursive, cte = False, _NO_LIST, False, None
+        elif kind == _CLOSE and depth:
+            # a common table expression is known after its body, or from its name on if it is recursive
+            ctes = [known for known in ctes if known[0] < depth]
+            counts, in_list, uses, ctes_at, recursive, cte = stack.pop()
+            if ctes_at == _HAS_BODY and cte is not None:
+                ctes.append((depth - 1, cte))
+        else:
+            if kind == _SEMICOLON:
+                ctes = [known for known in ctes if known[0] < depth]
+            counts = counts or starts or with_starts
+            in_list = names_table or (listed and not (starts or with_starts or kind == _END))
+            uses = kind == _DELETE or (uses and kind not in (_USING, _SELECT, _SEMICOLON))
+            if kind == _NAME and ctes_at == _WANTS_NAME:
+                ctes_at, cte = _WANTS_BODY, name.lower()
+                if recursive:
+                    ctes.append((depth, cte))
+            elif with_starts:
+                ctes_at = _WANTS_NAME
+            elif kind == _COMMA and ctes_at == _HAS_BODY:
+                ctes_at = _WANTS_NAME
+            elif starts or kind == _END:
+                ctes_at = _NO_LIST
+            recursive = kind == _RECURSIVE or (recursive and not with_starts)
+        last = kind
+    if pending is not None:
+        add()
+    # outer statements first, and else as they stand
+    return list(dict.fromkeys(name for _, name in sorted(found, key=lambda place: place[0])))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _tables_of_texts(texts: pa.Array) -> pa.Array:
+    """The tables of each text of a batch. NULL texts have none."""
+    found = [None if sql is None else _tables_of(sql) for sql in texts.to_pylist()]
+    return pa.array(found, pa.list_(pa.string()))
 
 
 def sql_tables(sql: Column, compat: bool = False) -> Column:
@@ -195,7 +189,7 @@ def sql_tables(sql: Column, compat: bool = False) -> Column:
     grammar would.
     """
     if not compat:
-        return F.when(sql.isNotNull(), _tables_of(sql))
+        return _tables_of_texts(sql)
 
     def tables(text: Column) -> Column:
         opened, closed = (F.length(F.translate(text, mark, "")) for mark in "()")

@@ -67,15 +67,20 @@ def _options() -> Column:
     return F.col("options")
 
 
+def _is_relation(kind: str) -> Column:
+    """Only the texts of such relations are read for tables, since a text is read before the rules choose."""
+    return (F.col("node_kind") == RELATION_NODE) & (F.col("relation_kind") == kind)
+
+
 def _s3_item(uri: Column, compat: bool) -> Column:
     """The S3 name that all kinds of jobs share, or with ``compat`` the one of plans alone."""
     endpoints = F.col("s3a_endpoint"), F.col("s3n_endpoint")
     if not compat:
-        name = N.s3_name(uri, *endpoints)
-        return _item(name, F.when(uri.rlike(r"^s3[an]?://") & name.isNull(), F.lit("BAD_S3_PATH")))
-    name = N.s3_name_sql(uri, *endpoints)
-    no_host = F.when(uri.rlike("^s3[an]://") & name.isNull(), F.lit("BAD_ENDPOINT"))
-    return _item(name, F.coalesce(N.s3_sql_error(uri), no_host))
+        bad_path = F.when(uri.rlike(r"^s3[an]?://"), F.lit("BAD_S3_PATH"))
+        return let(N.s3_name(uri, *endpoints), lambda name: _item(name, F.when(name.isNull(), bad_path)))
+    no_host = F.when(uri.rlike("^s3[an]://"), F.lit("BAD_ENDPOINT"))
+    error = F.coalesce(N.s3_sql_error(uri), no_host)
+    return let(N.s3_name_sql(uri, *endpoints), lambda name: _item(name, F.when(name.isNull(), error)))
 
 
 def _jdbc_item(url: Column, database: Column, table: Column, compat: bool) -> Column:
@@ -84,12 +89,12 @@ def _jdbc_item(url: Column, database: Column, table: Column, compat: bool) -> Co
 
 def _snowflake_item(schema: Column, table: Column) -> Column:
     name = F.concat(schema, F.lit("/tables/"), N.part(table))
-    return _item(name, F.when(name.isNull(), F.lit("MISSING_OPTION")))
+    return let(name, lambda n: _item(n, F.when(n.isNull(), F.lit("MISSING_OPTION"))))
 
 
 def _kafka_item(topic: Column) -> Column:
     name = N.kafka_name(opt(_options(), "kafka.bootstrap.servers"), topic)
-    return _item(name, F.when(name.isNull(), F.lit("MISSING_OPTION")))
+    return let(name, lambda n: _item(n, F.when(n.isNull(), F.lit("MISSING_OPTION"))))
 
 
 def _file_items(compat: bool) -> Column:
@@ -100,9 +105,12 @@ def _jdbc_items(compat: bool) -> Column:
     url = opt(_options(), "url")
     query = F.concat(F.lit("("), opt(_options(), "query"), F.lit(") q"))
     source = F.coalesce(opt(_options(), "dbtable"), query)
+    tables = jdbc_tables(F.when(_is_relation(JDBC_RELATION), source), compat)
     items = let(
-        N.jdbc_database(url),
-        lambda db: F.transform(jdbc_tables(source, compat), lambda table: _jdbc_item(url, db, table, compat)),
+        tables,
+        lambda found: let(
+            N.jdbc_database(url), lambda db: F.transform(found, lambda table: _jdbc_item(url, db, table, compat))
+        ),
     )
     return F.when(url.isNull() | source.isNull(), _error_item("MISSING_OPTION")).otherwise(items)
 
@@ -116,7 +124,7 @@ def _kafka_items(compat: bool) -> Column:
 
 def _snowflake_items(compat: bool) -> Column:
     query = opt(_options(), "query")
-    tables = F.when(query.isNotNull(), sql_tables(query, compat))
+    tables = F.when(query.isNotNull(), sql_tables(F.when(_is_relation(SNOWFLAKE_RELATION), query), compat))
     if not compat:
         table = opt(_options(), "dbtable")
         tables = F.coalesce(tables, F.when(table.isNotNull(), F.array(table)))

@@ -429,7 +429,8 @@ def sql_tables_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
              when 20 then concat('select * from ', repeat('(select * from ', 30), 'deep', p_size, repeat(') q', 30), ', after_all')
              else concat('with recursive r as (select 1 from s', p_size, ' union all select * from r), r2 as (select * from r2, r) select * from r, r2') end"""
     )
-    tables = facts.table(spark, sf_dir, "part").select("p_partkey", sql_tables(text).alias("tables"))
+    parts = facts.dealt(facts.table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type"))
+    tables = parts.select("p_partkey", sql_tables(text).alias("tables"))
     return tables.select("p_partkey", F.array_join("tables", ",").alias("tables"), F.size("tables").alias("n_tables"))
 
 
