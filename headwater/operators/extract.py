@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from headwater.functions import names as N
 from headwater.functions.scalars import UNKNOWN, csv_items, let, lower_keys, opt
@@ -180,6 +181,11 @@ def _first_match(rules: Sequence[Rule]) -> Column:
     return F.coalesce(*[F.when(predicate, F.lit(name)) for name, predicate, _ in ordered])
 
 
+def _accepted(rules: Sequence[Rule]) -> Column:
+    """Whether any rule accepts a node; one that none does costs the tests alone."""
+    return _first_match(rules).isNotNull()
+
+
 def classify_node(nodes: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
     """Nodes with the first rule that accepts them (``rule``, NULL if none)."""
     return nodes.withColumn("rule", _first_match(rules or default_rules()))
@@ -214,8 +220,8 @@ def _output_items(compat: bool = False) -> Column:
     return F.when(is_write, found).otherwise(_no_items())
 
 
-def _explode(nodes: DataFrame, **items: Column) -> DataFrame:
-    """Item rows of the given directions; entries with neither name nor error are no items."""
+def _entries(**items: Column) -> Column:
+    """The items of the given directions in one array; entries with neither name nor error are no items."""
 
     def tagged(direction: str, column: Column) -> Column:
         return F.transform(
@@ -229,12 +235,20 @@ def _explode(nodes: DataFrame, **items: Column) -> DataFrame:
         )
 
     every = F.concat(*[tagged(direction, column) for direction, column in items.items()])
-    entries = F.filter(every, lambda e: e["name"].isNotNull() | e["error"].isNotNull())
+    return F.filter(every, lambda e: e["name"].isNotNull() | e["error"].isNotNull())
+
+
+def _item_rows(nodes: DataFrame, entries: Column) -> DataFrame:
     return nodes.select(
         "app_id", F.col("execution_id").alias("dep_id"), "node_id", F.explode(entries).alias("e")
     ).select("app_id", "dep_id", "e.direction", "node_id", "e.item", "e.name", "e.error")
 
 
+def _explode(nodes: DataFrame, **items: Column) -> DataFrame:
+    """Item rows of the given directions."""
+    return _item_rows(nodes, _entries(**items))
+
+
 def _one_rule(nodes: DataFrame, rule_name: str, compat: bool = False) -> DataFrame:
     rule = next(r for r in default_rules(compat) if r.name == rule_name)
     return _explode(nodes.where(rule.predicate), input=rule.items)
@@ -290,13 +304,37 @@ def jdbc_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     return _outputs_of(nodes, ~F.coalesce(delta | others, F.lit(False)), compat)
 
 
-def _visible(nodes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Nodes that a test of the root alone would reach: below a write, or a root relation."""
-    keys = ["app_id", "execution_id"]
-    roots = classify_root(nodes, rules).select(*keys, F.col("rule").alias("root_rule"))
-    below_write = (F.col("root_rule") == "write") & F.col("parent_id").isNotNull()
-    root_relation = (F.col("root_rule") != "write") & F.col("parent_id").isNull()
-    return nodes.join(roots, keys).where(below_write | root_relation)
+def _visible_items(nodes: DataFrame, rules: Sequence[Rule], lossy: bool = False) -> DataFrame:
+    """Input items of the nodes that a test of the root alone would reach: below a write, or a root relation.
+
+    Items are made before the only shuffle, which brings the items and the roots of an execution together, so the options of
+    nodes don't go through it. A node counts once for each root that shows it. With ``lossy`` an error among :data:`FATAL`
+    loses the names of its execution.
+    """
+    is_root = F.col("parent_id").isNull()
+    rule = F.when(is_root, _first_match(rules))
+    entries = _entries(input=_input_items(rules))
+    # a node that no rule accepts neither has items nor decides what is seen
+    keyed = F.col("app_id").isNotNull() & F.col("execution_id").isNotNull()
+    named = nodes.where(keyed & _accepted(rules)).select(
+        "app_id", "execution_id", "node_id", is_root.alias("is_root"), rule.alias("rule"), entries.alias("entries")
+    )
+    plan = Window.partitionBy("app_id", "execution_id")
+    counted = named.withColumns(
+        {
+            "n_writes": F.count_if(F.col("rule") == "write").over(plan),
+            "n_others": F.count_if(F.col("rule") != "write").over(plan),
+        }
+    )
+    times = F.when(F.col("is_root"), F.col("n_others")).otherwise(F.col("n_writes"))
+    seen = counted.withColumn("times", times)
+    kept = F.col("entries")
+    if lossy:
+        fatal = (F.col("times") > 0) & F.exists("entries", lambda e: F.coalesce(e["error"].isin(*FATAL), F.lit(False)))
+        seen = seen.withColumn("lost", F.max(fatal).over(plan))
+        kept = F.when(F.col("lost"), F.filter(kept, lambda e: e["error"].isNotNull())).otherwise(kept)
+    repeated = F.when(F.col("times") == 1, kept).otherwise(F.flatten(F.array_repeat(kept, F.col("times").cast("int"))))
+    return _item_rows(seen.where("times > 0"), repeated)
 
 
 def write_inputs(
@@ -308,13 +346,16 @@ def write_inputs(
     commands, or at a root that is itself a relation, and nowhere else.
     """
     rules = rules or default_rules(compat)
-    seen = _visible(nodes, rules) if root_only else nodes.where(F.col("node_kind") != WRITE_NODE)
+    if root_only:
+        return _visible_items(nodes, rules)
+    seen = nodes.where((F.col("node_kind") != WRITE_NODE) & _accepted(rules))
     return _explode(seen, input=_input_items(rules))
 
 
 def write_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     """Output items of the write commands."""
-    return _explode(nodes, output=_output_items(compat))
+    writes = nodes.where(F.col("parent_id").isNull() & (F.col("node_kind") == WRITE_NODE))
+    return _explode(writes, output=_output_items(compat))
 
 
 def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bool = False) -> DataFrame:
@@ -327,19 +368,9 @@ def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bo
     if not compat:
         rules = rules or default_rules()
         inputs = F.when(F.col("node_kind") != WRITE_NODE, _input_items(rules)).otherwise(_no_items())
-        # a node that no rule accepts costs the tests alone
-        named = nodes.where(_first_match(rules).isNotNull())
-        return _explode(named, input=inputs, output=_output_items())
-    inputs = write_inputs(nodes, rules, root_only=True, compat=True)
-    fatal = (
-        inputs.where(F.col("error").isin(*FATAL))
-        .select("app_id", "dep_id")
-        .distinct()
-        .withColumn("_lost", F.lit(True))
-    )
-    kept = inputs.join(fatal, ["app_id", "dep_id"], "left")
-    kept = kept.where(F.col("_lost").isNull() | F.col("error").isNotNull()).drop("_lost")
-    return kept.unionByName(write_outputs(nodes, compat=True))
+        return _explode(nodes.where(_accepted(rules)), input=inputs, output=_output_items())
+    inputs = _visible_items(nodes, rules or default_rules(compat=True), lossy=True)
+    return inputs.unionByName(write_outputs(nodes, compat=True))
 
 
 def extract_errors(items: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from headwater.functions.names import s3_name
+from headwater.operators import extract, rddgraph, rollup
+from headwater.session import cut_lineage
 
 
 def plan_of(df):
@@ -31,6 +33,80 @@ def test_each_part_of_an_s3_name_is_worked_out_once(spark):
         F.transform(F.array(uri), lambda u: s3_name(u, endpoint, endpoint)).alias("names")
     )
     text = named._jdf.queryExecution().optimizedPlan().expressions().toString()
-    # the path, the bucket, the key, and the host
-    assert text.count("regexp_extract(") == 4
+    # the path and the host once, the bucket and the key once in either branch; 16 in all before
+    assert text.count("regexp_extract(") == 6
     assert named.first().names == [r"//s3-custom/endpoint/minio:9000/buckets/b/keys/k"]
+
+
+def test_equal_edge_sets_take_two_shuffles_of_items(spark, rows, monkeypatch):
+    names = "app_id string, dep_id bigint, direction string, node_id bigint, item bigint, name string, error string"
+    data = [
+        (app, dep, direction, node, 0, f"d{node % 2}" if dep % 3 else f"e{dep}", None)
+        for app in ("a", "b") for dep in range(9) for direction in ("input", "output") for node in range(dep % 2 + 1)
+    ]
+    items = cut_lineage(spark.createDataFrame([*data, (None, 1, "input", 0, 0, "x", None), ("a", 1, "input", 9, 0, None, "E")], names))
+    found = rollup.distinct_deps(items)
+    assert plan_of(found).count("Exchange hashpartitioning") == 2
+    kept = rows(found, *items.columns)
+    assert {(r[0], r[1]) for r in kept} == {(app, dep) for app in ("a", "b") for dep in (0, 1, 2, 3, 6)}
+    assert set(kept) <= set(data)
+    monkeypatch.setattr(rollup, "LIST_SIZE", 2)
+    assert rows(rollup.distinct_deps(items), *items.columns) == kept
+    monkeypatch.setattr(rollup, "LIST_SIZE", 0)
+    assert rows(rollup.distinct_deps(items), *items.columns) == kept
+
+
+def test_visible_items_take_one_shuffle(spark, rows):
+    def node(execution, node_id, parent, kind, relation=None, **options):
+        return ("app", execution, node_id, parent, kind, relation, None, options, None, relation == "Hive", None, None)
+
+    kafka = {"kafka.bootstrap.servers": "k:9092", "subscribe": "t"}
+    nodes = spark.createDataFrame(
+        [
+            node(1, 0, None, extract.WRITE_NODE), node(1, 1, 0, extract.RELATION_NODE, "KafkaRelation", **kafka),
+            node(2, 0, None, extract.WRITE_NODE), node(2, 1, 0, extract.RELATION_NODE, "KafkaRelation", **kafka),
+            node(2, 2, 0, extract.RELATION_NODE, "Hive"),
+            node(3, 0, None, "Project"), node(3, 1, 0, extract.RELATION_NODE, "KafkaRelation", **kafka),
+            node(4, 0, None, extract.RELATION_NODE, "KafkaRelation", **kafka),
+            # two roots show the nodes below them twice
+            node(5, 0, None, extract.WRITE_NODE), node(5, 0, None, extract.WRITE_NODE),
+            node(5, 1, 0, extract.RELATION_NODE, "KafkaRelation", **kafka),
+            node(None, 0, None, extract.WRITE_NODE), node(None, 1, 0, extract.RELATION_NODE, "KafkaRelation", **kafka),
+        ],
+        "app_id string, execution_id bigint, node_id bigint, parent_id bigint, node_kind string, relation_kind string, "
+        "provider string, options map<string,string>, root_paths array<string>, has_catalog_table boolean, "
+        "s3a_endpoint string, s3n_endpoint string",
+    )
+    seen = extract.write_inputs(nodes, root_only=True)
+    assert plan_of(seen).count("Exchange") == 1
+    shown = [(1, 1, None), (2, 1, None), (2, 2, "UNSUPPORTED_RELATION"), (4, 0, None), (5, 1, None), (5, 1, None)]
+    assert sorted(rows(seen, "dep_id", "node_id", "error"), key=lambda r: r[:2]) == shown
+    compat = extract.plan_items(nodes, compat=True)
+    assert plan_of(compat).count("Exchange") == 1
+    inputs = sorted(rows(compat.where("direction = 'input'"), "dep_id", "node_id", "error"), key=lambda r: r[:2])
+    assert inputs == [r for r in shown if r != (2, 1, None)]
+    assert compat.where("direction = 'output'").count() == 5
+
+
+def test_graphs_are_worked_out_once(spark, rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    def once(data, schema):
+        return spark.createDataFrame(data, schema).mapInArrow(counted, schema)
+
+    nodes = once(
+        [("a", 1, 1, "HadoopRDD", "/x", ["/x"]), ("a", 1, 2, "MapPartitionsRDD", "/x", None)],
+        "app_id string, job_id bigint, rdd_id bigint, rdd_class string, rdd_name string, input_paths array<string>",
+    )
+    edges = once([("a", 1, 2, 1, 0)], "app_id string, job_id bigint, rdd_id bigint, dep_rdd_id bigint, dep_pos int")
+    found = rows(rddgraph.lineage_names(nodes, edges), "rdd_id", "name")
+    assert found == [(1, "hadoop"), (2, "map_partitions_hadoop")]
+    assert read.value == 3
+    roots = once([("a", 1, 2)], "app_id string, job_id bigint, rdd_id bigint")
+    assert rows(rddgraph.ancestors(edges, roots), "rdd_id") == [(1,), (2,)]
+    assert read.value == 5
