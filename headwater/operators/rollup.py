@@ -19,6 +19,8 @@ from headwater.session import cut_lineage
 from headwater.skew import number_rows
 
 DEP = ["app_id", "dep_id"]
+# The largest edge set whose lists are compared as a whole.
+LIST_SIZE = 10_000
 
 
 def merge_deps(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -51,7 +53,40 @@ def dep_fingerprints(numbered: DataFrame, seed: int = 0) -> DataFrame:
 def distinct_deps(items: DataFrame) -> DataFrame:
     """Items of one edge set (the one with the lowest id) of each group of equal ones.
 
-    Equal means the same input list and the same output list in one application. Fingerprints only propose what
+    Equal means the same input list and the same output list in one application. The lists of an edge set are compared as
+    a whole, so its items are shuffled once to become lists, and once with the lists. Edge sets of more than
+    LIST_SIZE items go through :func:`_distinct_large`, with the same result: equal ones have equal sizes.
+    ``items`` should be stored, since it is read several times.
+    """
+    named = items.where(F.col("name").isNotNull() & F.col("app_id").isNotNull() & F.col("dep_id").isNotNull())
+    sizes = named.groupBy(*DEP).agg(F.count(F.lit(1)).alias("size"))
+    large = cut_lineage(sizes.where(F.col("size") > LIST_SIZE).select(*DEP))
+    if large.isEmpty():
+        return _distinct_small(named)
+    small = _distinct_small(named.join(large, DEP, "left_anti"))
+    return small.unionByName(_distinct_large(cut_lineage(named.join(large, DEP, "left_semi"))))
+
+
+def _distinct_small(named: DataFrame) -> DataFrame:
+    listed = ["direction", "name"]
+    rest = [c for c in named.columns if c not in (*DEP, *listed)]
+    order = ["direction", "node_id", "item", "name"]
+    row = F.struct(*order, *[c for c in rest if c not in order])
+    sets = named.groupBy(*DEP).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+
+    def fields(names: Sequence[str]) -> Column:
+        return F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in names]))
+
+    lists = sets.select(*DEP, fields(listed).alias("list"), fields(rest).alias("rest"))
+    # the hash spares comparisons of unequal lists
+    equal = lists.groupBy("app_id", F.xxhash64("list").alias("bits"), "list")
+    kept = equal.agg(F.min("dep_id").alias("dep_id"), F.min_by("rest", "dep_id").alias("rest"))
+    found = kept.select(*DEP, F.explode(F.arrays_zip("list", "rest")).alias("r"))
+    return found.select(*[f"r.list.{c}" if c in listed else f"r.rest.{c}" if c in rest else c for c in named.columns])
+
+
+def _distinct_large(items: DataFrame) -> DataFrame:
+    """The same for edge sets of any size, whose lists are never collected. Fingerprints only propose what
     is equal: a group of several has to have one name at each position. Where it has not, its members are compared with its first,
     and those that differ are grouped again by another hash, until none is left, so no edge set is lost to a collision.
     ``items`` should be stored, since it is read several times.
