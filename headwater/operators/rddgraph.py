@@ -92,6 +92,8 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     The graph of a job goes to one task, which walks it once; one with more than GRAPH_SIZE edges goes through
     :func:`_ancestors_by_doubling`, with the same result.
     """
+    # stored, since they are read twice
+    edges, roots = cut_lineage(edges.select(*NODE, "dep_rdd_id")), cut_lineage(roots.select(*NODE))
     jobs = roots.select(*JOB).distinct()
     wanted = edges.select(*NODE, "dep_rdd_id").where(F.col("dep_rdd_id").isNotNull()).join(jobs, JOB, "left_semi")
     large, some_are_large = _large(edges.groupBy(*JOB).agg(F.count(F.lit(1)).alias("size")))
@@ -283,6 +285,9 @@ def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     The graph of a job goes to one task, which walks it once; one with more than GRAPH_SIZE RDDs and edges goes
     through :func:`_names_by_rounds`, with the same result.
     """
+    # stored, since they are read several times
+    rdd_nodes = cut_lineage(rdd_nodes.select(*NODE, "rdd_class", "rdd_name", "input_paths"))
+    edges = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos"))
     present = rdd_nodes.select("app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id")).distinct()
     kept = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos").join(present, DEPENDENCY, "left_semi"))
     counts = kept.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_deps"))

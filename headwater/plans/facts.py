@@ -279,7 +279,7 @@ def rdd_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     At most seven per order, whatever the number of line items.
     """
     before = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    lines = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")).distinct()
     return lines.select(
         "l_orderkey",
         "l_linenumber",
@@ -302,7 +302,8 @@ def rdd_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rdd_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last step of each order is the final RDD of its job."""
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_linenumber").alias("last")).select(
+    lines = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    return lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("last")).select(
         F.concat(F.lit("app-"), F.expr("l_orderkey div 10")).alias("app_id"),
         F.col("l_orderkey").alias("job_id"),
         F.col("last").cast("bigint").alias("rdd_id"),

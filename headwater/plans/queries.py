@@ -790,7 +790,8 @@ def _write_log(spark: SparkSession, sf_dir: str, plans: bool = False) -> str:
     With ``plans`` there are starts of SQL executions with a scan, and some lines are cut off.
     """
     path = work_path(spark, "eventlog")
-    rows = facts.table(spark, sf_dir, "orders").select(
+    orders = facts.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    rows = facts.dealt(orders).select(
         F.regexp_replace("o_orderpriority", "[^A-Z0-9]", "-").alias("app"),
         "o_orderkey",
         "o_custkey",
