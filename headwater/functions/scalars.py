@@ -85,7 +85,8 @@ def lower_keys(options: Column) -> Column:
         plain = F.map_from_arrays(keys, values)
         return F.when(F.size(unique) == F.size(keys), plain).otherwise(F.map_from_arrays(unique, firsts))
 
-    return let(lowered, first_wins)
+    text = F.array_join(F.map_keys(options), " ")
+    return F.when(F.lower(text) == text, options).otherwise(let(lowered, first_wins))
 
 
 def csv_items(text: Column, compat: bool = False) -> Column:

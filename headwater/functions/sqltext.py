@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -176,9 +177,13 @@ def _tables_of(sql: str) -> list[str]:
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
 def _tables_of_texts(texts: pa.Array) -> pa.Array:
-    """The tables of each text of a batch. NULL texts have none."""
-    found = [None if sql is None else _tables_of(sql) for sql in texts.to_pylist()]
-    return pa.array(found, pa.list_(pa.string()))
+    """The tables of each text of a batch. NULL texts have none, and cost no loop."""
+    given = texts.is_valid()
+    found = pa.array([_tables_of(sql) for sql in texts.drop_null().to_pylist()], pa.list_(pa.string()))
+    if not texts.null_count:
+        return found
+    place = np.cumsum(given.to_numpy(zero_copy_only=False)) - 1
+    return found.take(pa.array(place, mask=~given.to_numpy(zero_copy_only=False)))
 
 
 def sql_tables(sql: Column, compat: bool = False) -> Column:
@@ -198,6 +203,15 @@ def sql_tables(sql: Column, compat: bool = False) -> Column:
     return let(_clean(sql), tables)
 
 
+def _unwrapped(query: Column) -> Column:
+    """What stands between the first parenthesis and the last, if the text begins with one and none is open behind the last."""
+    text = F.ltrim(query, F.lit(" \t\n\x0b\f\r"))
+    rest = F.substring_index(text, ")", -1)
+    wrapped = text.startswith("(") & text.contains(")") & ~rest.contains("(")
+    inner = F.substr(text, F.lit(2), F.length(text) - F.length(rest) - F.lit(2))
+    return F.when(wrapped, inner).otherwise(query)
+
+
 def jdbc_tables(table_or_query: Column, compat: bool = False) -> Column:
     """Tables of a JDBC ``dbtable`` value: a table, ``(query) alias``, or a query.
 
@@ -209,6 +223,7 @@ def jdbc_tables(table_or_query: Column, compat: bool = False) -> Column:
         inner = F.regexp_extract(table_or_query, r"^[^()]*\(([^)]*)\)", 1)
         is_query = inner.rlike(r"(?i)^\s*(select|with)\b")
         return F.coalesce(F.when(is_query, sql_tables(inner, compat=True)), none)
-    query = F.regexp_replace(table_or_query, r"^\s*\(([\s\S]*)\)[^()]*$", "$1")
     single = F.array(_strip_quotes(F.trim(table_or_query)))
-    return F.coalesce(F.when(table_or_query.rlike(PLAIN_TABLE), single).otherwise(sql_tables(query)), none)
+    is_table = table_or_query.rlike(PLAIN_TABLE)
+    query = F.when(~is_table, _unwrapped(table_or_query))
+    return F.coalesce(F.when(is_table, single).otherwise(sql_tables(query)), none)

@@ -167,12 +167,28 @@ def register_rule(
     return [*rules, Rule(name, predicate, items, priority)]
 
 
+def _may_name_s3() -> Column:
+    """Nodes of which a built-in rule names paths: file relations, and writes to a path."""
+    is_file = (F.col("node_kind") == RELATION_NODE) & (F.col("relation_kind") == FILE_RELATION)
+    is_delta = (F.col("node_kind") == WRITE_NODE) & F.col("provider").contains(DELTA_PROVIDER)
+    return F.coalesce(is_file, F.lit(False)) | F.coalesce(is_delta, F.lit(False))
+
+
 def prepare_nodes(
-    plan_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, hot: Sequence[Row] | None = None
+    plan_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, hot: Sequence[Row] | None = None, paths_only: bool = False
 ) -> DataFrame:
-    """Plan nodes with lower-case option keys and the S3 endpoints of their application."""
+    """Plan nodes with lower-case option keys and the S3 endpoints of their application.
+
+    ``paths_only`` looks endpoints up for the nodes alone whose paths the built-in rules name; others have none, and aren't
+    shuffled. It reads ``plan_nodes`` twice.
+    """
     lowered = plan_nodes.withColumn("options", lower_keys(F.col("options")))
-    return with_endpoints(lowered, conf, ["execution_id", "node_id"], keys, hot)
+    spread = ["execution_id", "node_id"]
+    if not paths_only:
+        return with_endpoints(lowered, conf, spread, keys, hot)
+    named, none = with_endpoints(lowered.where(_may_name_s3()), conf, spread, keys, hot), F.lit(None).cast("string")
+    others = lowered.where(~_may_name_s3()).withColumns({"s3a_endpoint": none, "s3n_endpoint": none})
+    return others.unionByName(named)
 
 
 def _first_match(rules: Sequence[Rule]) -> Column:
@@ -234,7 +250,8 @@ def _entries(**items: Column) -> Column:
             ),
         )
 
-    every = F.concat(*[tagged(direction, column) for direction, column in items.items()])
+    lists = [tagged(direction, column) for direction, column in items.items()]
+    every = F.concat(*lists) if len(lists) > 1 else lists[0]
     return F.filter(every, lambda e: e["name"].isNotNull() | e["error"].isNotNull())
 
 
@@ -367,8 +384,10 @@ def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bo
     """
     if not compat:
         rules = rules or default_rules()
-        inputs = F.when(F.col("node_kind") != WRITE_NODE, _input_items(rules)).otherwise(_no_items())
-        return _explode(nodes.where(_accepted(rules)), input=inputs, output=_output_items())
+        # a node has either, so only the one it has is made
+        outputs = F.when(F.col("parent_id").isNull(), _entries(output=_output_items()))
+        entries = F.when(F.col("node_kind") == WRITE_NODE, outputs).otherwise(_entries(input=_input_items(rules)))
+        return _item_rows(nodes.where(_accepted(rules)), entries)
     inputs = _visible_items(nodes, rules or default_rules(compat=True), lossy=True)
     return inputs.unionByName(write_outputs(nodes, compat=True))
 

@@ -32,6 +32,16 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The same by a hash of the columns, without the sort that dealing in turn needs; rows equal in all columns meet."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *rows.columns)
+
+
+def _given(options: str) -> str:
+    """The options that are given, of a map whose texts are never blank: only maps with a NULL are filtered."""
+    return f"if(array_contains(map_values({options}), '') is null, map_filter({options}, (k, v) -> v is not null), {options})"
+
+
 def conf_map(customers: DataFrame) -> DataFrame:
     """``app_id, app_name, c_acctbal, conf`` per customer."""
     return customers.select(
@@ -144,7 +154,7 @@ def _plan(rows: DataFrame, **columns: str) -> DataFrame:
 def plan_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The root of the plan of each order: writes of four kinds, or a plain query."""
     return _plan(
-        dealt(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")),
+        spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")),
         app_id="concat('app-', o_orderkey div 10)",
         execution_id="o_orderkey",
         node_id="0",
@@ -157,7 +167,7 @@ def plan_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
             when '2-HIGH' then 'org.apache.spark.sql.kafka010.KafkaSourceProvider'
             when '3-MEDIUM' then 'net.snowflake.spark.snowflake.DefaultSource'
             when '4-NOT SPECIFIED' then 'org.apache.spark.sql.execution.datasources.jdbc.JdbcRelationProvider' end""",
-        options="""map_filter(case o_orderpriority
+        options=_given("""case o_orderpriority
             when '1-URGENT' then map('path', case o_orderstatus
                 when 'O' then if(o_custkey % 2 = 0, concat('s3a://lake-', o_custkey % 3, '/orders/', o_orderkey % 4), 'hdfs://nn:8020/x')
                 when 'F' then 's3a://lake//bad' end)
@@ -172,7 +182,7 @@ def plan_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
                     when 2 then 'jdbc:sqlserver://ms:1433;databaseName=shop' end,
                 'dbtable', if(o_orderstatus = 'F', 'audit.orders', concat('orders_', o_orderstatus)))
             else map('kafka.bootstrap.servers', 'broker-low:9092', 'subscribe', if(o_orderstatus = 'P', 'low', null))
-            end, (k, v) -> v is not null)""",
+            end"""),
         root_paths="""if(o_orderpriority = '5-LOW' and o_orderstatus = 'F',
             array(concat('s3a://low-', o_custkey % 3, '/x'), 's3n://low/y'), null)""",
         has_catalog_table="false",
@@ -181,11 +191,13 @@ def plan_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nodes below the root: relations of five kinds, and filters."""
+    # generated, so that a test of the kind, of which a filter of nodes has many, doesn't join the texts again
+    kind = F.explode(F.array(F.concat("l_returnflag", "l_linestatus")))
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.concat("l_returnflag", "l_linestatus").alias("kind")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", kind.alias("kind")
     )
     return _plan(
-        dealt(lines),
+        spread(lines),
         app_id="concat('app-', l_orderkey div 10)",
         execution_id="l_orderkey",
         node_id="8 * l_partkey + l_linenumber",
@@ -195,7 +207,7 @@ def plan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
             when 'NF' then 'KafkaRelation' when 'NO' then 'SnowflakeRelation' when 'RO' then 'JDBCRelation'
             else if(l_linenumber >= 6, 'HiveTableRelation', null) end""",
         provider="null",
-        options="""map_filter(case kind
+        options=_given("""case kind
             when 'AO' then map('url', case l_suppkey % 3
                     when 0 then concat('jdbc:mysql://src-', l_suppkey % 4, ':3306/wh')
                     when 1 then concat('jdbc:postgresql://src-', l_suppkey % 4, '/wh')
@@ -207,7 +219,7 @@ def plan_children(spark: SparkSession, sf_dir: str) -> DataFrame:
             when 'NO' then map('sfURL', concat('acct', l_suppkey % 5, '.eu.example.com'), 'sfDatabase', 'DB', 'sfSchema', 'PUBLIC',
                 'query', if(l_linenumber > 1, concat('select A from WH_', l_partkey % 6, ' join LOC_', l_suppkey % 6, ' on 1 = 1'), null),
                 'dbtable', if(l_linenumber = 1, concat('DIRECT_', l_partkey % 3), null))
-            else cast(map() as map<string, string>) end, (k, v) -> v is not null)""",
+            else cast(map() as map<string, string>) end"""),
         root_paths="""if(kind = 'AF', array(concat('s3a://parts-', l_partkey % 5, '/', l_suppkey % 7, '/data'),
             concat('hdfs://nn:8020/p/', l_partkey), concat('s3n://old-', l_suppkey % 3)), null)""",
         has_catalog_table="kind = 'RF' and l_linenumber >= 6",
@@ -279,7 +291,8 @@ def rdd_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     At most seven per order, whatever the number of line items.
     """
     before = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
-    lines = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")).distinct()
+    # combined before the shuffle, so they aren't dealt out first
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
     return lines.select(
         "l_orderkey",
         "l_linenumber",
@@ -302,7 +315,7 @@ def rdd_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rdd_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last step of each order is the final RDD of its job."""
-    lines = dealt(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
     return lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("last")).select(
         F.concat(F.lit("app-"), F.expr("l_orderkey div 10")).alias("app_id"),
         F.col("l_orderkey").alias("job_id"),

@@ -40,7 +40,7 @@ def _iso(ts: Column) -> Column:
 
 
 def _nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.prepare_nodes(facts.plan_nodes(spark, sf_dir), facts.conf(spark, sf_dir))
+    return extract.prepare_nodes(facts.plan_nodes(spark, sf_dir), facts.conf(spark, sf_dir), paths_only=True)
 
 
 # --- Rollups ------------------------------------------------------------------

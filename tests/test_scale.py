@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from headwater.functions import sqltext
 from headwater.functions.names import s3_name
 from headwater.operators import extract, rddgraph, rollup
+from headwater.plans import facts
 from headwater.session import cut_lineage
 
 
@@ -110,3 +112,65 @@ def test_graphs_are_worked_out_once(spark, rows):
     roots = once([("a", 1, 2)], "app_id string, job_id bigint, rdd_id bigint")
     assert rows(rddgraph.ancestors(edges, roots), "rdd_id") == [(1,), (2,)]
     assert read.value == 5
+
+
+NODES = (
+    "app_id string, execution_id bigint, node_id bigint, parent_id bigint, node_kind string, relation_kind string, "
+    "provider string, options map<string,string>, root_paths array<string>, has_catalog_table boolean"
+)
+
+
+def test_only_nodes_with_paths_meet_the_configuration(spark, rows):
+    delta = f"x.{extract.DELTA_PROVIDER}"
+    nodes = spark.createDataFrame(
+        [
+            ("app", 1, 0, None, extract.WRITE_NODE, None, delta, {"Path": "s3a://b/k"}, None, False),
+            ("app", 1, 1, 0, extract.RELATION_NODE, extract.FILE_RELATION, None, {}, ["s3n://c/x", "hdfs://nn/y"], None),
+            ("app", 1, 2, 0, extract.RELATION_NODE, extract.JDBC_RELATION, None, {"URL": "jdbc:mysql://h/d", "dbtable": "t"}, None, None),
+            (None, None, 3, None, None, None, None, None, None, None),
+            ("other", 2, 0, None, extract.RELATION_NODE, extract.FILE_RELATION, None, None, ["s3a://d"], None),
+        ],
+        NODES,
+    )
+    keys = extract.KEYS
+    conf = spark.createDataFrame([("app", keys.s3a_endpoint, "http://a:1"), ("app", keys.s3n_endpoint, "n")], "app_id string, key string, value string")
+    few = extract.prepare_nodes(nodes, conf, paths_only=True)
+    ends = {r.node_id: (r.s3a_endpoint, r.s3n_endpoint) for r in few.where("app_id = 'app' or app_id is null").collect()}
+    assert ends == {0: ("http://a:1", "n"), 1: ("http://a:1", "n"), 2: (None, None), 3: (None, None)}
+    assert few.count() == 5
+    for compat in (False, True):
+        items = extract.plan_items(few, compat=compat)
+        assert rows(items) == rows(extract.plan_items(extract.prepare_nodes(nodes, conf), compat=compat))
+
+
+def test_plan_nodes_are_spread_without_a_sort(spark, tmp_path):
+    tables = {
+        "orders": ([(1, 7, "O", "1-URGENT"), (2, None, "P", "5-LOW")], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string"),
+        "lineitem": (
+            [(1, 3, 2, 1, "A", "F"), (1, 3, None, 2, "N", "F"), (2, 4, 5, 1, None, "O"), (2, 4, 5, 7, "N", "F")],
+            "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string, l_linestatus string",
+        ),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    nodes = facts.plan_nodes(spark, str(tmp_path))
+    for found in (nodes, facts.rdd_steps(spark, str(tmp_path)), facts.rdd_roots(spark, str(tmp_path))):
+        assert "RoundRobinPartitioning" not in plan_of(found)
+    options = {(r.execution_id, r.node_id): r.options for r in nodes.collect()}
+    assert options[(1, 26)] == {}
+    assert options[(2, 39)] == {"Kafka.Bootstrap.Servers": "in-2:9092"} and options[(2, 33)] == {}
+    assert options[(2, 0)] == {"kafka.bootstrap.servers": "broker-low:9092", "subscribe": "low"}
+
+
+def test_wrapped_queries_lose_their_parentheses(spark, rows):
+    texts = ["(select 1 from a) q", " \n(x (y) z) q\n", "()", "(", ")", ")(", "(a) (b) c", "(a) b (", "x (a)", "", None, "(é(ü)) ß"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = F.regexp_replace("t", r"^\s*\(([\s\S]*)\)[^()]*$", "$1")
+    different = frame.where(~sqltext._unwrapped(F.col("t")).eqNullSafe(by_pattern))
+    assert rows(different) == []
+
+
+def test_null_texts_of_a_batch_cost_no_loop(spark, rows):
+    frame = spark.createDataFrame([(1, None), (2, "select * from a join b"), (3, None), (4, "select 1")], "k int, t string")
+    found = frame.coalesce(1).select("k", sqltext.sql_tables(F.col("t")).alias("tables"))
+    assert rows(found) == [(1, None), (2, ["a", "b"]), (3, None), (4, [])]
