@@ -99,8 +99,19 @@ _NO_LIST, _WANTS_NAME, _WANTS_BODY, _HAS_BODY = range(4)
 def _tokens(sql: str) -> Iterator[tuple[int, str]]:
     """The kinds of the tokens of a text and their names, without comments and literals."""
     for match in _TOKEN.finditer(sql):
-        token = match.group()
-        if token[0] in "-/'$" and _SILENT.match(token):
+        token = match[0]
+        first = token[0]
+        # most tokens are words or single marks, which need no further pattern
+        if first.isalnum() or first == "_":
+            kind = _WORDS.get(token.lower(), _NAME)
+            if kind == _NAME and "." in token:
+                token = _DOT.sub(".", token).translate(_QUOTES)
+            yield kind, token
+            continue
+        if len(token) == 1 and first != "$":
+            yield _WORDS.get(token, _OTHER), token
+            continue
+        if first in "-/'$" and _SILENT.match(token):
             continue
         kind = _WORDS.get(token.lower())
         if kind is None:
