@@ -21,6 +21,8 @@ from headwater.skew import number_rows
 DEP = ["app_id", "dep_id"]
 # The largest edge set whose lists are compared as a whole.
 LIST_SIZE = 10_000
+# The items whose lists one task makes, on average at most.
+TASK_ITEMS = 1_000_000
 
 
 def merge_deps(items: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -61,25 +63,32 @@ def distinct_deps(items: DataFrame) -> DataFrame:
     named = items.where(F.col("name").isNotNull() & F.col("app_id").isNotNull() & F.col("dep_id").isNotNull())
     sizes = named.groupBy(*DEP).agg(F.count(F.lit(1)).alias("size"))
     large = cut_lineage(sizes.where(F.col("size") > LIST_SIZE).select(*DEP))
+    tasks = -(-items.count() // TASK_ITEMS)
     if large.isEmpty():
-        return _distinct_small(named)
-    small = _distinct_small(named.join(large, DEP, "left_anti"))
+        return _distinct_small(named, tasks)
+    small = _distinct_small(named.join(large, DEP, "left_anti"), tasks)
     return small.unionByName(_distinct_large(cut_lineage(named.join(large, DEP, "left_semi"))))
 
 
-def _distinct_small(named: DataFrame) -> DataFrame:
+def _distinct_small(named: DataFrame, tasks: int) -> DataFrame:
+    # more tasks than shuffles have by default, where the items of one would be too many
+    def over_tasks(rows: DataFrame, *keys: str) -> DataFrame:
+        most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return rows.repartition(tasks, *keys) if tasks > most else rows
+
     listed = ["direction", "name"]
     rest = [c for c in named.columns if c not in (*DEP, *listed)]
     order = ["direction", "node_id", "item", "name"]
     row = F.struct(*order, *[c for c in rest if c not in order])
-    sets = named.groupBy(*DEP).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    sets = over_tasks(named, *DEP).groupBy(*DEP).agg(F.sort_array(F.collect_list(row)).alias("rows"))
 
     def fields(names: Sequence[str]) -> Column:
         return F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in names]))
 
     lists = sets.select(*DEP, fields(listed).alias("list"), fields(rest).alias("rest"))
     # the hash spares comparisons of unequal lists
-    equal = lists.groupBy("app_id", F.xxhash64("list").alias("bits"), "list")
+    hashed = over_tasks(lists.withColumn("bits", F.xxhash64("list")), "app_id", "bits")
+    equal = hashed.groupBy("app_id", "bits", "list")
     kept = equal.agg(F.min("dep_id").alias("dep_id"), F.min_by("rest", "dep_id").alias("rest"))
     found = kept.select(*DEP, F.explode(F.arrays_zip("list", "rest")).alias("r"))
     return found.select(*[f"r.list.{c}" if c in listed else f"r.rest.{c}" if c in rest else c for c in named.columns])

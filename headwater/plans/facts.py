@@ -42,6 +42,23 @@ def _given(options: str) -> str:
     return f"if(array_contains(map_values({options}), '') is null, map_filter({options}, (k, v) -> v is not null), {options})"
 
 
+# The settings of an application, NULL where one is not set.
+CONF = """'spark.lineage.host.key',
+        if(c_nationkey % 5 <> 0, concat('cluster-', c_nationkey % 5), null),
+    'spark.lineage.enabled',
+        case c_mktsegment when 'AUTOMOBILE' then 'false' when 'BUILDING' then 'TRUE'
+            when 'FURNITURE' then 'yes' when 'MACHINERY' then 'true' end,
+    'spark.lineage.host.url',
+        case c_nationkey % 4 when 0 then 'http://localhost:8080'
+            when 1 then 'ftp://files.example.com' when 2 then 'https://catalog.example.com/api' end,
+    'spark.hadoop.fs.s3a.endpoint',
+        case c_nationkey % 6 when 1 then 'http://minio:9000' when 2 then 's3.eu-west-1.amazonaws.com'
+            when 3 then 'https://s3.us-east-1.amazonaws.com' when 4 then 'minio:9000'
+            when 5 then 'http://bad host' end,
+    'spark.hadoop.fs.s3n.endpoint',
+        if(c_nationkey % 2 = 1, 'http://s3n.example.net', null)"""
+
+
 def conf_map(customers: DataFrame) -> DataFrame:
     """``app_id, app_name, c_acctbal, conf`` per customer."""
     return customers.select(
@@ -49,29 +66,17 @@ def conf_map(customers: DataFrame) -> DataFrame:
         F.col("c_name").alias("app_name"),
         "c_acctbal",
         F.expr(
-            """map_filter(map(
-                'spark.lineage.host.key',
-                    if(c_nationkey % 5 <> 0, concat('cluster-', c_nationkey % 5), null),
-                'spark.lineage.enabled',
-                    case c_mktsegment when 'AUTOMOBILE' then 'false' when 'BUILDING' then 'TRUE'
-                        when 'FURNITURE' then 'yes' when 'MACHINERY' then 'true' end,
-                'spark.lineage.host.url',
-                    case c_nationkey % 4 when 0 then 'http://localhost:8080'
-                        when 1 then 'ftp://files.example.com' when 2 then 'https://catalog.example.com/api' end,
-                'spark.hadoop.fs.s3a.endpoint',
-                    case c_nationkey % 6 when 1 then 'http://minio:9000' when 2 then 's3.eu-west-1.amazonaws.com'
-                        when 3 then 'https://s3.us-east-1.amazonaws.com' when 4 then 'minio:9000'
-                        when 5 then 'http://bad host' end,
-                'spark.hadoop.fs.s3n.endpoint',
-                    if(c_nationkey % 2 = 1, 'http://s3n.example.net', null)
-            ), (k, v) -> v is not null)"""
+            f"map_filter(map({CONF}), (k, v) -> v is not null)"
         ).alias("conf"),
     )
 
 
 def conf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``conf_kv`` of all applications."""
-    return conf_map(table(spark, sf_dir, "customer")).select("app_id", F.explode("conf").alias("key", "value"))
+    every = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("app-"), "c_custkey").alias("app_id"), F.expr(f"stack({CONF.count("'spark.")}, {CONF})").alias("key", "value")
+    )
+    return every.where(F.col("value").isNotNull())
 
 
 def _job_events(orders: DataFrame) -> DataFrame:

@@ -174,3 +174,29 @@ def test_null_texts_of_a_batch_cost_no_loop(spark, rows):
     frame = spark.createDataFrame([(1, None), (2, "select * from a join b"), (3, None), (4, "select 1")], "k int, t string")
     found = frame.coalesce(1).select("k", sqltext.sql_tables(F.col("t")).alias("tables"))
     assert rows(found) == [(1, None), (2, ["a", "b"]), (3, None), (4, [])]
+
+
+def test_more_items_go_to_more_tasks(spark, rows, monkeypatch):
+    items = cut_lineage(
+        spark.createDataFrame(
+            [("a", k, way, 1, 0, f"{way}-{k % 3}") for k in range(9) for way in ("input", "output")] + [("a", None, "input", 1, 0, "x")],
+            "app_id string, dep_id bigint, direction string, node_id bigint, item bigint, name string",
+        )
+    )
+    found = rollup.distinct_deps(items)
+    kept = rows(found)
+    assert [r[1] for r in kept] == [0, 0, 1, 1, 2, 2] and "REPARTITION" not in plan_of(found)
+    monkeypatch.setattr(rollup, "TASK_ITEMS", 2)
+    found = rollup.distinct_deps(items)
+    assert plan_of(found).count("REPARTITION_BY_NUM") == 2
+    assert rows(found) == kept
+
+
+def test_settings_are_rows_without_a_map(spark, rows, tmp_path):
+    customers = [(1, 1, "FURNITURE", "a", 1.0), (2, 10, None, "b", 1.0), (None, None, "BUILDING", "c", 1.0)]
+    frame = spark.createDataFrame(customers, "c_custkey bigint, c_nationkey int, c_mktsegment string, c_name string, c_acctbal double")
+    frame.write.parquet(f"{tmp_path}/customer.parquet")
+    found = facts.conf(spark, str(tmp_path))
+    assert "map_filter" not in plan_of(found)
+    by_map = facts.conf_map(facts.table(spark, str(tmp_path), "customer")).select("app_id", F.explode("conf").alias("key", "value"))
+    assert rows(found) == rows(by_map) and found.count() == 8
