@@ -163,6 +163,36 @@ def s3_name(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
     return F.when(uri.rlike("^s3[an]?://"), named)
 
 
+def is_s3(uri: Column) -> Column:
+    return uri.startswith("s3://") | uri.startswith("s3a://") | uri.startswith("s3n://")
+
+
+def s3_parts(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
+    """What an S3 path is without scheme and needless slashes, and the host of its endpoint; NULL for other paths.
+
+    As a column of its own, from which :func:`s3_of_parts` makes the name that :func:`s3_name` gives, it is worked out once, without
+    a function that Spark interprets.
+    """
+    endpoint = F.when(uri.startswith("s3a://"), s3a_endpoint).when(uri.startswith("s3n://"), s3n_endpoint)
+    rest = F.regexp_extract(uri, r"^s3[an]?://(.*)$", 1)
+    single = F.when(rest.contains("//"), F.regexp_replace(rest, "/+", "/")).otherwise(rest)
+    host = F.when(endpoint.isNotNull(), F.regexp_extract(endpoint, URI_HOST_PORT, 1))
+    return F.when(is_s3(uri), F.struct(single.alias("rest"), host.alias("host")))
+
+
+def s3_of_parts(parts: Column) -> Column:
+    """The S3 name that :func:`s3_parts` are of."""
+    rest, host = parts["rest"], parts["host"]
+    bucket = F.substring_index(rest, "/", 1)
+    behind = F.substr(rest, F.length(bucket) + F.lit(2))
+    key = F.when(behind.endswith("/"), F.left(behind, F.length(behind) - F.lit(1))).otherwise(behind)
+    base = F.when((host == "") | F.coalesce(host, F.lit(AWS_DOMAIN)).contains(AWS_DOMAIN), F.lit("//s3/cloud/aws")).otherwise(
+        F.concat(F.lit("//s3-custom/endpoint/"), part(host))
+    )
+    keys = F.when(key != "", F.concat(F.lit("/keys/"), part(key))).otherwise(F.lit(""))
+    return F.when(bucket != "", F.concat(base, F.lit("/buckets/"), part(bucket), keys))
+
+
 def hdfs_name(ns: Column, path: Column) -> Column:
     """Name of an ``hdfs://site`` path; other schemes give none."""
     site = _extract(ns, "^hdfs://(.+)$")
@@ -171,7 +201,11 @@ def hdfs_name(ns: Column, path: Column) -> Column:
 
 def uri_name(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
     """Name of an input or output path of an RDD job: S3, else HDFS, else none."""
-    ns, path = namespace(uri), uri_path(uri)
+    return name_of_path(namespace(uri), uri_path(uri), s3a_endpoint, s3n_endpoint)
+
+
+def name_of_path(ns: Column, path: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
+    """The same from namespace and path, which are used several times and so should be columns."""
     return F.coalesce(s3_name_rdd(ns, path, s3a_endpoint, s3n_endpoint), hdfs_name(ns, path))
 
 

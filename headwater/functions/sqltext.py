@@ -234,7 +234,19 @@ def jdbc_tables(table_or_query: Column, compat: bool = False) -> Column:
         inner = F.regexp_extract(table_or_query, r"^[^()]*\(([^)]*)\)", 1)
         is_query = inner.rlike(r"(?i)^\s*(select|with)\b")
         return F.coalesce(F.when(is_query, sql_tables(inner, compat=True)), none)
-    single = F.array(_strip_quotes(F.trim(table_or_query)))
-    is_table = table_or_query.rlike(PLAIN_TABLE)
-    query = F.when(~is_table, _unwrapped(table_or_query))
-    return F.coalesce(F.when(is_table, single).otherwise(sql_tables(query)), none)
+    return _jdbc_or_sql(table_or_query, F.lit(True))
+
+
+def _jdbc_or_sql(source: Column, is_jdbc: Column) -> Column:
+    """Tables of JDBC values, and of plain queries where a source isn't one: all of them go through one reader."""
+    is_table = is_jdbc & source.rlike(PLAIN_TABLE)
+    query = F.when(~is_jdbc, source).when(~is_table, _unwrapped(source))
+    found = F.when(is_table, F.array(_strip_quotes(F.trim(source)))).otherwise(sql_tables(query))
+    return F.coalesce(found, F.when(is_jdbc, F.array().cast("array<string>")))
+
+
+def source_tables(source: Column, is_jdbc: Column, compat: bool = False) -> Column:
+    """:func:`jdbc_tables` where a source is one of JDBC, :func:`sql_tables` of the others."""
+    if not compat:
+        return _jdbc_or_sql(source, F.coalesce(is_jdbc, F.lit(False)))
+    return F.when(is_jdbc, jdbc_tables(source, compat)).otherwise(sql_tables(source, compat))

@@ -1,7 +1,7 @@
 """Dataset references of plan nodes.
 
-Every rule is a pair of column expressions: a test on a node, and the items
-(name or error) of the nodes that pass. All rules together are one projection
+Every rule is a test on a node, the raw texts of the nodes that pass, and the item
+(name or error) that each text becomes. All rules together are one pass
 over ``plan_node``; a new connector is a new rule and nothing else.
 
 Input: ``plan_node`` with lower-case option keys and the columns
@@ -13,16 +13,17 @@ error``, with ``dep_id`` the SQL execution. The rows of an execution in the orde
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from headwater.functions import names as N
-from headwater.functions.scalars import UNKNOWN, csv_items, let, lower_keys, opt
-from headwater.functions.sqltext import jdbc_tables, sql_tables
+from headwater.functions.scalars import UNKNOWN, csv_items, lower_keys, opt
+from headwater.functions.sqltext import source_tables
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
 
 # Node, relation and provider names as they appear in plans.
@@ -39,29 +40,36 @@ SNOWFLAKE_PROVIDER = "net.snowflake.spark.snowflake.DefaultSource"
 # Errors that make the compatible mode lose all inputs of the execution.
 FATAL = ("UNSUPPORTED_RELATION", "MISSING_OPTION", "BAD_S3_PATH")
 
-ITEMS = "array<struct<name:string,error:string>>"
+TEXTS = "array<string>"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A node test and the items of nodes that pass it. Lower priority goes first."""
+    """A node test and the items of nodes that pass it. Lower priority goes first.
+
+    ``texts`` are the raw texts of a node (paths, tables, topics), ``name`` makes a name of one of them and of the node's
+    ``prefix``, ``error`` says why there is none. Texts are exploded before they are named, so names are made of plain
+    columns, and not inside arrays, where Spark interprets each function. With ``is_path`` the prefix is a column of the text, too:
+    the parts of its S3 name.
+    """
 
     name: str
     predicate: Column
-    items: Column
+    texts: Column
     priority: int
+    named: Callable[[Column, Column], Column]
+    error: Callable[[Column, Column, Column], Column]
+    prefix: Column | None = None
+    is_path: Callable[[Column], Column] | None = None
 
 
-def _no_items() -> Column:
-    return F.array().cast(ITEMS)
-
+def _no_texts() -> Column:
+    return F.array().cast(TEXTS)
 
-def _item(name: Column, error: Column) -> Column:
-    return F.struct(name.alias("name"), error.alias("error"))
 
-
-def _error_item(code: str) -> Column:
-    return F.array(_item(F.lit(None).cast("string"), F.lit(code))).cast(ITEMS)
+def _unknown() -> Column:
+    """A text that isn't there; its item is an error."""
+    return F.array(F.lit(None).cast("string"))
 
 
 def _options() -> Column:
@@ -73,69 +81,72 @@ def _is_relation(kind: str) -> Column:
     return (F.col("node_kind") == RELATION_NODE) & (F.col("relation_kind") == kind)
 
 
-def _s3_item(uri: Column, compat: bool) -> Column:
-    """The S3 name that all kinds of jobs share, or with ``compat`` the one of plans alone."""
+def _s3_rule(name: str, predicate: Column, texts: Column, priority: int, compat: bool) -> Rule:
+    """S3 names that all kinds of jobs share, or with ``compat`` those of plans alone."""
     endpoints = F.col("s3a_endpoint"), F.col("s3n_endpoint")
     if not compat:
-        bad_path = F.when(uri.rlike(r"^s3[an]?://"), F.lit("BAD_S3_PATH"))
-        return let(N.s3_name(uri, *endpoints), lambda name: _item(name, F.when(name.isNull(), bad_path)))
-    no_host = F.when(uri.rlike("^s3[an]://"), F.lit("BAD_ENDPOINT"))
-    error = F.coalesce(N.s3_sql_error(uri), no_host)
-    return let(N.s3_name_sql(uri, *endpoints), lambda name: _item(name, F.when(name.isNull(), error)))
 
+        def bad_path(found: Column, uri: Column, _: Column) -> Column:
+            return F.when(found.isNull() & N.is_s3(uri), F.lit("BAD_S3_PATH"))
 
-def _jdbc_item(url: Column, database: Column, table: Column, compat: bool) -> Column:
-    return _item(N.jdbc_table(database, table, compat), N.jdbc_error(url, database))
+        return Rule(
+            name, predicate, texts, priority, lambda _, parts: N.s3_of_parts(parts), bad_path, is_path=lambda uri: N.s3_parts(uri, *endpoints)
+        )
 
+    def no_name(found: Column, uri: Column, _: Column) -> Column:
+        no_host = F.when(uri.rlike("^s3[an]://"), F.lit("BAD_ENDPOINT"))
+        return F.when(found.isNull(), F.coalesce(N.s3_sql_error(uri), no_host))
 
-def _snowflake_item(schema: Column, table: Column) -> Column:
-    name = F.concat(schema, F.lit("/tables/"), N.part(table))
-    return let(name, lambda n: _item(n, F.when(n.isNull(), F.lit("MISSING_OPTION"))))
+    return Rule(name, predicate, texts, priority, lambda uri, _: N.s3_name_sql(uri, *endpoints), no_name)
 
 
-def _kafka_item(topic: Column) -> Column:
-    name = N.kafka_name(opt(_options(), "kafka.bootstrap.servers"), topic)
-    return let(name, lambda n: _item(n, F.when(n.isNull(), F.lit("MISSING_OPTION"))))
+def _jdbc_rule(predicate: Column, texts: Column, priority: int, compat: bool) -> Rule:
+    def no_name(_: Column, table: Column, database: Column) -> Column:
+        return F.when(table.isNull(), F.lit("MISSING_OPTION")).when(database.isNull(), F.lit("UNSUPPORTED_DATABASE"))
 
+    database = N.jdbc_database(opt(_options(), "url"))
+    return Rule("jdbc", predicate, texts, priority, lambda table, db: N.jdbc_table(db, table, compat), no_name, database)
 
-def _file_items(compat: bool) -> Column:
-    return F.transform("root_paths", lambda path: _s3_item(path, compat))
 
+def _missing(found: Column, _: Column, __: Column) -> Column:
+    return F.when(found.isNull(), F.lit("MISSING_OPTION"))
 
-def _jdbc_items(compat: bool) -> Column:
-    url = opt(_options(), "url")
-    query = F.concat(F.lit("("), opt(_options(), "query"), F.lit(") q"))
-    source = F.coalesce(opt(_options(), "dbtable"), query)
-    tables = jdbc_tables(F.when(_is_relation(JDBC_RELATION), source), compat)
-    items = let(
-        tables,
-        lambda found: let(
-            N.jdbc_database(url), lambda db: F.transform(found, lambda table: _jdbc_item(url, db, table, compat))
-        ),
-    )
-    return F.when(url.isNull() | source.isNull(), _error_item("MISSING_OPTION")).otherwise(items)
 
+def _snowflake_rule(predicate: Column, texts: Column, priority: int) -> Rule:
+    schema = N.snowflake_schema(_options())
+    return Rule("snowflake", predicate, texts, priority, lambda table, prefix: F.concat(prefix, F.lit("/tables/"), N.part(table)), _missing, schema)
 
-def _kafka_items(compat: bool) -> Column:
-    topics = opt(_options(), "subscribe")
-    return F.when(topics.isNull(), _error_item("MISSING_OPTION")).otherwise(
-        F.transform(csv_items(topics, compat), _kafka_item)
-    )
 
+def _kafka_rule(predicate: Column, texts: Column, priority: int) -> Rule:
+    cluster = opt(_options(), "kafka.bootstrap.servers")
+    return Rule("kafka", predicate, texts, priority, lambda topic, servers: N.kafka_name(servers, topic), _missing, cluster)
 
-def _snowflake_items(compat: bool) -> Column:
+
+def _with_tables(nodes: DataFrame, compat: bool) -> DataFrame:
+    """Nodes with ``source``, the text that names their tables, and the ``tables`` in it.
+
+    One column serves JDBC and Snowflake relations, so that a node goes through the reader of SQL texts once.
+    """
     query = opt(_options(), "query")
-    tables = F.when(query.isNotNull(), sql_tables(F.when(_is_relation(SNOWFLAKE_RELATION), query), compat))
-    if not compat:
-        table = opt(_options(), "dbtable")
-        tables = F.coalesce(tables, F.when(table.isNotNull(), F.array(table)))
-    schema = N.snowflake_schema(_options())
+    wrapped = F.concat(F.lit("("), query, F.lit(") q"))
+    is_jdbc, is_snowflake = _is_relation(JDBC_RELATION), _is_relation(SNOWFLAKE_RELATION)
+    source = F.when(is_jdbc, F.coalesce(opt(_options(), "dbtable"), wrapped)).when(is_snowflake, query)
+    return nodes.withColumn("source", source).withColumn("tables", source_tables(F.col("source"), is_jdbc, compat))
 
-    def items(found: Column) -> Column:
-        named = let(schema, lambda prefix: F.transform(found, lambda table: _snowflake_item(prefix, table)))
-        return F.when(found.isNull(), _error_item("MISSING_OPTION")).otherwise(named)
 
-    return let(tables, items)
+def _jdbc_texts() -> Column:
+    return F.when(opt(_options(), "url").isNull() | F.col("source").isNull(), _unknown()).otherwise(F.col("tables"))
+
+
+def _kafka_texts(compat: bool) -> Column:
+    topics = opt(_options(), "subscribe")
+    return F.when(topics.isNull(), _unknown()).otherwise(csv_items(topics, compat))
+
+
+def _snowflake_texts(compat: bool) -> Column:
+    if compat:
+        return F.coalesce(F.col("tables"), _unknown())
+    return F.coalesce(F.col("tables"), F.array(opt(_options(), "dbtable")))
 
 
 def default_rules(compat: bool = False) -> list[Rule]:
@@ -148,11 +159,11 @@ def default_rules(compat: bool = False) -> list[Rule]:
     kind = F.coalesce("relation_kind", F.lit(""))
     catalog = F.coalesce("has_catalog_table", F.lit(False)) & ~kind.isin(FILE_RELATION, JDBC_RELATION)
     return [
-        Rule("file", is_relation & (kind == FILE_RELATION), _file_items(compat), 10),
-        Rule("jdbc", is_relation & (kind == JDBC_RELATION), _jdbc_items(compat), 10),
-        Rule("catalog", is_relation & catalog, _error_item("UNSUPPORTED_RELATION"), 10),
-        Rule("snowflake", is_relation & (kind == SNOWFLAKE_RELATION), _snowflake_items(compat), 30),
-        Rule("kafka", is_relation & (kind == KAFKA_RELATION), _kafka_items(compat), 40),
+        _s3_rule("file", is_relation & (kind == FILE_RELATION), F.col("root_paths"), 10, compat),
+        _jdbc_rule(is_relation & (kind == JDBC_RELATION), _jdbc_texts(), 10, compat),
+        Rule("catalog", is_relation & catalog, _unknown(), 10, lambda text, _: text, lambda *_: F.lit("UNSUPPORTED_RELATION")),
+        _snowflake_rule(is_relation & (kind == SNOWFLAKE_RELATION), _snowflake_texts(compat), 30),
+        _kafka_rule(is_relation & (kind == KAFKA_RELATION), _kafka_texts(compat), 40),
     ]
 
 
@@ -163,8 +174,8 @@ def register_rule(
     rules: Sequence[Rule], name: str, predicate: Column, names: Column, priority: int = 100
 ) -> list[Rule]:
     """The rules with one more: ``names`` is an array of names; NULL entries count as errors."""
-    items = F.transform(names, lambda n: _item(n, F.when(n.isNull(), F.lit("UNRESOLVED"))))
-    return [*rules, Rule(name, predicate, items, priority)]
+    unresolved = F.lit("UNRESOLVED")
+    return [*rules, Rule(name, predicate, names, priority, lambda text, _: text, lambda found, *_: F.when(found.isNull(), unresolved))]
 
 
 def _may_name_s3() -> Column:
@@ -212,63 +223,90 @@ def classify_root(nodes: DataFrame, rules: Sequence[Rule] | None = None) -> Data
     return classify_node(nodes.where(F.col("parent_id").isNull()), rules)
 
 
-def _input_items(rules: Sequence[Rule]) -> Column:
-    parts = [F.when(r.predicate, r.items).otherwise(_no_items()) for r in sorted(rules, key=lambda r: r.priority)]
-    return F.concat(*parts)
+def _by_priority(rules: Sequence[Rule]) -> list[Rule]:
+    return sorted(rules, key=lambda r: r.priority)
 
 
-def _output_items(compat: bool = False) -> Column:
+def _output_rules(compat: bool = False) -> list[Rule]:
+    """The rules for write commands; a node passes one of them at most."""
     provider = F.coalesce("provider", F.lit(""))
     path, url, table = (opt(_options(), key) for key in ("path", "url", "dbtable"))
-    delta = F.array(_s3_item(path, compat))
-    kafka = F.array(_kafka_item(opt(_options(), "topic", UNKNOWN)))
-    snowflake = F.array(_snowflake_item(N.snowflake_schema(_options()), opt(_options(), "dbtable", UNKNOWN)))
-    jdbc = F.when(url.isNull() | table.isNull(), _error_item("MISSING_OPTION")).otherwise(
-        let(N.jdbc_database(url), lambda db: F.array(_jdbc_item(url, db, table, compat)))
-    )
-    found = (
-        F.when(provider.contains(DELTA_PROVIDER) & path.isNotNull(), delta)
-        .when(provider.contains(KAFKA_PROVIDER), kafka)
-        .when(provider == SNOWFLAKE_PROVIDER, snowflake)
-        .otherwise(jdbc)
-    )
     is_write = F.col("parent_id").isNull() & (F.col("node_kind") == WRITE_NODE)
-    return F.when(is_write, found).otherwise(_no_items())
-
-
-def _entries(**items: Column) -> Column:
-    """The items of the given directions in one array; entries with neither name nor error are no items."""
-
-    def tagged(direction: str, column: Column) -> Column:
-        return F.transform(
-            column,
-            lambda entry, at: F.struct(
-                F.lit(direction).alias("direction"),
-                at.cast("bigint").alias("item"),
-                entry["name"].alias("name"),
-                entry["error"].alias("error"),
-            ),
-        )
-
-    lists = [tagged(direction, column) for direction, column in items.items()]
-    every = F.concat(*lists) if len(lists) > 1 else lists[0]
-    return F.filter(every, lambda e: e["name"].isNotNull() | e["error"].isNotNull())
-
+    kind = (
+        F.when(provider.contains(DELTA_PROVIDER) & path.isNotNull(), F.lit("delta"))
+        .when(provider.contains(KAFKA_PROVIDER), F.lit("kafka"))
+        .when(provider == SNOWFLAKE_PROVIDER, F.lit("snowflake"))
+        .otherwise(F.lit("jdbc"))
+    )
+    target = F.when(url.isNotNull(), table)
+    return [
+        _s3_rule("delta", is_write & (kind == "delta"), F.array(path), WRITE_PRIORITY, compat),
+        _kafka_rule(is_write & (kind == "kafka"), F.array(opt(_options(), "topic", UNKNOWN)), WRITE_PRIORITY),
+        _snowflake_rule(is_write & (kind == "snowflake"), F.array(opt(_options(), "dbtable", UNKNOWN)), WRITE_PRIORITY),
+        _jdbc_rule(is_write & (kind == "jdbc"), F.array(target), WRITE_PRIORITY, compat),
+    ]
 
-def _item_rows(nodes: DataFrame, entries: Column) -> DataFrame:
-    return nodes.select(
-        "app_id", F.col("execution_id").alias("dep_id"), "node_id", F.explode(entries).alias("e")
-    ).select("app_id", "dep_id", "e.direction", "node_id", "e.item", "e.name", "e.error")
 
+def _explode(
+    nodes: DataFrame,
+    inputs: Sequence[Rule] = (),
+    outputs: Sequence[Rule] = (),
+    compat: bool = False,
+    keep: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Item rows of the given directions. The items of a node are numbered in the order of the rules that accept it.
 
-def _explode(nodes: DataFrame, **items: Column) -> DataFrame:
-    """Item rows of the given directions."""
-    return _item_rows(nodes, _entries(**items))
+    With ``keep`` the rows have these columns of their nodes, and each node has a row at least: its first text, or ``item`` NULL.
+    """
+    rules = [*_by_priority(inputs), *outputs]
+    prefixed = [k for k, rule in enumerate(rules) if rule.prefix is not None]
+    ids = ["app_id", F.col("execution_id").alias("dep_id"), "node_id"]
+    kept, keys = keep or {}, ["app_id", "dep_id", "node_id"]
+    # what the names need of a node, the rest of it goes no further
+    texts = _with_tables(nodes, compat).select(
+        *ids,
+        *[column.alias(name) for name, column in kept.items()],
+        *[F.when(rule.predicate, rule.texts).otherwise(_no_texts()).alias(f"texts_{k}") for k, rule in enumerate(rules)],
+        *[F.when(rules[k].predicate, rules[k].prefix).alias(f"prefix_{k}") for k in prefixed],
+        "s3a_endpoint",
+        "s3n_endpoint",
+    )
+    carried = [*keys, *kept, *[f"prefix_{k}" for k in prefixed], "s3a_endpoint", "s3n_endpoint"]
+    every = F.concat(*[F.col(f"texts_{k}") for k in range(len(rules))])
+    first = [reduce(Column.__add__, [F.size(f"texts_{k}") for k in range(end + 1)]).alias(f"end_{end}") for end in range(len(rules) - 1)]
+    ends = [f"end_{k}" for k in range(len(rules) - 1)]
+    generate = F.posexplode if keep is None else F.posexplode_outer
+    # generated from an expression: of a column, Spark would infer a filter, and read the SQL texts for it once more
+    rows = texts.select(*carried, *first, generate(every).alias("item", "text"))
+    rule = reduce(lambda later, k: F.when(F.col("item") < F.col(f"end_{k}"), F.lit(k)).otherwise(later), reversed(range(len(ends))), F.lit(len(ends)))
+    rows = rows.select(*carried, "item", "text", rule.alias("rule"))
+
+    def of_rule(made: Callable[[Rule, int], Column], ks: Sequence[int]) -> Column:
+        return F.coalesce(*[F.when(F.col("rule") == k, made(rules[k], k)) for k in ks])
+
+    paths = [k for k, r in enumerate(rules) if r.is_path is not None]
+    if paths:
+        rows = rows.withColumn("path", F.when(F.col("rule").isin(paths), rules[paths[0]].is_path(F.col("text"))))
+
+    def prefix(k: int) -> Column:
+        return F.col("path") if k in paths else F.col(f"prefix_{k}") if k in prefixed else F.lit(None).cast("string")
+
+    text, every_rule = F.col("text"), range(len(rules))
+    # generated, so that a test of the name doesn't make it again
+    rows = rows.select("*", F.explode(F.array(of_rule(lambda r, k: r.named(text, prefix(k)), every_rule))).alias("name"))
+    rows = rows.withColumn("error", of_rule(lambda r, k: r.error(F.col("name"), text, prefix(k)), every_rule))
+    direction = F.when(F.col("rule") < len(inputs), F.lit("input")).otherwise(F.lit("output"))
+    found = F.col("name").isNotNull() | F.col("error").isNotNull()
+    if keep is not None:
+        found = found | (F.coalesce("item", F.lit(0)) == 0)
+    return rows.where(found).select(
+        "app_id", "dep_id", direction.alias("direction"), "node_id", F.col("item").cast("bigint").alias("item"), "name", "error", *kept
+    )
 
 
 def _one_rule(nodes: DataFrame, rule_name: str, compat: bool = False) -> DataFrame:
     rule = next(r for r in default_rules(compat) if r.name == rule_name)
-    return _explode(nodes.where(rule.predicate), input=rule.items)
+    return _explode(nodes.where(rule.predicate), [rule], compat=compat)
 
 
 def file_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
@@ -292,7 +330,7 @@ def snowflake_inputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def _outputs_of(nodes: DataFrame, provider: Column, compat: bool = False) -> DataFrame:
-    return _explode(nodes.where(provider), output=_output_items(compat))
+    return _explode(nodes.where(provider), outputs=_output_rules(compat), compat=compat)
 
 
 def delta_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
@@ -321,7 +359,7 @@ def jdbc_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     return _outputs_of(nodes, ~F.coalesce(delta | others, F.lit(False)), compat)
 
 
-def _visible_items(nodes: DataFrame, rules: Sequence[Rule], lossy: bool = False) -> DataFrame:
+def _visible_items(nodes: DataFrame, rules: Sequence[Rule], compat: bool = False, lossy: bool = False) -> DataFrame:
     """Input items of the nodes that a test of the root alone would reach: below a write, or a root relation.
 
     Items are made before the only shuffle, which brings the items and the roots of an execution together, so the options of
@@ -329,29 +367,28 @@ def _visible_items(nodes: DataFrame, rules: Sequence[Rule], lossy: bool = False)
     loses the names of its execution.
     """
     is_root = F.col("parent_id").isNull()
-    rule = F.when(is_root, _first_match(rules))
-    entries = _entries(input=_input_items(rules))
+    keep = {"is_root": is_root, "root_rule": F.when(is_root, _first_match(rules))}
     # a node that no rule accepts neither has items nor decides what is seen
     keyed = F.col("app_id").isNotNull() & F.col("execution_id").isNotNull()
-    named = nodes.where(keyed & _accepted(rules)).select(
-        "app_id", "execution_id", "node_id", is_root.alias("is_root"), rule.alias("rule"), entries.alias("entries")
-    )
-    plan = Window.partitionBy("app_id", "execution_id")
+    named = _explode(nodes.where(keyed & _accepted(rules)), rules, compat=compat, keep=keep)
+    plan = Window.partitionBy("app_id", "dep_id")
+    # a node counts by its first row
+    is_node = F.coalesce("item", F.lit(0)) == 0
     counted = named.withColumns(
         {
-            "n_writes": F.count_if(F.col("rule") == "write").over(plan),
-            "n_others": F.count_if(F.col("rule") != "write").over(plan),
+            "n_writes": F.count_if(is_node & (F.col("root_rule") == "write")).over(plan),
+            "n_others": F.count_if(is_node & (F.col("root_rule") != "write")).over(plan),
         }
     )
     times = F.when(F.col("is_root"), F.col("n_others")).otherwise(F.col("n_writes"))
     seen = counted.withColumn("times", times)
-    kept = F.col("entries")
+    is_seen = (F.col("times") > 0) & (F.col("name").isNotNull() | F.col("error").isNotNull())
     if lossy:
-        fatal = (F.col("times") > 0) & F.exists("entries", lambda e: F.coalesce(e["error"].isin(*FATAL), F.lit(False)))
+        fatal = (F.col("times") > 0) & F.coalesce(F.col("error").isin(*FATAL), F.lit(False))
         seen = seen.withColumn("lost", F.max(fatal).over(plan))
-        kept = F.when(F.col("lost"), F.filter(kept, lambda e: e["error"].isNotNull())).otherwise(kept)
-    repeated = F.when(F.col("times") == 1, kept).otherwise(F.flatten(F.array_repeat(kept, F.col("times").cast("int"))))
-    return _item_rows(seen.where("times > 0"), repeated)
+        is_seen = is_seen & (~F.col("lost") | F.col("error").isNotNull())
+    found = seen.where(is_seen).withColumn("time", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))))
+    return found.select("app_id", "dep_id", "direction", "node_id", "item", "name", "error")
 
 
 def write_inputs(
@@ -364,15 +401,15 @@ def write_inputs(
     """
     rules = rules or default_rules(compat)
     if root_only:
-        return _visible_items(nodes, rules)
+        return _visible_items(nodes, rules, compat=compat)
     seen = nodes.where((F.col("node_kind") != WRITE_NODE) & _accepted(rules))
-    return _explode(seen, input=_input_items(rules))
+    return _explode(seen, rules, compat=compat)
 
 
 def write_outputs(nodes: DataFrame, compat: bool = False) -> DataFrame:
     """Output items of the write commands."""
     writes = nodes.where(F.col("parent_id").isNull() & (F.col("node_kind") == WRITE_NODE))
-    return _explode(writes, output=_output_items(compat))
+    return _explode(writes, outputs=_output_rules(compat), compat=compat)
 
 
 def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bool = False) -> DataFrame:
@@ -384,11 +421,11 @@ def plan_items(nodes: DataFrame, rules: Sequence[Rule] | None = None, compat: bo
     """
     if not compat:
         rules = rules or default_rules()
-        # a node has either, so only the one it has is made
-        outputs = F.when(F.col("parent_id").isNull(), _entries(output=_output_items()))
-        entries = F.when(F.col("node_kind") == WRITE_NODE, outputs).otherwise(_entries(input=_input_items(rules)))
-        return _item_rows(nodes.where(_accepted(rules)), entries)
-    inputs = _visible_items(nodes, rules or default_rules(compat=True), lossy=True)
+        # a node has either
+        is_write = F.coalesce(F.col("node_kind") == WRITE_NODE, F.lit(False))
+        inputs = [replace(rule, predicate=~is_write & rule.predicate) for rule in rules]
+        return _explode(nodes.where(_accepted(rules)), inputs, _output_rules())
+    inputs = _visible_items(nodes, rules or default_rules(compat=True), compat=True, lossy=True)
     return inputs.unionByName(write_outputs(nodes, compat=True))
 
 
