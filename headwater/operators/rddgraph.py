@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from headwater.functions.names import hdfs_name, namespace, s3_name, uri_name, uri_path
+from headwater.functions.names import hdfs_name, name_of_path, namespace, s3_of_parts, s3_parts, uri_path
 from headwater.functions.scalars import camel_to_snake
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
 from headwater.session import cut_lineage, delete_path, path_exists, work_path
@@ -50,6 +50,23 @@ def _large(sizes: DataFrame) -> tuple[DataFrame, bool]:
     return large, not large.isEmpty()
 
 
+def _values(column: pa.Array) -> list:
+    """The values of a column, without a detour by single Arrow values where numpy has them."""
+    if pa.types.is_integer(column.type):
+        if not column.null_count:
+            return column.to_numpy().tolist()
+        given = column.is_valid().to_numpy(zero_copy_only=False).tolist()
+        return [value if there else None for value, there in zip(column.fill_null(0).to_numpy().tolist(), given)]
+    if pa.types.is_list(column.type):
+        # the lists that a batch shows may be part of longer ones
+        flat, ends = _values(column.values), column.offsets.to_numpy().tolist()
+        lists = [flat[start:end] for start, end in zip(ends, ends[1:])]
+        if not column.null_count:
+            return lists
+        return [below if there else None for below, there in zip(lists, column.is_valid().to_numpy(zero_copy_only=False).tolist())]
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The RDDs that the roots of whole graphs reach; the rows of a graph come one after another, roots without a dependency."""
     rows: list[tuple] = []
@@ -70,7 +87,7 @@ def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     key, roots, deps = None, set(), {}
     for batch in batches:
-        for app, job, rdd, dep in zip(*(column.to_pylist() for column in batch.columns)):
+        for app, job, rdd, dep in zip(*map(_values, batch.columns)):
             if (app, job) != key:
                 if key is not None:
                     walk(key, roots, deps)
@@ -94,17 +111,15 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """
     # stored, since they are read twice
     edges, roots = cut_lineage(edges.select(*NODE, "dep_rdd_id")), cut_lineage(roots.select(*NODE))
-    jobs = roots.select(*JOB).distinct()
-    wanted = edges.select(*NODE, "dep_rdd_id").where(F.col("dep_rdd_id").isNotNull()).join(jobs, JOB, "left_semi")
+    wanted = edges.where(F.col("app_id").isNotNull() & F.col("job_id").isNotNull() & F.col("dep_rdd_id").isNotNull())
     large, some_are_large = _large(edges.groupBy(*JOB).agg(F.count(F.lit(1)).alias("size")))
-    starts = roots.select(*NODE)
-    rows = wanted.unionByName(starts.withColumn("dep_rdd_id", F.lit(None).cast("bigint")))
+    # a graph without a root goes along, since a walk that starts nowhere costs less than a join that finds those with roots
+    rows = wanted.unionByName(roots.withColumn("dep_rdd_id", F.lit(None).cast("bigint")))
     small = rows.join(large, JOB, "left_anti") if some_are_large else rows
     found = small.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_reached, _NODE_SCHEMA)
     if some_are_large:
-        found = found.unionByName(
-            _ancestors_by_doubling(wanted.join(large, JOB, "left_semi"), starts.join(large, JOB, "left_semi"))
-        )
+        starts = roots.join(large, JOB, "left_semi")
+        found = found.unionByName(_ancestors_by_doubling(wanted.join(starts.select(*JOB).distinct(), JOB, "left_semi"), starts))
     return found
 
 
@@ -145,17 +160,28 @@ def _items(
     paths: DataFrame, direction: str, conf: DataFrame, keys: ConfKeys, compat: bool
 ) -> DataFrame:
     uri, endpoints = F.col("path"), (F.col("s3a_endpoint"), F.col("s3n_endpoint"))
-    # one S3 name for both kinds of jobs, unless the RDD flavour is asked for
-    joint = F.coalesce(s3_name(uri, *endpoints), hdfs_name(namespace(uri), uri_path(uri)))
     located = with_endpoints(paths, conf, ["job_id", "rdd_id", "item"], keys)
+    # what a name uses several times are columns, since Spark would work an expression out each time
+    ns, behind = F.col("ns"), F.col("uri_path")
+    if compat:
+        parts = located.withColumns({"ns": namespace(uri), "uri_path": uri_path(uri)})
+        name = name_of_path(ns, behind, *endpoints)
+    else:
+        # one S3 name for both kinds of jobs, unless the RDD flavour is asked for
+        is_hdfs = uri.startswith("hdfs://")
+        parts = located.withColumns(
+            {"s3": s3_parts(uri, *endpoints), "ns": F.when(is_hdfs, namespace(uri)), "uri_path": F.when(is_hdfs, uri_path(uri))}
+        )
+        name = F.coalesce(s3_of_parts(F.col("s3")), hdfs_name(ns, behind))
     return (
-        located.select(
+        parts.select(
             "app_id",
             F.col("job_id").alias("dep_id"),
             F.lit(direction).alias("direction"),
             F.col("rdd_id").alias("node_id"),
             F.col("item").cast("bigint").alias("item"),
-            (uri_name(uri, *endpoints) if compat else joint).alias("name"),
+            # generated, so that the test of the name doesn't make it again
+            F.explode(F.array(name)).alias("name"),
             F.lit(None).cast("string").alias("error"),
         )
         .where(F.col("name").isNotNull())
@@ -259,7 +285,7 @@ def _solve_graphs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.R
 
     types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
     for batch in batches:
-        for app, job, rdd, name, below in zip(*(column.to_pylist() for column in batch.columns)):
+        for app, job, rdd, name, below in zip(*map(_values, batch.columns)):
             if (app, job) != key:
                 if key is not None:
                     rows.extend((*key, *found) for found in _solve(own, deps, most))

@@ -307,10 +307,10 @@ def rdd_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rdd_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``rdd_edge``: each step depends on the ones two and three before it."""
+def rdd_edges(spark: SparkSession, sf_dir: str, steps: DataFrame | None = None) -> DataFrame:
+    """``rdd_edge``: each step depends on the ones two and three before it. ``steps`` are :func:`rdd_steps`, if they are stored."""
     deps = F.filter(F.array("two", "three"), lambda d: d.isNotNull())
-    return rdd_steps(spark, sf_dir).select(
+    return (rdd_steps(spark, sf_dir) if steps is None else steps).select(
         F.concat(F.lit("app-"), F.expr("l_orderkey div 10")).alias("app_id"),
         F.col("l_orderkey").alias("job_id"),
         F.col("l_linenumber").cast("bigint").alias("rdd_id"),
@@ -318,9 +318,9 @@ def rdd_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select("app_id", "job_id", "rdd_id", F.col("dep").cast("bigint").alias("dep_rdd_id"), "dep_pos")
 
 
-def rdd_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rdd_roots(spark: SparkSession, sf_dir: str, steps: DataFrame | None = None) -> DataFrame:
     """The last step of each order is the final RDD of its job."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem") if steps is None else steps
     return lines.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("last")).select(
         F.concat(F.lit("app-"), F.expr("l_orderkey div 10")).alias("app_id"),
         F.col("l_orderkey").alias("job_id"),
@@ -328,9 +328,9 @@ def rdd_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def rdd_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rdd_nodes(spark: SparkSession, sf_dir: str, steps: DataFrame | None = None) -> DataFrame:
     """``rdd_node``: steps without dependencies scan files; names are absent, copied or own."""
-    steps = rdd_steps(spark, sf_dir).withColumn("path", F.expr(
+    steps = (rdd_steps(spark, sf_dir) if steps is None else steps).withColumn("path", F.expr(
         """concat(element_at(array('s3a://raw-', 's3://raw-', 'hdfs://nn:8020/raw-', 'file:/tmp/raw-', 's3n://raw-'),
                cast(l_orderkey % 5 + 1 as int)), l_orderkey % 7, '/', l_linenumber)"""
     ))

@@ -483,8 +483,13 @@ def run_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- RDD graphs ---------------------------------------------------------------
 
 
-def _closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rddgraph.ancestors(facts.rdd_edges(spark, sf_dir), facts.rdd_roots(spark, sf_dir))
+def _closure(spark: SparkSession, sf_dir: str, steps: DataFrame | None = None) -> DataFrame:
+    return rddgraph.ancestors(facts.rdd_edges(spark, sf_dir, steps), facts.rdd_roots(spark, sf_dir, steps))
+
+
+def _steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The steps of all graphs, stored for queries that read both nodes and edges of them."""
+    return cut_lineage(facts.rdd_steps(spark, sf_dir))
 
 
 @query
@@ -499,16 +504,18 @@ def rdd_input_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def rdd_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes, conf = facts.rdd_nodes(spark, sf_dir), facts.conf(spark, sf_dir)
-    items = rddgraph.rdd_inputs(_closure(spark, sf_dir), nodes, conf)
+    steps = _steps(spark, sf_dir)
+    nodes, conf = facts.rdd_nodes(spark, sf_dir, steps), facts.conf(spark, sf_dir)
+    items = rddgraph.rdd_inputs(_closure(spark, sf_dir, steps), nodes, conf)
     return items.select("app_id", "dep_id", "node_id", "item", "name")
 
 
 @query
 def rdd_inputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input names as RDD jobs alone give them."""
-    nodes, conf = facts.rdd_nodes(spark, sf_dir), facts.conf(spark, sf_dir)
-    items = rddgraph.rdd_inputs(_closure(spark, sf_dir), nodes, conf, compat=True)
+    steps = _steps(spark, sf_dir)
+    nodes, conf = facts.rdd_nodes(spark, sf_dir, steps), facts.conf(spark, sf_dir)
+    items = rddgraph.rdd_inputs(_closure(spark, sf_dir, steps), nodes, conf, compat=True)
     return items.select("app_id", "dep_id", "node_id", "item", "name")
 
 
@@ -527,13 +534,15 @@ def rdd_outputs_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rdd_names_dangling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names where the graph lacks the second step of each job: edges to it count as none."""
-    nodes = facts.rdd_nodes(spark, sf_dir).where("rdd_id <> 2")
-    return rddgraph.lineage_names(nodes, facts.rdd_edges(spark, sf_dir).where("rdd_id <> 2")).drop("n_chars")
+    steps = _steps(spark, sf_dir)
+    nodes = facts.rdd_nodes(spark, sf_dir, steps).where("rdd_id <> 2")
+    return rddgraph.lineage_names(nodes, facts.rdd_edges(spark, sf_dir, steps).where("rdd_id <> 2")).drop("n_chars")
 
 
 @query
 def rdd_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rddgraph.lineage_names(facts.rdd_nodes(spark, sf_dir), facts.rdd_edges(spark, sf_dir)).drop("n_chars")
+    steps = _steps(spark, sf_dir)
+    return rddgraph.lineage_names(facts.rdd_nodes(spark, sf_dir, steps), facts.rdd_edges(spark, sf_dir, steps)).drop("n_chars")
 
 
 # --- Documents ----------------------------------------------------------------
