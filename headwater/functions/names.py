@@ -174,8 +174,7 @@ def s3_parts(uri: Column, s3a_endpoint: Column, s3n_endpoint: Column) -> Column:
     a function that Spark interprets.
     """
     endpoint = F.when(uri.startswith("s3a://"), s3a_endpoint).when(uri.startswith("s3n://"), s3n_endpoint)
-    rest = F.regexp_extract(uri, r"^s3[an]?://(.*)$", 1)
-    single = F.when(rest.contains("//"), F.regexp_replace(rest, "/+", "/")).otherwise(rest)
+    single = F.regexp_replace(F.regexp_extract(uri, r"^s3[an]?://(.*)$", 1), "/{2,}", "/")
     host = F.when(endpoint.isNotNull(), F.regexp_extract(endpoint, URI_HOST_PORT, 1))
     return F.when(is_s3(uri), F.struct(single.alias("rest"), host.alias("host")))
 

@@ -265,7 +265,7 @@ def _jdbc_or_sql(source: Column, is_jdbc: Column) -> Column:
 
 
 def source_tables(source: Column, is_jdbc: Column, compat: bool = False) -> Column:
-    """:func:`jdbc_tables` where a source is one of JDBC, :func:`sql_tables` of the others."""
+    """:func:`jdbc_tables` where a source is one of JDBC, :func:`sql_tables` of the others; NULL for those without a text."""
     if not compat:
         return _jdbc_or_sql(source, F.coalesce(is_jdbc, F.lit(False)))
-    return F.when(is_jdbc, jdbc_tables(source, compat)).otherwise(sql_tables(source, compat))
+    return F.when(is_jdbc, jdbc_tables(source, compat)).when(source.isNotNull(), sql_tables(source, compat))

@@ -279,7 +279,8 @@ def _explode(
     # generated from an expression: of a column, Spark would infer a filter, and read the SQL texts for it once more
     rows = texts.select(*carried, *first, generate(every).alias("item", "text"))
     rule = reduce(lambda later, k: F.when(F.col("item") < F.col(f"end_{k}"), F.lit(k)).otherwise(later), reversed(range(len(ends))), F.lit(len(ends)))
-    rows = rows.select(*carried, "item", "text", rule.alias("rule"))
+    # a node without texts, which is kept to be counted, has no item of any rule
+    rows = rows.select(*carried, "item", "text", F.when(F.col("item").isNotNull(), rule).alias("rule"))
 
     def of_rule(made: Callable[[Rule, int], Column], ks: Sequence[int]) -> Column:
         return F.coalesce(*[F.when(F.col("rule") == k, made(rules[k], k)) for k in ks])

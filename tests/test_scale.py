@@ -1,5 +1,6 @@
 """Plans of steps that have to scale: where rows are dealt out, and what is worked out how often."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +201,92 @@ def test_settings_are_rows_without_a_map(spark, rows, tmp_path):
     assert "map_filter" not in plan_of(found)
     by_map = facts.conf_map(facts.table(spark, str(tmp_path), "customer")).select("app_id", F.explode("conf").alias("key", "value"))
     assert rows(found) == rows(by_map) and found.count() == 8
+
+
+NODES = (
+    "app_id string, execution_id bigint, node_id bigint, parent_id bigint, node_kind string, relation_kind string, "
+    "provider string, options map<string,string>, root_paths array<string>, has_catalog_table boolean, "
+    "s3a_endpoint string, s3n_endpoint string"
+)
+
+
+def test_items_are_named_after_their_texts_are_exploded(spark, rows):
+    def node(node_id, relation, options, paths=None, catalog=False):
+        return ("app", 1, node_id, 0, extract.RELATION_NODE, relation, None, options, paths, catalog, "http://minio:9000", None)
+
+    jdbc = {"url": "jdbc:mysql://h/d", "dbtable": "(select * from a join b on 1 = 1) q"}
+    flake = {"sfurl": "acct.x", "sfdatabase": "D", "sfschema": "S"}
+    nodes = spark.createDataFrame(
+        [
+            node(1, extract.FILE_RELATION, {}, ["s3a://b//k/", "hdfs://nn/x", "s3a:///", None, "s3://c"]),
+            node(2, extract.JDBC_RELATION, jdbc), node(3, extract.JDBC_RELATION, {"dbtable": "t"}),
+            node(4, extract.SNOWFLAKE_RELATION, {**flake, "query": "select 1 from T"}), node(5, extract.SNOWFLAKE_RELATION, flake),
+            # two rules accept the node: the items of the second come after those of the first
+            node(6, extract.KAFKA_RELATION, {"kafka.bootstrap.servers": "k:1", "subscribe": "t, ,u"}, catalog=True),
+        ],
+        NODES,
+    )
+    found = extract.write_inputs(nodes)
+    assert plan_of(found).count("_tables_of_texts(") == 1
+    assert sorted(rows(found, "node_id", "item", "name", "error"), key=lambda r: r[:2]) == [
+        (1, 0, "//s3-custom/endpoint/minio:9000/buckets/b/keys/k", None), (1, 2, None, "BAD_S3_PATH"), (1, 4, "//s3/cloud/aws/buckets/c", None),
+        (2, 0, "//mysql/host/h/databases/d/tables/a", None), (2, 1, "//mysql/host/h/databases/d/tables/b", None),
+        (3, 0, None, "MISSING_OPTION"),
+        (4, 0, "//snowflake/account/acct/databases/D/schemas/S/tables/T", None), (5, 0, None, "MISSING_OPTION"),
+        (6, 0, None, "UNSUPPORTED_RELATION"), (6, 1, "//kafka/cluster/k:1/topics/t", None), (6, 2, "//kafka/cluster/k:1/topics/u", None),
+    ]
+
+
+def test_nodes_without_texts_are_counted_and_have_no_items(spark, rows):
+    def node(execution, node_id, parent, kind, relation=None, options=None):
+        return ("app", execution, node_id, parent, kind, relation, None, options or {}, None, False, None, None)
+
+    topics = {"kafka.bootstrap.servers": "k", "subscribe": "t"}
+    nodes = spark.createDataFrame(
+        [
+            node(1, 0, None, extract.WRITE_NODE), node(1, 1, 0, extract.RELATION_NODE, extract.FILE_RELATION),
+            node(1, 2, 0, extract.RELATION_NODE, extract.KAFKA_RELATION, topics),
+            # without a query, an error loses the names of its execution
+            node(2, 0, None, extract.WRITE_NODE), node(2, 1, 0, extract.RELATION_NODE, extract.SNOWFLAKE_RELATION),
+            node(2, 2, 0, extract.RELATION_NODE, extract.KAFKA_RELATION, topics),
+        ],
+        NODES,
+    )
+    plain = extract.write_inputs(nodes, root_only=True)
+    named = "//kafka/cluster/k/topics/t"
+    assert sorted(rows(plain, "dep_id", "node_id", "name")) == [(1, 2, named), (2, 1, None), (2, 2, named)]
+    lossy = extract.plan_items(nodes, compat=True).where("direction = 'input'")
+    assert sorted(rows(lossy, "dep_id", "node_id", "name")) == [(1, 2, named), (2, 1, None)]
+
+
+def test_parts_of_a_path_are_worked_out_once_for_its_name(spark, rows):
+    closure = spark.createDataFrame([("a", 1, 1)], "app_id string, job_id bigint, rdd_id bigint")
+    nodes = spark.createDataFrame(
+        [("a", 1, 1, "HadoopRDD", None, ["s3a://b/k", "hdfs://nn:1/x", "file:/y", "s3://c//d/"])],
+        "app_id string, job_id bigint, rdd_id bigint, rdd_class string, rdd_name string, input_paths array<string>",
+    )
+    conf = spark.createDataFrame([("a", extract.KEYS.s3a_endpoint, "http://m:1")], "app_id string, key string, value string")
+    for compat, host, last in ((False, "m:1", "c/keys/d"), (True, "http:\\\\\\\\m:1", "c/keys/\\\\d\\\\")):
+        found = rddgraph.rdd_inputs(closure, nodes, conf, compat=compat)
+        # made in the plan once each: two of a namespace, the path, the site, and for S3 the rest and the host
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") <= 6
+        assert sorted(rows(found, "item", "name")) == [
+            (0, f"//s3-custom/endpoint/{host}/buckets/b/keys/k"), (1, "//hdfs/site/nn:1/path/\\\\x"), (3, f"//s3/cloud/aws/buckets/{last}"),
+        ]
+
+
+def test_values_of_arrow_columns_are_those_of_python():
+    lists = pa.array([[1, 2], None, [], [3], [4, None]], pa.list_(pa.int64()))
+    ints, texts = pa.array([1, None, 2**62 + 1], pa.int64()), pa.array(["a", None, "é"])
+    for column in (lists, lists[1:4], lists[2:], ints, ints[2:], ints[:0], texts, texts[1:]):
+        assert rddgraph._values(column) == column.to_pylist()
+
+
+def test_graphs_without_roots_and_without_keys_give_no_closure(spark, rows):
+    edges = spark.createDataFrame(
+        [("a", 1, 3, 2), ("a", 1, 2, 1), ("a", 2, 3, 2), (None, 1, 3, 2), ("a", 1, 9, 8), ("a", 1, 3, None)],
+        "app_id string, job_id bigint, rdd_id bigint, dep_rdd_id bigint",
+    )
+    roots = spark.createDataFrame([("a", 1, 3), (None, 1, 3)], "app_id string, job_id bigint, rdd_id bigint")
+    found = rows(rddgraph.ancestors(edges, roots), *rddgraph.NODE)
+    assert sorted(found, key=str) == [("a", 1, 1), ("a", 1, 2), ("a", 1, 3), (None, 1, 3)]
