@@ -203,7 +203,7 @@ def test_settings_are_rows_without_a_map(spark, rows, tmp_path):
     assert rows(found) == rows(by_map) and found.count() == 8
 
 
-NODES = (
+PREPARED_NODES = (
     "app_id string, execution_id bigint, node_id bigint, parent_id bigint, node_kind string, relation_kind string, "
     "provider string, options map<string,string>, root_paths array<string>, has_catalog_table boolean, "
     "s3a_endpoint string, s3n_endpoint string"
@@ -224,7 +224,7 @@ def test_items_are_named_after_their_texts_are_exploded(spark, rows):
             # two rules accept the node: the items of the second come after those of the first
             node(6, extract.KAFKA_RELATION, {"kafka.bootstrap.servers": "k:1", "subscribe": "t, ,u"}, catalog=True),
         ],
-        NODES,
+        PREPARED_NODES,
     )
     found = extract.write_inputs(nodes)
     assert plan_of(found).count("_tables_of_texts(") == 1
@@ -250,7 +250,7 @@ def test_nodes_without_texts_are_counted_and_have_no_items(spark, rows):
             node(2, 0, None, extract.WRITE_NODE), node(2, 1, 0, extract.RELATION_NODE, extract.SNOWFLAKE_RELATION),
             node(2, 2, 0, extract.RELATION_NODE, extract.KAFKA_RELATION, topics),
         ],
-        NODES,
+        PREPARED_NODES,
     )
     plain = extract.write_inputs(nodes, root_only=True)
     named = "//kafka/cluster/k/topics/t"
