@@ -8,6 +8,7 @@ executor costs one round at most.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,7 @@ from headwater.functions.names import hdfs_name, name_of_path, namespace, s3_of_
 from headwater.functions.scalars import camel_to_snake
 from headwater.operators.conf import KEYS, ConfKeys, with_endpoints
 from headwater.session import cut_lineage, delete_path, path_exists, work_path
+from headwater.skew import large_groups
 
 # RDD class names with a meaning of their own.
 OLD_API_SCAN = "HadoopRDD"
@@ -28,11 +30,19 @@ MOST_CHARS = 1 << 16
 COUNTED_CHARS = 1 << 60
 # The largest graph, RDDs and edges together, that one task walks.
 GRAPH_SIZE = 200_000
-_DEP = "struct<dep_pos:int,head:string,n_chars:bigint>"
+# The characters of names that a batch holds, apart from those of its last graph.
+BATCH_CHARS = 4_000_000
+# Rows of a graph: RDDs with a name of their own, with the name of their class, with that of the class if the parent has the same, and edges.
+OWN, BORROWED, COPIED, EDGE = range(4)
+# Before all positions of dependencies.
+NO_PLACE = -(1 << 63)
+_DEP = "struct<dep_pos:bigint,head:string,n_chars:bigint>"
 _NODE_SCHEMA = "app_id string, job_id bigint, rdd_id bigint"
 
 NODE = ["app_id", "job_id", "rdd_id"]
 JOB = ["app_id", "job_id"]
+# The number first: a sort by it compares few whole keys.
+BY_JOB = ["job_id", "app_id"]
 _UP = ["_app", "_job", "_rdd"]
 DEPENDENCY = ["app_id", "job_id", "dep_rdd_id"]
 
@@ -44,12 +54,6 @@ def explode_input_paths(rdd_nodes: DataFrame) -> DataFrame:
     )
 
 
-def _large(sizes: DataFrame) -> tuple[DataFrame, bool]:
-    """The graphs of ``app_id, job_id, size`` that are too large for one task, and whether there are any."""
-    large = cut_lineage(sizes.where(F.col("size") > GRAPH_SIZE).select(*JOB))
-    return large, not large.isEmpty()
-
-
 def _values(column: pa.Array) -> list:
     """The values of a column, without a detour by single Arrow values where numpy has them."""
     if pa.types.is_integer(column.type):
@@ -112,12 +116,12 @@ def ancestors(edges: DataFrame, roots: DataFrame) -> DataFrame:
     # stored, since they are read twice
     edges, roots = cut_lineage(edges.select(*NODE, "dep_rdd_id")), cut_lineage(roots.select(*NODE))
     wanted = edges.where(F.col("app_id").isNotNull() & F.col("job_id").isNotNull() & F.col("dep_rdd_id").isNotNull())
-    large, some_are_large = _large(edges.groupBy(*JOB).agg(F.count(F.lit(1)).alias("size")))
+    large = large_groups(edges, JOB, GRAPH_SIZE)
     # a graph without a root goes along, since a walk that starts nowhere costs less than a join that finds those with roots
     rows = wanted.unionByName(roots.withColumn("dep_rdd_id", F.lit(None).cast("bigint")))
-    small = rows.join(large, JOB, "left_anti") if some_are_large else rows
-    found = small.repartition(*JOB).sortWithinPartitions(*JOB).mapInArrow(_reached, _NODE_SCHEMA)
-    if some_are_large:
+    small = rows.join(large, JOB, "left_anti") if large is not None else rows
+    found = small.repartition(*JOB).sortWithinPartitions(*BY_JOB).mapInArrow(_reached, _NODE_SCHEMA)
+    if large is not None:
         starts = roots.join(large, JOB, "left_semi")
         found = found.unionByName(_ancestors_by_doubling(wanted.join(starts.select(*JOB).distinct(), JOB, "left_semi"), starts))
     return found
@@ -209,24 +213,37 @@ def rdd_outputs(rdd_output: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, c
     return _items(named, "output", conf, keys, compat)
 
 
+def _with_class_names(rdd_nodes: DataFrame) -> DataFrame:
+    """``kind, rdd_name, class_name``: the kind says whether the class name stands in for the name, the class name is NULL if it never does."""
+    name = F.col("rdd_name")
+    from_path = (F.col("rdd_class") == OLD_API_SCAN) & F.exists("input_paths", lambda p: p.contains(name))
+    kind = (
+        F.when(name.isNull() | F.coalesce(from_path, F.lit(False)), F.lit(BORROWED))
+        .when(F.col("rdd_class") == MAPPED, F.lit(COPIED))
+        .otherwise(F.lit(OWN))
+    )
+    class_name = F.when(F.col("kind") != OWN, camel_to_snake(F.col("rdd_class")))
+    return rdd_nodes.withColumn("kind", kind).select(*NODE, "kind", "rdd_name", class_name.alias("class_name"))
+
+
 def own_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """The name an RDD has by itself.
 
     The class name stands in for a missing name, for a name that is part of an
     input path, and for a name copied from the parent.
     """
-    parents = rdd_nodes.select(
+    return _own_names(_with_class_names(rdd_nodes), edges)
+
+
+def _own_names(named: DataFrame, edges: DataFrame) -> DataFrame:
+    parents = named.select(
         "app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id"), F.col("rdd_name").alias("parent_name")
     )
     first_deps = edges.where(F.col("dep_pos") == 0).select(*NODE, "dep_rdd_id")
-    named = rdd_nodes.join(first_deps, NODE, "left").join(parents, DEPENDENCY, "left")
-    name = F.col("rdd_name")
-    from_path = (F.col("rdd_class") == OLD_API_SCAN) & F.exists("input_paths", lambda p: p.contains(name))
-    from_parent = (F.col("rdd_class") == MAPPED) & (name == F.col("parent_name"))
-    borrowed = name.isNull() | F.coalesce(from_path, F.lit(False)) | F.coalesce(from_parent, F.lit(False))
-    return named.select(
-        *NODE, F.when(borrowed, camel_to_snake(F.col("rdd_class"))).otherwise(name).alias("own_name")
-    )
+    placed = named.join(first_deps, NODE, "left").join(parents, DEPENDENCY, "left")
+    from_parent = (F.col("kind") == COPIED) & F.coalesce(F.col("rdd_name") == F.col("parent_name"), F.lit(False))
+    borrowed = (F.col("kind") == BORROWED) | from_parent
+    return placed.select(*NODE, F.when(borrowed, F.col("class_name")).otherwise(F.col("rdd_name")).alias("own_name"))
 
 
 def _joined(own: Column, deps: Column) -> Column:
@@ -243,62 +260,127 @@ def _joined(own: Column, deps: Column) -> Column:
     )
 
 
-def _solve(own: dict[int, str | None], deps: dict[int, list[int]], most: int) -> Iterator[tuple[int, str | None, int]]:
-    """The names of one graph: each RDD, the name's beginning, and its length."""
-    waiting = {node: len(below) for node, below in deps.items() if below}
-    above: dict[int, list[int]] = {}
-    for node, below in deps.items():
-        for dep in below:
-            above.setdefault(dep, []).append(node)
-    ready = [node for node in own if node not in waiting]
+def _solve(own: dict[int, str | None], deps: dict[int, list[int]], most: int) -> dict[int, tuple[str | None, int]]:
+    """The names of one graph: for each RDD the name's beginning, and its length."""
     heads: dict[int, tuple[str | None, int]] = {}
-    while ready:
-        node = ready.pop()
-        name, below = own[node], deps.get(node)
+
+    def name_of(node: int, below: list[int] | None) -> None:
+        name = own[node]
         if below:
-            text = "_".join(heads[dep][0] for dep in below if heads[dep][0] is not None)[:most]
-            length = sum(heads[dep][1] + 1 for dep in below) - 1
+            found = [heads[dep] for dep in below]
+            text = "_".join([head for head, _ in found if head is not None])[:most]
+            length = sum([n for _, n in found]) + len(found) - 1
             if name is None or not text.startswith(name):
                 text = text if name is None else f"{name}_{text}"[:most]
                 length += len(name or "") + 1
-            name, length = text, min(length, COUNTED_CHARS)
+            heads[node] = (text, length if length < COUNTED_CHARS else COUNTED_CHARS)
+        else:
+            heads[node] = (name, 0) if name is None else (name[:most], len(name))
+
+    # the most come after what they depend on
+    late = []
+    for node in own:
+        below = deps.get(node)
+        if below and not all([dep in heads for dep in below]):
+            late.append(node)
         else:
-            length = len(name or "")
-        heads[node] = (name if name is None else name[:most], length)
+            name_of(node, below)
+    if not late:
+        return heads
+    above: dict[int, list[int]] = {}
+    waiting = {}
+    for node in late:
+        open_ones = [dep for dep in deps[node] if dep not in heads]
+        waiting[node] = len(open_ones)
+        for dep in open_ones:
+            above.setdefault(dep, []).append(node)
+    ready = [node for node in late if not waiting[node]]
+    while ready:
+        node = ready.pop()
+        name_of(node, deps[node])
         for up in above.get(node, ()):
             waiting[up] -= 1
             if not waiting[up]:
                 ready.append(up)
-    for node, (head, length) in heads.items():
-        yield node, head if length <= most else None, length
+    return heads
+
+
+def _solve_graph(nodes: dict[int, tuple], edges: dict[int, list[tuple]], most: int) -> dict[int, tuple[str | None, int]]:
+    """The same from what a graph's rows tell: names of RDDs, and positions of dependencies."""
+    own: dict[int, str | None] = {}
+    deps: dict[int, list[int]] = {}
+    for rdd, (kind, name, class_name) in nodes.items():
+        below = edges.get(rdd)
+        if below:
+            if len(below) > 1:
+                below.sort()
+            if kind == COPIED and any([place == 0 and dep in nodes and nodes[dep][1] == name for place, dep in below]):
+                kind = BORROWED
+            deps[rdd] = [dep for _, dep in below if dep in nodes]
+        own[rdd] = class_name if kind == BORROWED else name
+    return _solve(own, deps, most)
 
 
 def _solve_graphs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Names of whole graphs, whose RDDs come one after another."""
-    key, own, deps = None, {}, {}
-    rows: list[tuple] = []
+    """Names of whole graphs, whose RDDs and edges come one after another."""
+    key, nodes, edges = None, {}, {}
+    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+    columns: list[list] = [[] for _ in types]
+    apps, jobs, rdds, found, lengths = columns
+    n_chars = 0
 
     def flush() -> pa.RecordBatch:
-        columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(types)]
-        rows.clear()
-        return pa.RecordBatch.from_arrays(columns, [*NODE, "name", "n_chars"])
+        nonlocal n_chars
+        batch = pa.RecordBatch.from_arrays([pa.array(*column) for column in zip(columns, types)], [*NODE, "name", "n_chars"])
+        for column in columns:
+            column.clear()
+        n_chars = 0
+        return batch
+
+    def solve() -> None:
+        nonlocal n_chars
+        app, job = key
+        for rdd, (name, length) in _solve_graph(nodes, edges, most).items():
+            apps.append(app)
+            jobs.append(job)
+            rdds.append(rdd)
+            found.append(name if length <= most else None)
+            lengths.append(length)
+            n_chars += length if length <= most else 0
 
-    types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
     for batch in batches:
-        for app, job, rdd, name, below in zip(*map(_values, batch.columns)):
-            if (app, job) != key:
+        for app, job, rdd, kind, dep, place, name, class_name in zip(*map(_values, batch.columns)):
+            if key is None or job != key[1] or app != key[0]:
                 if key is not None:
-                    rows.extend((*key, *found) for found in _solve(own, deps, most))
-                key, own, deps = (app, job), {}, {}
-            own[rdd] = name
-            deps[rdd] = below or []
-            if len(rows) >= 1000:
-                yield flush()
+                    solve()
+                key, nodes, edges = (app, job), {}, {}
+                if len(apps) >= 10_000 or n_chars >= BATCH_CHARS:
+                    yield flush()
+            if kind != EDGE:
+                nodes[rdd] = (kind, name, class_name)
+            elif rdd in edges:
+                edges[rdd].append((place, dep))
+            else:
+                edges[rdd] = [(place, dep)]
     if key is not None:
-        rows.extend((*key, *found) for found in _solve(own, deps, most))
+        solve()
     yield flush()
 
 
+def _graph_rows(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """RDDs, and edges between two of a job, told apart by their ``kind``; numbers of RDDs and edges are never NULL."""
+    columns = [*NODE, "kind", "dep_rdd_id", "dep_pos", "rdd_name", "class_name"]
+    none, zero = F.lit(None).cast("string"), F.lit(0).cast("bigint")
+    whole = [F.col(c).isNotNull() for c in (*NODE, "dep_rdd_id")]
+    # an edge without a position comes first
+    place = F.coalesce(F.col("dep_pos").cast("bigint"), F.lit(NO_PLACE))
+    of_edges = edges.where(reduce(Column.__and__, whole)).select(
+        *NODE, F.lit(EDGE).alias("kind"), "dep_rdd_id", place.alias("dep_pos"), none.alias("rdd_name"), none.alias("class_name")
+    )
+    of_nodes = _with_class_names(rdd_nodes).withColumns({"dep_rdd_id": zero, "dep_pos": zero})
+    return of_nodes.select(*columns).unionByName(of_edges)
+
+
 def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Name of each RDD from its own name and those of its dependencies, in order, and its length ``n_chars``.
 
@@ -308,34 +390,31 @@ def lineage_names(rdd_nodes: DataFrame, edges: DataFrame) -> DataFrame:
     each dependency, so it may double in length with each level of diamonds: a name of more than
     MOST_CHARS characters is NULL, and only its length (counted up to COUNTED_CHARS) tells of it.
 
-    The graph of a job goes to one task, which walks it once; one with more than GRAPH_SIZE RDDs and edges goes
-    through :func:`_names_by_rounds`, with the same result.
+    The RDDs and edges of a job go to one task, in one shuffle without joins, which makes their own names and walks the graph once;
+    one with more than GRAPH_SIZE RDDs and edges goes through :func:`_names_by_rounds`, with the same result.
     """
     # stored, since they are read several times
-    rdd_nodes = cut_lineage(rdd_nodes.select(*NODE, "rdd_class", "rdd_name", "input_paths"))
-    edges = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos"))
-    present = rdd_nodes.select("app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id")).distinct()
-    kept = cut_lineage(edges.select(*NODE, "dep_rdd_id", "dep_pos").join(present, DEPENDENCY, "left_semi"))
-    counts = kept.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_deps"))
-    own = cut_lineage(own_names(rdd_nodes, edges).join(counts, NODE, "left").fillna(0, ["n_deps"]))
-    sizes = own.groupBy(*JOB).agg(F.sum(F.col("n_deps") + 1).alias("size"))
-    large, some_are_large = _large(sizes)
-
-    def of_small(rows: DataFrame) -> DataFrame:
-        return rows.join(large, JOB, "left_anti") if some_are_large else rows
-
-    lists = of_small(kept).groupBy(*NODE).agg(
-        F.array_sort(F.collect_list(F.struct("dep_pos", "dep_rdd_id")))["dep_rdd_id"].alias("deps")
-    )
-    graphs = of_small(own).join(lists, NODE, "left").select(*NODE, "own_name", "deps")
-    ordered = graphs.repartition(*JOB).sortWithinPartitions(*JOB)
+    rows = cut_lineage(_graph_rows(rdd_nodes, edges))
+    large = large_groups(rows, JOB, GRAPH_SIZE)
+    small = rows.join(large, JOB, "left_anti") if large is not None else rows
+    ordered = small.repartition(*JOB).sortWithinPartitions(*BY_JOB)
     most = MOST_CHARS
     names = ordered.mapInArrow(lambda batches: _solve_graphs(batches, most), f"{_NODE_SCHEMA}, name string, n_chars bigint")
-    if some_are_large:
-        names = names.unionByName(_names_by_rounds(own.join(large, JOB, "left_semi"), kept.join(large, JOB, "left_semi")))
+    if large is not None:
+        names = names.unionByName(_names_of_large(rows.join(large, JOB, "left_semi")))
     return names
 
 
+def _names_of_large(rows: DataFrame) -> DataFrame:
+    """The names of graphs that are too large for one task."""
+    nodes, edges = rows.where(F.col("kind") != EDGE), rows.where(F.col("kind") == EDGE).select(*NODE, "dep_rdd_id", "dep_pos")
+    present = nodes.select("app_id", "job_id", F.col("rdd_id").alias("dep_rdd_id")).distinct()
+    kept = cut_lineage(edges.join(present, DEPENDENCY, "left_semi"))
+    counts = kept.groupBy(*NODE).agg(F.count(F.lit(1)).alias("n_deps"))
+    own = _own_names(nodes.select(*NODE, "kind", "rdd_name", "class_name"), edges).join(counts, NODE, "left")
+    return _names_by_rounds(own.fillna(0, ["n_deps"]), kept)
+
+
 def _names_by_rounds(own: DataFrame, kept: DataFrame) -> DataFrame:
     """The same for graphs of any size: ``own`` are RDDs with their own names and numbers of dependencies.
 

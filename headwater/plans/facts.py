@@ -32,9 +32,12 @@ def dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """The same by a hash of the columns, without the sort that dealing in turn needs; rows equal in all columns meet."""
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, *rows.columns)
+def spread(rows: DataFrame, tasks: int = 0) -> DataFrame:
+    """The same by a hash of the columns, without the sort that dealing in turn needs; rows equal in all columns meet.
+
+    With ``tasks``, to as many at least.
+    """
+    return rows.repartition(max(tasks, rows.sparkSession.sparkContext.defaultParallelism), *rows.columns)
 
 
 def _given(options: str) -> str:

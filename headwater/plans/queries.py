@@ -791,6 +791,8 @@ def versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Event logs and streams ---------------------------------------------------
 
 LOG_FOLDER_APP = r"/app=([^/]+)/"
+# The orders whose log lines one task sorts by application and writes: some 200 MB.
+LOG_TASK_ORDERS = 400_000
 
 
 def _write_log(spark: SparkSession, sf_dir: str, plans: bool = False) -> str:
@@ -800,7 +802,7 @@ def _write_log(spark: SparkSession, sf_dir: str, plans: bool = False) -> str:
     """
     path = work_path(spark, "eventlog")
     orders = facts.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
-    rows = facts.dealt(orders).select(
+    rows = facts.spread(orders, -(-orders.count() // LOG_TASK_ORDERS)).select(
         F.regexp_replace("o_orderpriority", "[^A-Z0-9]", "-").alias("app"),
         "o_orderkey",
         "o_custkey",
@@ -856,7 +858,8 @@ def _write_log(spark: SparkSession, sf_dir: str, plans: bool = False) -> str:
         )
         cut = F.when(F.col("o_orderkey") % 10 == 7, F.substring(end, F.lit(1), F.length(end) - 1))
         texts += [F.when(status != "P", sql), cut]
-    lines = rows.select("app", F.explode(F.array_compact(F.array(*texts))).alias("value"))
+    # the lines of an order as one text, since the writer sorts its rows by application
+    lines = rows.select("app", F.concat_ws("\n", *texts).alias("value"))
     lines.write.partitionBy("app").text(path)
     return path
 
@@ -872,8 +875,9 @@ def event_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_log_rdds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input paths of the RDDs listed in the event log: the closure without any recursion."""
     path = _write_log(spark, sf_dir)
-    nodes = eventlog.scan_rdd_nodes(spark, path, LOG_FOLDER_APP)
-    edges = eventlog.scan_rdd_edges(spark, path, LOG_FOLDER_APP)
+    rdds = cut_lineage(eventlog.scan_job_rdds(spark, path, LOG_FOLDER_APP))
+    nodes = eventlog.scan_rdd_nodes(spark, path, LOG_FOLDER_APP, rdds)
+    edges = eventlog.scan_rdd_edges(spark, path, LOG_FOLDER_APP, rdds)
     children = edges.groupBy("app_id", "job_id", F.col("dep_rdd_id").alias("rdd_id")).agg(
         F.count(F.lit(1)).alias("n_children")
     )
@@ -891,8 +895,9 @@ def event_log_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_log_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lineage names of the RDDs in the event log."""
     path = _write_log(spark, sf_dir)
-    nodes = eventlog.scan_rdd_nodes(spark, path, LOG_FOLDER_APP)
-    return rddgraph.lineage_names(nodes, eventlog.scan_rdd_edges(spark, path, LOG_FOLDER_APP)).drop("n_chars")
+    rdds = cut_lineage(eventlog.scan_job_rdds(spark, path, LOG_FOLDER_APP))
+    nodes = eventlog.scan_rdd_nodes(spark, path, LOG_FOLDER_APP, rdds)
+    return rddgraph.lineage_names(nodes, eventlog.scan_rdd_edges(spark, path, LOG_FOLDER_APP, rdds)).drop("n_chars")
 
 
 @query

@@ -103,9 +103,10 @@ FACT_TYPES = {
 KINDS = {
     "event": None,
     "plan_node": None,
-    "rdd_node": ["app_id", "job_id", "rdd_id"],
-    "rdd_edge": ["app_id", "job_id", "rdd_id", "dep_pos"],
-    "rdd_root": ["app_id", "job_id"],
+    # numbers first: a sort by them compares few whole keys
+    "rdd_node": ["rdd_id", "job_id", "app_id"],
+    "rdd_edge": ["rdd_id", "dep_pos", "job_id", "app_id"],
+    "rdd_root": ["job_id", "app_id"],
     "unreadable": None,
 }
 
@@ -169,27 +170,35 @@ def _job_rdds() -> Column:
     return F.flatten(F.transform("Stage Infos", lambda stage: F.coalesce(stage["RDD Info"], F.array())))
 
 
-def _rdd_nodes() -> Column:
-    def node(rdd: Column) -> Column:
-        name = rdd["Name"]
-        is_class, is_path = name.rlike(CLASS_NAME), name.rlike(PATH_NAME)
-        is_scan = (F.size(rdd["Parent IDs"]) == 0) & is_path
-        rdd_class = (
-            F.when(is_class, name)
-            .when(is_scan, F.lit("HadoopRDD"))
-            .when(is_path, F.lit("MapPartitionsRDD"))
-            .otherwise(F.get_json_object(rdd["Scope"], "$.name"))
-        )
-        return F.struct(
-            F.col("app_id"),
-            F.col("Job ID").alias("job_id"),
-            rdd["RDD ID"].alias("rdd_id"),
-            rdd_class.alias("rdd_class"),
-            F.when(~is_class, name).alias("rdd_name"),
-            F.when(is_scan, F.split(name, ",")).alias("input_paths"),
-        )
+def _is_class(rdd: Column) -> Column:
+    return rdd["Name"].rlike(CLASS_NAME)
+
+
+def _is_path(rdd: Column) -> Column:
+    return rdd["Name"].rlike(PATH_NAME)
+
+
+def _rdd_node(rdd: Column, is_class: Column, is_path: Column) -> list[Column]:
+    name = rdd["Name"]
+    is_scan = (F.size(rdd["Parent IDs"]) == 0) & is_path
+    rdd_class = (
+        F.when(is_class, name)
+        .when(is_scan, F.lit("HadoopRDD"))
+        .when(is_path, F.lit("MapPartitionsRDD"))
+        .otherwise(F.get_json_object(rdd["Scope"], "$.name"))
+    )
+    return [
+        F.col("app_id"),
+        F.col("Job ID").alias("job_id"),
+        rdd["RDD ID"].alias("rdd_id"),
+        rdd_class.alias("rdd_class"),
+        F.when(~is_class, name).alias("rdd_name"),
+        F.when(is_scan, F.split(name, ",")).alias("input_paths"),
+    ]
+
 
-    return F.when(_is_job(), F.transform(_job_rdds(), node))
+def _rdd_nodes() -> Column:
+    return F.when(_is_job(), F.transform(_job_rdds(), lambda rdd: F.struct(*_rdd_node(rdd, _is_class(rdd), _is_path(rdd)))))
 
 
 def _rdd_edges() -> Column:
@@ -296,20 +305,48 @@ def scan_rdd_roots(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_
     return _scan(spark, path, app_id_pattern, "rdd_root")
 
 
-def scan_rdd_nodes(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
+def scan_job_rdds(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
+    """The RDDs that each job start lists, as they are: ``app_id, Job ID, rdd``.
+
+    Where both nodes and edges are asked for, they can be stored and given to :func:`scan_rdd_nodes` and
+    :func:`scan_rdd_edges`, so that the log is parsed once.
+    """
+    jobs = read_log(spark, path, app_id_pattern).where(_is_job())
+    stages = jobs.select("app_id", "Job ID", F.explode("Stage Infos").alias("stage"))
+    return stages.select("app_id", "Job ID", F.explode(F.col("stage")["RDD Info"]).alias("rdd"))
+
+
+def scan_rdd_nodes(
+    spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH, rdds: DataFrame | None = None
+) -> DataFrame:
     """RDDs of all stages of each job.
 
     The stages of a job list every RDD it depends on, so this is already the
     closure of its final RDD. A leaf that is named like a path is a file scan;
     its name is the comma list of its paths, which the RDD mapped from it repeats. A
     name like that of a class is the class, and the RDD has no name of its own.
+    ``rdds`` are :func:`scan_job_rdds` of the log, if they are stored.
     """
-    return _scan(spark, path, app_id_pattern, "rdd_node")
+    rdd = F.col("rdd")
+    # columns, since an expression would match the name each time it is used
+    listed = (scan_job_rdds(spark, path, app_id_pattern) if rdds is None else rdds).withColumns(
+        {"is_class": _is_class(rdd), "is_path": _is_path(rdd)}
+    )
+    return _distinct(listed.select(*_rdd_node(rdd, F.col("is_class"), F.col("is_path"))), "rdd_node")
 
 
-def scan_rdd_edges(spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH) -> DataFrame:
-    """Dependencies of the RDDs of each job."""
-    return _scan(spark, path, app_id_pattern, "rdd_edge")
+def scan_rdd_edges(
+    spark: SparkSession, path: str, app_id_pattern: str = APP_ID_IN_PATH, rdds: DataFrame | None = None
+) -> DataFrame:
+    """Dependencies of the RDDs of each job. ``rdds`` are :func:`scan_job_rdds` of the log, if they are stored."""
+    listed = scan_job_rdds(spark, path, app_id_pattern) if rdds is None else rdds
+    edges = listed.select(
+        "app_id",
+        F.col("Job ID").alias("job_id"),
+        F.col("rdd")["RDD ID"].alias("rdd_id"),
+        F.posexplode(F.col("rdd")["Parent IDs"]).alias("dep_pos", "dep_rdd_id"),
+    )
+    return _distinct(edges.select("app_id", "job_id", "rdd_id", "dep_rdd_id", "dep_pos"), "rdd_edge")
 
 
 # --- Logs that are still written ------------------------------------------------

@@ -10,6 +10,8 @@ from headwater.functions.names import s3_name
 from headwater.operators import extract, rddgraph, rollup
 from headwater.plans import facts
 from headwater.session import cut_lineage
+from headwater.skew import large_groups
+from headwater.sources import eventlog
 
 
 def plan_of(df):
@@ -290,3 +292,43 @@ def test_graphs_without_roots_and_without_keys_give_no_closure(spark, rows):
     roots = spark.createDataFrame([("a", 1, 3), (None, 1, 3)], "app_id string, job_id bigint, rdd_id bigint")
     found = rows(rddgraph.ancestors(edges, roots), *rddgraph.NODE)
     assert sorted(found, key=str) == [("a", 1, 1), ("a", 1, 2), ("a", 1, 3), (None, 1, 3)]
+
+
+def test_graphs_are_named_in_one_shuffle_without_joins(spark, rows):
+    nodes = spark.createDataFrame(
+        [
+            ("a", 1, 1, "HadoopRDD", "/x", ["/x/y"]), ("a", 1, 2, "MapPartitionsRDD", "/x", None),
+            ("a", 1, 3, "MapPartitionsRDD", "own", None), ("b", 1, 1, "ShuffledRDD", None, None),
+            ("a", None, 7, "ShuffledRDD", "n7", None), ("b", 1, 2, None, None, None), ("a", 1, 2, "MapPartitionsRDD", "/x", None),
+        ],
+        "app_id string, job_id bigint, rdd_id bigint, rdd_class string, rdd_name string, input_paths array<string>",
+    )
+    # an RDD that comes before what it depends on, one that isn't there, edges without a position and without an end
+    edges = [("a", 1, 1, 3, 0), ("a", 1, 2, 1, 0), ("a", 1, 3, 9, 0), ("b", 1, 2, 1, None), ("b", 1, 1, None, 0), ("a", None, 7, 7, 0)]
+    found = rddgraph.lineage_names(nodes, spark.createDataFrame(edges, "app_id string, job_id bigint, rdd_id bigint, dep_rdd_id bigint, dep_pos int"))
+    plan = plan_of(found)
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert rows(found, "app_id", "job_id", "rdd_id", "name") == [
+        ("a", 1, 1, "hadoop_own"), ("a", 1, 2, "map_partitions_hadoop_own"), ("a", 1, 3, "own"), ("a", None, 7, "n7"),
+        ("b", 1, 1, "shuffled"), ("b", 1, 2, "shuffled"),
+    ]
+
+
+def test_a_log_is_parsed_once_for_its_names(spark, rows, tmp_path, monkeypatch):
+    orders = [(k, k % 3, "OFP"[k % 3], ("1-URGENT", "5-LOW", None)[k % 3]) for k in range(1, 8)]
+    given = spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderpriority string")
+    given.withColumn("o_orderdate", F.timestamp_seconds(F.lit(700_000_000)).cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    scans, real = [], eventlog._all_lines
+    monkeypatch.setattr(eventlog, "_all_lines", lambda *args: scans.append(args) or real(*args))
+    found = rows(queries()["event_log_names"](spark, str(tmp_path)), "job_id", "rdd_id", "name")
+    assert len(scans) == 1
+    lists = {k: f"s3a://logs/{k},s3a://logs/all" for k, *_ in orders}
+    assert found == sorted([(k, 2 * k, lists[k]) for k in lists] + [(k, 2 * k + 1, f"map_partitions_{lists[k]}") for k in lists], key=repr)
+
+
+def test_groups_are_counted_in_buckets_first(spark, rows):
+    given = cut_lineage(spark.createDataFrame([("a", k % 40) for k in range(200)] + [("b", 7)] * 6 + [(None, None)] * 9, "x string, y bigint"))
+    assert large_groups(given, ["x", "y"], 9) is None
+    assert rows(large_groups(given, ["x", "y"], 8)) == [(None, None)]
+    assert rows(large_groups(given, ["x", "y"], 5)) == [("b", 7), (None, None)]
+    assert large_groups(given, ["x", "y"], 4).count() == 42
