@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from headwater import schemas as S
 from headwater.operators.routing import classify_jobs
 from headwater.session import cut_lineage
-from headwater.skew import number_rows
+from headwater.skew import large_groups, number_rows
 
 DEP = ["app_id", "dep_id"]
 # The largest edge set whose lists are compared as a whole.
@@ -61,10 +61,10 @@ def distinct_deps(items: DataFrame) -> DataFrame:
     ``items`` should be stored, since it is read several times.
     """
     named = items.where(F.col("name").isNotNull() & F.col("app_id").isNotNull() & F.col("dep_id").isNotNull())
-    sizes = named.groupBy(*DEP).agg(F.count(F.lit(1)).alias("size"))
-    large = cut_lineage(sizes.where(F.col("size") > LIST_SIZE).select(*DEP))
-    tasks = -(-items.count() // TASK_ITEMS)
-    if large.isEmpty():
+    total = items.count()
+    large = large_groups(named, DEP, LIST_SIZE, total)
+    tasks = -(-total // TASK_ITEMS)
+    if large is None:
         return _distinct_small(named, tasks)
     small = _distinct_small(named.join(large, DEP, "left_anti"), tasks)
     return small.unionByName(_distinct_large(cut_lineage(named.join(large, DEP, "left_semi"))))
@@ -80,7 +80,8 @@ def _distinct_small(named: DataFrame, tasks: int) -> DataFrame:
     rest = [c for c in named.columns if c not in (*DEP, *listed)]
     order = ["direction", "node_id", "item", "name"]
     row = F.struct(*order, *[c for c in rest if c not in order])
-    sets = over_tasks(named, *DEP).groupBy(*DEP).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    # numbers come first in the keys: Spark groups lists by sorting, and a sort by them compares few whole keys
+    sets = over_tasks(named, *DEP).groupBy("dep_id", "app_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
 
     def fields(names: Sequence[str]) -> Column:
         return F.transform("rows", lambda r: F.struct(*[r[c].alias(c) for c in names]))
@@ -88,7 +89,7 @@ def _distinct_small(named: DataFrame, tasks: int) -> DataFrame:
     lists = sets.select(*DEP, fields(listed).alias("list"), fields(rest).alias("rest"))
     # the hash spares comparisons of unequal lists
     hashed = over_tasks(lists.withColumn("bits", F.xxhash64("list")), "app_id", "bits")
-    equal = hashed.groupBy("app_id", "bits", "list")
+    equal = hashed.groupBy("bits", "app_id", "list")
     kept = equal.agg(F.min("dep_id").alias("dep_id"), F.min_by("rest", "dep_id").alias("rest"))
     found = kept.select(*DEP, F.explode(F.arrays_zip("list", "rest")).alias("r"))
     return found.select(*[f"r.list.{c}" if c in listed else f"r.rest.{c}" if c in rest else c for c in named.columns])

@@ -377,12 +377,15 @@ def order_items(spark: SparkSession, sf_dir: str, coarse: bool) -> DataFrame:
     )
     part = "concat('part-', l_partkey % 3)" if coarse else "concat('part-', l_partkey)"
     supplier = "concat('supp-', l_suppkey % 2)" if coarse else "concat('supp-', l_suppkey)"
-    lines = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("dep_id"),
+    # numbers are joined, names are made of them afterwards
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("dep_id"), "l_partkey", "l_suppkey", "l_linenumber")
+    owned = lines.join(orders, "dep_id").select(
+        "app_id",
+        "dep_id",
+        "l_partkey",
+        "l_suppkey",
         F.expr("8 * l_partkey + l_linenumber").alias("node_id"),
-        F.expr(f"array(struct('input' as direction, {part} as name), struct('output' as direction, {supplier} as name))").alias("io"),
-    )
-    owned = lines.join(orders, "dep_id")
-    return owned.select("app_id", "dep_id", "node_id", F.lit(0).cast("bigint").alias("item"), F.explode("io").alias("io")).select(
-        "app_id", "dep_id", "io.direction", "node_id", "item", "io.name"
+        F.explode(F.array(F.lit("input"), F.lit("output"))).alias("direction"),
     )
+    name = F.when(F.col("direction") == "input", F.expr(part)).otherwise(F.expr(supplier))
+    return owned.select("app_id", "dep_id", "direction", "node_id", F.lit(0).cast("bigint").alias("item"), name.alias("name"))

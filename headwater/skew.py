@@ -38,14 +38,14 @@ def hot_keys(
     return hot.select(*keys, F.ceil(F.col("_n") / fair).cast("int").alias(PIECES))
 
 
-def large_groups(rows: DataFrame, keys: Sequence[str], most: int) -> DataFrame | None:
+def large_groups(rows: DataFrame, keys: Sequence[str], most: int, total: int | None = None) -> DataFrame | None:
     """The keys of groups of more than ``most`` rows, stored; none if there is no such group.
 
     Rows are counted in buckets first, which are far fewer than groups, and hold a sixteenth of ``most`` on average: a
     group that is too large fills a bucket, so only the groups of buckets with more than ``most`` rows are counted one by
-    one. ``rows`` should be stored, since they are read several times.
+    one. ``rows`` should be stored, since they are read several times; ``total`` is how many they are at most, if that is known.
     """
-    buckets = 1 + 16 * rows.count() // max(most, 1)
+    buckets = 1 + 16 * (rows.count() if total is None else total) // max(most, 1)
     bucketed = rows.select(*keys, F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("_bucket"))
     full = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select("_bucket")
     if full.isEmpty():

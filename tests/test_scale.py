@@ -332,3 +332,36 @@ def test_groups_are_counted_in_buckets_first(spark, rows):
     assert rows(large_groups(given, ["x", "y"], 8)) == [(None, None)]
     assert rows(large_groups(given, ["x", "y"], 5)) == [("b", 7), (None, None)]
     assert large_groups(given, ["x", "y"], 4).count() == 42
+
+
+def test_edge_sets_are_sorted_by_numbers_and_their_sizes_counted_in_buckets(spark, rows, monkeypatch):
+    items = cut_lineage(
+        spark.createDataFrame(
+            [(f"a{k % 2}", k, way, 1, 0, f"{way}-{k % 3}") for k in range(12) for way in ("input", "output")],
+            "app_id string, dep_id bigint, direction string, node_id bigint, item bigint, name string",
+        )
+    )
+    counted, real = [], rollup.large_groups
+    monkeypatch.setattr(rollup, "large_groups", lambda *args: counted.append(args[3]) or real(*args))
+    found = rollup.distinct_deps(items)
+    assert counted == [24]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate(keys=[dep_id" in plan and "Sort [bits" in plan
+    assert {r[1] for r in rows(found)} == {0, 1, 2, 3, 4, 5}
+
+
+def test_lines_are_joined_before_they_are_named(spark, rows, tmp_path):
+    spark.createDataFrame([(1, 7), (2, None)], "o_orderkey bigint, o_custkey bigint").write.parquet(f"{tmp_path}/orders.parquet")
+    lines = [(1, 4, 5, 1), (2, 4, 5, 1), (1, None, 5, 2), (3, 4, 5, 1)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    items = facts.order_items(spark, str(tmp_path), coarse=True)
+    text = items._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Generate explode") < text.index("Join Inner") and "part-" not in text[text.index("Join Inner") :]
+    assert rows(items) == sorted(
+        [
+            ("app-7", 1, "input", 33, 0, "part-1"), ("app-7", 1, "output", 33, 0, "supp-1"),
+            ("app-7", 1, "input", None, 0, None), ("app-7", 1, "output", None, 0, "supp-1"),
+            (None, 2, "input", 33, 0, "part-1"), (None, 2, "output", 33, 0, "supp-1"),
+        ],
+        key=repr,
+    )
