@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +37,18 @@ def fold(doc_id: Column | str, folds: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(folds))
 
 
+def narrow(numbers: np.ndarray) -> bytes:
+    """Numbers that aren't negative, in as many bytes each as the largest needs; the first byte tells how many."""
+    most = int(numbers.max()) if len(numbers) else 0
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + numbers.astype(f"<u{width}").tobytes()
+
+
+def wide(raw: bytes, kind: type = np.int64) -> np.ndarray:
+    """The numbers of :func:`narrow`."""
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(kind)
+
+
 def map_arrow(df: DataFrame, function: BatchMap, schema: StructType | str) -> DataFrame:
     bounded_batches(df.sparkSession)
     return df.mapInArrow(function, schema)

@@ -11,7 +11,7 @@ cover are removed, with the white space after them.
 SPAN_WORDS decides what counts as a repeated passage: common lines of up to 19 words stay, as do texts that are shorter.
 
 A task takes its texts in batches. It settles the repeats inside a batch, and sends each distinct span of the batch once to the
-shard of its hash, with the first of its places; so a passage that very many documents share is one entry a batch. A
+shard of its hash, with the first of its places and the keys of the texts that the shard needs; so a passage that very many documents share is one entry a batch. A
 shard finds the first place of each span among the batches and marks the others, and the marks of a batch
 are dealt back to its documents. There is a shard for every SHARD_BYTES of text, so none grows with the input.
 
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
-from headwater.llm.frames import beside, map_arrow
+from headwater.llm.frames import beside, map_arrow, narrow, wide
 from headwater.session import cut_lineage
 
 SPAN_SENTENCES = 3
@@ -45,6 +45,7 @@ _STOP[list(b".!?")] = True
 _BASE = np.uint64(0xF1357AEA2E62A9C5)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 HEAD, SPANS, MARKS = range(3)  # kinds of messages
+_LOW = np.uint64(48)  # the bits of a hash behind the first 16
 
 
 @dataclass
@@ -135,18 +136,44 @@ def _named(rows: DataFrame, doc_id: str, shared: DataFrame) -> DataFrame:
 
 
 _MESSAGE = (
-    "kind int, target bigint, batch bigint, no_id binary, ids binary, text_hashes binary, spans binary, ranks binary, "
-    "sentences binary"
+    "kind int, target bigint, batch bigint, no_id binary, ids binary, text_hashes binary, ranks binary, "
+    "sentences binary, texts binary, tops binary, spans binary"
 )
 _NAMES = [x.split()[0] for x in _MESSAGE.split(", ")]
 
 
 def _messages(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
-    packed = [[x.tobytes() if isinstance(x, np.ndarray) else x for x in row] for row in rows]
+    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 8]
+    packed = [[x.tobytes() if isinstance(x, np.ndarray) else x for x in row] + [None] * (len(types) - len(row)) for row in rows]
     return pa.RecordBatch.from_arrays([pa.array([row[k] for row in packed], t) for k, t in enumerate(types)], _NAMES)
 
 
+def _tops(spans: np.ndarray) -> bytes:
+    """Of ascending hashes, how many have each number in their first 16 bits, and the least such number."""
+    top = (spans >> _LOW).astype(np.int64)
+    return int(top[0]).to_bytes(2, "little") + narrow(np.bincount(top - top[0]))
+
+
+def _whole(tops: bytes, low: bytes) -> np.ndarray:
+    """The hashes of :func:`_tops`, from it and their other 48 bits."""
+    counts = wide(tops[2:])
+    out = np.zeros((len(low) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(low, np.uint8).reshape(-1, 6)
+    top = np.repeat(np.arange(len(counts)) + int.from_bytes(tops[:2], "little"), counts)
+    return out.view("<u8").reshape(-1) | (top.astype(np.uint64) << _LOW)
+
+
+def _ascending(numbers: np.ndarray) -> bytes:
+    """The first number and the steps from each to the next, which are small where numbers are dense; they may wrap around."""
+    numbers = numbers.astype(np.int64).view(np.uint64)
+    return numbers[:1].tobytes() + narrow(numbers[1:] - numbers[:-1])
+
+
+def _climbed(raw: bytes) -> np.ndarray:
+    """The numbers of :func:`_ascending`."""
+    return np.cumsum(np.append(np.frombuffer(raw, np.uint64, 1), wide(raw[8:], np.uint64)), dtype=np.uint64).view(np.int64)
+
+
 class _Batch:
     """The spans of some texts, until they are sent."""
 
@@ -172,14 +199,23 @@ class _Batch:
         other_span = np.append(True, spans[1:] != spans[:-1])[: len(spans)]
         other_place = other_span | np.append(True, (rank[1:] != rank[:-1]) | (sentence[1:] != sentence[:-1]))[: len(spans)]
         later = other_place & ~other_span  # equal rows have equal places
-        out = [(HEAD, name % shards, name, *heads, None, rank[later], sentence[later])]
-        spans, rank, sentence = spans[other_span], rank[other_span], sentence[other_span]
-        shard = (spans % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        ends = np.searchsorted(shard[order], np.arange(shards + 1))
+        out = [(HEAD, name % shards, name, *heads, rank[later], sentence[later])]
+        spans, rank, sentence = spans[other_span], rank[other_span].astype(np.int64), sentence[other_span]
+        # ranges of hashes, so those of a shard come one after another and begin alike
+        shard = (((spans >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+        ends = np.searchsorted(shard, np.arange(shards + 1))
+        low = np.ascontiguousarray(spans.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
+        # a shard gets the keys of the texts alone that it has spans of
+        n = len(heads[0])
+        named, at = np.unique(shard * n + rank, return_inverse=True)
+        first = np.searchsorted(named, np.arange(shards + 1) * n)
+        at, named = at.reshape(-1) - first[shard], named % max(n, 1)
         for k in np.flatnonzero(np.diff(ends)):
-            own = order[ends[k] : ends[k + 1]]
-            out.append((SPANS, int(k), name, *heads, spans[own], rank[own], sentence[own]))
+            own = slice(ends[k], ends[k + 1])
+            texts = named[first[k] : first[k + 1]]
+            no_id, ids, text_hashes = (x[texts] for x in heads)
+            keys = narrow(no_id.view(np.uint8)), _ascending(ids), narrow(text_hashes.view(np.uint64))
+            out.append((SPANS, int(k), name, *keys, narrow(at[own]), narrow(sentence[own]), _ascending(texts), _tops(spans[own]), low[own]))
         return _messages(out)
 
 
@@ -219,16 +255,19 @@ def _mark(table: pa.Table) -> pa.Table:
     out = [tuple(row[name] for name in _NAMES) for row in rows if row["kind"] == HEAD]
     rows = [row for row in rows if row["kind"] == SPANS]
     if rows:
-        spans, rank, sentence = (_joined(rows, name, kind) for name, kind in (("spans", np.uint64), ("ranks", np.uint32), ("sentences", np.uint32)))
-        owner = np.repeat(np.arange(len(rows)), [len(row["spans"]) // 8 for row in rows])
+        spans = np.concatenate([_whole(row["tops"], row["spans"]) for row in rows])
+        at, sentence = (np.concatenate([wide(row[name], np.uint32) for row in rows]) for name in ("ranks", "sentences"))
+        texts = [_climbed(row["texts"]) for row in rows]
+        owner = np.repeat(np.arange(len(rows)), [len(row["spans"]) // 6 for row in rows])
         order = np.argsort(spans, kind="stable")
         ordered = spans[order]
         same = ordered[1:] == ordered[:-1]
         several = order[np.append(same, False) | np.append(False, same)]
-        spans, rank, sentence, owner = spans[several], rank[several], sentence[several], owner[several]
-        begins = np.cumsum([0] + [len(row["no_id"]) for row in rows])[:-1]
-        place = begins[owner] + rank
-        keys = [_joined(rows, name, kind)[place] for name, kind in (("no_id", bool), ("ids", np.int64), ("text_hashes", np.int64))]
+        spans, at, sentence, owner = spans[several], at[several], sentence[several], owner[several]
+        place = np.cumsum([0] + [len(x) for x in texts])[:-1][owner] + at
+        rank = np.concatenate(texts)[place].astype(np.uint32)
+        no_id, text_hashes = (np.concatenate([wide(row[name], np.uint64) for row in rows])[place] for name in ("no_id", "text_hashes"))
+        keys = [no_id, np.concatenate([_climbed(row["ids"]) for row in rows])[place], text_hashes.view(np.int64)]
         order = np.lexsort((sentence, keys[2], keys[1], keys[0], spans))
         begin = np.append(True, spans[order][1:] != spans[order][:-1])[: len(order)]
         first = order[np.maximum.accumulate(np.where(begin, np.arange(len(order)), 0))]
@@ -240,7 +279,7 @@ def _mark(table: pa.Table) -> pa.Table:
         ends = np.searchsorted(owner[chosen], np.arange(len(rows) + 1))
         for k in np.flatnonzero(np.diff(ends)):
             own = chosen[ends[k] : ends[k + 1]]
-            out.append((MARKS, None, rows[k]["batch"], None, None, None, None, rank[own], sentence[own]))
+            out.append((MARKS, None, rows[k]["batch"], None, None, None, rank[own], sentence[own]))
     return pa.Table.from_batches([_messages(out)])
 
 
@@ -274,7 +313,8 @@ def repeated(docs: DataFrame, shared: DataFrame) -> DataFrame:
     marks = sent.groupBy("target").applyInArrow(_mark, _MESSAGE)
     dealt = marks.groupBy("batch").applyInArrow(_deal, "doc_id bigint, text_hash bigint, cuts array<int>")
     # equal rows may lie in several batches, which mark the same: all places of a span but the first
-    return dealt.groupBy("doc_id", "text_hash").agg(F.first("cuts").alias("cuts"))
+    lists = dealt.groupBy("doc_id", "text_hash").agg(F.first("cuts").alias("cuts"))
+    return cut_lineage(lists)  # so that the messages are gone before texts are shuffled
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

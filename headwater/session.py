@@ -10,6 +10,9 @@ from typing import Any, NamedTuple
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
+# Whether Spark deletes a query's shuffle files when the query ends.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(app_name: str = "headwater", cores: str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark."""
@@ -57,8 +60,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def cut_at(df: DataFrame, path: str) -> DataFrame:
-    """The same at a path of the caller's, who may delete it once nothing reads it any more."""
-    df.write.parquet(path)
+    """The same at a path of the caller's, who may delete it once nothing reads it any more.
+
+    The shuffle files of the write are deleted with its end; else they would stay until the driver collects its garbage,
+    and those of all rounds would lie on the disks together.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLES_GO, "false")
+    conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(path, compression="zstd")
+    finally:
+        conf.set(SHUFFLES_GO, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from headwater.llm import spans
 from headwater.llm import words as W
+from headwater.session import cut_lineage
 from tests.llm.conftest import WORDS, key, words_of
 
 
@@ -181,3 +182,33 @@ def test_a_third_of_all_rows_is_one_row(spark):
     found = Counter((r.row.doc_id, len(r.text.split())) for r in spans.remove_repeats(docs).collect())
     assert found[1, 60] == 300
     assert all(n < 7 for doc_id, n in found if doc_id != 1)
+
+
+def test_a_batch_sends_each_shard_the_keys_of_its_own_texts_only():
+    rng = np.random.default_rng(11)
+    batch = spans._Batch()
+    n, per = 400, 30
+    span = rng.integers(0, 2**64, n * per, dtype=np.uint64)
+    batch.keys.append((np.arange(n) == 7, np.arange(n) * 3, np.zeros(n, np.int64)))
+    batch.parts.append((span, np.repeat(np.arange(n), per), np.tile(np.arange(per), n)))
+    few, many = (batch.sent(0, shards).nbytes for shards in (10, 1000))
+    assert many < 2 * few  # the keys of all texts to each shard would be 18 times as much
+    sent = batch.sent(0, 1000).to_pylist()[1:]
+    assert np.concatenate([spans._whole(row["tops"], row["spans"]) for row in sent]).tolist() == np.sort(span).tolist()
+    owner = dict(zip(span.tolist(), np.repeat(np.arange(n) * 3, per).tolist()))
+    owner.update((int(s), 21) for s in span[7 * per : 8 * per])
+    for row in sent:
+        ids = spans._climbed(row["ids"])[spans.wide(row["ranks"])]
+        assert ids.tolist() == [owner[int(s)] for s in spans._whole(row["tops"], row["spans"])]
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    before = set(_shuffles(spark))
+    stored = cut_lineage(spark.range(1000).groupBy(F.col("id") % 10).count())
+    assert not set(_shuffles(spark)) - before
+    assert stored.agg(F.sum("count")).first()[0] == 1000
+
+
+def _shuffles(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return [name for name in (blocks.apply(k).getName() for k in range(blocks.size())) if name.startswith("shuffle_")]
