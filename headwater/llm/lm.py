@@ -14,8 +14,8 @@ summand.
 
 No task holds the whole model, nor all texts. A task cuts its texts into batches
 and sends each distinct pair of a batch once to the shard of its context, with its
-training count and the batch's texts that it is in. There is a shard for every SHARD_BYTES bytes
-of text, so a shard's part of the corpus, about a million tokens, stays the same. It adds up the counts,
+number of occurrences and the batch's texts that it is in; a frequent word is named by its place among those. There is a shard for every SHARD_BYTES bytes
+of text, so a shard's part of the corpus, about a million tokens, stays the same, and one of word counts for HOME_SHARDS of those. It adds up the counts,
 builds its trie, answers the pairs of each batch from it, and returns sums for each
 text. A context that is frequent enough to fill a shard is split by its successors'
 hashes; its n(h) is summed over those shards in a pass of its own. Pairs with a rare second word ask its
@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headwater.llm import words as W
-from headwater.llm.frames import map_arrow
+from headwater.llm.frames import map_arrow, narrow, wide
 from headwater.llm.trie import Trie
 from headwater.session import cut_lineage
 
@@ -47,6 +47,7 @@ DISCOUNT = 0.75
 FREQUENT = 1 << 20
 BATCH_TOKENS = 700_000
 SHARD_BYTES = 4 << 20
+HOME_SHARDS = 4  # so many shards ask one shard of word counts
 START, END = np.uint64(1), np.uint64(2)
 _SPLIT = np.uint64(0x9E3779B97F4A7C15)
 SUMS, TEXTS, ASKED, COUNTS = range(4)  # kinds of messages
@@ -119,20 +120,23 @@ def _home(words: np.ndarray, shards: int) -> np.ndarray:
     return (W.mix(_short(words) + _SPLIT) % np.uint64(shards)).astype(np.int64)
 
 
+def _homes(shards: int) -> int:
+    return -(-shards // HOME_SHARDS)
+
+
 # --- Counts of words ----------------------------------------------------------
 
 
-def _word_rows(shards: int):
+def _word_rows(homes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _read(batches):
             tokens = batch.token[batch.train[batch.text]]
             starts = np.full(int(batch.train.sum()), START)
             words, counts = np.unique(np.concatenate([tokens, starts]), return_counts=True)
-            home = _home(words, shards)
+            home = _home(words, homes)
             order = np.argsort(home, kind="stable")
             rows = [
-                (shard, words[order[part]].tobytes(), counts[order[part]].astype(np.int64).tobytes())
-                for shard, part in _slices(home[order])
+                (shard, words[order[part]].tobytes(), narrow(counts[order[part]])) for shard, part in _slices(home[order])
             ]
             columns = [pa.array([x[0] for x in rows], pa.int64())]
             columns += [pa.array([x[k] for x in rows], pa.binary()) for k in (1, 2)]
@@ -153,7 +157,8 @@ def _add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _sum_words(table: pa.Table) -> pa.Table:
-    words, counts = _add_up(_joined(table, "words", np.uint64), _joined(table, "counts", np.int64))
+    sent = np.concatenate([wide(x) for x in table.column("counts").to_pylist()])
+    words, counts = _add_up(_joined(table, "words", np.uint64), sent)
     tokens = words != START
     return pa.table(
         {
@@ -179,6 +184,11 @@ class Unigrams:
     split: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
     kinds: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
+    @property
+    def homes(self) -> int:
+        """How many shards the counts of words have."""
+        return _homes(self.shards)
+
     def log_whole(self) -> float:
         return float(np.log10(self.n_tokens + 0.5 * (self.n_words + 1)))
 
@@ -190,14 +200,21 @@ class Unigrams:
         at = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
         return np.where(frequent[at] == words, self.counts[at], -1)
 
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """The places of words among the frequent ones, -1 for others."""
+        if not len(self.frequent):
+            return np.full(len(words), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.frequent, words), len(self.frequent) - 1)
+        return np.where(self.frequent[at] == words, at, -1)
+
     def splits(self, words: np.ndarray) -> np.ndarray:
         """Over how many shards the pairs of a context are spread."""
         counts = np.maximum(self.find(words), 0)
         return np.maximum(-(-counts * self.shards // max(self.n_tokens, 1)), 1)
 
-    def home(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+    def home(self, before: np.ndarray, token: np.ndarray, splits: np.ndarray | None = None) -> np.ndarray:
         """The shard of each pair."""
-        split = W.mix(token) % self.splits(before).astype(np.uint64)
+        split = W.mix(token) % (self.splits(before) if splits is None else splits).astype(np.uint64)
         return (W.mix(before + (split + np.uint64(1)) * _SPLIT) % np.uint64(self.shards)).astype(np.int64)
 
     def whole_kinds(self, contexts: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -209,8 +226,8 @@ class Unigrams:
 
 
 def count_words(rows: DataFrame, shards: int) -> tuple[DataFrame, Unigrams]:
-    """The counts of all training words, stored by shard, and what tasks need of them."""
-    sent = map_arrow(rows, _word_rows(shards), "shard bigint, words binary, counts binary")
+    """The counts of all training words, stored by home, and what tasks need of them."""
+    sent = map_arrow(rows, _word_rows(_homes(shards)), "shard bigint, words binary, counts binary")
     stored = cut_lineage(
         sent.groupBy("shard").applyInArrow(
             _sum_words, "shard bigint, words binary, counts binary, n_tokens bigint, n_words bigint"
@@ -283,81 +300,131 @@ def count_kinds(rows: DataFrame, unigrams: Unigrams) -> Unigrams:
 # --- Pairs --------------------------------------------------------------------
 
 _PAIR_ROWS = (
-    "shard bigint, batch bigint, contexts binary, degrees binary, successors binary, counts binary, "
-    "occurrences binary, texts binary, ids binary, id_null binary, held_out binary, n_tokens binary"
+    "shard bigint, batch bigint, n_train bigint, contexts binary, degrees binary, successors binary, "
+    "occurrences binary, texts binary, ids binary, id_null binary, held_out binary, n_tokens binary, known binary, base binary"
 )
 
 
+def _coded(words: np.ndarray, places: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> list[bytes]:
+    """The words of each slice: which are frequent, the places of those in three bytes, and the ``hashes`` (rows of bytes) of others."""
+    often = places >= 0
+    near = np.ascontiguousarray(places[often].astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+    far = hashes[~often]
+    upto = np.append(0, np.cumsum(often))
+    return [
+        np.packbits(often[a:b]).tobytes() + near[upto[a] : upto[b]].tobytes() + far[a - upto[a] : b - upto[b]].tobytes()
+        for a, b in zip(ends[:-1], ends[1:])
+    ]
+
+
+def _decoded(raw: bytes, n: int, frequent: np.ndarray, short: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The words of one slice, and which of them are frequent; ``short`` ones have 48 bits of their hashes."""
+    flags = -(-n // 8)
+    often = np.unpackbits(np.frombuffer(raw, np.uint8, flags), count=n).astype(bool)
+    end = flags + 3 * int(often.sum())
+    places = np.zeros((int(often.sum()), 4), np.uint8)
+    places[:, :3] = np.frombuffer(raw[flags:end], np.uint8).reshape(-1, 3)
+    words = np.empty(n, np.uint64)
+    words[often] = frequent[places.view("<u4").reshape(-1)]
+    if short:
+        words = _short(words) << np.uint64(16)
+    words[~often] = _unpack(raw[end:]) if short else np.frombuffer(raw[end:], "<u8")
+    return words, often
+
+
 def _pair_rows(unigrams: Unigrams):
-    """Each batch's distinct pairs, by shard. The list of a batch's texts goes with the first."""
+    """Each batch's distinct pairs, by shard. The list of a batch's texts goes with the first; training texts come first in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         for number, batch in enumerate(_read(batches)):
             name = (TaskContext.get().partitionId() << 32) + number
-            shard = unigrams.home(batch.before, batch.token)
-            order = np.lexsort((batch.token, batch.before, shard))
-            shard, before, token, text = shard[order], batch.before[order], batch.token[order], batch.text[order]
-            train = batch.train[text]
+            listed = np.argsort(~batch.train, kind="stable")
+            place = np.empty(len(listed), np.int64)
+            place[listed] = np.arange(len(listed))
+            text, n_train = place[batch.text], int(batch.train.sum())
+            # what is known of words is looked up once for each
+            words, at = np.unique(np.append(batch.token, START), return_inverse=True)
+            at = at.reshape(-1)
+            token, start = at[:-1], at[-1]
+            before = np.where(batch.before == START, start, np.append(start, token[:-1]))
+            places, splits = unigrams.places(words), unigrams.splits(words)
+            shard = unigrams.home(words, np.zeros(len(words), np.uint64), np.ones(len(words), np.int64))[before]
+            several = np.flatnonzero(splits[before] > 1)
+            shard[several] = unigrams.home(batch.before[several], batch.token[several], splits[before[several]])
+            heads = _heads(unigrams, batch, listed, text, words, places, token)
+            bits = len(words).bit_length()
+            if 2 * bits + unigrams.shards.bit_length() < 63:
+                order = np.argsort((shard << 2 * bits) + (before << bits) + token)
+            else:
+                order = np.lexsort((token, before, shard))
+            shard, before, token, text = shard[order], before[order], token[order], text[order]
+            new_shard = np.append(True, shard[1:] != shard[:-1])
+            new_context = new_shard | np.append(True, before[1:] != before[:-1])
+            contexts = np.flatnonzero(new_context)
+            pairs = np.flatnonzero(new_context | np.append(True, token[1:] != token[:-1]))
+            ends = np.append(np.flatnonzero(new_shard), len(shard))
+            context_ends, pair_ends = np.searchsorted(contexts, ends), np.searchsorted(pairs, ends)
+            degrees = np.diff(np.append(np.searchsorted(pairs, contexts), len(pairs)))
+            occurrences = np.diff(np.append(pairs, len(shard)))
+            own, next_ones = before[contexts], token[pairs]
+            own_hashes = words[own].astype("<u8").view(np.uint8).reshape(-1, 8)
+            coded = zip(
+                _coded(words[own], places[own], context_ends, own_hashes),
+                _coded(words[next_ones], places[next_ones], pair_ends, _pack(words[next_ones])),
+            )
             rows = []
-            for own, part in _slices(shard):
-                b, t = before[part], token[part]
-                new_context = np.concatenate([[True], b[1:] != b[:-1]])
-                new_pair = new_context | np.concatenate([[True], t[1:] != t[:-1]])
-                pairs = np.flatnonzero(new_pair)
-                firsts = np.flatnonzero(new_context[pairs])
-                rows.append(
-                    [
-                        own,
-                        name,
-                        b[new_context],
-                        np.diff(np.append(firsts, len(pairs))).astype(np.uint32),
-                        _pack(t[pairs]),
-                        np.add.reduceat(train[part].astype(np.uint32), pairs, dtype=np.uint32),
-                        np.diff(np.append(pairs, len(b))).astype(np.uint32),
-                        text[part].astype(np.uint16 if len(batch.ids) <= 1 << 16 else np.uint32),
-                    ]
-                )
-            heads = [
-                np.array([x or 0 for x in batch.ids], np.int64),
-                np.array([x is None for x in batch.ids]),
-                ~batch.train.astype(bool),
-                batch.n_tokens.astype(np.int64),
-            ]
-            rows = [[*row, *(heads if k == 0 else [None] * 4)] for k, row in enumerate(rows)]
+            for k, (of_contexts, of_successors) in enumerate(coded):
+                part, of_pairs = slice(ends[k], ends[k + 1]), slice(pair_ends[k], pair_ends[k + 1])
+                sizes = narrow(degrees[context_ends[k] : context_ends[k + 1]])
+                row = (int(shard[ends[k]]), name, n_train, of_contexts, sizes, of_successors, narrow(occurrences[of_pairs]), narrow(text[part]))
+                rows.append((*row, *(heads if k == 0 else [None] * len(heads))))
             names = [x.split()[0] for x in _PAIR_ROWS.split(", ")]
-            columns = [pa.array([row[k] for row in rows], pa.int64()) for k in (0, 1)]
-            columns += [
-                pa.array([None if row[k] is None else row[k].tobytes() for row in rows], pa.binary())
-                for k in range(2, len(names))
-            ]
+            columns = [pa.array([row[k] for row in rows], pa.int64() if k < 3 else pa.binary()) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def _message(kind: int, target: int, batch: int, *parts: np.ndarray) -> tuple:
-    return (kind, target, batch, *[x.tobytes() for x in parts], *[None] * (4 - len(parts)))
+def _heads(
+    unigrams: Unigrams, batch: Batch, listed: np.ndarray, text: np.ndarray, words: np.ndarray, places: np.ndarray, token: np.ndarray
+) -> list[bytes]:
+    """What a batch says of its texts, with what their frequent words add to the base model's sums."""
+    told = (places >= 0) & (words != END)  # ends are added last
+    counts = np.zeros(len(words), np.int64)
+    counts[told] = unigrams.counts[places[told]]
+    known = np.bincount(text, (counts > 0)[token], len(listed)).astype(np.uint32)
+    base = np.bincount(text, np.where(told, np.log10(counts + 0.5), 0.0)[token], len(listed))
+    ids = np.array([x or 0 for x in batch.ids], np.int64)[listed]
+    id_null = np.array([x is None for x in batch.ids])[listed]
+    rest = ~batch.train.astype(bool)[listed], batch.n_tokens.astype(np.int64)[listed]
+    return [x.tobytes() for x in (ids, id_null, *rest, known, base)]
+
+
+def _message(kind: int, target: int, batch: int, *parts: bytes) -> tuple:
+    return (kind, target, batch, *parts, *[None] * (6 - len(parts)))
 
 
-_MESSAGES = "kind int, target bigint, batch bigint, a binary, b binary, c binary, d binary"
+_MESSAGES = "kind int, target bigint, batch bigint, a binary, b binary, c binary, d binary, e binary, f binary"
 
 
 def _messages(rows: list[tuple]) -> pa.Table:
-    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
     names = [x.split()[0] for x in _MESSAGES.split(", ")]
     return pa.table({name: pa.array([row[k] for row in rows], t) for k, (name, t) in enumerate(zip(names, types))})
 
 
-def _sums(batch: int, text: np.ndarray, known: np.ndarray, base: np.ndarray, score: np.ndarray) -> tuple:
-    """Sums for the texts of a batch that are concerned."""
+def _totals(text: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The texts that are concerned, and sums of values for each."""
     n = int(text.max()) + 1 if len(text) else 0
     there = np.flatnonzero(np.bincount(text, minlength=n))
-    totals = [np.bincount(text, x, n)[there] for x in (known, base, score)]
-    return _message(
-        SUMS, batch, batch, there.astype(np.uint32), totals[0].astype(np.uint32), totals[1], totals[2].astype(np.float32)
-    )
+    return there, *[np.bincount(text, x, n)[there] for x in values]
+
+
+def _scores(text: np.ndarray, score: np.ndarray) -> tuple[bytes, bytes]:
+    there, total = _totals(text, score)
+    return narrow(there), total.astype(np.float32).tobytes()
 
 
 class Shard:
@@ -410,11 +477,11 @@ def _score_shard(unigrams: Unigrams):
         rows = table.to_pylist()
         read = []
         for row in rows:
-            contexts, successors = np.frombuffer(row["contexts"], np.uint64), _unpack(row["successors"])
-            degrees, counts, occurrences = (
-                np.frombuffer(row[x], np.uint32).astype(np.int64) for x in ("degrees", "counts", "occurrences")
-            )
-            read.append((contexts, degrees, successors, counts, occurrences))
+            degrees, occurrences, text = (wide(row[x]) for x in ("degrees", "occurrences", "texts"))
+            contexts, often = _decoded(row["contexts"], len(degrees), unigrams.frequent, False)
+            successors, _ = _decoded(row["successors"], len(occurrences), unigrams.frequent, True)
+            counts = np.add.reduceat((text < row["n_train"]).astype(np.int64), np.cumsum(occurrences) - occurrences)
+            read.append((contexts, degrees, successors, counts, occurrences, text, often))
         contexts = np.concatenate([np.repeat(x[0], x[1]) for x in read])
         successors, counts = (np.concatenate([x[k] for x in read]) for k in (2, 3))
         order = np.lexsort((successors, contexts))
@@ -425,30 +492,33 @@ def _score_shard(unigrams: Unigrams):
         out = []
         asking: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         names = np.array([row["batch"] for row in rows], np.int64)
-        for number, (row, (contexts, degrees, successors, _, occurrences)) in enumerate(zip(rows, read)):
+        for number, (row, (contexts, degrees, successors, _, occurrences, text, often)) in enumerate(zip(rows, read)):
             name = row["batch"]
             if row["ids"] is not None:
-                heads = (row[x] for x in ("ids", "id_null", "held_out", "n_tokens"))
-                out.append((TEXTS, name, name, *heads))
+                heads = (row[x] for x in ("ids", "id_null", "held_out", "n_tokens", "known", "base"))
+                out.append(_message(TEXTS, name, name, *heads))
             total, log, asked, ratio = shard.answer(contexts, degrees, successors, unigrams)
-            raw = row["texts"]
-            text = np.frombuffer(raw, np.uint16 if len(raw) == 2 * occurrences.sum() else np.uint32).astype(np.int64)
-            word = np.repeat(contexts, degrees) != START  # each word is the context of one token; the start is none
-            known = np.repeat((total > 0) & word, occurrences)
-            base = np.repeat(np.where(word, np.log10(total + 0.5), 0.0), occurrences)
-            out.append(_sums(name, text, known, base, np.repeat(log, occurrences)))
+            # each word is the context of one token; the start is none, and batches know of frequent ones
+            words = np.repeat(np.repeat(~often & (contexts != START), degrees), occurrences)
+            total = np.repeat(total, occurrences)[words]
+            there, known, base = _totals(text[words], total > 0, np.log10(total + 0.5))
+            sums = narrow(there), narrow(known.astype(np.int64)), base.tobytes()
+            out.append(_message(SUMS, name, name, *_scores(text, np.repeat(log, occurrences)), *sums))
             pick = np.repeat(asked, occurrences)
-            ratio = np.repeat(ratio.astype(np.float32).view(np.uint32), occurrences)[pick]
+            ratio = np.repeat(ratio.astype(np.float32), occurrences)[pick]
             asking.append((np.repeat(successors, occurrences)[pick], text[pick], np.full(int(pick.sum()), number), ratio))
-        # one message to each shard that is asked, for all batches together
+        # one message to each shard of counts that is asked, for all batches together
         words, texts, numbers, ratios = (np.concatenate(x) for x in zip(*asking))
-        home = _home(words, unigrams.shards)
+        home = _home(words, unigrams.homes)
         order = np.lexsort((words, home))
-        words, places = words[order], np.stack([texts[order], numbers[order], ratios[order]], axis=1).astype(np.uint32)
+        words, texts, numbers, ratios = words[order], texts[order], numbers[order], ratios[order]
         for target, part in _slices(home[order]):
             distinct, first = np.unique(words[part], return_index=True)
-            sizes = np.diff(np.append(first, part.stop - part.start)).astype(np.uint32)
-            out.append(_message(ASKED, target, -1, _pack(distinct), sizes, places[part], names))
+            sizes = np.diff(np.append(first, part.stop - part.start))
+            # the names of the batches that ask, and no others
+            those, which = np.unique(numbers[part], return_inverse=True)
+            places = narrow(texts[part]), narrow(which.reshape(-1)), ratios[part].tobytes()
+            out.append(_message(ASKED, target, -1, _pack(distinct).tobytes(), narrow(sizes), *places, names[those].tobytes()))
         return _messages(out)
 
     return run
@@ -463,27 +533,25 @@ def _answer_counts(unigrams: Unigrams):
         for row in rows:
             if row["kind"] == COUNTS:
                 words, counts = np.frombuffer(row["a"], np.uint64), np.frombuffer(row["b"], np.int64)
+        words = _short(words)
         answers: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for row in rows:
             if row["kind"] == ASKED:
                 asked = _short(_unpack(row["a"]))
-                sizes = np.frombuffer(row["b"], np.uint32).astype(np.int64)
-                places = np.frombuffer(row["c"], np.uint32).reshape(-1, 3)
                 found = np.zeros(len(asked), np.int64)
                 if len(words):
-                    at = np.minimum(np.searchsorted(_short(words), asked), len(words) - 1)
-                    found = np.where(_short(words[at]) == asked, counts[at], 0)
-                share = np.repeat((found + 0.5) / 10 ** unigrams.log_whole(), sizes)
-                log = np.log10(places[:, 2].copy().view(np.float32) + share)
-                answers.append((np.frombuffer(row["d"], np.int64)[places[:, 1]], places[:, 0].astype(np.int64), log))
+                    at = np.minimum(np.searchsorted(words, asked), len(words) - 1)
+                    found = np.where(words[at] == asked, counts[at], 0)
+                share = np.repeat((found + 0.5) / 10 ** unigrams.log_whole(), wide(row["b"]))
+                log = np.log10(np.frombuffer(row["e"], np.float32) + share)
+                answers.append((np.frombuffer(row["f"], np.int64)[wide(row["d"])], wide(row["c"]), log))
         out = []
         if answers:
             name, text, log = (np.concatenate(x) for x in zip(*answers))
             order = np.lexsort((log, text, name))  # one order of adding, whatever arrives first
             name, text, log = name[order], text[order], log[order]
             for batch, part in _slices(name):
-                none = np.zeros(part.stop - part.start)
-                out.append(_sums(batch, text[part], none, none, log[part]))
+                out.append(_message(SUMS, batch, batch, *_scores(text[part], log[part])))
         return _messages(out)
 
     return run
@@ -504,15 +572,16 @@ def _combine(unigrams: Unigrams):
         head = next(row for row in rows if row["kind"] == TEXTS)
         ids, null = np.frombuffer(head["a"], np.int64), np.frombuffer(head["b"], bool)
         n_tokens = np.frombuffer(head["d"], np.int64)
-        known = np.full(len(ids), int(ends > 0), np.int64)
-        base = np.full(len(ids), np.log10(ends + 0.5))
+        known = int(ends > 0) + np.frombuffer(head["e"], np.uint32).astype(np.int64)
+        base = np.log10(ends + 0.5) + np.frombuffer(head["f"], np.float64)
         score = np.zeros(len(ids))
         sums = [row for row in rows if row["kind"] == SUMS]
-        for row in sorted(sums, key=lambda r: (r["a"], r["d"])):  # one order of adding, whatever arrives first
-            at = np.frombuffer(row["a"], np.uint32)
-            known[at] += np.frombuffer(row["b"], np.uint32)
-            base[at] += np.frombuffer(row["c"], np.float64)
-            score[at] += np.frombuffer(row["d"], np.float32)
+        for row in sorted(sums, key=lambda r: (r["a"], r["b"])):  # one order of adding, whatever arrives first
+            score[wide(row["a"])] += np.frombuffer(row["b"], np.float32)
+            if row["c"] is not None:
+                at = wide(row["c"])
+                known[at] += wide(row["d"])
+                base[at] += np.frombuffer(row["e"], np.float64)
         return pa.table(
             {
                 "doc_id": pa.array(ids, mask=null),
@@ -544,8 +613,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         none.cast("bigint").alias("batch"),
         F.col("words").alias("a"),
         F.col("counts").alias("b"),
-        none.cast("binary").alias("c"),
-        none.cast("binary").alias("d"),
+        *[none.cast("binary").alias(c) for c in "cdef"],
     )
     asked = found.where(F.col("kind") == ASKED).unionByName(known)
     answers = asked.groupBy("target").applyInArrow(_answer_counts(unigrams), _MESSAGES)

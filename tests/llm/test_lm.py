@@ -4,6 +4,7 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from headwater.llm import lm
@@ -158,3 +159,33 @@ def test_a_split_context_counts_its_kinds_exactly(spark):
     assert unigrams.splits(np.array([hot]))[0] > 10
     one = lm.Shard(np.array([hot]), np.array([12345], np.uint64), np.array([1]), unigrams)
     assert one.log_left[0] == pytest.approx(math.log10(lm.DISCOUNT * 5 / 120))
+
+
+def test_a_shard_names_the_batches_that_ask_and_no_others():
+    rng = np.random.default_rng(3)
+    unigrams = lm.Unigrams(100, 50, 1000, np.empty(0, np.uint64), np.empty(0, np.int64))
+    rows = []
+    for name in range(20):
+        words = rng.integers(1 << 20, 2**63, 2, dtype=np.uint64)
+        raw = words.astype("<u8").view(np.uint8).reshape(-1, 8)
+        own, next_one = lm._coded(words[:1], np.array([-1]), [0, 1], raw[:1]), lm._coded(words[1:], np.array([-1]), [0, 1], lm._pack(words[1:]))
+        ones, zeros = lm.narrow(np.ones(1, np.int64)), lm.narrow(np.zeros(1, np.int64))
+        rows.append((0, name, 1, own[0], ones, next_one[0], ones, zeros, *[None] * 6))
+    names = [x.split()[0] for x in lm._PAIR_ROWS.split(", ")]
+    table = pa.table({name: pa.array([row[k] for row in rows], pa.int64() if k < 3 else pa.binary()) for k, name in enumerate(names)})
+    asked = [row for row in lm._score_shard(unigrams)(table).to_pylist() if row["kind"] == lm.ASKED]
+    assert sorted(name for row in asked for name in np.frombuffer(row["f"], np.int64).tolist()) == list(range(20))
+
+
+def test_words_of_messages_are_what_they_were():
+    rng = np.random.default_rng(4)
+    frequent = np.sort(np.append(rng.integers(3, 2**64, 70_000, dtype=np.uint64), lm.END))
+    words = np.concatenate([rng.choice(frequent, 500), rng.integers(3, 2**64, 300, dtype=np.uint64), [lm.END]])
+    rng.shuffle(words)
+    unigrams = lm.Unigrams(1, 1, 1, frequent, np.ones(len(frequent), np.int64))
+    places, ends = unigrams.places(words), np.array([0, 1, 400, len(words)])
+    raw = words.astype("<u8").view(np.uint8).reshape(-1, 8)
+    for short, hashes, wanted in ((False, raw, words), (True, lm._pack(words), lm._short(words) << np.uint64(16))):
+        found = [lm._decoded(x, b - a, frequent, short) for x, a, b in zip(lm._coded(words, places, ends, hashes), ends, ends[1:])]
+        assert np.concatenate([x for x, _ in found]).tolist() == wanted.tolist()
+        assert np.concatenate([x for _, x in found]).tolist() == (places >= 0).tolist()
