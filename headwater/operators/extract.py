@@ -185,6 +185,11 @@ def _may_name_s3() -> Column:
     return F.coalesce(is_file, F.lit(False)) | F.coalesce(is_delta, F.lit(False))
 
 
+def lower_options(plan_nodes: DataFrame) -> DataFrame:
+    """Plan nodes with lower-case option keys."""
+    return plan_nodes.withColumn("options", lower_keys(F.col("options")))
+
+
 def prepare_nodes(
     plan_nodes: DataFrame, conf: DataFrame, keys: ConfKeys = KEYS, hot: Sequence[Row] | None = None, paths_only: bool = False
 ) -> DataFrame:
@@ -193,7 +198,7 @@ def prepare_nodes(
     ``paths_only`` looks endpoints up for the nodes alone whose paths the built-in rules name; others have none, and aren't
     shuffled. It reads ``plan_nodes`` twice.
     """
-    lowered = plan_nodes.withColumn("options", lower_keys(F.col("options")))
+    lowered = lower_options(plan_nodes)
     spread = ["execution_id", "node_id"]
     if not paths_only:
         return with_endpoints(lowered, conf, spread, keys, hot)

@@ -32,10 +32,10 @@ def sql_triggers(events: DataFrame) -> DataFrame:
     )
 
 
-def with_plans(triggers: DataFrame, plan_nodes: DataFrame) -> DataFrame:
-    """Plan nodes of triggered executions; Spark splits a very large plan's share of the join."""
+def with_plans(triggers: DataFrame, plan_nodes: DataFrame, *more: str) -> DataFrame:
+    """Plan nodes of triggered executions, with ``more`` columns of the triggers; Spark splits a very large plan's share of the join."""
     keys = ["app_id", "execution_id"]
-    return plan_nodes.join(triggers.select(*keys), keys)
+    return plan_nodes.join(triggers.select(*keys, *more), keys)
 
 
 def skipped(triggers: DataFrame, plan_nodes: DataFrame) -> DataFrame:

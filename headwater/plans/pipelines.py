@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +12,12 @@ from headwater.operators import conf as C
 from headwater.operators import entities as E
 from headwater.operators import etl, extract, rddgraph, rollup, routing
 from headwater.operators.conf import KEYS, ConfKeys
-from headwater.session import cut_lineage, work_path
+from headwater.session import cut_at, delete_path, work_path
 from headwater.sources import eventlog
 
+# So many plan nodes go through the extraction at once, on average.
+SLICE_NODES = 100_000_000
+
 
 @dataclass(frozen=True)
 class Facts:
@@ -33,6 +36,11 @@ class Facts:
     def conf_kv(self) -> DataFrame:
         return self.conf if self.conf is not None else C.conf_kv(self.events)
 
+    def slice(self, number: int, slices: int) -> Facts:
+        """The facts of some applications, chosen by a hash of their id."""
+        own = F.pmod(F.xxhash64("app_id"), F.lit(slices)) == number
+        return replace(self, **{f.name: df.where(own) for f in fields(self) if (df := getattr(self, f.name)) is not None})
+
 
 @dataclass(frozen=True)
 class Lineage:
@@ -61,8 +69,10 @@ class Lineage:
 
 def sql_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
     """Lineage items of the triggered SQL executions, errors included."""
-    nodes = routing.with_plans(routing.sql_triggers(facts.events), facts.plan_nodes)
-    return extract.plan_items(extract.prepare_nodes(nodes, facts.conf_kv(), keys), compat=compat)
+    # the endpoints go with the triggers, which are few, so that nodes with all their options are shuffled once
+    triggers = C.with_endpoints(routing.sql_triggers(facts.events), facts.conf_kv(), ["execution_id"], keys)
+    nodes = routing.with_plans(triggers, facts.plan_nodes, "s3a_endpoint", "s3n_endpoint")
+    return extract.plan_items(extract.lower_options(nodes), compat=compat)
 
 
 def rdd_items(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) -> DataFrame:
@@ -83,16 +93,26 @@ def build_lineage(facts: Facts, keys: ConfKeys = KEYS, compat: bool = False) ->
 
     Executions and jobs share one id column: even ids are SQL executions, odd
     ones RDD jobs. The items are stored once in the shared folder, since several
-    results read them. Joins with the few rows of an application are plain ones: where one application has a large
+    results read them. Nothing of one application needs another, so where there are more than SLICE_NODES plan nodes, the
+    applications are dealt into slices that go one after another: the disks hold the shuffle files of one. Joins with the few rows of an application are plain ones: where one application has a large
     share of the rows, Spark splits its partition at run time.
     """
-    sql = sql_items(facts, keys, compat).withColumn("dep_id", F.col("dep_id") * 2)
-    rdd = rdd_items(facts, keys, compat).withColumn("dep_id", F.col("dep_id") * 2 + 1)
-    every = cut_lineage(sql.unionByName(rdd))
-    items = cut_lineage(rollup.distinct_deps(routing.resolved_only(every)))
+    spark = facts.events.sparkSession
+    path, slices = work_path(spark, "lineage"), max(-(-facts.plan_nodes.count() // SLICE_NODES), 1)
+    for number in range(slices):
+        some = facts.slice(number, slices) if slices > 1 else facts
+        sql = sql_items(some, keys, compat).withColumn("dep_id", F.col("dep_id") * 2)
+        rdd = rdd_items(some, keys, compat).withColumn("dep_id", F.col("dep_id") * 2 + 1)
+        every = cut_at(routing.resolved_only(sql.unionByName(rdd)), f"{path}/every-{number}")
+        items = cut_at(rollup.distinct_deps(every), f"{path}/items/slice={number}")
+        delete_path(spark, f"{path}/every-{number}")
+        datasets = cut_at(rollup.app_lineage(items), f"{path}/datasets/slice={number}")
+    items, datasets = (
+        spark.read.schema(df.schema).parquet(f"{path}/{name}").select(*df.columns) for name, df in (("items", items), ("datasets", datasets))
+    )
     routes = C.route_apps(facts.events, facts.conf_kv(), keys)
     apps = E.with_names(rollup.rollup_apps(facts.events), routes)
-    return Lineage(apps, items, rollup.app_lineage(items), rollup.merge_metadata(facts.events))
+    return Lineage(apps, items, datasets, rollup.merge_metadata(facts.events))
 
 
 def facts_of_log(spark: SparkSession, path: str, app_id_pattern: str = eventlog.APP_ID_IN_PATH) -> Facts:

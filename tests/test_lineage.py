@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from headwater import schemas as S
 from headwater.operators import extract, rddgraph
+from headwater.plans import pipelines
 from headwater.session import children, shared_dir
 
 DELTA = "org.apache.spark.sql.delta.sources.DeltaDataSource"
@@ -379,3 +380,27 @@ def test_names_wait_for_all_dependencies(spark, walk):
     names = {(r.app_id, r.rdd_id): r.name for r in found}
     assert names["a", 9] == "n9_n5_n4_n3_n2_n1_n0_n0" and names["b", 3] == "n3_n4"
     assert ("b", 1) not in names and len(names) == 9
+
+
+def test_slices_of_the_applications_give_the_same_lineage(spark, monkeypatch):
+    apps = [f"app-{k}" for k in range(12)]
+    start = [(a, a, S.APP_START, 1, None, None, None, None, None, {"spark.hadoop.fs.s3a.endpoint": "http://store:9100"}) for a in apps]
+    begun = [(a, None, S.SQL_START, 2, None, 1, None, None, None, None) for a in apps]
+    nodes = [(a, 1, 0, None, *write(KAFKA, **{"kafka.bootstrap.servers": "k:1", "topic": a})) for a in apps]
+    nodes += [(a, 1, 1, 0, *relation("HadoopFsRelation", paths=[f"s3a://lake/{a}"])) for a in apps]
+    given = pipelines.Facts(
+        spark.createDataFrame([*start, *begun], S.LISTENER_EVENT),
+        spark.createDataFrame(nodes, S.PLAN_NODE),
+        spark.createDataFrame([], S.RDD_NODE),
+        spark.createDataFrame([], S.RDD_EDGE),
+        spark.createDataFrame([], "app_id string, job_id bigint, rdd_id bigint"),
+        spark.createDataFrame([], S.RDD_OUTPUT),
+    )
+    made = []
+    sql_items = pipelines.sql_items
+    monkeypatch.setattr(pipelines, "sql_items", lambda facts, *rest: made.append(facts.plan_nodes.count()) or sql_items(facts, *rest))
+    whole = sorted(map(tuple, pipelines.build_lineage(given).edges().collect()))
+    monkeypatch.setattr(pipelines, "SLICE_NODES", 10)
+    parts = sorted(map(tuple, pipelines.build_lineage(given).edges().collect()))
+    assert parts == whole and len(whole) == 24
+    assert len(made) == 4 and made[0] == 24 and sum(made[1:]) == 24
